@@ -1,0 +1,47 @@
+"""The failure-notification pipeline as a sequence of Spark jobs.
+
+    last_job_run -> merge_state -> suppress_ignored -> enrich_failures   (one plan)
+      -> write state version n+1                                        (action 1)
+      -> new_failures on the written version; if any -> write report    (action 2, 3)
+      -> acknowledge -> write state version n+2                         (action 4)
+
+Each stored version cuts the lineage, so a lost executor only recomputes from
+the last written version. The order is at-least-once, like the source
+procedure: if the run stops after the report but before the acknowledged
+version is written, the next run reports the same failures again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from opslog.operators.jobs import last_job_run, last_package_error
+from opslog.operators.notify import failure_report, write_report
+from opslog.operators.state import acknowledge, enrich_failures, merge_state, new_failures, suppress_ignored
+from opslog.sources.snapshots import SnapshotStore
+
+
+def fold_new_runs(state: DataFrame, *, history: DataFrame, steps: DataFrame, jobs: DataFrame,
+                  event_messages: DataFrame, ignore: DataFrame, refresh_duration: bool = False) -> DataFrame:
+    """State after merge, ignore-list suppression and error enrichment (lazy)."""
+    merged = merge_state(state, last_job_run(history, steps, jobs), refresh_duration)
+    suppressed = suppress_ignored(merged, ignore)
+    return enrich_failures(suppressed, last_package_error(steps, event_messages))
+
+
+def run_failure_pipeline(spark: SparkSession, store: SnapshotStore, *, history: DataFrame, steps: DataFrame,
+                         jobs: DataFrame, event_messages: DataFrame, ignore: DataFrame, report_root: str,
+                         server: str, refresh_duration: bool = False) -> dict:
+    """Run once; returns the written versions and the report folder (None when
+    there was nothing to report)."""
+    folded = fold_new_runs(store.read(), history=history, steps=steps, jobs=jobs,
+                           event_messages=event_messages, ignore=ignore, refresh_duration=refresh_duration)
+    state_version = store.write(folded)
+    written = store.read(state_version)
+    failures = new_failures(written)
+    report_path = None
+    if not failures.isEmpty():
+        report_path = f"{report_root.rstrip('/')}/v{state_version:08d}"
+        write_report(failure_report(failures, server), report_path)
+    final_version = store.write(acknowledge(written))
+    return {"state_version": state_version, "final_version": final_version, "report_path": report_path}
