@@ -35,11 +35,23 @@ def second_boundaries(start, end) -> Column:
     return epoch_seconds(end) - epoch_seconds(start)
 
 
+def _two_digits(n: Column) -> Column:
+    """Non-negative integer as text, at least two digits (more are kept).
+
+    Plain concatenation: unlike printf it stays in generated code.
+    """
+    t = n.cast("string")
+    return F.when(n < 10, F.concat(F.lit("0"), t)).otherwise(t)
+
+
+def _clock(h: Column, m: Column, s: Column) -> Column:
+    return F.concat(_two_digits(h), F.lit(":"), _two_digits(m), F.lit(":"), _two_digits(s))
+
+
 def seconds_as_time_text(seconds) -> Column:
     """Add ``seconds`` to 00:00:00 as a time of day: wraps at 24 h, ``HH:mm:ss``."""
     s = F.pmod(_c(seconds).cast("long"), F.lit(86400))
-    return F.printf(
-        F.lit("%02d:%02d:%02d"),
+    return _clock(
         F.floor(s / 3600).cast("int"),
         F.pmod(F.floor(s / 60), F.lit(60)).cast("int"),
         F.pmod(s, F.lit(60)).cast("int"),
@@ -60,8 +72,7 @@ def coded_datetime(date_int, time_int) -> Column:
 def coded_duration_text(duration_int) -> Column:
     """``hhmmss`` integer -> ``HH:MM:SS``; hours keep all their digits (``100:00:00``)."""
     n = _c(duration_int).cast("long")
-    return F.printf(
-        F.lit("%02d:%02d:%02d"),
+    return _clock(
         F.floor(n / 10000).cast("long"),
         F.pmod(F.floor(n / 100), F.lit(100)).cast("int"),
         F.pmod(n, F.lit(100)).cast("int"),
@@ -82,9 +93,9 @@ def elapsed_clock_text(start, now, total_hours: bool = False) -> Column:
     return F.concat(
         h.cast("long").cast("string"),
         F.lit(":"),
-        F.lpad(F.pmod(F.floor(e / 60), F.lit(60)).cast("int").cast("string"), 2, "0"),
+        _two_digits(F.pmod(F.floor(e / 60), F.lit(60)).cast("int")),
         F.lit(":"),
-        F.lpad(F.pmod(e, F.lit(60)).cast("int").cast("string"), 2, "0"),
+        _two_digits(F.pmod(e, F.lit(60)).cast("int")),
     )
 
 

@@ -69,8 +69,10 @@ def xml_first_text(doc, path: str) -> Column:
     """String value of the first node selected by ``path`` (as ``(path)[1]``).
 
     NULL when nothing matches or the document is malformed; an empty element
-    gives ''.
+    gives ''. One XPath evaluation answers both "is there a node" and "its
+    value": ``concat(count(p), ':', string(p))``.
     """
-    first = F.lit(f"({path})[1]")
-    hit = F.when(F.xpath_boolean(_c(doc), first), F.xpath_string(_c(doc), first))
+    first = f"({path})[1]"
+    both = F.xpath_string(_c(doc), F.lit(f"concat(count({first}), ':', string({first}))"))
+    hit = F.when(F.startswith(both, F.lit("1:")), F.substring(both, 3, 1 << 30))
     return F.when(xml_is_wellformed(doc), hit)

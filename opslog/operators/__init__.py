@@ -27,6 +27,7 @@ from opslog.operators.subscriptions import subscription_jobs  # noqa: F401
 from opslog.operators.state import (  # noqa: F401
     acknowledge,
     enrich_failures,
+    failure_rows,
     merge_state,
     new_failures,
     suppress_ignored,

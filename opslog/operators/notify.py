@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.temporal import sql_datetime_text
 from opslog.functions.text import html_escape
+from opslog.operators.state import failure_rows
 
 # The report's heading, table header and footer.
 REPORT_HEADING = '<H1 align="center" style="font-family:Cambria;">{server} Job Failure Report</H1>'
@@ -33,39 +34,42 @@ def _cell(c, empty_null_cells: bool):
     return F.coalesce(cell, F.lit("<td></td>")) if empty_null_cells else cell
 
 
-def failure_report(failures: DataFrame, server: str, empty_null_cells: bool = False) -> DataFrame:
-    """Report lines: part 0 = heading + table header, 1 = one row per failure,
-    2 = table end. Sorting by ``LINE_ORDER`` gives document order. No lines
-    when there are no failures (nothing is sent)."""
-    rows = failures.select(
-        F.lit(1).alias("part"), "JobName", "StepName", "LastRunDateTime", "InstanceID",
-        F.concat_ws(
-            "",
-            F.lit("<tr>"),
-            _cell(F.col("JobName"), empty_null_cells),
-            _cell(F.col("StepName"), empty_null_cells),
-            _cell(F.col("StepMessage"), empty_null_cells),
-            _cell(sql_datetime_text("LastRunDateTime"), empty_null_cells),
-            _cell(F.col("LastRunDuration"), empty_null_cells),
-            F.lit("</tr>"),
-        ).alias("html"),
+def failure_report(state: DataFrame, server: str, empty_null_cells: bool = False) -> DataFrame:
+    """Report lines for the failure rows of ``state``: part 0 = heading + table
+    header, 1 = one row per failure, 2 = table end. Sorting by ``LINE_ORDER``
+    gives document order. No lines at all when there is no failure.
+
+    One pass over the failures: every failure row also emits the two frame
+    lines, and ``dropDuplicates`` keeps one of each (partial aggregation
+    collapses them map-side, so at most one per map task is shuffled). Row
+    lines are unique already: each carries its state row's InstanceID.
+    """
+    row_html = F.concat_ws(
+        "",
+        F.lit("<tr>"),
+        _cell(F.col("JobName"), empty_null_cells),
+        _cell(F.col("StepName"), empty_null_cells),
+        _cell(F.col("StepMessage"), empty_null_cells),
+        _cell(sql_datetime_text("LastRunDateTime"), empty_null_cells),
+        _cell(F.col("LastRunDuration"), empty_null_cells),
+        F.lit("</tr>"),
     )
     head_text = REPORT_HEADING.format(server=server) + REPORT_TABLE_OPEN + REPORT_HEADER_ROW
-    present = failures.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
-    frame = present.select(
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("part"), F.lit(head_text).alias("html")),
-            F.struct(F.lit(2).alias("part"), F.lit(REPORT_TABLE_CLOSE).alias("html")),
-        )).alias("_l")
-    ).select(
-        F.col("_l.part").alias("part"),
-        F.lit(None).cast("string").alias("JobName"),
-        F.lit(None).cast("string").alias("StepName"),
-        F.lit(None).cast("timestamp_ntz").alias("LastRunDateTime"),
-        F.lit(None).cast("long").alias("InstanceID"),
-        F.col("_l.html").alias("html"),
-    )
-    return rows.unionByName(frame)
+
+    def line(part, job, step, ts, inst, html):
+        return F.struct(
+            F.lit(part).alias("part"), job.cast("string").alias("JobName"), step.cast("string").alias("StepName"),
+            ts.cast("timestamp_ntz").alias("LastRunDateTime"), inst.cast("long").alias("InstanceID"),
+            html.alias("html"),
+        )
+
+    none = F.lit(None)
+    lines = failure_rows(state).select(F.explode(F.array(
+        line(1, F.col("JobName"), F.col("StepName"), F.col("LastRunDateTime"), F.col("InstanceID"), row_html),
+        line(0, none, none, none, none, F.lit(head_text)),
+        line(2, none, none, none, none, F.lit(REPORT_TABLE_CLOSE)),
+    )).alias("_l")).select("_l.*")
+    return lines.dropDuplicates()
 
 
 def write_report(lines: DataFrame, path: str) -> None:

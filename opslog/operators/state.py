@@ -48,23 +48,22 @@ def merge_state(state: DataFrame, last_run: DataFrame, refresh_duration: bool =
     * instance unchanged   -> row kept as it was
     Two source rows for one existing key raise an error, as the MERGE does.
 
-    Plan: one full outer join on the key. The duplicate count is a window on
-    the source partitioned by the same key, so its shuffle is the join's.
+    Plan: the MERGE's three-way match is one outer join that keeps every
+    source row (target-only rows are the deletions, so they are simply not
+    kept). The duplicate-key test counts rows per source key over the join's
+    output, which is already partitioned and sorted on that key, so it adds
+    no shuffle. The state is unique per key by construction (this function
+    keeps it so), so the count is the number of source rows for the key.
     """
-    src = to_state_rows(last_run, 1)
-    src = src.select(
-        *[F.col(c).alias(f"s_{c}") for c in STATE_COLUMNS],
-        F.count(F.lit(1)).over(Window.partitionBy("JobID", "StepID")).alias("s_n"),
-    )
+    src = to_state_rows(last_run, 1).select(*[F.col(c).alias(f"s_{c}") for c in STATE_COLUMNS])
     tgt = state.select(*[F.col(c).alias(f"t_{c}") for c in STATE_COLUMNS], F.lit(True).alias("t_present"))
     j = tgt.join(
         src,
         (F.col("t_JobID") == F.col("s_JobID")) & (F.col("t_StepID") == F.col("s_StepID")),
-        "full_outer",
-    )
-    in_src = F.col("s_n").isNotNull()
+        "right_outer",
+    ).withColumn("s_n", F.count(F.lit(1)).over(Window.partitionBy("s_JobID", "s_StepID")))
     in_tgt = F.col("t_present").isNotNull()
-    changed = in_tgt & in_src & (F.col("s_InstanceID") != F.col("t_InstanceID"))
+    changed = in_tgt & (F.col("s_InstanceID") != F.col("t_InstanceID"))
     dup = in_tgt & (F.col("s_n") > 1)
     updated = set(_UPDATED) | ({"LastRunDuration"} if refresh_duration else set())
 
@@ -79,7 +78,7 @@ def merge_state(state: DataFrame, last_run: DataFrame, refresh_duration: bool =
         if c == "InstanceID":
             e = F.when(dup, F.raise_error(F.lit("merge_state: several source rows for one (JobID, StepID)"))).otherwise(e)
         out.append(e.cast(_TYPES[c]).alias(c))
-    return j.filter(in_src).select(*out)
+    return j.select(*out)
 
 
 def suppress_ignored(state: DataFrame, ignore: DataFrame) -> DataFrame:
@@ -104,11 +103,16 @@ def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str
     return j.select(*[msg.alias(c) if c == "StepMessage" else F.col(c) for c in STATE_COLUMNS])
 
 
-def new_failures(state: DataFrame) -> DataFrame:
-    """Rows to notify: changed or new (UpdateFlag 1), failed, with a known run time."""
+def failure_rows(state: DataFrame) -> DataFrame:
+    """Rows to notify (unordered): changed or new (UpdateFlag 1), failed, with a known run time."""
     return state.filter(
         (F.col("UpdateFlag") == 1) & (F.col("LastRunOutcome") == 0) & F.col("LastRunDateTime").isNotNull()
-    ).orderBy("JobName", "StepName", "LastRunDateTime")
+    )
+
+
+def new_failures(state: DataFrame) -> DataFrame:
+    """Rows to notify, by job name, step name and run time."""
+    return failure_rows(state).orderBy("JobName", "StepName", "LastRunDateTime")
 
 
 def acknowledge(state: DataFrame) -> DataFrame:

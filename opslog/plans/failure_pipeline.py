@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opslog.operators.jobs import last_job_run, last_package_error
 from opslog.operators.notify import failure_report, write_report
-from opslog.operators.state import acknowledge, enrich_failures, merge_state, new_failures, suppress_ignored
+from opslog.operators.state import acknowledge, enrich_failures, failure_rows, merge_state, suppress_ignored
 from opslog.sources.snapshots import SnapshotStore
 
 
@@ -38,10 +38,9 @@ def run_failure_pipeline(spark: SparkSession, store: SnapshotStore, *, history:
                            event_messages=event_messages, ignore=ignore, refresh_duration=refresh_duration)
     state_version = store.write(folded)
     written = store.read(state_version)
-    failures = new_failures(written)
     report_path = None
-    if not failures.isEmpty():
+    if not failure_rows(written).isEmpty():
         report_path = f"{report_root.rstrip('/')}/v{state_version:08d}"
-        write_report(failure_report(failures, server), report_path)
+        write_report(failure_report(written, server), report_path)
     final_version = store.write(acknowledge(written))
     return {"state_version": state_version, "final_version": final_version, "report_path": report_path}

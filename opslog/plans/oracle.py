@@ -192,6 +192,7 @@ WHERE RJ.StartDate < {now} - INTERVAL 1 MINUTE""")
     ack_cols = STATE_COLS.replace("UpdateFlag", "0 AS UpdateFlag")
     q["acknowledge"] = _state_query(f"SELECT {ack_cols} FROM enriched")
     q["failure_pipeline"] = q["acknowledge"]
+    q["lateral_table_function"] = q["enrich_failures"]
 
     q["q1_reports_with_sources"] = _with(["catalog", "data_source", "users"], """
 SELECT C.Name AS ReportName, C.Path AS ReportManagerPath, DS.Name AS DataSourceName, U.UserName AS CreatedByUser,

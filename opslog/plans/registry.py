@@ -76,6 +76,15 @@ def _enriched(spark, sf_dir):
     return op.enrich_failures(_suppressed(spark, sf_dir), op.last_package_error(t.job_steps, t.event_messages))
 
 
+def q_lateral_table_function(spark, sf_dir):
+    """Enrichment through the SQL table function under LEFT JOIN LATERAL."""
+    from opslog.plans.sql_surface import enrich_with_lateral, register_package_error_function
+
+    t = Tables(spark, sf_dir)
+    fn = register_package_error_function(spark, t.job_steps, t.event_messages)
+    return enrich_with_lateral(spark, _suppressed(spark, sf_dir), fn)
+
+
 def q_merge_state(spark, sf_dir):
     return _merged(spark, sf_dir)
 
@@ -93,7 +102,7 @@ def q_new_failures(spark, sf_dir):
 
 
 def q_failure_report(spark, sf_dir):
-    return op.failure_report(op.new_failures(_enriched(spark, sf_dir)), P.SERVER)
+    return op.failure_report(_enriched(spark, sf_dir), P.SERVER)
 
 
 def q_acknowledge(spark, sf_dir):
@@ -274,4 +283,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parent_folder": q_parent_folder,
     "second_boundaries": q_second_boundaries,
     "int_avg": q_int_avg,
+    "lateral_table_function": q_lateral_table_function,
 }
