@@ -44,20 +44,28 @@ def catalog_types(catalog: DataFrame) -> DataFrame:
 
 def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
                  users: DataFrame, roles: DataFrame) -> DataFrame:
-    # catalog -> policy -> (policy, user, role) bridge -> user, role
+    """catalog -> policy -> (policy, user, role) bridge -> user, role.
+
+    The bridge is resolved against its dimensions first (a result the size of
+    the bridge), then joined to the catalog on the policy: the one join that
+    multiplies rows comes last, so the expanded result is never shuffled again.
+    A policy shared by many items and many users is a hot key on both sides of
+    that join; AQE splits the larger side's partition for it.
+    """
     p = policies.select(F.col("PolicyID").alias("_pid"))
     pur = policy_user_role.select(
         F.col("PolicyID").alias("_pur_pid"), F.col("UserID").alias("_pur_uid"), F.col("RoleID").alias("_pur_rid")
     )
     u = users.select(F.col("UserID").alias("_uid"), "UserName", "AuthType")
     r = roles.select(F.col("RoleID").alias("_rid"), "RoleName", "Description")
-    c = catalog.select("Name", "Path", "PolicyID")
-    j = (
-        c.join(p, c["PolicyID"] == p["_pid"], "inner")
-        .join(pur, F.col("_pid") == F.col("_pur_pid"), "inner")
-        .join(u, F.col("_pur_uid") == F.col("_uid"), "inner")
+    grants = (
+        pur.join(u, F.col("_pur_uid") == F.col("_uid"), "inner")
         .join(r, F.col("_pur_rid") == F.col("_rid"), "inner")
+        .join(p, F.col("_pur_pid") == F.col("_pid"), "inner")
+        .select("_pid", "UserName", "AuthType", "RoleName", "Description")
     )
+    c = catalog.select("Name", "Path", "PolicyID")
+    j = c.join(grants, c["PolicyID"] == grants["_pid"], "inner")
     return j.select(
         F.when(F.col("Name") == "", "Root Folder").otherwise(F.col("Name")).alias("ObjectName"),
         F.col("Path").alias("ObjectPath"), "UserName", "RoleName", "Description", "AuthType",

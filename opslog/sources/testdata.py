@@ -10,11 +10,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Key used to spread a table over the cores when it arrives in too few splits.
 # Only tables whose rows feed per-row work (log rows, XML documents, text
-# building); the others only feed aggregates that shuffle right away.
+# building, permission expansion); the others only feed aggregates that
+# shuffle right away.
 SPREAD_KEYS = {
     "lineitem": "l_orderkey",
     "orders": "o_orderkey",
     "part": "p_partkey",
+    "customer": "c_custkey",
 }
 
 
