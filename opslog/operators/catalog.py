@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.xmlvalue import xml_root_is, xml_root_namespace, xml_text
 from opslog.operators.joins import preserving_left_join
+from opslog.operators.ordering import sort_balanced
 
 # Catalog item type codes and credential retrieval codes.
 ITEM_TYPES = {1: "Folder", 2: "Report", 5: "Data Source"}
@@ -29,17 +30,17 @@ def reports_with_sources(catalog: DataFrame, data_source: DataFrame, users: Data
     ds = data_source.select(F.col("ItemID").alias("_ds_item"), F.col("Name").alias("DataSourceName"))
     u = users.select(F.col("UserID").alias("_uid"), F.col("UserName").alias("CreatedByUser"))
     j = c.join(ds, c["ItemID"] == ds["_ds_item"], "left").join(u, c["CreatedByID"] == u["_uid"], "left")
-    return j.select(
+    out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportManagerPath"),
         "DataSourceName", "CreatedByUser", "CreationDate", "ModifiedDate",
-    ).orderBy("ReportName")
+    )
+    return sort_balanced(out, "ReportName")
 
 
 def catalog_types(catalog: DataFrame) -> DataFrame:
     """Every catalog item with its type decoded, by name."""
-    return catalog.select(
-        "Name", "Type", _case(F.col("Type"), ITEM_TYPES, "Other").alias("TypeDescription")
-    ).orderBy("Name")
+    out = catalog.select("Name", "Type", _case(F.col("Type"), ITEM_TYPES, "Other").alias("TypeDescription"))
+    return sort_balanced(out, "Name")
 
 
 def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
@@ -79,7 +80,7 @@ def user_permissions(users: DataFrame, policy_user_role: DataFrame, policies: Da
     if user_name is not None:
         users = users.filter(F.col("UserName") == user_name)
     out = _permissions(catalog, policies, policy_user_role, users, roles)
-    return out.orderBy("_name", "UserName", "RoleName").drop("_name")
+    return sort_balanced(out, "_name", "UserName", "RoleName").drop("_name")
 
 
 def path_permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
@@ -88,7 +89,7 @@ def path_permissions(catalog: DataFrame, policies: DataFrame, policy_user_role:
     if path_prefix is not None:
         catalog = catalog.filter(F.col("Path").startswith(path_prefix))
     out = _permissions(catalog, policies, policy_user_role, users, roles)
-    return out.orderBy("_name", "ObjectPath", "UserName", "RoleName").drop("_name")
+    return sort_balanced(out, "_name", "ObjectPath", "UserName", "RoleName").drop("_name")
 
 
 def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, namespace: str) -> DataFrame:
@@ -163,12 +164,13 @@ def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataF
     )
     s = _shared_sources(catalog, users, data_source, namespace)
     j = s.join(counts, s["_sds_item"] == counts["DSLink"], "left")
-    return j.select(
+    out = j.select(
         "DataSourcePath", "SharedDataSourceName",
         F.coalesce(F.col("_deps"), F.lit(0)).alias("Dependents"),
         "ConnectionString", "DataSourceEnabled", "Extension", "CredentialType",
         "CreationDate", "CreatedBy", "ModifiedDate", "ModifiedBy", "DataSourceXML",
-    ).orderBy("DataSourcePath", "SharedDataSourceName")
+    )
+    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName")
 
 
 def data_source_dependents(catalog: DataFrame, users: DataFrame, data_source: DataFrame, sec_data: DataFrame,
@@ -186,11 +188,12 @@ def data_source_dependents(catalog: DataFrame, users: DataFrame, data_source: Da
         s = s.filter(F.col("DataSourcePath") == path)
     deps = _dependents(catalog, users, sec_data, data_source)
     j = preserving_left_join(s, deps, "_sds_item", "DSLink")
-    return j.select(
+    out = j.select(
         "DataSourcePath", "SharedDataSourceName", "DSLink", "ObjectName",
         "ConnectionString", "DataSourceEnabled", "Extension", "CredentialType",
         "CreationDate", "CreatedBy", "ModifiedDate", "ModifiedBy", "DataSourceXML",
-    ).orderBy("DataSourcePath", "SharedDataSourceName")
+    )
+    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName")
 
 
 def configuration(config: DataFrame) -> DataFrame:

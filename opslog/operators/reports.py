@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from opslog.functions.numeric import bytes_to_kb, int_div
 from opslog.functions.temporal import elapsed_clock_text, second_boundaries, seconds_as_time_text
 from opslog.functions.text import parent_folder, strip_domain
+from opslog.operators.ordering import sort_balanced
 
 
 def ts_lit(value) -> Column:
@@ -88,26 +89,28 @@ def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str) ->
     l = log.filter(F.col("TimeStart") > ts_lit(since))
     c = catalog.filter(F.col("Name") == report_name)
     j = _with_report(l, c, "Name", "Path")
-    return j.select(
+    out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportPath"),
         "TimeStart", "TimeEnd", "Parameters", "UserName", "Status",
         "TimeDataRetrieval", "TimeProcessing", "TimeRendering",
         seconds_as_time_text(second_boundaries("TimeStart", "TimeEnd")).alias("CommandDuration"),
-    ).orderBy(F.col("TimeStart").desc())
+    )
+    return sort_balanced(out, F.col("TimeStart").desc())
 
 
 def runs_since(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     """All runs after ``since``, newest first."""
     j = _with_report(log.filter(F.col("TimeStart") > ts_lit(since)), catalog, "Name", "Path")
-    return j.select(
+    out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportPath"),
         "TimeStart", "TimeEnd", "Parameters", "UserName", "Status",
-    ).orderBy(F.col("TimeStart").desc())
+    )
+    return sort_balanced(out, F.col("TimeStart").desc())
 
 
 def running_requests(running_jobs: DataFrame) -> DataFrame:
     """Every running request, oldest first."""
-    return running_jobs.select("*").orderBy(F.col("StartDate").asc())
+    return sort_balanced(running_jobs.select("*"), F.col("StartDate").asc())
 
 
 def large_renders(log: DataFrame, min_kb: int = 100) -> DataFrame:
@@ -123,16 +126,15 @@ def large_renders(log: DataFrame, min_kb: int = 100) -> DataFrame:
     else:
         bound = F.col("ByteCount") >= (n * 1024) + 1
     exact = int_div(F.col("ByteCount"), F.lit(1024)) > n
-    return log.filter(bound & exact).orderBy(F.col("ByteCount").desc())
+    return sort_balanced(log.filter(bound & exact), F.col("ByteCount").desc())
 
 
 def runs_in_range(log: DataFrame, catalog: DataFrame, start, end) -> DataFrame:
     """Runs started within [start, end], oldest first."""
     l = log.filter(F.col("TimeStart").between(ts_lit(start), ts_lit(end)))
     j = _with_report(l, catalog, "Name")
-    return j.select(
-        "UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name"
-    ).orderBy(F.col("TimeStart").asc())
+    out = j.select("UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name")
+    return sort_balanced(out, F.col("TimeStart").asc())
 
 
 def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
@@ -154,15 +156,12 @@ def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
         )
     )
     j = _with_report(per_report, catalog, "Name")
-    return (
-        j.groupBy("Name")
-        .agg(
-            F.sum("_runs").alias("TimesRun"),
-            int_div(F.sum("_sum"), F.sum("_n")).alias("AvgProcTimeMS"),
-            F.max("_last").alias("LastRunDate"),
-        )
-        .orderBy(F.col("AvgProcTimeMS").desc())
+    out = j.groupBy("Name").agg(
+        F.sum("_runs").alias("TimesRun"),
+        int_div(F.sum("_sum"), F.sum("_n")).alias("AvgProcTimeMS"),
+        F.max("_last").alias("LastRunDate"),
     )
+    return sort_balanced(out, F.col("AvgProcTimeMS").desc())
 
 
 def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:

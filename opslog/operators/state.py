@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.operators.ordering import sort_balanced
 from opslog.schemas import JOB_FAILURES, STATE_COLUMNS
 
 _TYPES = {f.name: f.dataType for f in JOB_FAILURES.fields}
@@ -112,7 +113,7 @@ def failure_rows(state: DataFrame) -> DataFrame:
 
 def new_failures(state: DataFrame) -> DataFrame:
     """Rows to notify, by job name, step name and run time."""
-    return failure_rows(state).orderBy("JobName", "StepName", "LastRunDateTime")
+    return sort_balanced(failure_rows(state), "JobName", "StepName", "LastRunDateTime")
 
 
 def acknowledge(state: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.temporal import coded_datetime
 from opslog.functions.xmlvalue import xml_first_text
+from opslog.operators.ordering import sort_balanced
 from opslog.operators.xmlshred import FIRST_SETTING_PATH
 
 
@@ -31,8 +32,9 @@ def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: Da
         .join(s, F.col("_r_sub") == F.col("_sub"), "inner")
         .join(c, F.col("Report_OID") == F.col("_item"), "inner")
     )
-    return out.select(
+    out = out.select(
         "ReportName", "ReportPath", "JobName", "Date_Created", "Date_Modified",
         xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH).alias("ExtSettingsXML"),
         "LastRunDateTime",
-    ).orderBy("ReportName", "LastRunDateTime")
+    )
+    return sort_balanced(out, "ReportName", "LastRunDateTime")

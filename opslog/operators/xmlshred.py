@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.text import parent_folder
 from opslog.functions.xmlvalue import xml_first_text, xml_root_is, xml_text
+from opslog.operators.ordering import sort_balanced
 
 _CORRUPT = "_corrupt_record"
 _REPORT_SCHEMA = (
@@ -76,7 +77,8 @@ def subscriptions_matching(catalog: DataFrame, subscriptions: DataFrame, text: s
     s = s.filter(hit)
     c = catalog.select("ItemID", "Path", "Name")
     j = c.join(s, c["ItemID"] == s["Report_OID"], "inner")
-    return j.select(
+    out = j.select(
         "ItemID", F.col("Path").alias("ReportPath"), F.col("Name").alias("ReportName"),
-        "SubscriptionID", "ExtSettingsXML", "ActualXML", F.col("Path").alias("_p"), F.col("Name").alias("_n"),
-    ).orderBy("_p", "_n").drop("_p", "_n")
+        "SubscriptionID", "ExtSettingsXML", "ActualXML",
+    )
+    return sort_balanced(out, "ReportPath", "ReportName")

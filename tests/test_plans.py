@@ -70,3 +70,27 @@ def test_no_python_udf_anywhere(spark):
                  "merge_state", "failure_report"]:
         p = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
+
+
+def test_sort_balanced_splits_a_hot_sort_value(spark):
+    from pyspark.sql import functions as F
+
+    from opslog.operators.ordering import sort_balanced
+
+    # a third of the rows share one sort value
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                     F.col("id").alias("v"))
+    out = sort_balanced(df, F.col("k").desc())
+    ks = [r.k for r in out.collect()]
+    assert ks == sorted(ks, reverse=True)
+    # the hot value spreads over several range partitions (tiny data: keep AQE
+    # from merging the partitions back into one)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (sort_balanced(df, "k").withColumn("p", F.spark_partition_id())
+                 .filter(F.col("k") == 7).select("p").distinct().count())
+        plain = (df.orderBy("k").withColumn("p", F.spark_partition_id())
+                 .filter(F.col("k") == 7).select("p").distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert plain == 1 and parts > 1
