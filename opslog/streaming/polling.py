@@ -22,9 +22,10 @@ from opslog.sources.snapshots import SnapshotStore
 
 def start_failure_polling(spark: SparkSession, ticks: DataFrame, inputs: Callable[[], dict],
                           store: SnapshotStore, report_root: str, server: str, checkpoint: str,
-                          interval: str = "5 minutes") -> StreamingQuery:
+                          interval: str = "5 minutes", available_now: bool = False) -> StreamingQuery:
     """Start the polling query. ``inputs()`` returns the keyword tables of
-    ``run_failure_pipeline`` (history, steps, jobs, event_messages, ignore)."""
+    ``run_failure_pipeline`` (history, steps, jobs, event_messages, ignore).
+    ``available_now=True`` processes what has arrived and stops (catch-up runs)."""
 
     def _batch(_df: DataFrame, _epoch: int) -> None:
         run_failure_pipeline(spark, store, report_root=report_root, server=server, **inputs())
@@ -32,6 +33,6 @@ def start_failure_polling(spark: SparkSession, ticks: DataFrame, inputs: Callabl
     return (
         ticks.writeStream.foreachBatch(_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=interval)
+        .trigger(**({"availableNow": True} if available_now else {"processingTime": interval}))
         .start()
     )
