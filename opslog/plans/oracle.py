@@ -56,7 +56,7 @@ FROM (SELECT JS.job_id, JS.step_id,
         right(left(JS.command, strpos(JS.command, '.dtsx') - 1),
               strpos(reverse(left(JS.command, strpos(JS.command, '.dtsx') - 1)), chr(92)) - 1) || '.dtsx' AS PackageName
       FROM job_steps JS WHERE JS.subsystem = 'SSIS' AND JS.command LIKE '%ssis%') SP
-JOIN (SELECT RANK() OVER (PARTITION BY EM.operation_id ORDER BY EM.message_time ASC, EM.event_message_id ASC) AS RankNum,
+JOIN (SELECT CAST(RANK() OVER (PARTITION BY EM.operation_id ORDER BY EM.message_time ASC, EM.event_message_id ASC) AS INTEGER) AS RankNum,
              EM.operation_id, left(EM.message, 4000) AS ErrorMessage, EM.package_name
       FROM event_messages EM
       JOIN (SELECT MAX(operation_id) AS operation_id, package_name FROM event_messages GROUP BY package_name) MO

@@ -35,7 +35,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None
         spread = os.environ.get("OPSLOG_SPREAD_SMALL_INPUTS", "1") != "0"
     key = SPREAD_KEYS.get(name)
     if spread and key is not None:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:  # planning only, no data is read; not available on every client
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:
+            return df
+        if splits < cores:
             df = df.repartition(cores, key)
     return df
