@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MICROS = 1_000_000
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -19,12 +18,15 @@ def _c(x) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ, floored (zone free).
+    """Whole seconds since 1970-01-01 00:00:00 of a wall-clock timestamp, floored.
 
-    The micro count is reduced by its remainder first, so the division is exact.
+    Built from the calendar day and the time-of-day fields of a TIMESTAMP_NTZ,
+    which do not depend on the session time zone (a difference of two NTZ
+    values through the session zone would shift by an hour across a DST change).
     """
-    m = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
-    return ((m - F.pmod(m, F.lit(_MICROS))) / F.lit(_MICROS)).cast("long")
+    t = _c(ts).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit(_EPOCH[:10]).cast("date")).cast("long")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def second_boundaries(start, end) -> Column:

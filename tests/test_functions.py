@@ -94,3 +94,15 @@ def test_elapsed_clock(spark):
     df = spark.createDataFrame([(start,)], "s timestamp_ntz")
     assert df.select(elapsed_clock_text("s", now)).first()[0] == "1:02:03"
     assert df.select(elapsed_clock_text("s", now, total_hours=True)).first()[0] == "25:02:03"
+
+
+def test_second_boundaries_ignore_session_zone(spark):
+    # 2020-03-08 02:00 does not exist in Los Angeles; the wall-clock difference is still 2 h
+    a, b = dt.datetime(2020, 3, 8, 1, 0, 0), dt.datetime(2020, 3, 8, 3, 0, 0)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        out = one(spark, second_boundaries("a", "b"), [(a, b)], "a timestamp_ntz, b timestamp_ntz")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert out == [7200]
