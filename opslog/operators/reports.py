@@ -18,6 +18,7 @@ from opslog.functions.numeric import bytes_to_kb, int_div
 from opslog.functions.temporal import elapsed_clock_text, second_boundaries, seconds_as_time_text
 from opslog.functions.text import parent_folder, strip_domain
 from opslog.operators.ordering import sort_balanced
+from opslog.sources.logstore import day_bounds
 
 
 def ts_lit(value) -> Column:
@@ -29,6 +30,19 @@ def ts_lit(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _after(log: DataFrame, since, inclusive: bool) -> DataFrame:
+    """Runs started after ``since`` (or at it, when inclusive)."""
+    t = ts_lit(since)
+    cond = F.col("TimeStart") >= t if inclusive else F.col("TimeStart") > t
+    return log.filter(cond & day_bounds(log, lo=t))
+
+
+def _within(log: DataFrame, start, end) -> DataFrame:
+    """Runs started within [start, end]."""
+    lo, hi = ts_lit(start), ts_lit(end)
+    return log.filter(F.col("TimeStart").between(lo, hi) & day_bounds(log, lo=lo, hi=hi))
+
+
 def _with_report(log: DataFrame, catalog: DataFrame, *cat_cols: str) -> DataFrame:
     c = catalog.select(F.col("ItemID").alias("_item"), *cat_cols)
     return log.join(c, log["ReportID"] == c["_item"], "inner").drop("_item")
@@ -86,7 +100,7 @@ def running_now(running_jobs: DataFrame, users: DataFrame, now=None,
 
 def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str) -> DataFrame:
     """Runs of one report after ``since``, newest first, with command duration."""
-    l = log.filter(F.col("TimeStart") > ts_lit(since))
+    l = _after(log, since, inclusive=False)
     c = catalog.filter(F.col("Name") == report_name)
     j = _with_report(l, c, "Name", "Path")
     out = j.select(
@@ -100,7 +114,7 @@ def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str) ->
 
 def runs_since(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     """All runs after ``since``, newest first."""
-    j = _with_report(log.filter(F.col("TimeStart") > ts_lit(since)), catalog, "Name", "Path")
+    j = _with_report(_after(log, since, inclusive=False), catalog, "Name", "Path")
     out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportPath"),
         "TimeStart", "TimeEnd", "Parameters", "UserName", "Status",
@@ -131,8 +145,7 @@ def large_renders(log: DataFrame, min_kb: int = 100) -> DataFrame:
 
 def runs_in_range(log: DataFrame, catalog: DataFrame, start, end) -> DataFrame:
     """Runs started within [start, end], oldest first."""
-    l = log.filter(F.col("TimeStart").between(ts_lit(start), ts_lit(end)))
-    j = _with_report(l, catalog, "Name")
+    j = _with_report(_within(log, start, end), catalog, "Name")
     out = j.select("UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name")
     return sort_balanced(out, F.col("TimeStart").asc())
 
@@ -146,7 +159,7 @@ def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     name. Sum and count are carried separately so the integer mean is exact.
     """
     per_report = (
-        log.filter(F.col("TimeStart") >= ts_lit(since))
+        _after(log, since, inclusive=True)
         .groupBy("ReportID")
         .agg(
             F.count(F.lit(1)).alias("_runs"),
@@ -166,14 +179,14 @@ def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
 
 def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     """Run detail from ``since`` on (unordered, as the source query)."""
-    j = _with_report(log.filter(F.col("TimeStart") >= ts_lit(since)), catalog, "Name")
+    j = _with_report(_after(log, since, inclusive=True), catalog, "Name")
     return j.select("UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name")
 
 
 def runs_per_user(log: DataFrame, start, end) -> DataFrame:
     """Number of runs per user within [start, end], by user name."""
     return (
-        log.filter(F.col("TimeStart").between(ts_lit(start), ts_lit(end)))
+        _within(log, start, end)
         .groupBy("UserName")
         .agg(F.count(F.lit(1)).alias("NumReports"))
         .orderBy("UserName")

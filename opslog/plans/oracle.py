@@ -295,4 +295,10 @@ SELECT ReportID, Parameters, date_diff('second', TimeStart, TimeEnd) AS Seconds,
     q["int_avg"] = _with(["execution_log"], """
 SELECT Format, CAST(SUM(TimeRendering) // COUNT(TimeRendering) AS BIGINT) AS AvgRendering, COUNT(1) AS Runs
 FROM execution_log GROUP BY Format""")
+    q["latest_per_key"] = _with(["execution_log"], """
+SELECT ReportID, TimeStart, UserName, Status, Parameters
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ReportID ORDER BY TimeStart DESC, Parameters DESC, UserName DESC,
+        RowCount DESC, TimeRendering DESC, ByteCount DESC, Status DESC) AS rn
+      FROM execution_log) x
+WHERE rn = 1""")
     return q

@@ -239,6 +239,15 @@ def q_second_boundaries(spark, sf_dir):
     return l.select("ReportID", "Parameters", d.alias("Seconds"), seconds_as_time_text(d).alias("Clock"))
 
 
+LATEST_ORDER = ["TimeStart", "Parameters", "UserName", "RowCount", "TimeRendering", "ByteCount", "Status"]
+
+
+def q_latest_per_key(spark, sf_dir):
+    """Newest run of every report."""
+    l = Tables(spark, sf_dir).execution_log
+    return op.latest_per_key(l, ["ReportID"], LATEST_ORDER, ["TimeStart", "UserName", "Status", "Parameters"])
+
+
 def q_int_avg(spark, sf_dir):
     l = Tables(spark, sf_dir).execution_log
     return l.groupBy("Format").agg(
@@ -284,4 +293,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "second_boundaries": q_second_boundaries,
     "int_avg": q_int_avg,
     "lateral_table_function": q_lateral_table_function,
+    "latest_per_key": q_latest_per_key,
 }

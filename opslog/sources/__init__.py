@@ -4,3 +4,4 @@ the versioned state store."""
 from opslog.sources.testdata import read_table  # noqa: F401
 from opslog.sources.standins import STANDIN_SQL, standin, standin_sql_for_duckdb  # noqa: F401
 from opslog.sources.snapshots import SnapshotStore  # noqa: F401
+from opslog.sources.logstore import day_bounds, write_by_day  # noqa: F401
