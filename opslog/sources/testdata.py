@@ -20,6 +20,10 @@ SPREAD_KEYS = {
 }
 
 
+# Split count per file: deciding needs a planned scan, and the files are read-only.
+_SPLITS: dict[tuple[str, int], int] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
@@ -30,14 +34,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None
     on a unique key is deterministic (safe on task retry) and even. With many
     splits, as at scale, nothing is added.
     """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
     if spread is None:
         spread = os.environ.get("OPSLOG_SPREAD_SMALL_INPUTS", "1") != "0"
     key = SPREAD_KEYS.get(name)
     if spread and key is not None:
         try:  # planning only, no data is read; not available on every client
             cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
+            k = (path, cores)
+            if k not in _SPLITS:
+                _SPLITS[k] = df.rdd.getNumPartitions()
+            splits = _SPLITS[k]
         except Exception:
             return df
         if splits < cores:
