@@ -119,3 +119,14 @@ def test_data_source_dependents_keeps_unused_source(spark):
     assert out == [("ds1", "rep"), ("ds1", "rep"), ("ds1", "rep2"), ("ds3", "")]
     only = rows(data_source_dependents(cat, users, ds, sec, path="/Data Sources/ds3", namespace="urn:ds"))
     assert [(r["SharedDataSourceName"], r["DSLink"]) for r in only] == [("ds3", None)]
+
+
+def test_binary_content_utf8_bom_and_invalid_bytes(spark):
+    doc = "<Report><DataSets><DataSet Name='Ä'><Query><CommandText>sélect</CommandText></Query></DataSet></DataSets></Report>"
+    data = [(1, "a", "/a", 2, doc.encode("utf-8")),
+            (2, "b", "/b", 2, b"\xef\xbb\xbf" + doc.encode("utf-8")),
+            (3, "c", "/c", 2, b"\xff\xfe<Report>"),
+            (4, "d", "/d", 2, None)]
+    cat = spark.createDataFrame(data, "ItemID long, Name string, Path string, Type int, Content binary")
+    out = sorted((r["ReportName"], r["DataSetName"], r["CommandText"]) for r in rows(report_queries(cat)))
+    assert out == [("a", "Ä", "sélect"), ("b", "Ä", "sélect")]
