@@ -137,17 +137,23 @@ def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame
 
 
 def _dependents(catalog: DataFrame, users: DataFrame, sec_data: DataFrame, data_source: DataFrame) -> DataFrame:
-    """Catalog items with a data-source link, one row per (item, matching sec row)."""
+    """Catalog items with a data-source link, one row per (item, matching sec row).
+
+    The item -> data-source join (one row per item) comes first, so the user
+    joins and the SecData join only see items that have a data source. The
+    inner joins commute with the SecData left join (its condition does not
+    involve them), so the rows are those of the source query.
+    """
     c = catalog.select("ItemID", "Name", "CreatedByID", "ModifiedByID", "PolicyID")
+    ds = data_source.select(F.col("ItemID").alias("_ds_item"), F.col("Link").alias("DSLink"))
     cu = users.select(F.col("UserID").alias("_cu"))
     mu = users.select(F.col("UserID").alias("_mu"))
     sd = sec_data.filter(F.col("AuthType") == 1).select(F.col("PolicyID").alias("_sd_pid"))
-    ds = data_source.select(F.col("ItemID").alias("_ds_item"), F.col("Link").alias("DSLink"))
     return (
-        c.join(cu, F.col("CreatedByID") == F.col("_cu"), "inner")
+        c.join(ds, F.col("ItemID") == F.col("_ds_item"), "inner")
+        .join(cu, F.col("CreatedByID") == F.col("_cu"), "inner")
         .join(mu, F.col("ModifiedByID") == F.col("_mu"), "inner")
         .join(sd, F.col("PolicyID") == F.col("_sd_pid"), "left")
-        .join(ds, F.col("ItemID") == F.col("_ds_item"), "inner")
         .select("DSLink", F.col("Name").alias("ObjectName"))
     )
 
