@@ -6,8 +6,8 @@ Layout
 functions/  column helpers (Column -> Column), built-in Spark functions only
 sources/    readers for the input tables, stand-in tables, versioned state store
 operators/  DataFrame -> DataFrame operators (jobs, reports, catalog, XML, state)
-plans/      multi-step plans (failure pipeline) and the query registry
-streaming/  micro-batch caller for the failure pipeline
+plans/      multi-step plans (failure notification run) and the query registry
+streaming/  micro-batch caller for the failure notification run
 """
 
 __version__ = "0.1.0"

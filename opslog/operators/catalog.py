@@ -9,7 +9,8 @@ from opslog.functions.xmlvalue import xml_root_is, xml_root_namespace, xml_text
 from opslog.operators.joins import preserving_left_join
 from opslog.operators.ordering import sort_balanced
 
-# Catalog item type codes and credential retrieval codes.
+# Catalog item type codes, credential retrieval codes, and the
+# default namespace of a shared data source definition.
 ITEM_TYPES = {1: "Folder", 2: "Report", 5: "Data Source"}
 CREDENTIAL_TYPES = {1: "User Supplied", 2: "Stored", 3: "Windows Integrated", 4: "Not Required"}
 REPORT_DATA_SOURCE_NS = "http://schemas.microsoft.com/sqlserver/reporting/2006/03/reportdatasource"

@@ -1,4 +1,4 @@
-"""The failure-notification pipeline as a sequence of Spark jobs.
+"""The failure notification run as a sequence of Spark jobs.
 
     last_job_run -> merge_state -> suppress_ignored -> enrich_failures   (one plan)
       -> write state version n+1                                        (action 1)
@@ -29,7 +29,7 @@ def fold_new_runs(state: DataFrame, *, history: DataFrame, steps: DataFrame, job
     return enrich_failures(suppressed, last_package_error(steps, event_messages))
 
 
-def run_failure_pipeline(spark: SparkSession, store: SnapshotStore, *, history: DataFrame, steps: DataFrame,
+def run_failure_notification(spark: SparkSession, store: SnapshotStore, *, history: DataFrame, steps: DataFrame,
                          jobs: DataFrame, event_messages: DataFrame, ignore: DataFrame, report_root: str,
                          server: str, refresh_duration: bool = False) -> dict:
     """Run once; returns the written versions and the report folder (None when

@@ -191,7 +191,7 @@ WHERE RJ.StartDate < {now} - INTERVAL 1 MINUTE""")
     q["failure_report"] = _state_query(FAILURE_REPORT_BODY)
     ack_cols = STATE_COLS.replace("UpdateFlag", "0 AS UpdateFlag")
     q["acknowledge"] = _state_query(f"SELECT {ack_cols} FROM enriched")
-    q["failure_pipeline"] = q["acknowledge"]
+    q["failure_notification"] = q["acknowledge"]
     q["lateral_table_function"] = q["enrich_failures"]
 
     q["q1_reports_with_sources"] = _with(["catalog", "data_source", "users"], """

@@ -109,21 +109,21 @@ def q_acknowledge(spark, sf_dir):
     return op.acknowledge(_enriched(spark, sf_dir))
 
 
-def q_failure_pipeline(spark, sf_dir):
-    """Runs the whole pipeline with its writes (state versions, report) under
+def q_failure_notification(spark, sf_dir):
+    """Runs the whole notification procedure with its writes (state versions, report) under
     the session's checkpoint folder; returns the final stored state."""
-    from opslog.plans.failure_pipeline import run_failure_pipeline
+    from opslog.plans.notification import run_failure_notification
     from opslog.session import scratch_path
     import uuid
 
     t = Tables(spark, sf_dir)
-    root = scratch_path(spark, "failure-pipeline", uuid.uuid4().hex)
+    root = scratch_path(spark, "failure-notification", uuid.uuid4().hex)
     from opslog.schemas import JOB_FAILURES
     from opslog.sources.snapshots import SnapshotStore
 
     store = SnapshotStore(spark, f"{root}/state", JOB_FAILURES)
     store.write(previous_state(spark, sf_dir))
-    res = run_failure_pipeline(
+    res = run_failure_notification(
         spark, store, history=t.job_history, steps=t.job_steps, jobs=t.jobs,
         event_messages=t.event_messages, ignore=t.ignore_jobs,
         report_root=f"{root}/reports", server=P.SERVER,
@@ -269,7 +269,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_failures": q_new_failures,
     "failure_report": q_failure_report,
     "acknowledge": q_acknowledge,
-    "failure_pipeline": q_failure_pipeline,
+    "failure_notification": q_failure_notification,
     # ad-hoc catalog / log queries
     "q1_reports_with_sources": q_reports_with_sources,
     "q2_catalog_types": q_catalog_types,

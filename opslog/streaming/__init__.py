@@ -1,3 +1,3 @@
-"""Micro-batch caller for the failure pipeline."""
+"""Micro-batch caller for the failure notification run."""
 
 from opslog.streaming.polling import start_failure_polling  # noqa: F401

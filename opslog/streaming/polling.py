@@ -1,9 +1,9 @@
-"""Run the failure pipeline on every micro-batch of a trigger stream.
+"""Run the failure notification on every micro-batch of a trigger stream.
 
 The source procedure is polled by a scheduler: each run compares the current
 job state with the stored one. Here any streaming DataFrame can be the clock
 (new history files arriving, or a ``rate`` source); each micro-batch runs the
-pipeline over the current tables. The pipeline reads whole tables, not only
+notification run over the current tables. It reads whole tables, not only
 the batch's rows, because a step missing from the source must be deleted
 from the state. The stream's checkpoint gives restart after failure; the
 versioned store makes a repeated batch harmless (it only writes new versions).
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from opslog.plans.failure_pipeline import run_failure_pipeline
+from opslog.plans.notification import run_failure_notification
 from opslog.sources.snapshots import SnapshotStore
 
 
@@ -24,11 +24,11 @@ def start_failure_polling(spark: SparkSession, ticks: DataFrame, inputs: Callabl
                           store: SnapshotStore, report_root: str, server: str, checkpoint: str,
                           interval: str = "5 minutes", available_now: bool = False) -> StreamingQuery:
     """Start the polling query. ``inputs()`` returns the keyword tables of
-    ``run_failure_pipeline`` (history, steps, jobs, event_messages, ignore).
+    ``run_failure_notification`` (history, steps, jobs, event_messages, ignore).
     ``available_now=True`` processes what has arrived and stops (catch-up runs)."""
 
     def _batch(_df: DataFrame, _epoch: int) -> None:
-        run_failure_pipeline(spark, store, report_root=report_root, server=server, **inputs())
+        run_failure_notification(spark, store, report_root=report_root, server=server, **inputs())
 
     return (
         ticks.writeStream.foreachBatch(_batch)

@@ -1,5 +1,5 @@
 """Failure-state sequence: insert, unchanged, changed, vanished,
-ignored, enriched, NULL key, duplicate source key; report; pipeline runs."""
+ignored, enriched, NULL key, duplicate source key; report; notification runs."""
 
 import datetime as dt
 import glob
@@ -10,7 +10,7 @@ import pytest
 
 from opslog.operators import (acknowledge, enrich_failures, failure_report, merge_state, new_failures,
                               suppress_ignored, to_state_rows)
-from opslog.plans.failure_pipeline import run_failure_pipeline
+from opslog.plans.notification import run_failure_notification
 from opslog.schemas import JOB_FAILURES
 from opslog.sources.snapshots import SnapshotStore
 from tests.conftest import rows
@@ -94,7 +94,7 @@ def test_suppress_enrich_select_report(spark):
     assert rows(failure_report(acknowledge(enriched), "SRV")) == []
 
 
-def test_pipeline_three_runs(spark):
+def test_notification_three_runs(spark):
     root = tempfile.mkdtemp(prefix="opslog-pipe-")
     store = SnapshotStore(spark, os.path.join(root, "state"), JOB_FAILURES)
     hist_s = "instance_id long, job_id string, step_id int, message string"
@@ -106,7 +106,7 @@ def test_pipeline_three_runs(spark):
     ignore = spark.createDataFrame([], "JobName string, JobID string")
 
     def run(hist, steps):
-        return run_failure_pipeline(
+        return run_failure_notification(
             spark, store, history=spark.createDataFrame(hist, hist_s), steps=spark.createDataFrame(steps, steps_s),
             jobs=jobs, event_messages=em, ignore=ignore, report_root=os.path.join(root, "reports"), server="S")
 

@@ -1,4 +1,4 @@
-"""The pipeline driven by a stream: each micro-batch runs it once."""
+"""The notification run driven by a stream: each micro-batch runs it once."""
 
 import os
 import tempfile
@@ -9,7 +9,7 @@ from opslog.streaming import start_failure_polling
 from tests.conftest import rows
 
 
-def test_polling_runs_pipeline_per_batch(spark):
+def test_polling_runs_notification_per_batch(spark):
     root = tempfile.mkdtemp(prefix="opslog-poll-")
     ticks_dir = os.path.join(root, "ticks")
     spark.createDataFrame([(1,)], "tick int").write.parquet(ticks_dir)

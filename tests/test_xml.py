@@ -76,13 +76,13 @@ def test_first_text_missing_empty_malformed(spark):
 def test_subscriptions_matching(spark):
     cat = catalog(spark, [None, None])
     subs = spark.createDataFrame([
-        (10, 0, "<P><ParameterValue><Value>justina@x</Value></ParameterValue></P>"),
+        (10, 0, "<P><ParameterValue><Value>alice@x</Value></ParameterValue></P>"),
         (11, 1, "<P><ParameterValue><Value>bob@x</Value></ParameterValue></P>"),
         (12, 1, "<broken"),
     ], "SubscriptionID long, Report_OID long, ExtensionSettings string")
-    out = rows(subscriptions_matching(cat, subs, "justina"))
-    assert [(r["SubscriptionID"], r["ExtSettingsXML"]) for r in out] == [(10, "justina@x")]
-    assert rows(subscriptions_matching(cat, subs, "JUSTINA", case_sensitive=False))[0]["SubscriptionID"] == 10
+    out = rows(subscriptions_matching(cat, subs, "alice"))
+    assert [(r["SubscriptionID"], r["ExtSettingsXML"]) for r in out] == [(10, "alice@x")]
+    assert rows(subscriptions_matching(cat, subs, "ALICE", case_sensitive=False))[0]["SubscriptionID"] == 10
 
 
 def _ds_tables(spark, doc_ns):
