@@ -1,9 +1,10 @@
 """DuckDB SQL for every registered query, over the same stand-in tables.
 
-Written in the source queries' own shapes (join-back on the group maximum,
-RANK() then = 1, plain outer joins), so it checks the Spark plans rather than
-repeating them. XML values are read with regular expressions, which is exact
-for the fixed shapes of the stand-in documents.
+Formulated independently of the Spark operators: window functions with
+QUALIFY for "latest" and "first error", EXISTS for the semi-joins, a left
+join from the new rows for the state merge, arithmetic ``make_timestamp`` for
+coded dates. XML values are read with regular expressions, which is exact for
+the fixed shapes of the stand-in documents (no XML functions in DuckDB).
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 
 from opslog.plans import params as P
+from opslog.plans.params import PREVIOUS_EXTRA_ROWS_SQL
 from opslog.sources.standins import standin_sql_for_duckdb
 
 
@@ -21,284 +23,308 @@ def _ts(x: str) -> str:
 def _with(names: list[str], body: str, extra: list[tuple[str, str]] | None = None, **sources: str) -> str:
     ctes = [f"{n} AS ({standin_sql_for_duckdb(n, **sources)})" for n in names]
     ctes += [f"{n} AS ({sql})" for n, sql in (extra or [])]
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    head = "WITH " + ",\n".join(ctes)
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":  # the body's own CTEs continue the list
+        return head + ",\n" + b[5:]
+    return head + "\n" + body
 
 
-PARENT = "left({p}, length(rtrim({p})) - strpos(reverse({p}), '/') + 1)"
-CLOCK = ("printf('%02d:%02d:%02d', (({d}) % 86400 + 86400) % 86400 // 3600, "
-         "((({d}) % 86400 + 86400) % 86400 // 60) % 60, (({d}) % 86400 + 86400) % 86400 % 60)")
-HHMMSS = "substr(right('000000' || CAST({x} AS VARCHAR), 6), 1, 2) || ':' || substr(right('000000' || CAST({x} AS VARCHAR), 6), 3, 2) || ':' || substr(right('000000' || CAST({x} AS VARCHAR), 6), 5, 2)"
-CODED_TS = ("CASE WHEN {d} = 0 THEN NULL ELSE strptime(CAST({d} AS VARCHAR) || ' ' || "
-            "right('000000' || CAST({t} AS VARCHAR), 6), '%Y%m%d %H%M%S') END")
-FIRST_VALUE = "NULLIF(regexp_extract({x}, '<ParameterValue><Name>[^<]*</Name><Value>([^<]*)</Value>', 1), '')"
+def folder(p: str) -> str:
+    """Everything up to the last slash; a path without a slash stays whole."""
+    return f"CASE WHEN strpos({p}, '/') = 0 THEN {p} ELSE regexp_extract({p}, '^(.*/)', 1) END"
 
 
-def last_job_run_select(history: str, steps: str, jobs: str) -> str:
+def clock(seconds: str) -> str:
+    """Seconds added to midnight, as HH:MM:SS of the wrapped time of day."""
+    return (f"strftime(TIMESTAMP '2000-01-01 00:00:00' + to_seconds(((({seconds}) % 86400) + 86400) % 86400), "
+            f"'%H:%M:%S')")
+
+
+def coded_time_text(n: str) -> str:
+    return f"regexp_replace(lpad(CAST({n} AS VARCHAR), 6, '0'), '^(..)(..)(..)$', '\\1:\\2:\\3')"
+
+
+def coded_timestamp(d: str, t: str) -> str:
+    return (f"CASE WHEN {d} <> 0 THEN make_timestamp({d} // 10000, ({d} // 100) % 100, {d} % 100, "
+            f"{t} // 10000, ({t} // 100) % 100, {t} % 100) END")
+
+
+def first_setting(x: str) -> str:
+    return f"NULLIF(regexp_extract({x}, '<ParameterValue><Name>[^<]*</Name><Value>([^<]*)</Value>', 1), '')"
+
+
+def latest_runs(history: str, steps: str, jobs: str) -> str:
+    """Newest history row of each step of enabled jobs whose names are not GUID-shaped."""
     return f"""
-SELECT L.instance_id, SJ.name, SJH.job_id, L.step_name, L.step_id, SJH.message, L.last_run_outcome,
-  {CODED_TS.format(d='L.last_run_date', t='L.last_run_time')} AS LastRunDateTime,
-  {HHMMSS.format(x='L.last_run_duration')} AS LastRunDuration,
-  L.subsystem
-FROM {history} SJH
-JOIN (SELECT SJS.job_id, SJS.step_id, SJS.step_name, SJS.last_run_outcome, SJS.last_run_date, SJS.last_run_time,
-             SJS.last_run_duration, SJS.subsystem, MAX(SJH.instance_id) AS instance_id
-      FROM {history} SJH JOIN {steps} SJS ON SJS.job_id = SJH.job_id AND SJS.step_id = SJH.step_id
-      GROUP BY SJS.job_id, SJS.step_id, SJS.step_name, SJS.last_run_outcome, SJS.last_run_date, SJS.last_run_time,
-               SJS.last_run_duration, SJS.subsystem) L
-  ON SJH.job_id = L.job_id AND SJH.instance_id = L.instance_id
-JOIN {jobs} SJ ON SJH.job_id = SJ.job_id
-WHERE SJ.name NOT LIKE '_____________-____-____-____________' AND SJ.enabled = 1"""
-
-
-PACKAGE_ERROR_SELECT = """
-SELECT SP.job_id, SP.step_id, SP.PackageName, EM.ErrorMessage, EM.RankNum
-FROM (SELECT JS.job_id, JS.step_id,
-        right(left(JS.command, strpos(JS.command, '.dtsx') - 1),
-              strpos(reverse(left(JS.command, strpos(JS.command, '.dtsx') - 1)), chr(92)) - 1) || '.dtsx' AS PackageName
-      FROM job_steps JS WHERE JS.subsystem = 'SSIS' AND JS.command LIKE '%ssis%') SP
-JOIN (SELECT CAST(RANK() OVER (PARTITION BY EM.operation_id ORDER BY EM.message_time ASC, EM.event_message_id ASC) AS INTEGER) AS RankNum,
-             EM.operation_id, left(EM.message, 4000) AS ErrorMessage, EM.package_name
-      FROM event_messages EM
-      JOIN (SELECT MAX(operation_id) AS operation_id, package_name FROM event_messages GROUP BY package_name) MO
-        ON EM.operation_id = MO.operation_id AND EM.package_name = MO.package_name
-      WHERE EM.event_name = 'OnError') EM
-  ON SP.PackageName = EM.package_name AND EM.RankNum = 1"""
+SELECT newest.instance_id, job.name, step.job_id, step.step_name, step.step_id, newest.message,
+  step.last_run_outcome,
+  {coded_timestamp('step.last_run_date', 'step.last_run_time')} AS LastRunDateTime,
+  {coded_time_text('step.last_run_duration')} AS LastRunDuration,
+  step.subsystem
+FROM {steps} step
+JOIN (SELECT job_id, step_id, instance_id, message FROM {history}
+      QUALIFY row_number() OVER (PARTITION BY job_id, step_id ORDER BY instance_id DESC) = 1) newest
+  USING (job_id, step_id)
+JOIN {jobs} job USING (job_id)
+WHERE job.enabled = 1
+  AND NOT regexp_full_match(job.name, '.{{13}}-.{{4}}-.{{4}}-.{{12}}')"""
+
+
+BS = "chr(92)"
+PACKAGE_ERRORS = f"""
+SELECT pkg.job_id, pkg.step_id, pkg.PackageName, first_err.ErrorMessage, first_err.RankNum
+FROM (SELECT job_id, step_id,
+        regexp_extract(regexp_extract(command, '^(.*?)[.]dtsx', 1), '[' || {BS} || {BS} || ']([^' || {BS} || {BS} || ']*)$', 1)
+          || '.dtsx' AS PackageName
+      FROM job_steps
+      WHERE subsystem = 'SSIS' AND contains(command, 'ssis') AND contains(command, '.dtsx')
+        AND contains(regexp_extract(command, '^(.*?)[.]dtsx', 1), {BS})) pkg
+JOIN (SELECT msg.package_name, left(msg.message, 4000) AS ErrorMessage,
+             CAST(rank() OVER (PARTITION BY msg.operation_id ORDER BY msg.message_time, msg.event_message_id) AS INTEGER) AS RankNum
+      FROM event_messages msg
+      WHERE msg.event_name = 'OnError'
+        AND msg.operation_id = (SELECT max(o.operation_id) FROM event_messages o WHERE o.package_name = msg.package_name)
+     ) first_err
+  ON first_err.package_name = pkg.PackageName
+WHERE first_err.RankNum = 1"""
 
 STATE_COLS = ("InstanceID, JobName, JobID, StepName, StepID, StepMessage, LastRunOutcome, "
               "LastRunDateTime, LastRunDuration, UpdateFlag, SubSystem")
 
 
-def _state_from_last_run(last_run: str, flag: int) -> str:
+def _as_state(runs: str, flag: int) -> str:
     return f"""
 SELECT CAST(instance_id AS BIGINT) AS InstanceID, name AS JobName, job_id AS JobID, step_name AS StepName,
   CAST(step_id AS INTEGER) AS StepID, message AS StepMessage, CAST(last_run_outcome AS INTEGER) AS LastRunOutcome,
-  LastRunDateTime, LastRunDuration, {flag} AS UpdateFlag, subsystem AS SubSystem FROM {last_run}"""
+  LastRunDateTime, LastRunDuration, {flag} AS UpdateFlag, subsystem AS SubSystem FROM {runs}"""
 
 
-def _state_chain() -> tuple[list[str], list[tuple[str, str]]]:
-    """CTEs prev -> src -> merged -> suppressed -> package_errors -> enriched."""
-    before = f"SELECT * FROM events WHERE ts < {_ts(P.SNAPSHOT_CUTOFF)}"
-    extra_rows = re.sub(r"TS\('([^']*)'\)", r"TIMESTAMP '\1'", P.PREVIOUS_EXTRA_ROWS_SQL)
+def _state_steps() -> tuple[list[str], list[tuple[str, str]]]:
+    """CTEs: earlier state -> new rows -> merged -> ignore list applied -> errors added."""
+    extra_rows = re.sub(r"TS\('([^']*)'\)", r"TIMESTAMP '\1'", PREVIOUS_EXTRA_ROWS_SQL)
+    fresh = "(o.InstanceID IS NULL OR o.InstanceID <> n.InstanceID)"
     ctes = [
-        ("events_before", before),
-        ("job_history_before", standin_sql_for_duckdb("job_history", events="events_before")),
-        ("job_steps_before", standin_sql_for_duckdb("job_steps", events="events_before")),
-        ("last_before", last_job_run_select("job_history_before", "job_steps_before", "jobs")),
-        ("prev", _state_from_last_run("last_before", 0) + "\nUNION ALL\n" + extra_rows),
-        ("last_now", last_job_run_select("job_history", "job_steps", "jobs")),
-        ("src", _state_from_last_run("last_now", 1)),
-        ("merged", """
+        ("events_early", f"SELECT * FROM events WHERE ts < {_ts(P.SNAPSHOT_CUTOFF)}"),
+        ("history_early", standin_sql_for_duckdb("job_history", events="events_early")),
+        ("steps_early", standin_sql_for_duckdb("job_steps", events="events_early")),
+        ("earlier", _as_state(f"({latest_runs('history_early', 'steps_early', 'jobs')})", 0)
+         + "\nUNION ALL\n" + extra_rows),
+        ("incoming", _as_state(f"({latest_runs('job_history', 'job_steps', 'jobs')})", 1)),
+        ("merged", f"""
 SELECT
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.InstanceID ELSE T.InstanceID END AS InstanceID,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.JobName ELSE T.JobName END AS JobName,
-  CASE WHEN T.tp IS NULL THEN S.JobID ELSE T.JobID END AS JobID,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.StepName ELSE T.StepName END AS StepName,
-  CASE WHEN T.tp IS NULL THEN S.StepID ELSE T.StepID END AS StepID,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.StepMessage ELSE T.StepMessage END AS StepMessage,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.LastRunOutcome ELSE T.LastRunOutcome END AS LastRunOutcome,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.LastRunDateTime ELSE T.LastRunDateTime END AS LastRunDateTime,
-  CASE WHEN T.tp IS NULL THEN S.LastRunDuration ELSE T.LastRunDuration END AS LastRunDuration,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN 1 ELSE T.UpdateFlag END AS UpdateFlag,
-  CASE WHEN T.tp IS NULL OR S.InstanceID <> T.InstanceID THEN S.SubSystem ELSE T.SubSystem END AS SubSystem
-FROM (SELECT *, 1 AS tp FROM prev) T
-FULL OUTER JOIN (SELECT *, 1 AS sp FROM src) S ON T.JobID = S.JobID AND T.StepID = S.StepID
-WHERE S.sp IS NOT NULL"""),
-        ("suppressed", f"""
-SELECT InstanceID, JobName, JobID, StepName, StepID, StepMessage, LastRunOutcome, LastRunDateTime, LastRunDuration,
-  CASE WHEN JobID IN (SELECT JobID FROM ignore_jobs) THEN 0 ELSE UpdateFlag END AS UpdateFlag, SubSystem
-FROM merged"""),
-        ("package_errors", PACKAGE_ERROR_SELECT),
-        ("enriched", """
-SELECT J.InstanceID, J.JobName, J.JobID, J.StepName, J.StepID,
-  CASE WHEN J.LastRunOutcome = 0 AND J.SubSystem = 'SSIS'
-       THEN (SELECT MIN(E.ErrorMessage) FROM package_errors E WHERE E.job_id = J.JobID AND E.step_id = J.StepID)
-       ELSE J.StepMessage END AS StepMessage,
-  J.LastRunOutcome, J.LastRunDateTime, J.LastRunDuration, J.UpdateFlag, J.SubSystem
-FROM suppressed J"""),
-        ("failures", """
-SELECT * FROM enriched WHERE UpdateFlag = 1 AND LastRunOutcome = 0 AND LastRunDateTime IS NOT NULL"""),
+  n.InstanceID,
+  CASE WHEN {fresh} THEN n.JobName ELSE o.JobName END AS JobName,
+  n.JobID,
+  CASE WHEN {fresh} THEN n.StepName ELSE o.StepName END AS StepName,
+  n.StepID,
+  CASE WHEN {fresh} THEN n.StepMessage ELSE o.StepMessage END AS StepMessage,
+  CASE WHEN {fresh} THEN n.LastRunOutcome ELSE o.LastRunOutcome END AS LastRunOutcome,
+  CASE WHEN {fresh} THEN n.LastRunDateTime ELSE o.LastRunDateTime END AS LastRunDateTime,
+  CASE WHEN o.InstanceID IS NULL THEN n.LastRunDuration ELSE o.LastRunDuration END AS LastRunDuration,
+  CASE WHEN {fresh} THEN 1 ELSE o.UpdateFlag END AS UpdateFlag,
+  CASE WHEN {fresh} THEN n.SubSystem ELSE o.SubSystem END AS SubSystem
+FROM incoming n LEFT JOIN earlier o ON o.JobID = n.JobID AND o.StepID = n.StepID"""),
+        ("quieted", """
+SELECT m.* REPLACE (CASE WHEN EXISTS (SELECT 1 FROM ignore_jobs ig WHERE ig.JobID = m.JobID) THEN 0
+                         ELSE m.UpdateFlag END AS UpdateFlag)
+FROM merged m"""),
+        ("package_errors", PACKAGE_ERRORS),
+        ("with_errors", """
+SELECT q.* REPLACE (CASE WHEN q.LastRunOutcome = 0 AND q.SubSystem = 'SSIS'
+                         THEN (SELECT min(pe.ErrorMessage) FROM package_errors pe
+                               WHERE pe.job_id = q.JobID AND pe.step_id = q.StepID)
+                         ELSE q.StepMessage END AS StepMessage)
+FROM quieted q"""),
+        ("to_report", """
+SELECT * FROM with_errors WHERE UpdateFlag = 1 AND LastRunOutcome = 0 AND LastRunDateTime IS NOT NULL"""),
     ]
-    names = ["job_history", "job_steps", "jobs", "event_messages", "ignore_jobs"]
-    return names, ctes
+    return ["job_history", "job_steps", "jobs", "event_messages", "ignore_jobs"], ctes
 
 
 def _state_query(body: str) -> str:
-    names, ctes = _state_chain()
+    names, ctes = _state_steps()
     return _with(names, body, ctes)
 
 
-REPORT_HEAD = (
+def _cell(x: str) -> str:
+    """A table cell with &, <, > escaped; NULL gives no cell."""
+    esc = f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"coalesce('<td>' || {esc} || '</td>', '')"
+
+
+REPORT_TOP = (
     '<H1 align="center" style="font-family:Cambria;">' + P.SERVER + ' Job Failure Report</H1>'
     '<table border="1" style="border: solid black 1px;font-family:Calibri;font-size:13">'
     "<tr><th>Job Name</th><th>Step Name</th><th>Step Message</th><th>Last Run DateTime</th><th>Last Run Duration</th></tr>"
 )
 
-
-def _esc(x: str) -> str:
-    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
-
-
-def _td(x: str) -> str:
-    return f"coalesce('<td>' || {_esc(x)} || '</td>', '')"
-
-
-FAILURE_REPORT_BODY = f"""
+REPORT_LINES = f"""
 SELECT 1 AS part, JobName, StepName, LastRunDateTime, InstanceID,
-  '<tr>' || {_td('JobName')} || {_td('StepName')} || {_td('StepMessage')} ||
-  {_td("strftime(LastRunDateTime, '%Y-%m-%d %H:%M:%S')")} || {_td('LastRunDuration')} || '</tr>' AS html
-FROM failures
+  '<tr>' || {_cell('JobName')} || {_cell('StepName')} || {_cell('StepMessage')} ||
+  {_cell("strftime(LastRunDateTime, '%Y-%m-%d %H:%M:%S')")} || {_cell('LastRunDuration')} || '</tr>' AS html
+FROM to_report
 UNION ALL
-SELECT p.part, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT), p.html
-FROM (VALUES (0, '{REPORT_HEAD}'), (2, '</table>')) AS p(part, html)
-WHERE EXISTS (SELECT 1 FROM failures)"""
+SELECT frame.part, NULL::VARCHAR, NULL::VARCHAR, NULL::TIMESTAMP, NULL::BIGINT, frame.html
+FROM (VALUES (0, '{REPORT_TOP}'), (2, '</table>')) frame(part, html)
+WHERE (SELECT count(*) FROM to_report) > 0"""
 
 
 def oracle_sql() -> dict[str, str]:
-    since, rs, re_ = _ts(P.SINCE), _ts(P.RANGE_START), _ts(P.RANGE_END)
-    now = _ts(P.NOW)
-    el_c = ["execution_log", "catalog"]
-    q = {}
-    q["last_job_run"] = _with(["job_history", "job_steps", "jobs"],
-                              last_job_run_select("job_history", "job_steps", "jobs"))
-    q["last_package_error"] = _with(["job_steps", "event_messages"], PACKAGE_ERROR_SELECT)
-    q["execution_history"] = _with(el_c, f"""
-SELECT C.Name AS ReportName, {PARENT.format(p='C.Path')} AS ReportPath, EL.TimeStart, EL.TimeEnd,
-  {CLOCK.format(d="date_diff('second', EL.TimeStart, EL.TimeEnd)")} AS Duration,
-  EL.Parameters, replace(EL.UserName, '{P.DOMAIN}', '') AS UserName, EL.Format AS ReportFormat, EL.Status,
-  EL.TimeDataRetrieval, EL.TimeProcessing, EL.TimeRendering,
-  CAST((EL.ByteCount / 1024.0) AS DECIMAL(10,2)) AS RenderedKB, EL.RowCount
-FROM execution_log EL JOIN catalog C ON EL.ReportID = C.ItemID""")
+    since, lo, hi, now = _ts(P.SINCE), _ts(P.RANGE_START), _ts(P.RANGE_END), _ts(P.NOW)
+    log_cat = ["execution_log", "catalog"]
+    span = "date_diff('second', run.TimeStart, run.TimeEnd)"
+    q: dict[str, str] = {}
+
+    q["last_job_run"] = _with(["job_history", "job_steps", "jobs"], latest_runs("job_history", "job_steps", "jobs"))
+    q["last_package_error"] = _with(["job_steps", "event_messages"], PACKAGE_ERRORS)
+    q["execution_history"] = _with(log_cat, f"""
+SELECT item.Name AS ReportName, {folder('item.Path')} AS ReportPath, run.TimeStart, run.TimeEnd,
+  {clock(span)} AS Duration, run.Parameters, replace(run.UserName, '{P.DOMAIN}', '') AS UserName,
+  run.Format AS ReportFormat, run.Status, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering,
+  round(run.ByteCount / 1024, 2)::DECIMAL(10,2) AS RenderedKB, run.RowCount
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID""")
     q["report_queries"] = _with(["catalog"], f"""
-SELECT {PARENT.format(p='Path')} AS ReportPath, ReportName,
-  regexp_extract(ds, '^<DataSet Name="([^"]*)"', 1) AS DataSetName,
-  NULLIF(regexp_extract(qq, '<DataSourceName>([^<]*)</DataSourceName>', 1), '') AS DataSourceName,
-  COALESCE(NULLIF(regexp_extract(qq, '<CommandType>([^<]*)</CommandType>', 1), ''), 'T-SQL') AS CommandType,
-  NULLIF(regexp_extract(qq, '<CommandText>([^<]*)</CommandText>', 1), '') AS CommandText
-FROM (SELECT Path, ReportName, ds, unnest(regexp_extract_all(ds, '<Query>.*?</Query>')) AS qq
-      FROM (SELECT Path, Name AS ReportName, unnest(regexp_extract_all(Content, '<DataSet Name="[^"]*">.*?</DataSet>')) AS ds
-            FROM catalog WHERE Content LIKE '<Report%') d) x""")
+WITH sets AS (
+  SELECT Path, Name, unnest(regexp_extract_all(Content, '<DataSet Name="[^"]*">.*?</DataSet>')) AS dataset
+  FROM catalog WHERE starts_with(Content, '<Report')),
+queries AS (
+  SELECT Path, Name, regexp_extract(dataset, 'Name="([^"]*)"', 1) AS DataSetName,
+         unnest(regexp_extract_all(dataset, '<Query>.*?</Query>')) AS query
+  FROM sets)
+SELECT {folder('Path')} AS ReportPath, Name AS ReportName, DataSetName,
+  NULLIF(regexp_extract(query, '<DataSourceName>([^<]*)<', 1), '') AS DataSourceName,
+  coalesce(NULLIF(regexp_extract(query, '<CommandType>([^<]*)<', 1), ''), 'T-SQL') AS CommandType,
+  NULLIF(regexp_extract(query, '<CommandText>([^<]*)<', 1), '') AS CommandText
+FROM queries""")
     q["running_now"] = _with(["running_jobs", "users"], f"""
-SELECT RJ.RequestName, RJ.RequestPath, RJ.ComputerName, U.UserName, RJ.Timeout AS TimeoutSec, RJ.StartDate,
-  CASE WHEN RJ.JobStatus IN (0,4,5) THEN 'Success' WHEN RJ.JobStatus IN (1,2,3,7) THEN 'InProgress' ELSE 'Undefined' END AS JobStatus,
-  CAST((e // 3600) % 24 AS VARCHAR) || ':' || lpad(CAST((e // 60) % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(e % 60 AS VARCHAR), 2, '0') AS TimeElapsed
-FROM (SELECT *, date_diff('second', StartDate, {now}) AS e FROM running_jobs) RJ
-LEFT JOIN users U ON RJ.UserId = U.UserID
-WHERE RJ.StartDate < {now} - INTERVAL 1 MINUTE""")
+SELECT req.RequestName, req.RequestPath, req.ComputerName, who.UserName, req.Timeout AS TimeoutSec, req.StartDate,
+  CASE WHEN req.JobStatus IN (0, 4, 5) THEN 'Success' WHEN req.JobStatus IN (1, 2, 3, 7) THEN 'InProgress'
+       ELSE 'Undefined' END AS JobStatus,
+  ((age_s // 3600) % 24)::VARCHAR || strftime(TIMESTAMP '2000-01-01 00:00:00' + to_seconds(age_s % 3600), ':%M:%S')
+    AS TimeElapsed
+FROM (SELECT *, (epoch_us({now}) - epoch_us(StartDate)) // 1000000 AS age_s FROM running_jobs) req
+LEFT JOIN users who ON who.UserID = req.UserId
+WHERE req.StartDate + INTERVAL 1 MINUTE < {now}""")
     q["merge_state"] = _state_query(f"SELECT {STATE_COLS} FROM merged")
-    q["suppress_ignored"] = _state_query(f"SELECT {STATE_COLS} FROM suppressed")
-    q["enrich_failures"] = _state_query(f"SELECT {STATE_COLS} FROM enriched")
-    q["new_failures"] = _state_query(f"SELECT {STATE_COLS} FROM failures ORDER BY JobName, StepName, LastRunDateTime")
-    q["failure_report"] = _state_query(FAILURE_REPORT_BODY)
-    ack_cols = STATE_COLS.replace("UpdateFlag", "0 AS UpdateFlag")
-    q["acknowledge"] = _state_query(f"SELECT {ack_cols} FROM enriched")
+    q["suppress_ignored"] = _state_query(f"SELECT {STATE_COLS} FROM quieted")
+    q["enrich_failures"] = _state_query(f"SELECT {STATE_COLS} FROM with_errors")
+    q["new_failures"] = _state_query(f"SELECT {STATE_COLS} FROM to_report ORDER BY JobName, StepName, LastRunDateTime")
+    q["failure_report"] = _state_query(REPORT_LINES)
+    q["acknowledge"] = _state_query(f"SELECT * REPLACE (0 AS UpdateFlag) FROM with_errors")
     q["failure_notification"] = q["acknowledge"]
     q["lateral_table_function"] = q["enrich_failures"]
 
     q["q1_reports_with_sources"] = _with(["catalog", "data_source", "users"], """
-SELECT C.Name AS ReportName, C.Path AS ReportManagerPath, DS.Name AS DataSourceName, U.UserName AS CreatedByUser,
-  C.CreationDate, C.ModifiedDate
-FROM catalog C LEFT JOIN data_source DS ON C.ItemID = DS.ItemID LEFT JOIN users U ON C.CreatedByID = U.UserID
-WHERE C.Type = 2 ORDER BY C.Name""")
+SELECT r.Name AS ReportName, r.Path AS ReportManagerPath, src.Name AS DataSourceName, creator.UserName AS CreatedByUser,
+  r.CreationDate, r.ModifiedDate
+FROM (SELECT * FROM catalog WHERE Type = 2) r
+LEFT JOIN data_source src ON src.ItemID = r.ItemID
+LEFT JOIN users creator ON creator.UserID = r.CreatedByID
+ORDER BY ReportName""")
     q["q2_catalog_types"] = _with(["catalog"], """
-SELECT C.Name, C.Type,
-  CASE C.Type WHEN 1 THEN 'Folder' WHEN 2 THEN 'Report' WHEN 5 THEN 'Data Source' ELSE 'Other' END AS TypeDescription
-FROM catalog C ORDER BY C.Name""")
+SELECT Name, Type,
+  coalesce(CASE Type WHEN 1 THEN 'Folder' WHEN 2 THEN 'Report' WHEN 5 THEN 'Data Source' END, 'Other') AS TypeDescription
+FROM catalog ORDER BY Name""")
     q["q3_subscription_jobs"] = _with(["report_schedule", "jobs", "job_steps", "subscriptions", "catalog"], f"""
-SELECT C.Name AS ReportName, C.Path AS ReportPath, J.name AS JobName, J.date_created AS Date_Created,
-  J.date_modified AS Date_Modified, {FIRST_VALUE.format(x='S.ExtensionSettings')} AS ExtSettingsXML,
-  {CODED_TS.format(d='SJS.last_run_date', t='SJS.last_run_time')} AS LastRunDateTime
-FROM report_schedule R
-JOIN jobs J ON lower(CAST(R.ScheduleID AS VARCHAR)) = lower(J.name)
-JOIN job_steps SJS ON J.job_id = SJS.job_id
-JOIN subscriptions S ON R.SubscriptionID = S.SubscriptionID
-JOIN catalog C ON S.Report_OID = C.ItemID
-ORDER BY C.Name, LastRunDateTime""")
-    perm_cols = """CASE C.Name WHEN '' THEN 'Root Folder' ELSE C.Name END AS ObjectName, C.Path AS ObjectPath,
-  U.UserName, R.RoleName, R.Description, U.AuthType"""
+SELECT rep.Name AS ReportName, rep.Path AS ReportPath, job.name AS JobName, job.date_created AS Date_Created,
+  job.date_modified AS Date_Modified, {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML,
+  {coded_timestamp('step.last_run_date', 'step.last_run_time')} AS LastRunDateTime
+FROM report_schedule sched
+JOIN jobs job ON upper(job.name) = upper(sched.ScheduleID::VARCHAR)
+JOIN job_steps step ON step.job_id = job.job_id
+JOIN subscriptions sub ON sub.SubscriptionID = sched.SubscriptionID
+JOIN catalog rep ON rep.ItemID = sub.Report_OID
+ORDER BY ReportName, LastRunDateTime""")
+    grants = """
+WITH grants AS (
+  SELECT link.PolicyID, who.UserName, who.AuthType, role.RoleName, role.Description
+  FROM policy_user_role link
+  JOIN users who ON who.UserID = link.UserID
+  JOIN roles role ON role.RoleID = link.RoleID
+  WHERE EXISTS (SELECT 1 FROM policies pol WHERE pol.PolicyID = link.PolicyID))
+SELECT CASE WHEN item.Name = '' THEN 'Root Folder' ELSE item.Name END AS ObjectName, item.Path AS ObjectPath,
+  g.UserName, g.RoleName, g.Description, g.AuthType
+FROM catalog item JOIN grants g ON g.PolicyID = item.PolicyID"""
     perm_tables = ["users", "policy_user_role", "policies", "roles", "catalog"]
-    q["q4_user_permissions"] = _with(perm_tables, f"""
-SELECT {perm_cols}
-FROM users U JOIN policy_user_role PUR ON U.UserID = PUR.UserID JOIN policies P ON P.PolicyID = PUR.PolicyID
-JOIN roles R ON R.RoleID = PUR.RoleID JOIN catalog C ON C.PolicyID = P.PolicyID
-WHERE U.UserName = '{P.PRINCIPAL}' ORDER BY C.Name, U.UserName, R.RoleName""")
-    q["q5_path_permissions"] = _with(perm_tables, f"""
-SELECT {perm_cols}
-FROM catalog C JOIN policies P ON C.PolicyID = P.PolicyID JOIN policy_user_role PUR ON P.PolicyID = PUR.PolicyID
-JOIN users U ON PUR.UserID = U.UserID JOIN roles R ON PUR.RoleID = R.RoleID
-WHERE C.Path LIKE '{P.PATH_PREFIX}%' ORDER BY C.Name, C.Path, U.UserName, R.RoleName""")
-    sds_from = f"""FROM catalog SDS JOIN users U ON SDS.CreatedByID = U.UserID JOIN users UM ON SDS.ModifiedByID = UM.UserID
-JOIN data_source DS ON SDS.ItemID = DS.ItemID"""
-    sds_where = f"""SDS.Type = 5 AND SDS.Content LIKE '<DataSourceDefinition xmlns="{P.DATA_SOURCE_NS}">%'"""
-    sds_cols = """NULLIF(regexp_extract(SDS.Content, '<ConnectString>([^<]*)</ConnectString>', 1), '') AS ConnectionString,
-  NULLIF(regexp_extract(SDS.Content, '<Enabled>([^<]*)</Enabled>', 1), '') AS DataSourceEnabled,
-  DS.Extension,
-  CASE DS.CredentialRetrieval WHEN 1 THEN 'User Supplied' WHEN 2 THEN 'Stored' WHEN 3 THEN 'Windows Integrated'
-    WHEN 4 THEN 'Not Required' END AS CredentialType,
-  SDS.CreationDate, U.UserName AS CreatedBy, SDS.ModifiedDate, UM.UserName AS ModifiedBy, SDS.Content AS DataSourceXML"""
-    deps_from = """FROM catalog C JOIN users CU ON C.CreatedByID = CU.UserID JOIN users MU ON C.ModifiedByID = MU.UserID
-  LEFT JOIN sec_data SD ON C.PolicyID = SD.PolicyID AND SD.AuthType = 1
-  JOIN data_source DS ON C.ItemID = DS.ItemID"""
+    q["q4_user_permissions"] = _with(perm_tables, grants + f"""
+WHERE g.UserName = '{P.PRINCIPAL}' ORDER BY item.Name, g.UserName, g.RoleName""")
+    q["q5_path_permissions"] = _with(perm_tables, grants + f"""
+WHERE starts_with(item.Path, '{P.PATH_PREFIX}') ORDER BY item.Name, item.Path, g.UserName, g.RoleName""")
+    sources = f"""
+WITH defs AS (
+  SELECT it.ItemID, it.Name, it.Path, it.Content, it.CreationDate, it.ModifiedDate, src.Extension,
+    CASE src.CredentialRetrieval WHEN 1 THEN 'User Supplied' WHEN 2 THEN 'Stored' WHEN 3 THEN 'Windows Integrated'
+      WHEN 4 THEN 'Not Required' END AS CredentialType,
+    creator.UserName AS CreatedBy, editor.UserName AS ModifiedBy
+  FROM catalog it
+  JOIN users creator ON creator.UserID = it.CreatedByID
+  JOIN users editor ON editor.UserID = it.ModifiedByID
+  JOIN data_source src ON src.ItemID = it.ItemID
+  WHERE it.Type = 5 AND starts_with(it.Content, '<DataSourceDefinition xmlns="{P.DATA_SOURCE_NS}">')),
+users_of AS (
+  SELECT src.Link AS DSLink, it.Name AS ObjectName
+  FROM catalog it
+  JOIN data_source src ON src.ItemID = it.ItemID
+  JOIN users creator ON creator.UserID = it.CreatedByID
+  JOIN users editor ON editor.UserID = it.ModifiedByID
+  LEFT JOIN (SELECT PolicyID FROM sec_data WHERE AuthType = 1) sec ON sec.PolicyID = it.PolicyID)"""
+    def_fields = """NULLIF(regexp_extract(d.Content, '<ConnectString>([^<]*)<', 1), '') AS ConnectionString,
+  NULLIF(regexp_extract(d.Content, '<Enabled>([^<]*)<', 1), '') AS DataSourceEnabled,
+  d.Extension, d.CredentialType, d.CreationDate, d.CreatedBy, d.ModifiedDate, d.ModifiedBy, d.Content AS DataSourceXML"""
     ds_tables = ["catalog", "users", "data_source", "sec_data"]
-    q["q6_shared_data_sources"] = _with(ds_tables, f"""
-SELECT SDS.Path AS DataSourcePath, SDS.Name AS SharedDataSourceName, COALESCE(RC.Dependents, 0) AS Dependents,
-  {sds_cols}
-{sds_from}
-LEFT JOIN (SELECT DS.Link AS DSLink, COUNT(1) AS Dependents {deps_from} GROUP BY DS.Link) RC ON SDS.ItemID = RC.DSLink
-WHERE {sds_where}
-ORDER BY DataSourcePath, SharedDataSourceName""")
-    q["q7_data_source_dependents"] = _with(ds_tables, f"""
-SELECT SDS.Path AS DataSourcePath, SDS.Name AS SharedDataSourceName, RC.DSLink, RC.ObjectName,
-  {sds_cols}
-{sds_from}
-LEFT JOIN (SELECT DS.Link AS DSLink, C.Name AS ObjectName {deps_from}) RC ON SDS.ItemID = RC.DSLink
-WHERE {sds_where}
-ORDER BY DataSourcePath, SharedDataSourceName""")
-    q["q8_report_runs"] = _with(el_c, f"""
-SELECT C.Name AS ReportName, C.Path AS ReportPath, EL.TimeStart, EL.TimeEnd, EL.Parameters, EL.UserName, EL.Status,
-  EL.TimeDataRetrieval, EL.TimeProcessing, EL.TimeRendering,
-  {CLOCK.format(d="date_diff('second', EL.TimeStart, EL.TimeEnd)")} AS CommandDuration
-FROM execution_log EL JOIN catalog C ON EL.ReportID = C.ItemID
-WHERE EL.TimeStart > {since} AND C.Name = '{P.REPORT_NAME}' ORDER BY EL.TimeStart DESC""")
-    q["q9_runs_since"] = _with(el_c, f"""
-SELECT C.Name AS ReportName, C.Path AS ReportPath, EL.TimeStart, EL.TimeEnd, EL.Parameters, EL.UserName, EL.Status
-FROM execution_log EL JOIN catalog C ON EL.ReportID = C.ItemID
-WHERE EL.TimeStart > {since} ORDER BY EL.TimeStart DESC""")
-    q["q10_running_requests"] = _with(["running_jobs"], "SELECT * FROM running_jobs ORDER BY StartDate ASC")
+    q["q6_shared_data_sources"] = _with(ds_tables, sources + f"""
+SELECT d.Path AS DataSourcePath, d.Name AS SharedDataSourceName,
+  (SELECT count(*) FROM users_of u WHERE u.DSLink = d.ItemID) AS Dependents,
+  {def_fields}
+FROM defs d ORDER BY DataSourcePath, SharedDataSourceName""")
+    q["q7_data_source_dependents"] = _with(ds_tables, sources + f"""
+SELECT d.Path AS DataSourcePath, d.Name AS SharedDataSourceName, u.DSLink, u.ObjectName,
+  {def_fields}
+FROM defs d LEFT JOIN users_of u ON u.DSLink = d.ItemID ORDER BY DataSourcePath, SharedDataSourceName""")
+    q["q8_report_runs"] = _with(log_cat, f"""
+SELECT item.Name AS ReportName, item.Path AS ReportPath, run.TimeStart, run.TimeEnd, run.Parameters, run.UserName,
+  run.Status, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering, {clock(span)} AS CommandDuration
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID AND item.Name = '{P.REPORT_NAME}'
+WHERE run.TimeStart > {since} ORDER BY run.TimeStart DESC""")
+    q["q9_runs_since"] = _with(log_cat, f"""
+SELECT item.Name AS ReportName, item.Path AS ReportPath, run.TimeStart, run.TimeEnd, run.Parameters, run.UserName,
+  run.Status
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID
+WHERE run.TimeStart > {since} ORDER BY run.TimeStart DESC""")
+    q["q10_running_requests"] = _with(["running_jobs"], "FROM running_jobs ORDER BY StartDate")
     q["q11_large_renders"] = _with(["execution_log"], f"""
-SELECT * FROM execution_log WHERE (ByteCount // 1024) > {P.MIN_KB} ORDER BY ByteCount DESC""")
-    q["q12_runs_in_range"] = _with(el_c, f"""
-SELECT x.UserName, x.TimeStart, x.TimeEnd, x.TimeDataRetrieval, x.TimeProcessing, x.TimeRendering, c.Name
-FROM execution_log x JOIN catalog c ON x.ReportID = c.ItemID
-WHERE x.TimeStart BETWEEN {rs} AND {re_} ORDER BY x.TimeStart ASC""")
-    q["q13_report_stats"] = _with(el_c, f"""
-SELECT c.Name, COUNT(1) AS TimesRun, CAST(SUM(x.TimeProcessing) // COUNT(x.TimeProcessing) AS BIGINT) AS AvgProcTimeMS,
-  MAX(x.TimeStart) AS LastRunDate
-FROM execution_log x JOIN catalog c ON x.ReportID = c.ItemID
-WHERE x.TimeStart >= {since} GROUP BY c.Name ORDER BY AvgProcTimeMS DESC""")
-    q["q14_run_detail"] = _with(el_c, f"""
-SELECT x.UserName, x.TimeStart, x.TimeEnd, x.TimeDataRetrieval, x.TimeProcessing, x.TimeRendering, c.Name
-FROM execution_log x JOIN catalog c ON x.ReportID = c.ItemID WHERE x.TimeStart >= {since}""")
+FROM execution_log WHERE ByteCount >= 0 AND floor(ByteCount / 1024) > {P.MIN_KB} ORDER BY ByteCount DESC""")
+    q["q12_runs_in_range"] = _with(log_cat, f"""
+SELECT run.UserName, run.TimeStart, run.TimeEnd, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering, item.Name
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID
+WHERE run.TimeStart >= {lo} AND run.TimeStart <= {hi} ORDER BY run.TimeStart""")
+    q["q13_report_stats"] = _with(log_cat, f"""
+SELECT item.Name, count(*) AS TimesRun, trunc(avg(run.TimeProcessing))::BIGINT AS AvgProcTimeMS,
+  max(run.TimeStart) AS LastRunDate
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID
+WHERE run.TimeStart >= {since} GROUP BY item.Name ORDER BY AvgProcTimeMS DESC""")
+    q["q14_run_detail"] = _with(log_cat, f"""
+SELECT run.UserName, run.TimeStart, run.TimeEnd, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering, item.Name
+FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID WHERE run.TimeStart >= {since}""")
     q["q15_runs_per_user"] = _with(["execution_log"], f"""
-SELECT UserName, COUNT(*) AS NumReports FROM execution_log
-WHERE TimeStart BETWEEN {rs} AND {re_} GROUP BY UserName ORDER BY UserName""")
-    q["q16_configuration"] = _with(["configuration"], "SELECT * FROM configuration")
+SELECT UserName, count(*) AS NumReports FROM execution_log
+WHERE TimeStart >= {lo} AND TimeStart <= {hi} GROUP BY ALL ORDER BY UserName""")
+    q["q16_configuration"] = _with(["configuration"], "FROM configuration")
     q["q17_subscriptions_matching"] = _with(["catalog", "subscriptions"], f"""
-SELECT C.ItemID, C.Path AS ReportPath, C.Name AS ReportName, sub.SubscriptionID,
-  {FIRST_VALUE.format(x='sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
-FROM catalog C JOIN subscriptions sub ON C.ItemID = sub.Report_OID
-WHERE {FIRST_VALUE.format(x='sub.ExtensionSettings')} LIKE '%{P.SETTING_TEXT}%'
-ORDER BY C.Path, C.Name""")
-    q["parent_folder"] = _with(["catalog"], f"SELECT ItemID, Path, {PARENT.format(p='Path')} AS Folder FROM catalog")
+SELECT * FROM (
+  SELECT item.ItemID, item.Path AS ReportPath, item.Name AS ReportName, sub.SubscriptionID,
+    {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
+  FROM subscriptions sub JOIN catalog item ON item.ItemID = sub.Report_OID)
+WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportName""")
+    q["parent_folder"] = _with(["catalog"], f"SELECT ItemID, Path, {folder('Path')} AS Folder FROM catalog")
     q["second_boundaries"] = _with(["execution_log"], f"""
-SELECT ReportID, Parameters, date_diff('second', TimeStart, TimeEnd) AS Seconds,
-  {CLOCK.format(d="date_diff('second', TimeStart, TimeEnd)")} AS Clock FROM execution_log""")
+SELECT ReportID, Parameters, date_diff('second', run.TimeStart, run.TimeEnd) AS Seconds, {clock(span)} AS Clock
+FROM execution_log run""")
     q["int_avg"] = _with(["execution_log"], """
-SELECT Format, CAST(SUM(TimeRendering) // COUNT(TimeRendering) AS BIGINT) AS AvgRendering, COUNT(1) AS Runs
-FROM execution_log GROUP BY Format""")
+SELECT Format, trunc(avg(TimeRendering))::BIGINT AS AvgRendering, count(*) AS Runs FROM execution_log GROUP BY Format""")
     q["latest_per_key"] = _with(["execution_log"], """
-SELECT ReportID, TimeStart, UserName, Status, Parameters
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ReportID ORDER BY TimeStart DESC, Parameters DESC, UserName DESC,
-        RowCount DESC, TimeRendering DESC, ByteCount DESC, Status DESC) AS rn
-      FROM execution_log) x
-WHERE rn = 1""")
+SELECT ReportID, TimeStart, UserName, Status, Parameters FROM execution_log
+QUALIFY row_number() OVER (PARTITION BY ReportID ORDER BY TimeStart DESC, Parameters DESC, UserName DESC,
+  RowCount DESC, TimeRendering DESC, ByteCount DESC, Status DESC) = 1""")
     return q
