@@ -9,11 +9,13 @@ from opslog.functions.xmlvalue import xml_root_is, xml_root_namespace, xml_text
 from opslog.operators.joins import preserving_left_join
 from opslog.operators.ordering import sort_balanced
 
-# Catalog item type codes, credential retrieval codes, and the
-# default namespace of a shared data source definition.
+# Catalog item type codes, credential retrieval codes, the
+# default namespace of a shared data source definition, and the label shown
+# for the item with an empty name (the root folder).
 ITEM_TYPES = {1: "Folder", 2: "Report", 5: "Data Source"}
 CREDENTIAL_TYPES = {1: "User Supplied", 2: "Stored", 3: "Windows Integrated", 4: "Not Required"}
 REPORT_DATA_SOURCE_NS = "http://schemas.microsoft.com/sqlserver/reporting/2006/03/reportdatasource"
+ROOT_FOLDER_LABEL = "Root Folder"
 
 _CORRUPT = "_corrupt_record"
 
@@ -69,7 +71,7 @@ def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: Data
     c = catalog.select("Name", "Path", "PolicyID")
     j = c.join(grants, c["PolicyID"] == grants["_pid"], "inner")
     return j.select(
-        F.when(F.col("Name") == "", "Root Folder").otherwise(F.col("Name")).alias("ObjectName"),
+        F.when(F.col("Name") == "", ROOT_FOLDER_LABEL).otherwise(F.col("Name")).alias("ObjectName"),
         F.col("Path").alias("ObjectPath"), "UserName", "RoleName", "Description", "AuthType",
         F.col("Name").alias("_name"),
     )

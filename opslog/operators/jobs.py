@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from opslog.functions.temporal import coded_datetime, coded_duration_text
 from opslog.functions.text import package_file_name
 
-# Fixed value: LIKE mask of a GUID-shaped job name (13 any, -, 4, -, 4, -, 12 any).
+# LIKE mask of a GUID-shaped job name (13 any, -, 4, -, 4, -, 12 any);
+# package steps (subsystem, command pattern, file extension, path separator);
+# the error event name and the length an error message is cut to.
 GUID_NAME_MASK = "_____________-____-____-____________"
+PACKAGE_SUBSYSTEM = "SSIS"
+PACKAGE_COMMAND_PATTERN = "%ssis%"
+PACKAGE_EXTENSION = ".dtsx"
+PACKAGE_PATH_SEPARATOR = "\\"
+ERROR_EVENT = "OnError"
+ERROR_MESSAGE_LENGTH = 4000
 
 
 def last_job_run(history: DataFrame, steps: DataFrame, jobs: DataFrame,
@@ -53,9 +61,9 @@ def last_job_run(history: DataFrame, steps: DataFrame, jobs: DataFrame,
 
 
 def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
-                       subsystem: str = "SSIS", command_pattern: str = "%ssis%",
-                       extension: str = ".dtsx", separator: str = "\\",
-                       error_event: str = "OnError", max_length: int = 4000) -> DataFrame:
+                       subsystem: str = PACKAGE_SUBSYSTEM, command_pattern: str = PACKAGE_COMMAND_PATTERN,
+                       extension: str = PACKAGE_EXTENSION, separator: str = PACKAGE_PATH_SEPARATOR,
+                       error_event: str = ERROR_EVENT, max_length: int = ERROR_MESSAGE_LENGTH) -> DataFrame:
     """First error message of the newest operation of each step's package, for all steps.
 
     Set-based form of the per-step table function: returns job_id, step_id,

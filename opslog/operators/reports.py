@@ -70,13 +70,16 @@ def execution_history(log: DataFrame, catalog: DataFrame, domain: str) -> DataFr
     )
 
 
-# Status codes of a running request.
+# Status codes of a running request; minimum age of a request
+# to be listed (minutes); size threshold of a large render (KB).
 STATUS_SUCCESS = (0, 4, 5)
 STATUS_IN_PROGRESS = (1, 2, 3, 7)
+MIN_RUNNING_MINUTES = 1
+LARGE_RENDER_KB = 100
 
 
 def running_now(running_jobs: DataFrame, users: DataFrame, now=None,
-                min_age_minutes: int = 1, total_hours: bool = False) -> DataFrame:
+                min_age_minutes: int = MIN_RUNNING_MINUTES, total_hours: bool = False) -> DataFrame:
     """Requests started more than ``min_age_minutes`` before ``now``, with the
     user name, decoded status and elapsed ``H:MI:SS`` (hours wrap at 24 unless
     ``total_hours``). ``now`` defaults to the current time."""
@@ -127,7 +130,7 @@ def running_requests(running_jobs: DataFrame) -> DataFrame:
     return sort_balanced(running_jobs.select("*"), F.col("StartDate").asc())
 
 
-def large_renders(log: DataFrame, min_kb: int = 100) -> DataFrame:
+def large_renders(log: DataFrame, min_kb: int = LARGE_RENDER_KB) -> DataFrame:
     """Log rows whose size in whole KB (truncating division) exceeds ``min_kb``,
     largest first.
 

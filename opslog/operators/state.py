@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.operators.jobs import PACKAGE_SUBSYSTEM
 from opslog.operators.ordering import sort_balanced
 from opslog.schemas import JOB_FAILURES, STATE_COLUMNS
 
@@ -90,7 +91,7 @@ def suppress_ignored(state: DataFrame, ignore: DataFrame) -> DataFrame:
     return j.select(*[flag.alias(c) if c == "UpdateFlag" else F.col(c) for c in STATE_COLUMNS])
 
 
-def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str = "SSIS") -> DataFrame:
+def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str = PACKAGE_SUBSYSTEM) -> DataFrame:
     """StepMessage of every failed package step := its package's last error message.
 
     Applies to all failed steps of that subsystem (not only new ones); a step

@@ -60,7 +60,7 @@ def report_queries(catalog: DataFrame) -> DataFrame:
     )
 
 
-# Path of the first recipient-like setting in a subscription's settings document.
+# Fixed value: path of the first setting value in a subscription's settings document.
 FIRST_SETTING_PATH = "//ParameterValue/Value"
 
 
