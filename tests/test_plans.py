@@ -30,7 +30,12 @@ def test_last_job_run_single_pass_over_history(spark):
 
 def test_last_package_error_uses_group_limit(spark):
     q = QUERIES["last_package_error"](spark, "/root/testdata/sf0.001")
-    assert "WindowGroupLimit" in plan(q)
+    lines = [l.strip(" :+-") for l in plan(q).split("\n")]
+    final = next(i for i, l in enumerate(lines) if l.startswith("WindowGroupLimit") and l.endswith("Final"))
+    exchange = next(i for i, l in enumerate(lines) if i > final and l.startswith("Exchange hashpartitioning(operation_id"))
+    partial = next(i for i, l in enumerate(lines) if i > exchange and l.startswith("WindowGroupLimit"))
+    # rank-1 rows are kept map-side before the shuffle and again after it
+    assert lines[partial].endswith("Partial")
 
 
 def test_report_queries_has_no_shuffle(spark):
