@@ -18,7 +18,7 @@ from opslog.functions.numeric import bytes_to_kb, int_div
 from opslog.functions.temporal import elapsed_clock_text, second_boundaries, seconds_as_time_text
 from opslog.functions.text import parent_folder, strip_domain
 from opslog.operators.ordering import sort_balanced
-from opslog.sources.logstore import day_bounds
+from opslog.sources.logstore import period_bounds
 
 
 def ts_lit(value) -> Column:
@@ -34,13 +34,13 @@ def _after(log: DataFrame, since, inclusive: bool) -> DataFrame:
     """Runs started after ``since`` (or at it, when inclusive)."""
     t = ts_lit(since)
     cond = F.col("TimeStart") >= t if inclusive else F.col("TimeStart") > t
-    return log.filter(cond & day_bounds(log, lo=t))
+    return log.filter(cond & period_bounds(log, lo=t))
 
 
 def _within(log: DataFrame, start, end) -> DataFrame:
     """Runs started within [start, end]."""
     lo, hi = ts_lit(start), ts_lit(end)
-    return log.filter(F.col("TimeStart").between(lo, hi) & day_bounds(log, lo=lo, hi=hi))
+    return log.filter(F.col("TimeStart").between(lo, hi) & period_bounds(log, lo=lo, hi=hi))
 
 
 def _with_report(log: DataFrame, catalog: DataFrame, *cat_cols: str) -> DataFrame:

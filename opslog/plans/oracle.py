@@ -317,6 +317,7 @@ SELECT * FROM (
     {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
   FROM subscriptions sub JOIN catalog item ON item.ItemID = sub.Report_OID)
 WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportName""")
+    q["runs_in_range_by_period"] = q["q12_runs_in_range"]
     q["parent_folder"] = _with(["catalog"], f"SELECT ItemID, Path, {folder('Path')} AS Folder FROM catalog")
     q["second_boundaries"] = _with(["execution_log"], f"""
 SELECT ReportID, Parameters, date_diff('second', run.TimeStart, run.TimeEnd) AS Seconds, {clock(span)} AS Clock

@@ -1,10 +1,11 @@
-"""Day-partitioned storage for large logs.
-
-A log written with ``write_by_day`` is laid out as ``<path>/log_date=YYYY-MM-DD/``.
-The time-range operators add the day predicate implied by their timestamp
-predicate whenever the log has the ``log_date`` column, so a range of days
-reads only those folders (partition pruning) besides the row-group skipping
-that the timestamp predicate gets from parquet statistics.
+"""Time-partitioned storage for large logs.
+
+A log written with ``write_by_period`` is laid out as ``<path>/log_day=YYYY-MM-DD/``
+(or ``log_month=YYYY-MM-01`` for sparse logs). The time-range operators add the
+period predicate implied by their timestamp predicate whenever the log has one
+of these columns, so a range reads only its folders (partition pruning),
+besides the row-group skipping the timestamp predicate gets from parquet
+statistics.
 """
 
 from __future__ import annotations
@@ -13,33 +14,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-DAY_COLUMN = "log_date"
+# partition column per granularity, and the truncation unit it stands for
+PERIOD_COLUMNS = {"day": ("log_day", None), "month": ("log_month", "MM")}
+
+
+def _period_start(ts: Column, unit: str | None) -> Column:
+    d = F.to_date(ts)
+    return d if unit is None else F.trunc(d, unit)
 
 
-def write_by_day(df: DataFrame, path: str, ts_col: str, mode: str = "errorifexists") -> None:
-    """Write ``df`` partitioned by the calendar day of ``ts_col``.
+def write_by_period(df: DataFrame, path: str, ts_col: str, granularity: str = "day",
+                    mode: str = "errorifexists") -> None:
+    """Write ``df`` partitioned by the day (or month) of ``ts_col``.
 
-    Rows are range-partitioned on (day, time, remaining columns): each task
-    gets a contiguous slice of days, so it writes few day folders, and a day
+    Rows are range-partitioned on (period, time, remaining columns): each task
+    gets a contiguous slice of periods, so it writes few folders, and a period
     holding a large share of the log is cut into many slices (hash
-    partitioning on the day would give that whole day to one task). Each file
-    is sorted by time, which keeps parquet min/max statistics tight.
+    partitioning on the period would give that whole period to one task).
+    Each file is sorted by time, which keeps parquet min/max statistics tight.
     """
-    out = df.withColumn(DAY_COLUMN, F.to_date(F.col(ts_col)))
+    col, unit = PERIOD_COLUMNS[granularity]
+    out = df.withColumn(col, _period_start(F.col(ts_col), unit))
     ties = [f.name for f in out.schema.fields
-            if f.name not in (DAY_COLUMN, ts_col) and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    out.repartitionByRange(DAY_COLUMN, ts_col, *ties).sortWithinPartitions(DAY_COLUMN, ts_col) \
-        .write.mode(mode).partitionBy(DAY_COLUMN).parquet(path)
+            if f.name not in (col, ts_col) and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    out.repartitionByRange(col, ts_col, *ties).sortWithinPartitions(col, ts_col) \
+        .write.mode(mode).partitionBy(col).parquet(path)
 
 
-def day_bounds(df: DataFrame, lo: Column | None = None, hi: Column | None = None) -> Column:
-    """Predicate on the day partition implied by ``lo <= ts <= hi`` (TRUE when
-    the frame has no day column, so it can always be and-ed in)."""
-    if DAY_COLUMN not in df.columns:
-        return F.lit(True)
+def period_bounds(df: DataFrame, lo: Column | None = None, hi: Column | None = None) -> Column:
+    """Predicate on the period partition implied by ``lo <= ts <= hi`` (TRUE when
+    the frame has no period column, so it can always be and-ed in)."""
     cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col(DAY_COLUMN) >= F.to_date(lo))
-    if hi is not None:
-        cond = cond & (F.col(DAY_COLUMN) <= F.to_date(hi))
+    for col, unit in PERIOD_COLUMNS.values():
+        if col in df.columns:
+            if lo is not None:
+                cond = cond & (F.col(col) >= _period_start(lo, unit))
+            if hi is not None:
+                cond = cond & (F.col(col) <= _period_start(hi, unit))
     return cond
