@@ -20,6 +20,7 @@ from opslog.functions.text import (  # noqa: F401
 )
 from opslog.functions.numeric import bytes_to_kb, int_avg, int_div  # noqa: F401
 from opslog.functions.xmlvalue import (  # noqa: F401
+    xml_fail_if_malformed,
     xml_first_text,
     xml_is_wellformed,
     xml_root_is,

@@ -65,6 +65,16 @@ def xml_is_wellformed(doc) -> Column:
     return F.when(_c(doc).isNotNull(), parsed[_CORRUPT].isNull())
 
 
+def xml_fail_if_malformed(doc, what: str = "document") -> Column:
+    """TRUE for a parseable or NULL document; raises for a malformed one.
+
+    Used as a filter in strict mode, where a malformed document fails the
+    job as it does in the source system.
+    """
+    bad = F.coalesce(~xml_is_wellformed(doc), F.lit(False))
+    return F.coalesce(F.when(bad, F.raise_error(F.lit(f"malformed XML {what}"))).cast("boolean"), F.lit(True))
+
+
 def xml_first_text(doc, path: str) -> Column:
     """String value of the first node selected by ``path`` (as ``(path)[1]``).
 

@@ -22,7 +22,7 @@ from opslog.operators.catalog import (  # noqa: F401
     shared_data_sources,
     user_permissions,
 )
-from opslog.operators.xmlshred import report_queries, subscriptions_matching  # noqa: F401
+from opslog.operators.xmlshred import invalid_documents, report_queries, subscriptions_matching  # noqa: F401
 from opslog.operators.subscriptions import subscription_jobs  # noqa: F401
 from opslog.operators.state import (  # noqa: F401
     acknowledge,

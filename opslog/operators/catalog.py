@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.functions.xmlvalue import xml_root_is, xml_root_namespace, xml_text
+from opslog.functions.xmlvalue import xml_fail_if_malformed, xml_root_is, xml_root_namespace, xml_text
 from opslog.operators.joins import preserving_left_join
 from opslog.operators.ordering import sort_balanced
 
@@ -95,7 +95,8 @@ def path_permissions(catalog: DataFrame, policies: DataFrame, policy_user_role:
     return sort_balanced(out, "_name", "ObjectPath", "UserName", "RoleName").drop("_name")
 
 
-def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, namespace: str) -> DataFrame:
+def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, namespace: str,
+                    strict: bool = False) -> DataFrame:
     """Shared data sources (Type 5) with creator, modifier, extension, credential
     type and the fields of their definition document."""
     sds = catalog.filter(F.col("Type") == 5).select(
@@ -123,6 +124,8 @@ def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame
          "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
     j = j.withColumn("DataSourceXML", doc).withColumn("_def", parsed)
+    if strict:  # a malformed definition fails the job, as in the source system
+        j = j.filter(xml_fail_if_malformed(F.col("DataSourceXML"), "data source definition"))
     # nodes('/DataSourceDefinition') under a default namespace: the document
     # element must have that local name in that namespace; malformed -> no row.
     ok = (
@@ -162,7 +165,7 @@ def _dependents(catalog: DataFrame, users: DataFrame, sec_data: DataFrame, data_
 
 
 def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, sec_data: DataFrame,
-                        namespace: str = REPORT_DATA_SOURCE_NS) -> DataFrame:
+                        namespace: str = REPORT_DATA_SOURCE_NS, strict: bool = False) -> DataFrame:
     """Shared data sources with the number of dependent items and connection fields.
 
     Dependents are counted per link first (partial+final aggregate), so the
@@ -171,7 +174,7 @@ def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataF
     counts = _dependents(catalog, users, sec_data, data_source).groupBy("DSLink").agg(
         F.count(F.lit(1)).alias("_deps")
     )
-    s = _shared_sources(catalog, users, data_source, namespace)
+    s = _shared_sources(catalog, users, data_source, namespace, strict)
     j = s.join(counts, s["_sds_item"] == counts["DSLink"], "left")
     out = j.select(
         "DataSourcePath", "SharedDataSourceName",
@@ -183,7 +186,8 @@ def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataF
 
 
 def data_source_dependents(catalog: DataFrame, users: DataFrame, data_source: DataFrame, sec_data: DataFrame,
-                           path: str | None = None, namespace: str = REPORT_DATA_SOURCE_NS) -> DataFrame:
+                           path: str | None = None, namespace: str = REPORT_DATA_SOURCE_NS,
+                           strict: bool = False) -> DataFrame:
     """Shared data sources with the name of every dependent item (one row per
     dependent; a source without dependents keeps one row with NULLs). ``path``
     keeps one data source; None keeps all.
@@ -192,7 +196,7 @@ def data_source_dependents(catalog: DataFrame, users: DataFrame, data_source: Da
     dependents side is never the unsplittable side of an outer join
     (see ``preserving_left_join``).
     """
-    s = _shared_sources(catalog, users, data_source, namespace)
+    s = _shared_sources(catalog, users, data_source, namespace, strict)
     if path is not None:
         s = s.filter(F.col("DataSourcePath") == path)
     deps = _dependents(catalog, users, sec_data, data_source)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.functions.text import parent_folder
-from opslog.functions.xmlvalue import xml_first_text, xml_root_is, xml_text
+from opslog.functions.xmlvalue import xml_fail_if_malformed, xml_first_text, xml_is_wellformed, xml_root_is, xml_text
 from opslog.operators.ordering import sort_balanced
 
 _CORRUPT = "_corrupt_record"
@@ -36,15 +36,22 @@ def _text_node(c):
     return F.when(F.trim(c) != "", c)
 
 
-def report_queries(catalog: DataFrame) -> DataFrame:
+def report_queries(catalog: DataFrame, strict: bool = False) -> DataFrame:
     """One row per (report, dataset, query) of every report definition.
 
-    Items whose content is not a Report document (folders, data sources,
-    malformed text) give no rows.
+    Items whose content is not a Report document (folders, data sources) give
+    no rows. Malformed or undecodable content gives no rows either, unless
+    ``strict``: then it fails the job, as in the source system
+    (``invalid_documents`` lists such items).
     """
     content_type = dict((f.name, f.dataType) for f in catalog.schema.fields)["Content"]
     docs = catalog.select("Path", F.col("Name").alias("ReportName"),
-                          xml_text(F.col("Content"), content_type).alias("_doc"))
+                          xml_text(F.col("Content"), content_type).alias("_doc"), F.col("Content").alias("_raw"))
+    if strict:
+        undecodable = F.col("_raw").isNotNull() & F.col("_doc").isNull()
+        docs = docs.filter(F.coalesce(F.when(undecodable, F.raise_error(F.lit("content is not UTF-8"))).cast("boolean"),
+                                      F.lit(True)))
+        docs = docs.filter(xml_fail_if_malformed(F.col("_doc"), "report definition"))
     docs = docs.filter(xml_root_is(F.col("_doc"), "Report"))
     parsed = docs.select("Path", "ReportName", F.from_xml("_doc", _REPORT_SCHEMA, _XML_OPTIONS).alias("_x"))
     parsed = parsed.filter(F.col(f"_x.{_CORRUPT}").isNull())
@@ -60,6 +67,17 @@ def report_queries(catalog: DataFrame) -> DataFrame:
     )
 
 
+def invalid_documents(catalog: DataFrame, column: str = "Content") -> DataFrame:
+    """Items whose document cannot be read: bytes that are not UTF-8, or
+    malformed XML. A narrow filter, for routing such rows to a quarantine
+    table instead of silently dropping them."""
+    dtype = dict((f.name, f.dataType) for f in catalog.schema.fields)[column]
+    doc = xml_text(F.col(column), dtype)
+    reason = (F.when(F.col(column).isNotNull() & doc.isNull(), F.lit("not UTF-8"))
+              .when(~xml_is_wellformed(doc), F.lit("malformed XML")))
+    return catalog.select("ItemID", "Path", reason.alias("Reason")).filter(F.col("Reason").isNotNull())
+
+
 # Fixed value: path of the first setting value in a subscription's settings document.
 FIRST_SETTING_PATH = "//ParameterValue/Value"
 

@@ -130,3 +130,20 @@ def test_binary_content_utf8_bom_and_invalid_bytes(spark):
     cat = spark.createDataFrame(data, "ItemID long, Name string, Path string, Type int, Content binary")
     out = sorted((r["ReportName"], r["DataSetName"], r["CommandText"]) for r in rows(report_queries(cat)))
     assert out == [("a", "Ä", "sélect"), ("b", "Ä", "sélect")]
+
+
+def test_strict_mode_fails_on_malformed_and_quarantine_lists_it(spark):
+    import pytest
+
+    from opslog.operators import invalid_documents
+
+    good = "<Report><DataSets><DataSet Name='A'><Query><CommandText>q</CommandText></Query></DataSet></DataSets></Report>"
+    cat = catalog(spark, [good, "<Report><DataSets>", None, "<Folder/>"])
+    assert len(shred(spark, [good, "<Report><DataSets>", None, "<Folder/>"])) == 1
+    with pytest.raises(Exception, match="malformed XML"):
+        report_queries(cat, strict=True).collect()
+    assert len(rows(report_queries(catalog(spark, [good, None, "<Folder/>"]), strict=True))) == 1
+    bad = rows(invalid_documents(cat))
+    assert [(r["ItemID"], r["Reason"]) for r in bad] == [(1, "malformed XML")]
+    bin_cat = spark.createDataFrame([(7, "/x", b"\xff\xfe"), (8, "/y", good.encode())], "ItemID long, Path string, Content binary")
+    assert [(r["ItemID"], r["Reason"]) for r in rows(invalid_documents(bin_cat))] == [(7, "not UTF-8")]
