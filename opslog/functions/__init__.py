@@ -16,6 +16,11 @@ from opslog.functions.text import (  # noqa: F401
     parent_folder,
     right_pad_zero,
     strip_domain,
+    text_contains,
+    text_equals,
+    text_like,
+    text_replace,
+    text_startswith,
     trimmed_length,
 )
 from opslog.functions.numeric import bytes_to_kb, int_avg, int_div  # noqa: F401

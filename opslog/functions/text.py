@@ -30,23 +30,56 @@ def parent_folder(path) -> Column:
     return F.left(p, n)
 
 
-def package_file_name(command, extension: str = ".dtsx", separator: str = "\\") -> Column:
+def package_file_name(command, extension: str = ".dtsx", separator: str = "\\",
+                      case_sensitive: bool = True) -> Column:
     """File name of a package inside a command line.
 
     The part between the last ``separator`` before the first ``extension`` and
     that extension, plus the extension. NULL when the command has no extension,
-    or no separator before it.
+    or no separator before it. Case-insensitive mode finds ``.DTSX`` too.
     """
     c = _c(command)
-    head = F.substring_index(c, extension, 1)
+    at = F.instr(c, extension) if case_sensitive else F.instr(F.lower(c), extension.lower())
+    head = F.left(c, at - 1)
     name = F.concat(F.substring_index(head, separator, -1), F.lit(extension))
-    ok = (F.instr(c, extension) > 0) & (F.instr(head, separator) > 0)
+    ok = (at > 0) & (F.instr(head, separator) > 0)
     return F.when(ok, name)
 
 
-def strip_domain(user, domain: str) -> Column:
+def strip_domain(user, domain: str, case_sensitive: bool = True) -> Column:
     """Remove every occurrence of ``domain`` (e.g. ``'DOM\\\\'``) from a user name."""
-    return F.replace(_c(user), F.lit(domain), F.lit(""))
+    return text_replace(_c(user), domain, "", case_sensitive)
+
+
+# Text tests with an optional case-insensitive mode (the source compares under
+# a case-insensitive collation; the default here is exact comparison).
+
+def text_equals(c, value: str, case_sensitive: bool = True) -> Column:
+    c = _c(c)
+    return c == value if case_sensitive else F.lower(c) == value.lower()
+
+
+def text_startswith(c, prefix: str, case_sensitive: bool = True) -> Column:
+    c = _c(c)
+    return c.startswith(prefix) if case_sensitive else F.lower(c).startswith(prefix.lower())
+
+
+def text_like(c, pattern: str, case_sensitive: bool = True) -> Column:
+    c = _c(c)
+    return c.like(pattern) if case_sensitive else F.lower(c).like(pattern.lower())
+
+
+def text_contains(c, text: str, case_sensitive: bool = True) -> Column:
+    c = _c(c)
+    return c.contains(text) if case_sensitive else F.lower(c).contains(text.lower())
+
+
+def text_replace(c, search: str, replacement: str, case_sensitive: bool = True) -> Column:
+    c = _c(c)
+    if case_sensitive:
+        return F.replace(c, F.lit(search), F.lit(replacement))
+    quoted = "(?i)\\Q" + search.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return F.regexp_replace(c, quoted, replacement.replace("\\", "\\\\").replace("$", "\\$"))
 
 
 def html_escape(s) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opslog.functions.text import text_equals, text_startswith
 from opslog.functions.xmlvalue import xml_fail_if_malformed, xml_root_is, xml_root_namespace, xml_text
 from opslog.operators.joins import preserving_left_join
 from opslog.operators.ordering import sort_balanced
@@ -78,19 +79,21 @@ def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: Data
 
 
 def user_permissions(users: DataFrame, policy_user_role: DataFrame, policies: DataFrame,
-                     roles: DataFrame, catalog: DataFrame, user_name: str | None) -> DataFrame:
+                     roles: DataFrame, catalog: DataFrame, user_name: str | None,
+                     case_sensitive: bool = True) -> DataFrame:
     """Every permission (item, path, role) given to one principal; all principals when None."""
     if user_name is not None:
-        users = users.filter(F.col("UserName") == user_name)
+        users = users.filter(text_equals("UserName", user_name, case_sensitive))
     out = _permissions(catalog, policies, policy_user_role, users, roles)
     return sort_balanced(out, "_name", "UserName", "RoleName").drop("_name")
 
 
 def path_permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
-                     users: DataFrame, roles: DataFrame, path_prefix: str | None) -> DataFrame:
+                     users: DataFrame, roles: DataFrame, path_prefix: str | None,
+                     case_sensitive: bool = True) -> DataFrame:
     """Item permissions under a path prefix (a LIKE 'prefix%' test)."""
     if path_prefix is not None:
-        catalog = catalog.filter(F.col("Path").startswith(path_prefix))
+        catalog = catalog.filter(text_startswith("Path", path_prefix, case_sensitive))
     out = _permissions(catalog, policies, policy_user_role, users, roles)
     return sort_balanced(out, "_name", "ObjectPath", "UserName", "RoleName").drop("_name")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.functions.temporal import coded_datetime, coded_duration_text
-from opslog.functions.text import package_file_name
+from opslog.functions.text import package_file_name, text_equals, text_like
 
 # LIKE mask of a GUID-shaped job name (13 any, -, 4, -, 4, -, 12 any);
 # package steps (subsystem, command pattern, file extension, path separator);
@@ -63,7 +63,8 @@ def last_job_run(history: DataFrame, steps: DataFrame, jobs: DataFrame,
 def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
                        subsystem: str = PACKAGE_SUBSYSTEM, command_pattern: str = PACKAGE_COMMAND_PATTERN,
                        extension: str = PACKAGE_EXTENSION, separator: str = PACKAGE_PATH_SEPARATOR,
-                       error_event: str = ERROR_EVENT, max_length: int = ERROR_MESSAGE_LENGTH) -> DataFrame:
+                       error_event: str = ERROR_EVENT, max_length: int = ERROR_MESSAGE_LENGTH,
+                       case_sensitive: bool = True) -> DataFrame:
     """First error message of the newest operation of each step's package, for all steps.
 
     Set-based form of the per-step table function: returns job_id, step_id,
@@ -79,13 +80,14 @@ def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
     becomes a WindowGroupLimit applied before and after the shuffle, so a huge
     operation contributes at most its first rows to the exchange.
     """
+    cs = case_sensitive
     sp = (
-        steps.filter((F.col("subsystem") == subsystem) & F.col("command").like(command_pattern))
-        .select("job_id", "step_id", package_file_name("command", extension, separator).alias("PackageName"))
+        steps.filter(text_equals("subsystem", subsystem, cs) & text_like("command", command_pattern, cs))
+        .select("job_id", "step_id", package_file_name("command", extension, separator, cs).alias("PackageName"))
         .filter(F.col("PackageName").isNotNull())
     )
     newest = event_messages.groupBy("package_name").agg(F.max("operation_id").alias("operation_id"))
-    errors = event_messages.filter(F.col("event_name") == error_event).join(
+    errors = event_messages.filter(text_equals("event_name", error_event, cs)).join(
         newest, ["operation_id", "package_name"], "inner"
     )
     w = Window.partitionBy("operation_id").orderBy(F.col("message_time").asc(), F.col("event_message_id").asc())
@@ -97,7 +99,9 @@ def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
         )
         .filter(F.col("RankNum") == 1)
     )
-    return sp.join(first_errors, sp["PackageName"] == first_errors["package_name"], "inner").select(
+    same_package = (sp["PackageName"] == first_errors["package_name"]) if cs else (
+        F.lower(sp["PackageName"]) == F.lower(first_errors["package_name"]))
+    return sp.join(first_errors, same_package, "inner").select(
         "job_id", "step_id", "PackageName", "ErrorMessage", "RankNum"
     )
 

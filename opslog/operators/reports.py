@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.numeric import bytes_to_kb, int_div
 from opslog.functions.temporal import elapsed_clock_text, second_boundaries, seconds_as_time_text
-from opslog.functions.text import parent_folder, strip_domain
+from opslog.functions.text import parent_folder, strip_domain, text_equals
 from opslog.operators.ordering import sort_balanced
 from opslog.sources.logstore import period_bounds
 
@@ -48,7 +48,7 @@ def _with_report(log: DataFrame, catalog: DataFrame, *cat_cols: str) -> DataFram
     return log.join(c, log["ReportID"] == c["_item"], "inner").drop("_item")
 
 
-def execution_history(log: DataFrame, catalog: DataFrame, domain: str) -> DataFrame:
+def execution_history(log: DataFrame, catalog: DataFrame, domain: str, case_sensitive: bool = True) -> DataFrame:
     """Report execution history: log joined to the catalog, with folder, duration,
     user without domain and size in KB."""
     j = _with_report(log, catalog, "Name", "Path")
@@ -59,7 +59,7 @@ def execution_history(log: DataFrame, catalog: DataFrame, domain: str) -> DataFr
         "TimeEnd",
         seconds_as_time_text(second_boundaries("TimeStart", "TimeEnd")).alias("Duration"),
         "Parameters",
-        strip_domain("UserName", domain).alias("UserName"),
+        strip_domain("UserName", domain, case_sensitive).alias("UserName"),
         F.col("Format").alias("ReportFormat"),
         "Status",
         "TimeDataRetrieval",
@@ -101,10 +101,11 @@ def running_now(running_jobs: DataFrame, users: DataFrame, now=None,
     )
 
 
-def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str) -> DataFrame:
+def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str,
+                case_sensitive: bool = True) -> DataFrame:
     """Runs of one report after ``since``, newest first, with command duration."""
     l = _after(log, since, inclusive=False)
-    c = catalog.filter(F.col("Name") == report_name)
+    c = catalog.filter(text_equals("Name", report_name, case_sensitive))
     j = _with_report(l, c, "Name", "Path")
     out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportPath"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.functions.text import text_equals
 from opslog.operators.jobs import PACKAGE_SUBSYSTEM
 from opslog.operators.ordering import sort_balanced
 from opslog.schemas import JOB_FAILURES, STATE_COLUMNS
@@ -91,7 +92,8 @@ def suppress_ignored(state: DataFrame, ignore: DataFrame) -> DataFrame:
     return j.select(*[flag.alias(c) if c == "UpdateFlag" else F.col(c) for c in STATE_COLUMNS])
 
 
-def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str = PACKAGE_SUBSYSTEM) -> DataFrame:
+def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str = PACKAGE_SUBSYSTEM,
+                    case_sensitive: bool = True) -> DataFrame:
     """StepMessage of every failed package step := its package's last error message.
 
     Applies to all failed steps of that subsystem (not only new ones); a step
@@ -100,7 +102,7 @@ def enrich_failures(state: DataFrame, package_errors: DataFrame, subsystem: str
     """
     pe = package_errors.groupBy("job_id", "step_id").agg(F.min("ErrorMessage").alias("_err"))
     j = state.join(pe, (state["JobID"] == pe["job_id"]) & (state["StepID"] == pe["step_id"]), "left")
-    failed = (F.col("LastRunOutcome") == 0) & (F.col("SubSystem") == subsystem)
+    failed = (F.col("LastRunOutcome") == 0) & text_equals("SubSystem", subsystem, case_sensitive)
     msg = F.when(failed, F.col("_err")).otherwise(F.col("StepMessage"))
     return j.select(*[msg.alias(c) if c == "StepMessage" else F.col(c) for c in STATE_COLUMNS])
 

@@ -106,3 +106,19 @@ def test_second_boundaries_ignore_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert out == [7200]
+
+
+def test_case_insensitive_mode(spark):
+    from opslog.functions import text_equals, text_like, text_replace, text_startswith
+
+    df = spark.createDataFrame([("DOM\\Alice", '/FILE "C:\\SSIS\\Pkg.DTSX"')], "u string, c string")
+    r = df.select(
+        text_replace("u", "dom\\", "", case_sensitive=False).alias("a"),
+        text_replace("u", "dom\\", "").alias("b"),
+        text_equals("u", "dom\\alice", case_sensitive=False).alias("c"),
+        text_startswith("u", "DOM", case_sensitive=True).alias("d"),
+        text_like("c", "%ssis%", case_sensitive=False).alias("e"),
+        package_file_name("c", case_sensitive=False).alias("f"),
+        package_file_name("c").alias("g"),
+    ).first()
+    assert (r.a, r.b, r.c, r.d, r.e, r.f, r.g) == ("Alice", "DOM\\Alice", True, True, True, "Pkg.dtsx", None)
