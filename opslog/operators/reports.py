@@ -86,7 +86,14 @@ def running_now(running_jobs: DataFrame, users: DataFrame, now=None,
     now_c = F.current_timestamp().cast("timestamp_ntz") if now is None else ts_lit(now)
     cutoff = now_c - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(min_age_minutes))
     rj = running_jobs.filter(F.col("StartDate") < cutoff)
-    u = users.select(F.col("UserID").alias("_uid"), F.col("UserName"))
+    # Few requests run at a time, but the user table can be large, and an
+    # outer join may only build (broadcast) its non-preserved side. So the
+    # users are first cut down to the ids the requests reference (a semi-join
+    # against a small distinct set, broadcast by AQE); the outer join then
+    # sees a small right side, and the user table is never shuffled.
+    ids = rj.select(F.col("UserId").alias("_ref")).distinct()
+    u = users.join(ids, users["UserID"] == ids["_ref"], "left_semi").select(
+        F.col("UserID").alias("_uid"), F.col("UserName"))
     j = rj.join(u, rj["UserId"] == u["_uid"], "left")
     status = (
         F.when(F.col("JobStatus").isin(*STATUS_SUCCESS), "Success")
