@@ -12,7 +12,9 @@ from opslog.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="opslog-test-ckpt-")
-    s = build_session("local[4]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    wh = tempfile.mkdtemp(prefix="opslog-test-warehouse-")
+    s = build_session("local[4]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

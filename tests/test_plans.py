@@ -121,3 +121,29 @@ def test_day_partitioned_log_prunes_folders(spark):
     assert q.first()["NumReports"] == 2
     cat = spark.createDataFrame([(1, "r")], "ItemID long, Name string")
     assert runs_in_range(log, cat, "2024-01-02 00:00:00", "2024-01-02 23:00:00").count() == 1
+
+
+def test_bucketed_log_and_catalog_join_without_exchange(spark):
+    import uuid
+
+    from opslog.operators import execution_history
+    from opslog.sources.bucketed import save_bucketed
+
+    suffix = uuid.uuid4().hex[:8]
+    log = spark.createDataFrame(
+        [(i % 7, "DOM\\u", "PDF", "k", "ok", None, None, 1, 2, 3, 2048, 1) for i in range(50)],
+        "ReportID long, UserName string, Format string, Parameters string, Status string, TimeStart timestamp_ntz, "
+        "TimeEnd timestamp_ntz, TimeDataRetrieval int, TimeProcessing int, TimeRendering int, ByteCount long, RowCount long")
+    cat = spark.createDataFrame([(i, f"r{i}", f"/f/r{i}") for i in range(7)], "ItemID long, Name string, Path string")
+    save_bucketed(log, f"log_{suffix}", "ReportID", 4)
+    save_bucketed(cat, f"cat_{suffix}", "ItemID", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = execution_history(spark.table(f"log_{suffix}"), spark.table(f"cat_{suffix}"), "DOM\\")
+        p = plan(q)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert q.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
