@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -20,8 +21,11 @@ SPREAD_KEYS = {
 }
 
 
-# Split count per file: deciding needs a planned scan, and the files are read-only.
+# Split count and schema per file: deciding the split count needs a planned
+# scan and inferring the schema runs a small job; the files are read-only, so
+# both are worked out once per path.
 _SPLITS: dict[tuple[str, int], int] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
@@ -35,7 +39,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None
     splits, as at scale, nothing is added.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
+    if path in _SCHEMAS:
+        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
     if spread is None:
         spread = os.environ.get("OPSLOG_SPREAD_SMALL_INPUTS", "1") != "0"
     key = SPREAD_KEYS.get(name)
