@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.functions.text import parent_folder
+from opslog.functions.text import parent_folder, text_contains
 from opslog.functions.xmlvalue import xml_fail_if_malformed, xml_first_text, xml_is_wellformed, xml_root_is, xml_text
 from opslog.operators.ordering import sort_balanced
 
@@ -84,15 +84,23 @@ FIRST_SETTING_PATH = "//ParameterValue/Value"
 
 def subscriptions_matching(catalog: DataFrame, subscriptions: DataFrame, text: str,
                            case_sensitive: bool = True) -> DataFrame:
-    """Subscriptions whose first setting value contains ``text``, with their report."""
-    s = subscriptions.select(
+    """Subscriptions whose first setting value contains ``text``, with their report.
+
+    A cheap necessary test on the raw document runs first, so the XPath
+    evaluation (a DOM parse per row) only runs for candidates: a value can
+    contain ``text`` only if the document contains it literally, unless the
+    document uses references (``&``), CDATA, comments or carriage returns,
+    which can encode or split characters; such documents are always checked.
+    """
+    raw = F.col("ExtensionSettings")
+    candidate = (text_contains(raw, text, case_sensitive) | raw.contains("&") | raw.contains("<![CDATA[")
+                 | raw.contains("<!--") | raw.contains("\r"))
+    s = subscriptions.filter(candidate).select(
         "SubscriptionID", "Report_OID",
         xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH).alias("ExtSettingsXML"),
         F.col("ExtensionSettings").alias("ActualXML"),
     )
-    v = F.col("ExtSettingsXML")
-    hit = v.contains(text) if case_sensitive else F.lower(v).contains(text.lower())
-    s = s.filter(hit)
+    s = s.filter(text_contains(F.col("ExtSettingsXML"), text, case_sensitive))
     c = catalog.select("ItemID", "Path", "Name")
     j = c.join(s, c["ItemID"] == s["Report_OID"], "inner")
     out = j.select(

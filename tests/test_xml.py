@@ -147,3 +147,16 @@ def test_strict_mode_fails_on_malformed_and_quarantine_lists_it(spark):
     assert [(r["ItemID"], r["Reason"]) for r in bad] == [(1, "malformed XML")]
     bin_cat = spark.createDataFrame([(7, "/x", b"\xff\xfe"), (8, "/y", good.encode())], "ItemID long, Path string, Content binary")
     assert [(r["ItemID"], r["Reason"]) for r in rows(invalid_documents(bin_cat))] == [(7, "not UTF-8")]
+
+
+def test_subscriptions_prefilter_keeps_encoded_and_split_values(spark):
+    cat = catalog(spark, [None])
+    subs = spark.createDataFrame([
+        (1, 0, "<P><ParameterValue><Value>&#97;lice@x</Value></ParameterValue></P>"),
+        (2, 0, "<P><ParameterValue><Value>al<![CDATA[ice]]>@x</Value></ParameterValue></P>"),
+        (3, 0, "<P><ParameterValue><Value>al<!-- c -->ice@x</Value></ParameterValue></P>"),
+        (4, 0, "<P><ParameterValue><Value>bob@x</Value></ParameterValue><X>alice</X></P>"),
+        (5, 0, "<P><ParameterValue><Value>bob@x</Value></ParameterValue></P>"),
+    ], "SubscriptionID long, Report_OID long, ExtensionSettings string")
+    out = sorted((r["SubscriptionID"], r["ExtSettingsXML"]) for r in rows(subscriptions_matching(cat, subs, "alice")))
+    assert out == [(1, "alice@x"), (2, "alice@x"), (3, "alice@x")]
