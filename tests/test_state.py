@@ -122,3 +122,23 @@ def test_notification_three_runs(spark):
     assert r3["report_path"] is not None
     assert [(r["JobID"], r["InstanceID"]) for r in rows(store.read())] == [("j1", 3)]
     assert store.versions() == [1, 2, 3, 4, 5, 6]
+
+
+def test_run_notification_entry_point(spark):
+    from opslog.plans.registry import Tables
+    from opslog.plans.run_notification import main
+
+    root = tempfile.mkdtemp(prefix="opslog-entry-")
+    t = Tables(spark, "/root/testdata/sf0.001")
+    args = []
+    for name, df in [("history", t.job_history), ("steps", t.job_steps), ("jobs", t.jobs),
+                     ("event-messages", t.event_messages), ("ignore", t.ignore_jobs)]:
+        path = os.path.join(root, name)
+        df.write.parquet(path)
+        args += [f"--{name}", path]
+    args += ["--server", "S", "--state-root", os.path.join(root, "state"), "--report-root", os.path.join(root, "rep")]
+    first = main(args, spark)
+    second = main(args, spark)
+    assert (first["state_version"], first["final_version"]) == (1, 2)
+    assert first["report_path"] is not None and second["report_path"] is None  # nothing new the second time
+    assert second["final_version"] == 4
