@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.caseSensitive": "false",
 }
 
+# Private folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "opslog", extra: dict | None = None) -> SparkSession:
@@ -40,17 +43,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a private
-    folder is created and set, so cluster jobs always use the shared one.
+    Read from the session. Where it is unset, a local session (one machine)
+    gets a private folder for its lifetime; any other master is refused,
+    because a machine-local folder cannot be read by the other executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(sc.applicationId)
     if not d:
-        d = tempfile.mkdtemp(prefix="opslog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/") if not d.endswith("://") else d
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="opslog-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
+    return d if d.endswith("://") else d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
