@@ -4,8 +4,8 @@ Targets: sources in code-point order (null last) share the corpus by repeating
 weights; no source exceeds ``max_repeat`` times its size and the excess is
 shared again by weight. Every source's documents are put in a seeded random
 order and cut into blocks of about ``block_words`` words. The mix takes whole
-epochs of all blocks and then a partial epoch, up to the target; its last
-document is the one whose size comes closest to what is missing. That gives
+epochs of all blocks and then a partial epoch, up to the target, which is
+filled up with the documents whose sizes come closest to what is missing. That gives
 every source an exact quota of block draws. A binary tree deals the quota
 vector out to the output shards: each split draws the left half's share from
 the multivariate hypergeometric distribution, so all leaves add up to the
@@ -43,6 +43,11 @@ MAX_REPEAT = 3
 BLOCK_WORDS = 1 << 16
 SHARD_BLOCKS = 64
 SEED = 20240
+# Tables with a row per source or partition are broadcast up to this many rows (about 10 MB), else joined.
+BROADCAST_ROWS = 100_000
+# What is missing to a target is filled up in rounds, until it is below this share of the target.
+FILL_ROUNDS = 8
+TOLERANCE = 0.0002
 # Nodes of the splitting tree that the driver expands; the rest is expanded in tasks.
 DRIVER_NODES = 1024
 
@@ -137,6 +142,11 @@ def _placed(sized: DataFrame, seed: int) -> DataFrame:
                   "mix")
 
 
+def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+
+
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
          block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -157,10 +167,10 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
     rest = [round(t - e * s) for t, e, s in zip(goal, full, sizes)]
     start = np.array([[0, 0], *[[r[1], r[2]] for r in sums]], np.int64).cumsum(axis=0)
 
-    by_part = spark.createDataFrame([(p, int(a), int(b)) for (p, _, _), (a, b) in zip(parts, at)],
-                                    "part int, part_words long, part_rows long")
-    by_source = spark.createDataFrame(
-        [(i, r[0], sizes[i], float(goal[i]), full[i], rest[i], int(start[i][0]), int(start[i][1]))
+    by_part = _small(spark, [(p, int(a), int(b)) for (p, _, _), (a, b) in zip(parts, at)],
+                     "part int, part_words long, part_rows long")
+    by_source = _small(
+        spark, [(i, r[0], sizes[i], float(goal[i]), full[i], rest[i], int(start[i][0]), int(start[i][1]))
          for i, r in enumerate(sums)],
         "s int, src string, source_size long, target double, epochs int, rest long, s_words long, s_rows long")
     rows = (placed.join(by_part, "part").join(by_source, F.col("source").eqNullSafe(F.col("src")))
@@ -170,24 +180,37 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
             .withColumn("prefix", (F.col("rest") > 0) & (F.col("p") + F.col("size") <= F.col("rest")))
             .drop("src", "part_words", "part_rows", "words", "s_words", "s_rows", "n"))
 
-    # per source: words and blocks of the partial epoch, and the document that fills it up best
+    # per source: words and blocks of the partial epoch, and the documents that fill it up best
     ends = {r["s"]: r for r in rows.groupBy("s").agg(
         (F.max("block") + 1).alias("blocks"), F.max(F.when(F.col("prefix"), F.col("block"))).alias("last"),
         F.coalesce(F.sum(F.when(F.col("prefix"), F.col("size"))), F.lit(0)).alias("words")).collect()}
-    gap = spark.createDataFrame([(i, int(rest[i] - r["words"]), 0 if r["last"] is None else int(r["last"]))
-                                 for i, r in ends.items()], "s int, missing long, last long")
-    open_ = rows.join(gap, "s").where("not prefix and size > 0 and abs(missing - size) < missing")
-    tops = open_.groupBy("s").agg(F.min(F.struct(F.abs(F.col("missing") - F.col("size")).alias("off"), "p", "part", "at"))
-                                  .alias("t"))
-    top = {r["s"]: (r["t"]["part"], r["t"]["at"]) for r in tops.collect()}
-    extra = spark.createDataFrame([(p, a, True) for p, a in top.values()], "part int, at long, topped boolean")
+    missing = {i: int(rest[i] - r["words"]) for i, r in ends.items()}
+    top: list[tuple[int, int, int]] = []  # (source, part, at) of the documents that fill up, few per source
+    for _ in range(FILL_ROUNDS):
+        wanted = [(i, m) for i, m in missing.items() if m > TOLERANCE * goal[i]]
+        if not wanted:
+            break
+        gap = _small(spark, wanted, "s int, missing long")
+        used = _small(spark, [(p, a) for _, p, a in top], "part int, at long")
+        open_ = (rows.where("not prefix and size > 0").join(gap, "s").where("abs(missing - size) < missing")
+                 .join(used, ["part", "at"], "left_anti"))
+        # the largest that still fits; only where none does, one that overshoots by less than is missing
+        over, off = (F.col("size") > F.col("missing")).alias("over"), F.abs(F.col("missing") - F.col("size")).alias("off")
+        found = open_.groupBy("s").agg(F.min(F.struct(over, off, "p", "part", "at", "size")).alias("t")).collect()
+        if not found:
+            break
+        for r in found:
+            top.append((r["s"], r["t"]["part"], r["t"]["at"]))
+            missing[r["s"]] -= r["t"]["size"]
+    extra = _small(spark, [(p, a, True) for _, p, a in top], "part int, at long, topped boolean")
+    filled = {i for i, _, _ in top}
 
     blocks = {i: int(r["blocks"]) for i, r in ends.items()}
-    tail = {i: (0 if r["last"] is None else int(r["last"]) + 1) or int(i in top) for i, r in ends.items()}
+    tail = {i: (0 if r["last"] is None else int(r["last"]) + 1) or int(i in filled) for i, r in ends.items()}
     quota = np.array([full[i] * blocks.get(i, 0) + tail.get(i, 0) for i in range(len(sums))], np.int64)
     units = _units(spark, quota, [blocks.get(i, 0) for i in range(len(sums))], shard_blocks, seed)
 
-    last = spark.createDataFrame([(i, max(t - 1, 0)) for i, t in tail.items()], "s int, tail long")
+    last = _small(spark, [(i, max(t - 1, 0)) for i, t in tail.items()], "s int, tail long")
     copies = (rows.join(extra, ["part", "at"], "left").join(last, "s")
               .select("part", "at", "s", F.explode(F.concat(
                   F.when(F.col("epochs") > 0, F.transform(F.sequence(F.lit(0), F.col("epochs") - 1), lambda e: F.struct(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opslog.llm.common import connected_components, stored
+from opslog.llm.common import connected_components, partitions, stored
 
 BITS = 64
 SEED = 42
@@ -80,7 +80,8 @@ def ball_links(fps: DataFrame, max_bits: int) -> DataFrame:
     if max_bits % 2:
         raise ValueError("ball hashing meets in the middle: max_bits must be even")
     masks = F.array(*[F.lit(m).cast("long") for m in ball(max_bits // 2)])
-    met = (fps.select("fp", F.explode(masks).alias("mask"))
+    # spread first: a few rows in grow by the size of the ball
+    met = (fps.repartition(partitions(fps.sparkSession), "fp").select("fp", F.explode(masks).alias("mask"))
            .select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
            .withColumn("low", F.min("fp").over(Window.partitionBy("variant"))))
     return (met.where("fp <> low").select(F.col("fp").alias("u"), F.col("low").alias("v")).distinct()
