@@ -36,10 +36,10 @@ from opslog.session import checkpoint_dir
 
 END = 2
 MAX_LENGTH = 18
-BLOCK_IDS = 1 << 16
-CHECKPOINT = 128
+BLOCK_IDS = 1 << 17
+CHECKPOINT = 32
 BLOCKS = ("part int, block int, before long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
-          "offsets array<long>, payload binary")
+          "checkpoints binary, payload binary")
 
 
 def code_lengths(counts: dict[int, int], limit: int = MAX_LENGTH) -> dict[int, int]:
@@ -77,50 +77,57 @@ def canonical(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.array(order, np.int64), ln, codes
 
 
-def encode(ids: np.ndarray, length_of: np.ndarray, code_of: np.ndarray, step: int = CHECKPOINT) -> tuple[bytes, np.ndarray]:
-    """(packed bits, bit offset of every ``step``-th id). Codes have at most 32 bits."""
-    ln = length_of[ids]
+def encode(ids: np.ndarray, packed_of: np.ndarray, step: int = CHECKPOINT) -> tuple[bytes, bytes]:
+    """(packed bits, bits of each run of ``step`` ids as 16-bit numbers).
+
+    ``packed_of`` holds every id's code, shifted left by 5, and its length.
+    """
+    got = packed_of[ids]
+    ln = got & 31
     ends = np.cumsum(ln)
     at = ends - ln
     total = int(ends[-1]) if len(ids) else 0
-    word, shift = at >> 5, (at & 31)
-    wide = code_of[ids].astype(np.uint64) << (64 - ln - shift).astype(np.uint64)
-    words = np.zeros((total + 31) // 32 + 2)
-    # bits of different codes never overlap, and 32-bit sums are exact in doubles
-    words += np.bincount(word, weights=(wide >> np.uint64(32)).astype(np.float64), minlength=len(words))
-    words += np.bincount(word + 1, weights=(wide & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=len(words))
-    return words.astype(">u4").tobytes()[:(total + 7) // 8], at[::step]
-
-
-def decode_table(ids: np.ndarray, ln: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(id, length) of whatever code the next ``bits`` bits begin with."""
+    word = at >> 5
+    wide = (got >> 5).view(np.uint64) << (64 - ln - (at & 31)).view(np.uint64)
+    # codes that begin in the same 32-bit word never overlap, so their sum is their union; what
+    # reaches over the word's end goes to the next one
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    sums = np.add.reduceat(wide, first) if len(ids) else np.zeros(0, np.uint64)
+    words = np.zeros((total + 31) // 32 + 2, np.uint64)
+    words[word[first]] += sums >> np.uint64(32)
+    words[word[first] + 1] += sums & np.uint64(0xFFFFFFFF)
+    runs = np.diff(np.append(at[::step], total)).astype("<u2")
+    return words.astype(">u4").tobytes()[:(total + 7) // 8], runs.tobytes()
+
+
+def decode_table(ids: np.ndarray, ln: np.ndarray) -> tuple[np.ndarray, int]:
+    """(id shifted left by 5, and length) of whatever code the next ``bits`` bits begin with."""
     bits = int(ln.max()) if len(ln) else 1
-    sym, lens = np.zeros(1 << bits, np.int64), np.ones(1 << bits, np.int64)
+    table = np.ones(1 << bits, np.int64)
     span = 1 << (bits - ln)
-    sym[:span.sum()] = np.repeat(ids, span)  # canonical codes fill the table in order
-    lens[:span.sum()] = np.repeat(ln, span)
-    return sym, lens, bits
+    table[:span.sum()] = np.repeat(ids << 5 | ln, span)  # canonical codes fill the table in order
+    return table.astype(np.int32), bits
 
 
-def decode(payload: bytes, offsets: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray, int],
-           step: int = CHECKPOINT) -> np.ndarray:
+def decode(payload: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarray, int], step: int = CHECKPOINT) -> np.ndarray:
     """The ids of a block; its segments between checkpoints advance together."""
-    sym, lens, bits = table
+    code, bits = table
     raw = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint64)
-    wide = (raw[:-4] << np.uint64(32)) | (raw[1:-3] << np.uint64(24)) | (raw[2:-2] << np.uint64(16)) \
-        | (raw[3:-1] << np.uint64(8)) | raw[4:]
-    out = np.zeros((len(offsets), step), np.int64)
-    at, mask = np.asarray(offsets, np.int64).copy(), np.uint64((1 << bits) - 1)
-    last = n - (len(offsets) - 1) * step  # ids in the last segment
+    wide = ((raw[:-4] << np.uint64(32)) | (raw[1:-3] << np.uint64(24)) | (raw[2:-2] << np.uint64(16))
+            | (raw[3:-1] << np.uint64(8)) | raw[4:]).view(np.int64)
+    runs = np.frombuffer(checkpoints, "<u2").astype(np.int64)
+    at, mask = np.cumsum(runs) - runs, (1 << bits) - 1
+    out = np.zeros((step, len(at)), np.int32)
+    last = n - (len(at) - 1) * step  # ids in the last segment
     for k in range(step):
         live = len(at) if k < last else len(at) - 1
         if live <= 0:
             break
         pos = at[:live]
-        nxt = (wide[pos >> 3] >> (40 - bits - (pos & 7)).astype(np.uint64)) & mask
-        out[:live, k] = sym[nxt]
-        at[:live] += lens[nxt]
-    return out.reshape(-1)[:n]
+        got = code[(wide[pos >> 3] >> (40 - bits - (pos & 7))) & mask]
+        out[k, :live] = got >> 5
+        pos += got & 31
+    return out.T.reshape(-1)[:n]
 
 
 def token_ids(docs: DataFrame, end: int = END, tokenizer: str | None = None,
@@ -155,13 +162,12 @@ def write_files(ids: DataFrame, path: str) -> None:
     """Write (doc_id, ids) rows in ascending id order as Huffman-coded blocks under ``path``."""
     spark = ids.sparkSession
     coded, ln, codes = canonical(code_lengths(count_ids(ids)))
-    length_of, code_of = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-    length_of[coded], code_of[coded] = ln, codes
+    packed_of = np.zeros(1 << 16, np.int64)
+    packed_of[coded] = codes << 5 | ln
     spark.createDataFrame(list(zip(coded.tolist(), ln.tolist())), "id long, length long").coalesce(1).write.parquet(f"{path}/codes")
-    tables = spark.sparkContext.broadcast((length_of, code_of))
+    shared = spark.sparkContext.broadcast(packed_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        length_of, code_of = tables.value
         part, block, before = TaskContext.get().partitionId(), 0, 0
         docs: list = []
         texts: list[bytes] = []
@@ -169,10 +175,10 @@ def write_files(ids: DataFrame, path: str) -> None:
 
         def out() -> pa.RecordBatch:
             x = np.frombuffer(b"".join(texts), "<u2")
-            payload, offsets = encode(x, length_of, code_of)
-            row = (part, block, before, len(x), docs, [len(t) // 2 for t in texts], offsets.tolist(), payload)
+            payload, checkpoints = encode(x, shared.value)
+            row = (part, block, before, len(x), docs, [len(t) // 2 for t in texts], checkpoints, payload)
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()),
-                     pa.list_(pa.int64()), pa.binary())
+                     pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)],
                                               [c.split()[0] for c in BLOCKS.split(", ")])
 
@@ -195,20 +201,20 @@ def write_files(ids: DataFrame, path: str) -> None:
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, ids) of every document: ids as little-endian 32-bit numbers."""
     rows = spark.read.parquet(f"{path}/codes").collect()  # one per id in use
-    canon = canonical({r["id"]: r["length"] for r in rows})
+    coded, ln, _ = canonical({r["id"]: r["length"] for r in rows})
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     files = sorted((r["part"], r["n"]) for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     first, total = {}, 0
     for part, n in files:
         first[part], total = total, total + n
-    shared = spark.sparkContext.broadcast((canon, first))
+    shared = spark.sparkContext.broadcast((coded, ln, first))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        canon, first = shared.value
-        table = decode_table(*canon)
+        coded, ln, first = shared.value
+        table = decode_table(coded, ln)
         for b in batches:
             for r in b.to_pylist():
-                x = decode(r["payload"], np.array(r["offsets"], np.int64), r["n_ids"], table).astype("<u4")
+                x = decode(r["payload"], r["checkpoints"], r["n_ids"], table).astype("<u4")
                 ends = np.cumsum(r["doc_lengths"], dtype=np.int64)
                 starts = ends - np.array(r["doc_lengths"], np.int64)
                 yield pa.RecordBatch.from_arrays(

@@ -15,8 +15,9 @@ from functools import lru_cache
 import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
-# Entries kept in a worker's word table: about 200 bytes each.
+# Entries kept in a worker's tables of words and of the pieces they are made of: about 200 bytes each.
 WORDS_KEPT = 500_000
+PIECES_KEPT = 700_000
 
 # Characters whose case folding, normal form and class need no Unicode tables.
 _LETTERS = "a-zß-öø-ÿ"
@@ -30,6 +31,24 @@ def default_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+# Separators that Python's split() cuts at and the tokenizer does not.
+_NOT_BLANK = re.compile("[\x1c-\x1f]")
+
+
+class _Table(dict):
+    """A bounded word table: a missing entry is made, and a full table emptied first."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """``ids(text)`` gives the ids of a text as little-endian uint16 bytes."""
 
@@ -40,42 +59,36 @@ class Encoder:
         if self.full.get_vocab_size() > 1 << 16:
             raise ValueError("ids above 65535 do not fit this encoder")
         self.merge = self.full.model.tokenize
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = _Table(self._word, WORDS_KEPT), _Table(self._piece, PIECES_KEPT)
         # the printable stand-in of each byte, as in the tokenizer's byte alphabet
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
         self.byte_text = {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            as_text = piece if piece.isascii() else "".join(map(self.byte_text.__getitem__, piece.encode()))
-            got = np.array([t.id for t in self.merge(as_text)], "<u2").tobytes()
-            if len(self.pieces) >= WORDS_KEPT:
-                self.pieces.clear()
-            self.pieces[piece] = got
-        return got
+        as_text = piece if piece.isascii() else "".join(map(self.byte_text.__getitem__, piece.encode()))
+        return np.array([t.id for t in self.merge(as_text)], "<u2").tobytes()
 
     def _word(self, word: str) -> bytes:
         if _PLAIN.fullmatch(word) and "<|" not in word:
-            return b"".join([self._piece(p) for p in _PIECES.findall(word.lower())])
-        return np.array(self.full.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
+        return self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words, out = self.words, []
-        # the blanks every part of the tokenizer agrees on
-        for word in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
-            got = words.get(word)
-            if got is None:
-                got = self._word(word) if word else b""
-                if len(words) >= WORDS_KEPT:
-                    words.clear()
-                words[word] = got
-            out.append(got)
-        return b"".join(out)
+        if _NOT_BLANK.search(text):
+            return self._whole(text)
+        if "<|" not in text:
+            try:  # Latin-1 text folds here as in the tokenizer, so that one entry serves all cases of a word
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)

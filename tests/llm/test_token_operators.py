@@ -37,6 +37,7 @@ ODD = ["don't I'LL 'S x's 're'S''t", "a<|endoftext|>b <|startoftext|> <|end", "
 
 def test_word_table_equals_the_library(tokenizer):
     texts = ODD + [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()]
+    texts += [f"a{chr(c)}b" for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)]
     texts += ["".join(random.Random(i).choices("aB'é 3.\n\t<|>ßÜñsdtrevmĺ ", k=60)) for i in range(400)]
     enc = encoder()
     for t in texts:
@@ -74,11 +75,11 @@ def test_block_round_trip(n):
     ids = np.minimum(rng.geometric(0.01, n), 49_000) if n else np.zeros(0, np.int64)
     counts = dict(Counter(ids.tolist())) or {3: 1}
     coded, ln, codes = huffman.canonical(huffman.code_lengths(counts))
-    length_of, code_of = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-    length_of[coded], code_of[coded] = ln, codes
-    payload, offsets = huffman.encode(ids, length_of, code_of)
-    assert len(payload) == (int(length_of[ids].sum()) + 7) // 8
-    assert (huffman.decode(payload, offsets, n, huffman.decode_table(coded, ln, codes)) == ids).all()
+    packed_of = np.zeros(1 << 16, np.int64)
+    packed_of[coded] = codes << 5 | ln
+    payload, checkpoints = huffman.encode(ids, packed_of)
+    assert len(payload) == (int((packed_of[ids] & 31).sum()) + 7) // 8
+    assert (huffman.decode(payload, checkpoints, n, huffman.decode_table(coded, ln)) == ids).all()
 
 
 def test_token_files_round_trip(spark, tokenizer):
