@@ -14,7 +14,6 @@ from opslog.functions.text import (  # noqa: F401
     html_escape,
     package_file_name,
     parent_folder,
-    right_pad_zero,
     strip_domain,
     text_contains,
     text_equals,

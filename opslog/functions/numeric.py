@@ -13,9 +13,7 @@ def _c(x) -> Column:
 def int_div(a, b) -> Column:
     """Integer division truncated toward zero (``a div b``); NULL when b is 0."""
     a, b = _c(a).cast("long"), _c(b).cast("long")
-    # a - a % b is an exact multiple of b (the remainder has the sign of a),
-    # so the division below is exact.
-    return F.when(b != 0, ((a - a % b) / b).cast("long"))
+    return F.when(b != 0, F.call_function("div", a, b))
 
 
 def int_avg(x) -> Column:

@@ -15,11 +15,6 @@ def trimmed_length(s) -> Column:
     return F.length(F.rtrim(_c(s)))
 
 
-def right_pad_zero(x, width: int) -> Column:
-    """Zero pad keeping the *right* end: ``right('000…' + x, width)``."""
-    return F.right(F.concat(F.lit("0" * width), _c(x).cast("string")), F.lit(width))
-
-
 def parent_folder(path) -> Column:
     """Folder part of a catalog path, with its trailing slash.
 
@@ -83,7 +78,8 @@ def text_replace(c, search: str, replacement: str, case_sensitive: bool = True)
 
 
 def html_escape(s) -> Column:
-    """Escape text for an XML/HTML text node: &, < and >."""
+    """Escape text for an XML/HTML text node: &, <, > and the carriage return."""
     x = F.replace(_c(s), F.lit("&"), F.lit("&amp;"))
     x = F.replace(x, F.lit("<"), F.lit("&lt;"))
-    return F.replace(x, F.lit(">"), F.lit("&gt;"))
+    x = F.replace(x, F.lit(">"), F.lit("&gt;"))
+    return F.replace(x, F.lit("\r"), F.lit("&#x0D;"))

@@ -26,31 +26,36 @@ def xml_text(content, dtype: DataType | None = None) -> Column:
     return F.regexp_replace(c, r"^\uFEFF", "")
 
 
+# What may stand before the document element: white space, an XML declaration and processing
+# instructions, comments, and a document type. Possessive, so that a match never looks inside them.
+_PROLOG = (r"^\s*+(?:(?:<\?(?s:.*?)\?>|<!--(?s:.*?)-->|<!DOCTYPE(?:[^\[>\"']|\"[^\"]*\"|'[^']*')*+(?:\[(?s:.*?)\]\s*)?>)\s*+)*+")
+_ATTRIBUTES = r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)"
+
+
 def xml_root_is(doc, local_name: str) -> Column:
     """True when the document element has this local name (any prefix).
 
-    Skips an XML declaration and leading comments. Safe on malformed text.
+    Skips any number of instructions and comments before it. Meant for
+    documents that also parse (malformed ones are dropped by the parser);
+    safe on malformed text.
     """
-    pattern = (
-        r"^\s*(?:<\?[^>]*\?>\s*)?(?:<!--(?s:.*?)-->\s*)*<(?:[\w.-]+:)?"
-        + local_name
-        + r"[\s/>]"
-    )
-    return F.coalesce(_c(doc).rlike(pattern), F.lit(False))
+    return F.coalesce(_c(doc).rlike(_PROLOG + r"<(?:[\w.-]+:)?" + local_name + r"[\s/>]"), F.lit(False))
 
 
 def xml_root_namespace(doc, local_name: str) -> Column:
     """Namespace URI of the document element: its default ``xmlns`` when it has
     no prefix, otherwise the URI bound to its prefix on the root tag."""
     d = _c(doc)
-    tag = r"<(?:([\w.-]+):)?" + local_name + r"\b([^>]*)>"
+    tag = _PROLOG + r"<(?:([\w.-]+):)?" + local_name + r"(?=[\s/>])" + _ATTRIBUTES + r">"
     prefix = F.regexp_extract(d, tag, 1)
     attrs = F.regexp_extract(d, tag, 2)
-    default_ns = F.regexp_extract(attrs, r"\bxmlns\s*=\s*[\"']([^\"']*)[\"']", 1)
+    # a value is taken where an attribute starts, not inside another attribute's value
+    head = r"^(?:\s*+[^\s=]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*?\s+"
+    default_ns = F.regexp_extract(attrs, head + r"xmlns\s*=\s*[\"']([^\"']*)[\"']", 1)
     # the pattern depends on the row's prefix, so it is a column
     prefixed_ns = F.call_function(
         "regexp_extract", attrs,
-        F.concat(F.lit(r"\bxmlns:"), prefix, F.lit(r"\s*=\s*[\"']([^\"']*)[\"']")), F.lit(1),
+        F.concat(F.lit(head + "xmlns:"), prefix, F.lit(r"\s*=\s*[\"']([^\"']*)[\"']")), F.lit(1),
     )
     return F.when(prefix == "", default_ns).otherwise(prefixed_ns)
 
@@ -84,5 +89,6 @@ def xml_first_text(doc, path: str) -> Column:
     """
     first = f"({path})[1]"
     both = F.xpath_string(_c(doc), F.lit(f"concat(count({first}), ':', string({first}))"))
-    hit = F.when(F.startswith(both, F.lit("1:")), F.substring(both, 3, 1 << 30))
+    # through a one-element array, so that the path is evaluated once
+    hit = F.transform(F.array(both), lambda b: F.when(F.startswith(b, F.lit("1:")), F.substr(b, F.lit(3))))[0]
     return F.when(xml_is_wellformed(doc), hit)

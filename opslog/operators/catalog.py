@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from opslog.functions.text import text_equals, text_startswith
 from opslog.functions.xmlvalue import xml_fail_if_malformed, xml_root_is, xml_root_namespace, xml_text
-from opslog.operators.joins import preserving_left_join
+from opslog.operators.joins import preserving_left_join, salted_join
 from opslog.operators.ordering import sort_balanced
 
-# Catalog item type codes, credential retrieval codes, the
-# default namespace of a shared data source definition, and the label shown
-# for the item with an empty name (the root folder).
+# Catalog item type codes, credential retrieval codes, and the
+# label shown for the item with an empty name (the root folder).
 ITEM_TYPES = {1: "Folder", 2: "Report", 5: "Data Source"}
 CREDENTIAL_TYPES = {1: "User Supplied", 2: "Stored", 3: "Windows Integrated", 4: "Not Required"}
-REPORT_DATA_SOURCE_NS = "http://schemas.microsoft.com/sqlserver/reporting/2006/03/reportdatasource"
 ROOT_FOLDER_LABEL = "Root Folder"
 
 _CORRUPT = "_corrupt_record"
@@ -28,7 +26,7 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(default) if default is not None else expr
 
 
-def reports_with_sources(catalog: DataFrame, data_source: DataFrame, users: DataFrame) -> DataFrame:
+def reports_with_sources(catalog: DataFrame, data_source: DataFrame, users: DataFrame, ordered: bool = True) -> DataFrame:
     """Every report (Type 2) with its data source(s) and creator, by name."""
     c = catalog.filter(F.col("Type") == 2)
     ds = data_source.select(F.col("ItemID").alias("_ds_item"), F.col("Name").alias("DataSourceName"))
@@ -38,13 +36,13 @@ def reports_with_sources(catalog: DataFrame, data_source: DataFrame, users: Data
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportManagerPath"),
         "DataSourceName", "CreatedByUser", "CreationDate", "ModifiedDate",
     )
-    return sort_balanced(out, "ReportName")
+    return sort_balanced(out, "ReportName", ordered=ordered)
 
 
-def catalog_types(catalog: DataFrame) -> DataFrame:
+def catalog_types(catalog: DataFrame, ordered: bool = True) -> DataFrame:
     """Every catalog item with its type decoded, by name."""
     out = catalog.select("Name", "Type", _case(F.col("Type"), ITEM_TYPES, "Other").alias("TypeDescription"))
-    return sort_balanced(out, "Name")
+    return sort_balanced(out, "Name", ordered=ordered)
 
 
 def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
@@ -53,9 +51,9 @@ def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: Data
 
     The bridge is resolved against its dimensions first (a result the size of
     the bridge), then joined to the catalog on the policy: the one join that
-    multiplies rows comes last, so the expanded result is never shuffled again.
-    A policy shared by many items and many users is a hot key on both sides of
-    that join; AQE splits the larger side's partition for it.
+    multiplies rows comes last, and a policy with very many items is salted
+    there (``salted_join``). Only the sort the callers ask for shuffles the
+    expanded result; ``ordered=False`` leaves it out.
     """
     p = policies.select(F.col("PolicyID").alias("_pid"))
     pur = policy_user_role.select(
@@ -70,7 +68,7 @@ def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: Data
         .select("_pid", "UserName", "AuthType", "RoleName", "Description")
     )
     c = catalog.select("Name", "Path", "PolicyID")
-    j = c.join(grants, c["PolicyID"] == grants["_pid"], "inner")
+    j = salted_join(c, grants, "PolicyID", "_pid")
     return j.select(
         F.when(F.col("Name") == "", ROOT_FOLDER_LABEL).otherwise(F.col("Name")).alias("ObjectName"),
         F.col("Path").alias("ObjectPath"), "UserName", "RoleName", "Description", "AuthType",
@@ -80,22 +78,23 @@ def _permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: Data
 
 def user_permissions(users: DataFrame, policy_user_role: DataFrame, policies: DataFrame,
                      roles: DataFrame, catalog: DataFrame, user_name: str | None,
-                     case_sensitive: bool = True) -> DataFrame:
+                     case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
     """Every permission (item, path, role) given to one principal; all principals when None."""
     if user_name is not None:
         users = users.filter(text_equals("UserName", user_name, case_sensitive))
     out = _permissions(catalog, policies, policy_user_role, users, roles)
-    return sort_balanced(out, "_name", "UserName", "RoleName").drop("_name")
+    return sort_balanced(out, "_name", "UserName", "RoleName", ordered=ordered, case_sensitive=case_sensitive).drop("_name")
 
 
 def path_permissions(catalog: DataFrame, policies: DataFrame, policy_user_role: DataFrame,
                      users: DataFrame, roles: DataFrame, path_prefix: str | None,
-                     case_sensitive: bool = True) -> DataFrame:
+                     case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
     """Item permissions under a path prefix (a LIKE 'prefix%' test)."""
     if path_prefix is not None:
         catalog = catalog.filter(text_startswith("Path", path_prefix, case_sensitive))
     out = _permissions(catalog, policies, policy_user_role, users, roles)
-    return sort_balanced(out, "_name", "ObjectPath", "UserName", "RoleName").drop("_name")
+    return sort_balanced(out, "_name", "ObjectPath", "UserName", "RoleName", ordered=ordered,
+                         case_sensitive=case_sensitive).drop("_name")
 
 
 def _shared_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, namespace: str,
@@ -168,7 +167,7 @@ def _dependents(catalog: DataFrame, users: DataFrame, sec_data: DataFrame, data_
 
 
 def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataFrame, sec_data: DataFrame,
-                        namespace: str = REPORT_DATA_SOURCE_NS, strict: bool = False) -> DataFrame:
+                        namespace: str, strict: bool = False, ordered: bool = True) -> DataFrame:
     """Shared data sources with the number of dependent items and connection fields.
 
     Dependents are counted per link first (partial+final aggregate), so the
@@ -185,31 +184,35 @@ def shared_data_sources(catalog: DataFrame, users: DataFrame, data_source: DataF
         "ConnectionString", "DataSourceEnabled", "Extension", "CredentialType",
         "CreationDate", "CreatedBy", "ModifiedDate", "ModifiedBy", "DataSourceXML",
     )
-    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName")
+    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName", ordered=ordered)
 
 
 def data_source_dependents(catalog: DataFrame, users: DataFrame, data_source: DataFrame, sec_data: DataFrame,
-                           path: str | None = None, namespace: str = REPORT_DATA_SOURCE_NS,
-                           strict: bool = False) -> DataFrame:
+                           path: str | None, namespace: str, strict: bool = False,
+                           case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
     """Shared data sources with the name of every dependent item (one row per
     dependent; a source without dependents keeps one row with NULLs). ``path``
     keeps one data source; None keeps all.
 
     One data source may be used by a large share of all items, so the
     dependents side is never the unsplittable side of an outer join
-    (see ``preserving_left_join``).
+    (see ``preserving_left_join``); the definitions are parsed once, after the
+    path filter.
     """
-    s = _shared_sources(catalog, users, data_source, namespace, strict)
-    if path is not None:
-        s = s.filter(F.col("DataSourcePath") == path)
+    sources = catalog
+    if path is not None:  # only the data sources are cut; any item may depend on them
+        sources = catalog.filter(text_equals("Path", path, case_sensitive))
+    s = _shared_sources(sources, users, data_source, namespace, strict)
     deps = _dependents(catalog, users, sec_data, data_source)
-    j = preserving_left_join(s, deps, "_sds_item", "DSLink")
+    ids = sources.filter(F.col("Type") == 5).select("ItemID")
+    j = preserving_left_join(s, deps, "_sds_item", "DSLink", ids)
     out = j.select(
         "DataSourcePath", "SharedDataSourceName", "DSLink", "ObjectName",
         "ConnectionString", "DataSourceEnabled", "Extension", "CredentialType",
         "CreationDate", "CreatedBy", "ModifiedDate", "ModifiedBy", "DataSourceXML",
     )
-    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName")
+    return sort_balanced(out, "DataSourcePath", "SharedDataSourceName", ordered=ordered,
+                         case_sensitive=case_sensitive)
 
 
 def configuration(config: DataFrame) -> DataFrame:

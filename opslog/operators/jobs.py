@@ -29,30 +29,30 @@ def last_job_run(history: DataFrame, steps: DataFrame, jobs: DataFrame,
              last_run_date (yyyymmdd), last_run_time (hhmmss), last_run_duration (hhmmss)
     jobs:    job_id, name, enabled
 
-    Plan: the history is reduced to one row per (job_id, step_id) by a partial
-    + final aggregate (map-side combine, so a job with a third of all history
-    rows costs one row per map task in the shuffle), then joined to the steps
-    and jobs dimensions. No join-back to the history is needed: ``max_by``
-    carries the message of the newest instance.
+    Plan: the newest instance per (job_id, step_id) is a hash aggregate over
+    three narrow columns (map-side combine, so a job with a third of all
+    history rows costs one row per map task in the shuffle), cut to the steps
+    of live jobs, then joined back to the history by instance to fetch the
+    message. The second scan streams against that small side; no message
+    text is sorted or kept in an aggregation buffer.
     """
-    newest = history.groupBy("job_id", "step_id").agg(
-        F.max("instance_id").alias("instance_id"),
-        F.max_by("message", "instance_id").alias("message"),
-    )
     job_filter = F.lit(True)
     if enabled_only:
         job_filter = job_filter & (F.col("enabled") == 1)
     if exclude_guid_names:
         job_filter = job_filter & ~F.col("name").like(GUID_NAME_MASK)
     live_jobs = jobs.filter(job_filter).select("job_id", "name")
+    newest = (history.groupBy("job_id", "step_id").agg(F.max("instance_id").alias("instance_id"))
+              .join(live_jobs, "job_id", "inner"))
     s = steps.select(
         "job_id", "step_id", "step_name", "subsystem", "last_run_outcome",
         coded_datetime("last_run_date", "last_run_time").alias("LastRunDateTime"),
         coded_duration_text("last_run_duration").alias("LastRunDuration"),
     )
+    latest = history.select("job_id", "step_id", "instance_id", "message").join(
+        s.join(newest, ["job_id", "step_id"], "inner"), ["job_id", "step_id", "instance_id"], "inner")
     return (
-        s.join(newest, ["job_id", "step_id"], "inner")
-        .join(live_jobs, "job_id", "inner")
+        latest
         .select(
             "instance_id", "name", "job_id", "step_name", "step_id", "message",
             "last_run_outcome", "LastRunDateTime", "LastRunDuration", "subsystem",
@@ -86,22 +86,23 @@ def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
         .select("job_id", "step_id", package_file_name("command", extension, separator, cs).alias("PackageName"))
         .filter(F.col("PackageName").isNotNull())
     )
-    newest = event_messages.groupBy("package_name").agg(F.max("operation_id").alias("operation_id"))
-    errors = event_messages.filter(text_equals("event_name", error_event, cs)).join(
-        newest, ["operation_id", "package_name"], "inner"
+    # one name for all spellings that the comparison takes as equal
+    folded = event_messages.withColumn("_package", F.col("package_name") if cs else F.lower("package_name"))
+    newest = folded.groupBy("_package").agg(F.max("operation_id").alias("operation_id"))
+    errors = folded.filter(text_equals("event_name", error_event, cs)).join(
+        newest, ["operation_id", "_package"], "inner"
     )
     w = Window.partitionBy("operation_id").orderBy(F.col("message_time").asc(), F.col("event_message_id").asc())
     first_errors = (
         errors.select(
-            "package_name",
+            "_package",
             F.left(F.col("message"), F.lit(max_length)).alias("ErrorMessage"),
             F.rank().over(w).alias("RankNum"),
         )
         .filter(F.col("RankNum") == 1)
     )
-    same_package = (sp["PackageName"] == first_errors["package_name"]) if cs else (
-        F.lower(sp["PackageName"]) == F.lower(first_errors["package_name"]))
-    return sp.join(first_errors, same_package, "inner").select(
+    name = F.col("PackageName") if cs else F.lower("PackageName")
+    return sp.join(first_errors, name == F.col("_package"), "inner").select(
         "job_id", "step_id", "PackageName", "ErrorMessage", "RankNum"
     )
 

@@ -39,10 +39,9 @@ def failure_report(state: DataFrame, server: str, empty_null_cells: bool = False
     header, 1 = one row per failure, 2 = table end. Sorting by ``LINE_ORDER``
     gives document order. No lines at all when there is no failure.
 
-    One pass over the failures: every failure row also emits the two frame
-    lines, and ``dropDuplicates`` keeps one of each (partial aggregation
-    collapses them map-side, so at most one per map task is shuffled). Row
-    lines are unique already: each carries its state row's InstanceID.
+    Every failure gives its own line, equal ones too. The two frame lines hang on
+    a one-row existence test of the same failures, so nothing is de-duplicated
+    and no message text is shuffled.
     """
     row_html = F.concat_ws(
         "",
@@ -64,12 +63,13 @@ def failure_report(state: DataFrame, server: str, empty_null_cells: bool = False
         )
 
     none = F.lit(None)
-    lines = failure_rows(state).select(F.explode(F.array(
-        line(1, F.col("JobName"), F.col("StepName"), F.col("LastRunDateTime"), F.col("InstanceID"), row_html),
-        line(0, none, none, none, none, F.lit(head_text)),
-        line(2, none, none, none, none, F.lit(REPORT_TABLE_CLOSE)),
+    failures = failure_rows(state)
+    body = failures.select(line(1, F.col("JobName"), F.col("StepName"), F.col("LastRunDateTime"), F.col("InstanceID"),
+                                row_html).alias("_l")).select("_l.*")
+    frame = failures.select(F.lit(1).alias("_one")).limit(1).select(F.explode(F.array(
+        line(0, none, none, none, none, F.lit(head_text)), line(2, none, none, none, none, F.lit(REPORT_TABLE_CLOSE)),
     )).alias("_l")).select("_l.*")
-    return lines.dropDuplicates()
+    return body.unionByName(frame)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import MapType, StringType
 
-_UNORDERABLE = (MapType, ArrayType, StructType)
 
+def tie_breaker(df: DataFrame, *besides: str) -> Column:
+    """One 64-bit hash over the columns not named: narrow, whatever the columns hold."""
+    cols = [F.col(f.name) for f in df.schema.fields if f.name not in besides and not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
 
-def sort_balanced(df: DataFrame, *keys: Column | str) -> DataFrame:
-    """``orderBy(*keys)`` with the remaining columns appended as tie-breakers.
+
+def sort_balanced(df: DataFrame, *keys: Column | str, ordered: bool = True, case_sensitive: bool = True) -> DataFrame:
+    """``orderBy(*keys)`` with one hash of the remaining columns as the tie-breaker.
 
     A global sort range-partitions on sampled bounds of the sort key; rows with
     equal keys always land in one partition, so a value held by a third of
-    the rows would be sorted by one task. With tie-breakers the bounds can
-    fall inside such a run of equal keys and split it. The order asked for
-    is unchanged (ties had no order), and the result becomes deterministic.
+    the rows would be sorted by one task. With a tie-breaker the bounds can
+    fall inside such a run of equal keys and split it. The sample that Spark
+    collects for the bounds holds the asked keys and one long a row, never a
+    document or message column. The order asked for is unchanged (ties had no
+    order). ``ordered=False`` leaves the sort out, for callers that write to an
+    unordered store. ``case_sensitive=False`` sorts text keys without case.
     """
+    if not ordered:
+        return df
     named = {k for k in keys if isinstance(k, str)}
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    extra = [F.col(f.name).asc() for f in df.schema.fields
-             if f.name not in named and not isinstance(f.dataType, _UNORDERABLE)]
-    return df.orderBy(*key_cols, *extra)
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    cols = [k if isinstance(k, Column) else F.lower(k) if k in text and not case_sensitive else F.col(k) for k in keys]
+    return df.orderBy(*cols, tie_breaker(df, *named))

@@ -109,7 +109,7 @@ def running_now(running_jobs: DataFrame, users: DataFrame, now=None,
 
 
 def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str,
-                case_sensitive: bool = True) -> DataFrame:
+                case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
     """Runs of one report after ``since``, newest first, with command duration."""
     l = _after(log, since, inclusive=False)
     c = catalog.filter(text_equals("Name", report_name, case_sensitive))
@@ -120,25 +120,25 @@ def report_runs(log: DataFrame, catalog: DataFrame, since, report_name: str,
         "TimeDataRetrieval", "TimeProcessing", "TimeRendering",
         seconds_as_time_text(second_boundaries("TimeStart", "TimeEnd")).alias("CommandDuration"),
     )
-    return sort_balanced(out, F.col("TimeStart").desc())
+    return sort_balanced(out, F.col("TimeStart").desc(), ordered=ordered)
 
 
-def runs_since(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
+def runs_since(log: DataFrame, catalog: DataFrame, since, ordered: bool = True) -> DataFrame:
     """All runs after ``since``, newest first."""
     j = _with_report(_after(log, since, inclusive=False), catalog, "Name", "Path")
     out = j.select(
         F.col("Name").alias("ReportName"), F.col("Path").alias("ReportPath"),
         "TimeStart", "TimeEnd", "Parameters", "UserName", "Status",
     )
-    return sort_balanced(out, F.col("TimeStart").desc())
+    return sort_balanced(out, F.col("TimeStart").desc(), ordered=ordered)
 
 
-def running_requests(running_jobs: DataFrame) -> DataFrame:
+def running_requests(running_jobs: DataFrame, ordered: bool = True) -> DataFrame:
     """Every running request, oldest first."""
-    return sort_balanced(running_jobs.select("*"), F.col("StartDate").asc())
+    return sort_balanced(running_jobs.select("*"), F.col("StartDate").asc(), ordered=ordered)
 
 
-def large_renders(log: DataFrame, min_kb: int = LARGE_RENDER_KB) -> DataFrame:
+def large_renders(log: DataFrame, min_kb: int = LARGE_RENDER_KB, ordered: bool = True) -> DataFrame:
     """Log rows whose size in whole KB (truncating division) exceeds ``min_kb``,
     largest first.
 
@@ -151,23 +151,26 @@ def large_renders(log: DataFrame, min_kb: int = LARGE_RENDER_KB) -> DataFrame:
     else:
         bound = F.col("ByteCount") >= (n * 1024) + 1
     exact = int_div(F.col("ByteCount"), F.lit(1024)) > n
-    return sort_balanced(log.filter(bound & exact), F.col("ByteCount").desc())
+    return sort_balanced(log.filter(bound & exact), F.col("ByteCount").desc(), ordered=ordered)
 
 
-def runs_in_range(log: DataFrame, catalog: DataFrame, start, end) -> DataFrame:
+def runs_in_range(log: DataFrame, catalog: DataFrame, start, end, ordered: bool = True) -> DataFrame:
     """Runs started within [start, end], oldest first."""
     j = _with_report(_within(log, start, end), catalog, "Name")
     out = j.select("UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name")
-    return sort_balanced(out, F.col("TimeStart").asc())
+    return sort_balanced(out, F.col("TimeStart").asc(), ordered=ordered)
 
 
-def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
+def report_stats(log: DataFrame, catalog: DataFrame, since, case_sensitive: bool = True,
+                 ordered: bool = True) -> DataFrame:
     """Per report name: run count, integer mean processing time, last run.
 
     The log is pre-aggregated per ReportID (partial+final aggregate: a hot
     report is combined map-side) before the join, so the join moves one row per
     report instead of one per run; the second aggregate folds reports sharing a
     name. Sum and count are carried separately so the integer mean is exact.
+    Without case, names that differ in case only are one report, shown by the
+    smallest of them.
     """
     per_report = (
         _after(log, since, inclusive=True)
@@ -180,12 +183,14 @@ def report_stats(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
         )
     )
     j = _with_report(per_report, catalog, "Name")
-    out = j.groupBy("Name").agg(
+    key = F.col("Name") if case_sensitive else F.lower("Name")
+    out = j.groupBy(key.alias("_key")).agg(
+        F.min("Name").alias("Name"),
         F.sum("_runs").alias("TimesRun"),
         int_div(F.sum("_sum"), F.sum("_n")).alias("AvgProcTimeMS"),
         F.max("_last").alias("LastRunDate"),
-    )
-    return sort_balanced(out, F.col("AvgProcTimeMS").desc())
+    ).drop("_key")
+    return sort_balanced(out, F.col("AvgProcTimeMS").desc(), ordered=ordered)
 
 
 def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
@@ -194,11 +199,14 @@ def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     return j.select("UserName", "TimeStart", "TimeEnd", "TimeDataRetrieval", "TimeProcessing", "TimeRendering", "Name")
 
 
-def runs_per_user(log: DataFrame, start, end) -> DataFrame:
-    """Number of runs per user within [start, end], by user name."""
-    return (
+def runs_per_user(log: DataFrame, start, end, case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
+    """Number of runs per user within [start, end], by user name (without case:
+    one row per spelling-insensitive name, shown by the smallest spelling)."""
+    key = F.col("UserName") if case_sensitive else F.lower("UserName")
+    out = (
         _within(log, start, end)
-        .groupBy("UserName")
-        .agg(F.count(F.lit(1)).alias("NumReports"))
-        .orderBy("UserName")
+        .groupBy(key.alias("_key"))
+        .agg(F.min("UserName").alias("UserName"), F.count(F.lit(1)).alias("NumReports"))
+        .drop("_key")
     )
+    return sort_balanced(out, "UserName", ordered=ordered, case_sensitive=case_sensitive)

@@ -49,25 +49,27 @@ def merge_state(state: DataFrame, last_run: DataFrame, refresh_duration: bool =
     * key gone from source -> deleted (a NULL key never matches, so it goes too)
     * instance changed     -> run columns replaced, UpdateFlag 1
     * instance unchanged   -> row kept as it was
-    Two source rows for one existing key raise an error, as the MERGE does.
+    Two source rows for one existing key raise an error, as the MERGE does; a
+    key that the state holds twice is updated twice, as there.
 
     Plan: the MERGE's three-way match is one outer join that keeps every
     source row (target-only rows are the deletions, so they are simply not
-    kept). The duplicate-key test counts rows per source key over the join's
-    output, which is already partitioned and sorted on that key, so it adds
-    no shuffle. The state is unique per key by construction (this function
-    keeps it so), so the count is the number of source rows for the key.
+    kept). Source rows are counted per key before the join, by a window on the
+    join's own keys, so a sort-merge join reuses its partitioning. The test is
+    a filter, which no reader's choice of columns can remove.
     """
     src = to_state_rows(last_run, 1).select(*[F.col(c).alias(f"s_{c}") for c in STATE_COLUMNS])
+    src = src.withColumn("s_n", F.count(F.lit(1)).over(Window.partitionBy("s_JobID", "s_StepID")))
     tgt = state.select(*[F.col(c).alias(f"t_{c}") for c in STATE_COLUMNS], F.lit(True).alias("t_present"))
     j = tgt.join(
         src,
         (F.col("t_JobID") == F.col("s_JobID")) & (F.col("t_StepID") == F.col("s_StepID")),
         "right_outer",
-    ).withColumn("s_n", F.count(F.lit(1)).over(Window.partitionBy("s_JobID", "s_StepID")))
+    )
     in_tgt = F.col("t_present").isNotNull()
     changed = in_tgt & (F.col("s_InstanceID") != F.col("t_InstanceID"))
-    dup = in_tgt & (F.col("s_n") > 1)
+    twice = F.when(in_tgt & (F.col("s_n") > 1), F.raise_error(F.lit("merge_state: several source rows for one (JobID, StepID)")))
+    j = j.filter(F.coalesce(twice.cast("boolean"), F.lit(True)))
     updated = set(_UPDATED) | ({"LastRunDuration"} if refresh_duration else set())
 
     out = []
@@ -78,8 +80,6 @@ def merge_state(state: DataFrame, last_run: DataFrame, refresh_duration: bool =
             e = F.when(~in_tgt | changed, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
         else:  # key columns and the stale duration
             e = F.when(~in_tgt, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
-        if c == "InstanceID":
-            e = F.when(dup, F.raise_error(F.lit("merge_state: several source rows for one (JobID, StepID)"))).otherwise(e)
         out.append(e.cast(_TYPES[c]).alias(c))
     return j.select(*out)
 
@@ -114,9 +114,9 @@ def failure_rows(state: DataFrame) -> DataFrame:
     )
 
 
-def new_failures(state: DataFrame) -> DataFrame:
+def new_failures(state: DataFrame, ordered: bool = True) -> DataFrame:
     """Rows to notify, by job name, step name and run time."""
-    return sort_balanced(failure_rows(state), "JobName", "StepName", "LastRunDateTime")
+    return sort_balanced(failure_rows(state), "JobName", "StepName", "LastRunDateTime", ordered=ordered)
 
 
 def acknowledge(state: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from opslog.operators.xmlshred import FIRST_SETTING_PATH
 
 
 def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: DataFrame,
-                      subscriptions: DataFrame, catalog: DataFrame) -> DataFrame:
+                      subscriptions: DataFrame, catalog: DataFrame, ordered: bool = True) -> DataFrame:
     """Each report subscription with the agent job that runs its schedule (the
     job is named after the schedule id, compared as text without case), the
     job's steps' last run time and the first setting value."""
@@ -23,7 +23,9 @@ def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: Da
                     F.col("date_created").alias("Date_Created"), F.col("date_modified").alias("Date_Modified"))
     sjs = job_steps.select(F.col("job_id").alias("_sjs_jid"),
                            coded_datetime("last_run_date", "last_run_time").alias("LastRunDateTime"))
-    s = subscriptions.select(F.col("SubscriptionID").alias("_sub"), "Report_OID", "ExtensionSettings")
+    # one extraction per subscription, before the job steps multiply them
+    s = subscriptions.select(F.col("SubscriptionID").alias("_sub"), "Report_OID", F.explode(F.array(
+        xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"))
     c = catalog.select(F.col("ItemID").alias("_item"), F.col("Name").alias("ReportName"),
                        F.col("Path").alias("ReportPath"))
     out = (
@@ -34,7 +36,6 @@ def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: Da
     )
     out = out.select(
         "ReportName", "ReportPath", "JobName", "Date_Created", "Date_Modified",
-        xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH).alias("ExtSettingsXML"),
-        "LastRunDateTime",
+        "ExtSettingsXML", "LastRunDateTime",
     )
-    return sort_balanced(out, "ReportName", "LastRunDateTime")
+    return sort_balanced(out, "ReportName", "LastRunDateTime", ordered=ordered)

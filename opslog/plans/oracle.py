@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 
+from opslog.operators.jobs import GUID_NAME_MASK
 from opslog.plans import params as P
 from opslog.plans.params import PREVIOUS_EXTRA_ROWS_SQL
 from opslog.sources.standins import standin_sql_for_duckdb
@@ -51,7 +52,8 @@ def coded_timestamp(d: str, t: str) -> str:
 
 
 def first_setting(x: str) -> str:
-    return f"NULLIF(regexp_extract({x}, '<ParameterValue><Name>[^<]*</Name><Value>([^<]*)</Value>', 1), '')"
+    inner = f"regexp_extract({x}, '<ParameterValue><Name>[^<]*</Name><Value>(.*?)</Value>', 1)"
+    return f"NULLIF(regexp_replace({inner}, '<[^>]*>', '', 'g'), '')"  # the text without inner tags and instructions
 
 
 def latest_runs(history: str, steps: str, jobs: str) -> str:
@@ -68,7 +70,7 @@ JOIN (SELECT job_id, step_id, instance_id, message FROM {history}
   USING (job_id, step_id)
 JOIN {jobs} job USING (job_id)
 WHERE job.enabled = 1
-  AND NOT regexp_full_match(job.name, '.{{13}}-.{{4}}-.{{4}}-.{{12}}')"""
+  AND job.name NOT LIKE '{GUID_NAME_MASK}'"""
 
 
 BS = "chr(92)"
@@ -149,7 +151,7 @@ def _state_query(body: str) -> str:
 
 def _cell(x: str) -> str:
     """A table cell with &, <, > escaped; NULL gives no cell."""
-    esc = f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    esc = f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(13), '&#x0D;')"
     return f"coalesce('<td>' || {esc} || '</td>', '')"
 
 
@@ -185,9 +187,10 @@ SELECT item.Name AS ReportName, {folder('item.Path')} AS ReportPath, run.TimeSta
   round(run.ByteCount / 1024, 2)::DECIMAL(10,2) AS RenderedKB, run.RowCount
 FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID""")
     q["report_queries"] = _with(["catalog"], f"""
-WITH sets AS (
-  SELECT Path, Name, unnest(regexp_extract_all(Content, '<DataSet Name="[^"]*">.*?</DataSet>')) AS dataset
-  FROM catalog WHERE starts_with(Content, '<Report')),
+WITH plain AS (SELECT Path, Name, regexp_replace(Content, '(</?)r:', '\\1', 'g') AS doc FROM catalog),
+sets AS (
+  SELECT Path, Name, unnest(regexp_extract_all(doc, '<DataSet Name="[^"]*">.*?</DataSet>')) AS dataset
+  FROM plain WHERE regexp_matches(doc, '^(<[?!][^>]*>)*<Report[ >]')),
 queries AS (
   SELECT Path, Name, regexp_extract(dataset, 'Name="([^"]*)"', 1) AS DataSetName,
          unnest(regexp_extract_all(dataset, '<Query>.*?</Query>')) AS query
@@ -224,7 +227,7 @@ LEFT JOIN users creator ON creator.UserID = r.CreatedByID
 ORDER BY ReportName""")
     q["q2_catalog_types"] = _with(["catalog"], """
 SELECT Name, Type,
-  coalesce(CASE Type WHEN 1 THEN 'Folder' WHEN 2 THEN 'Report' WHEN 5 THEN 'Data Source' END, 'Other') AS TypeDescription
+  CASE Type WHEN 1 THEN 'Folder' WHEN 2 THEN 'Report' WHEN 5 THEN 'Data Source' ELSE 'Other' END AS TypeDescription
 FROM catalog ORDER BY Name""")
     q["q3_subscription_jobs"] = _with(["report_schedule", "jobs", "job_steps", "subscriptions", "catalog"], f"""
 SELECT rep.Name AS ReportName, rep.Path AS ReportPath, job.name AS JobName, job.date_created AS Date_Created,
@@ -282,6 +285,10 @@ FROM defs d ORDER BY DataSourcePath, SharedDataSourceName""")
 SELECT d.Path AS DataSourcePath, d.Name AS SharedDataSourceName, u.DSLink, u.ObjectName,
   {def_fields}
 FROM defs d LEFT JOIN users_of u ON u.DSLink = d.ItemID ORDER BY DataSourcePath, SharedDataSourceName""")
+    q["q7_one_data_source"] = _with(ds_tables, sources + f"""
+SELECT d.Path AS DataSourcePath, d.Name AS SharedDataSourceName, u.DSLink, u.ObjectName,
+  {def_fields}
+FROM defs d LEFT JOIN users_of u ON u.DSLink = d.ItemID WHERE d.Path = '{P.DATA_SOURCE_PATH}'""")
     q["q8_report_runs"] = _with(log_cat, f"""
 SELECT item.Name AS ReportName, item.Path AS ReportPath, run.TimeStart, run.TimeEnd, run.Parameters, run.UserName,
   run.Status, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering, {clock(span)} AS CommandDuration
@@ -298,7 +305,7 @@ FROM execution_log WHERE ByteCount >= 0 AND floor(ByteCount / 1024) > {P.MIN_KB}
     q["q12_runs_in_range"] = _with(log_cat, f"""
 SELECT run.UserName, run.TimeStart, run.TimeEnd, run.TimeDataRetrieval, run.TimeProcessing, run.TimeRendering, item.Name
 FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID
-WHERE run.TimeStart >= {lo} AND run.TimeStart <= {hi} ORDER BY run.TimeStart""")
+WHERE run.TimeStart BETWEEN {lo} AND {hi} ORDER BY run.TimeStart""")
     q["q13_report_stats"] = _with(log_cat, f"""
 SELECT item.Name, count(*) AS TimesRun, trunc(avg(run.TimeProcessing))::BIGINT AS AvgProcTimeMS,
   max(run.TimeStart) AS LastRunDate
@@ -309,7 +316,7 @@ SELECT run.UserName, run.TimeStart, run.TimeEnd, run.TimeDataRetrieval, run.Time
 FROM execution_log run JOIN catalog item ON item.ItemID = run.ReportID WHERE run.TimeStart >= {since}""")
     q["q15_runs_per_user"] = _with(["execution_log"], f"""
 SELECT UserName, count(*) AS NumReports FROM execution_log
-WHERE TimeStart >= {lo} AND TimeStart <= {hi} GROUP BY ALL ORDER BY UserName""")
+WHERE TimeStart BETWEEN {lo} AND {hi} GROUP BY ALL ORDER BY UserName""")
     q["q16_configuration"] = _with(["configuration"], "FROM configuration")
     q["q17_subscriptions_matching"] = _with(["catalog", "subscriptions"], f"""
 SELECT * FROM (
@@ -317,6 +324,11 @@ SELECT * FROM (
     {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
   FROM subscriptions sub JOIN catalog item ON item.ItemID = sub.Report_OID)
 WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportName""")
+    q["report_queries_binary"] = q["report_queries"]
+    q["view_last_job_run"] = q["last_job_run"]
+    q["view_execution_history"] = q["execution_history"]
+    q["view_report_queries"] = q["report_queries"]
+    q["view_running_now"] = q["running_now"]
     q["runs_in_range_by_period"] = q["q12_runs_in_range"]
     q["parent_folder"] = _with(["catalog"], f"SELECT ItemID, Path, {folder('Path')} AS Folder FROM catalog")
     q["second_boundaries"] = _with(["execution_log"], f"""

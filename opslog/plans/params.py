@@ -17,6 +17,7 @@ SETTING_TEXT = "user7"
 SERVER = "SRV01"
 MIN_KB = 100
 DATA_SOURCE_NS = "urn:ds"
+DATA_SOURCE_PATH = "/Data Sources/ds 8"
 SNAPSHOT_CUTOFF = "2024-01-15 00:00:00"
 
 # Rows of the previous failure state that the current run no longer has:

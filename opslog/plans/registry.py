@@ -236,6 +236,32 @@ def q_report_queries(spark, sf_dir):
     return op.report_queries(Tables(spark, sf_dir).catalog)
 
 
+def q_one_data_source(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.data_source_dependents(t.catalog, t.users, t.data_source, t.sec_data, P.DATA_SOURCE_PATH, P.DATA_SOURCE_NS)
+
+
+def q_report_queries_binary(spark, sf_dir):
+    """The same documents as bytes with a byte-order mark, as the source stores them."""
+    c = Tables(spark, sf_dir).catalog
+    bom = F.lit(bytearray(b"\xef\xbb\xbf"))
+    return op.report_queries(c.withColumn("Content", F.concat(bom, F.encode("Content", "UTF-8"))))
+
+
+def _view(view: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A query that reads one of the registered views."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from opslog.plans.sql_surface import register_views
+
+        t = Tables(spark, sf_dir)
+        register_views(spark, history=t.job_history, steps=t.job_steps, jobs=t.jobs, event_messages=t.event_messages,
+                       execution_log=t.execution_log, catalog=t.catalog, running_jobs=t.running_jobs, users=t.users,
+                       domain=P.DOMAIN, now=P.NOW)
+        return spark.table(view)
+
+    return query
+
+
 def q_subscriptions_matching(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return op.subscriptions_matching(t.catalog, t.subscriptions, P.SETTING_TEXT)
@@ -309,4 +335,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lateral_table_function": q_lateral_table_function,
     "latest_per_key": q_latest_per_key,
     "runs_in_range_by_period": q_runs_in_range_by_period,
+    # binary documents, one data source by its path, the views
+    "report_queries_binary": q_report_queries_binary,
+    "q7_one_data_source": q_one_data_source,
+    "view_last_job_run": _view("last_job_run_info"),
+    "view_execution_history": _view("report_execution_history"),
+    "view_report_queries": _view("report_queries"),
+    "view_running_now": _view("reports_currently_running"),
 }

@@ -3,9 +3,9 @@
     spark-submit --py-files opslog.zip opslog/plans/run_notification.py \\
         --history <parquet> --steps <parquet> --jobs <parquet> \\
         --event-messages <parquet> --ignore <parquet> --server NAME \\
-        [--state-root <dir>] [--report-root <dir>]
+        --state-root <dir> --report-root <dir>
 
-State versions and reports default to folders under ``spark.checkpoint.dir``.
+Both folders must be durable and shared: the state carries over from run to run.
 Prints one JSON line with the written versions and the report folder.
 """
 
@@ -18,7 +18,6 @@ from pyspark.sql import SparkSession
 
 from opslog.plans.notification import run_failure_notification
 from opslog.schemas import JOB_FAILURES
-from opslog.session import scratch_path
 from opslog.sources.snapshots import SnapshotStore
 
 
@@ -27,17 +26,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     for name in ("history", "steps", "jobs", "event-messages", "ignore"):
         ap.add_argument(f"--{name}", required=True, help="parquet path")
     ap.add_argument("--server", required=True, help="server name shown in the report heading")
-    ap.add_argument("--state-root", default=None)
-    ap.add_argument("--report-root", default=None)
+    ap.add_argument("--state-root", required=True)
+    ap.add_argument("--report-root", required=True)
     ap.add_argument("--refresh-duration", action="store_true")
     a = ap.parse_args(argv)
     spark = spark or SparkSession.builder.appName("opslog-notification").getOrCreate()
-    store = SnapshotStore(spark, a.state_root or scratch_path(spark, "failure-state"), JOB_FAILURES)
+    store = SnapshotStore(spark, a.state_root, JOB_FAILURES)
     read = spark.read.parquet
     out = run_failure_notification(
         spark, store, history=read(a.history), steps=read(a.steps), jobs=read(a.jobs),
         event_messages=read(a.event_messages), ignore=read(a.ignore),
-        report_root=a.report_root or scratch_path(spark, "failure-reports"), server=a.server,
+        report_root=a.report_root, server=a.server,
         refresh_duration=a.refresh_duration,
     )
     print(json.dumps(out))

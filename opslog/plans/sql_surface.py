@@ -8,19 +8,26 @@ DataFrame form.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from opslog.operators.jobs import last_job_run, last_package_error
 from opslog.operators.reports import execution_history, running_now
 from opslog.operators.xmlshred import report_queries
 
-PACKAGE_ERRORS_VIEW = "package_errors"
 PACKAGE_ERROR_FUNCTION = "last_package_error_message"
 
 
 def register_package_error_function(spark: SparkSession, steps: DataFrame, event_messages: DataFrame,
-                                    view: str = PACKAGE_ERRORS_VIEW, name: str = PACKAGE_ERROR_FUNCTION) -> str:
-    """``name(job_id STRING, step_id INT)`` -> (PackageName, ErrorMessage, RankNum)."""
+                                    name: str | None = None) -> str:
+    """``name(job_id STRING, step_id INT)`` -> (PackageName, ErrorMessage, RankNum).
+
+    Without a name every call makes a function and view of its own, so that two
+    callers in one session do not replace each other's.
+    """
+    name = name or f"{PACKAGE_ERROR_FUNCTION}_{uuid.uuid4().hex}"
+    view = f"{name}_rows"
     last_package_error(steps, event_messages).createOrReplaceTempView(view)
     spark.sql(f"""
 CREATE OR REPLACE TEMPORARY FUNCTION {name}(p_job_id STRING, p_step_id INT)
@@ -41,7 +48,7 @@ def register_views(spark: SparkSession, *, history: DataFrame, steps: DataFrame,
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    register_package_error_function(spark, steps, event_messages)
+    register_package_error_function(spark, steps, event_messages, PACKAGE_ERROR_FUNCTION)
     return list(views)
 
 

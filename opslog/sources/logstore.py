@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+
+from opslog.operators.ordering import tie_breaker
 
 # partition column per granularity, and the truncation unit it stands for
 PERIOD_COLUMNS = {"day": ("log_day", None), "month": ("log_month", "MM")}
@@ -27,7 +28,7 @@ def write_by_period(df: DataFrame, path: str, ts_col: str, granularity: str = "d
                     mode: str = "errorifexists") -> None:
     """Write ``df`` partitioned by the day (or month) of ``ts_col``.
 
-    Rows are range-partitioned on (period, time, remaining columns): each task
+    Rows are range-partitioned on (period, time, a hash of the rest): each task
     gets a contiguous slice of periods, so it writes few folders, and a period
     holding a large share of the log is cut into many slices (hash
     partitioning on the period would give that whole period to one task).
@@ -35,9 +36,7 @@ def write_by_period(df: DataFrame, path: str, ts_col: str, granularity: str = "d
     """
     col, unit = PERIOD_COLUMNS[granularity]
     out = df.withColumn(col, _period_start(F.col(ts_col), unit))
-    ties = [f.name for f in out.schema.fields
-            if f.name not in (col, ts_col) and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
-    out.repartitionByRange(col, ts_col, *ties).sortWithinPartitions(col, ts_col) \
+    out.repartitionByRange(col, ts_col, tie_breaker(out, col, ts_col)).sortWithinPartitions(col, ts_col) \
         .write.mode(mode).partitionBy(col).parquet(path)
 
 

@@ -15,14 +15,24 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from opslog.schemas import conform
+
 _VERSION = re.compile(r"^v(\d{8})$")
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType):
+    """``retain`` committed versions are kept; older ones, and what failed attempts
+    left before them, are removed after a write (None keeps everything)."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, key: list[str] | None = None,
+                 retain: int | None = 20):
+        if retain is not None and retain < 2:
+            raise ValueError("a run reads the version before the one it writes: retain at least 2")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.key = key
+        self.retain = retain
 
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
@@ -67,6 +77,16 @@ class SnapshotStore:
         if version is None:
             # Skip folders left by failed attempts: never write into them.
             version = max(self._all_version_dirs() or [0]) + 1
-        cols = [f.name for f in self.schema.fields]
-        df.select(*cols).write.mode("errorifexists").parquet(self.path(version))
+        conform(df, self.schema, self.key).write.mode("errorifexists").parquet(self.path(version))
+        if self.retain is not None:
+            self._prune()
         return version
+
+    def _prune(self) -> None:
+        keep = self.versions()[-self.retain:]
+        if len(keep) < self.retain:
+            return
+        jvm, _, fs = self._fs()
+        for v in self._all_version_dirs():
+            if v < keep[0]:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)

@@ -29,30 +29,34 @@ SELECT l_partkey AS ReportID, concat('DOM', chr(92), 'user', CAST(l_suppkey AS S
   l_linenumber * 10 AS TimeRendering, CAST(floor(l_extendedprice * 3) AS BIGINT) AS ByteCount, l_orderkey AS RowCount
 FROM {lineitem}""",
     "catalog": """
-SELECT p_partkey AS ItemID, p_name AS Name, concat('/', p_brand, '/', p_type, '/', p_name) AS Path,
-  CASE p_partkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 1 ELSE 2 END AS Type,
+SELECT p_partkey AS ItemID, CASE WHEN p_partkey % 53 = 0 THEN '' ELSE p_name END AS Name,
+  CASE WHEN p_partkey % 4 = 0 THEN concat('/Data Sources/ds ', CAST(p_partkey AS STRING)) ELSE concat('/', p_brand, '/', p_type, '/', p_name) END AS Path,
+  CASE WHEN p_partkey % 97 = 5 THEN 3 WHEN p_partkey % 4 = 0 THEN 5 WHEN p_partkey % 4 = 1 THEN 1 ELSE 2 END AS Type,
   CASE p_partkey % 4 WHEN 0 THEN concat('<DataSourceDefinition xmlns="urn:ds"><Extension>SQL</Extension><ConnectString>Data Source=', p_brand, '</ConnectString><Enabled>true</Enabled></DataSourceDefinition>')
     WHEN 1 THEN NULL
+    WHEN 3 THEN concat('<?xml version="1.0"?><!-- a --><?xml-stylesheet href="a"?><r:Report xmlns:r="urn:report"><r:DataSets><r:DataSet Name="C"><r:Query><r:DataSourceName>', p_brand, '</r:DataSourceName><r:CommandText>exec ', p_name, '</r:CommandText></r:Query></r:DataSet></r:DataSets></r:Report>')
     ELSE concat('<Report xmlns="urn:report" xmlns:rd="urn:rd"><DataSets><DataSet Name="A"><Query><DataSourceName>', p_brand, '</DataSourceName><CommandText>select ', p_name, '</CommandText></Query></DataSet>',
       CASE WHEN p_size % 2 = 0 THEN concat('<DataSet Name="B"><Query><DataSourceName>', p_type, '</DataSourceName><CommandType>StoredProcedure</CommandType><CommandText>p', CAST(p_size AS STRING), '</CommandText></Query></DataSet>') ELSE '' END,
       '</DataSets></Report>') END AS Content,
-  p_partkey % 25 AS PolicyID, p_partkey % 150 AS CreatedByID, (p_partkey * 7) % 150 AS ModifiedByID,
+  CAST(floor(p_partkey / 8) AS BIGINT) AS PolicyID, CAST(floor(p_partkey * 3 / 4) AS BIGINT) AS CreatedByID,
+  CAST(floor(p_partkey / 2) AS BIGINT) + 1 AS ModifiedByID,
   TS('2010-01-01 00:00:00') + p_size * INTERVAL '1' DAY AS CreationDate, TS('2012-01-01 00:00:00') + p_size * INTERVAL '1' HOUR AS ModifiedDate
 FROM {part}""",
     "data_source": """
-SELECT p_partkey AS ItemID, p_brand AS Name, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 4 * (p_partkey % 50) END AS Link,
+SELECT CASE WHEN p_partkey % 10 = 7 THEN -p_partkey ELSE p_partkey END AS ItemID, p_brand AS Name,
+  CASE WHEN p_partkey % 4 < 2 THEN NULL ELSE 4 * CAST(floor(p_partkey / 32) AS BIGINT) END AS Link,
   'SQL' AS Extension, p_size % 5 AS CredentialRetrieval
-FROM {part} WHERE p_partkey % 4 <> 1""",
+FROM {part}""",
     "users": """
 SELECT c_custkey AS UserID, c_name AS UserName, c_nationkey % 2 + 1 AS AuthType FROM {customer}""",
     "policies": """
-SELECT n_nationkey AS PolicyID FROM {nation}""",
+SELECT c_custkey - 1 AS PolicyID FROM {customer}""",
     "policy_user_role": """
-SELECT c_nationkey AS PolicyID, c_custkey AS UserID, c_custkey % 5 AS RoleID FROM {customer}""",
+SELECT CAST(floor(c_custkey / 6) AS BIGINT) AS PolicyID, c_custkey AS UserID, c_custkey % 5 AS RoleID FROM {customer}""",
     "roles": """
 SELECT r_regionkey AS RoleID, r_name AS RoleName, concat('role ', r_name) AS Description FROM {region}""",
     "sec_data": """
-SELECT n_nationkey AS PolicyID, n_nationkey % 2 + 1 AS AuthType FROM {nation}""",
+SELECT CAST(floor(c_custkey / 8) AS BIGINT) AS PolicyID, c_nationkey % 2 + 1 AS AuthType FROM {customer}""",
     "jobs": """
 SELECT concat('job-', CAST(c_custkey AS STRING)) AS job_id,
   CASE WHEN c_custkey % 7 = 0 THEN concat('00000000-0000-0000-0000-', lpad(CAST(c_custkey AS STRING), 12, 'a')) ELSE c_name END AS name,
@@ -86,12 +90,12 @@ SELECT concat('report ', CAST(o_orderkey AS STRING)) AS RequestName, concat('/',
   o_orderdate + CAST(o_orderkey % 86400 AS INT) * INTERVAL '1' SECOND AS StartDate, CAST(o_custkey % 9 AS INT) AS JobStatus
 FROM {orders}""",
     "subscriptions": """
-SELECT o_orderkey AS SubscriptionID, o_orderkey % 200 AS Report_OID,
-  concat('<ParameterValues><ParameterValue><Name>TO</Name><Value>user', CAST(o_custkey AS STRING), '@example.com</Value></ParameterValue><ParameterValue><Name>CC</Name><Value>x</Value></ParameterValue></ParameterValues>') AS ExtensionSettings
-FROM {orders} WHERE o_orderkey % 5 = 0""",
+SELECT o_orderkey AS SubscriptionID, o_custkey AS Report_OID,
+  concat('<ParameterValues><ParameterValue><Name>TO</Name><Value>', CASE WHEN o_orderkey % 3 = 0 THEN 'us<b>er</b>' WHEN o_orderkey % 3 = 1 THEN 'us<?p?>er' ELSE 'user' END, CAST(o_custkey AS STRING), '@example.com</Value></ParameterValue><ParameterValue><Name>CC</Name><Value>x</Value></ParameterValue></ParameterValues>') AS ExtensionSettings
+FROM {orders}""",
     "report_schedule": """
 SELECT upper(concat('00000000-0000-0000-0000-', lpad(CAST(o_custkey AS STRING), 12, 'a'))) AS ScheduleID, o_orderkey AS SubscriptionID
-FROM {orders} WHERE o_orderkey % 5 = 0""",
+FROM {orders}""",
     "configuration": """
 SELECT r_name AS Name, CAST(r_regionkey AS STRING) AS Value FROM {region}""",
 }

@@ -2,60 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# Key used to spread a table over the cores when it arrives in too few splits.
-# Only tables whose rows feed per-row work (log rows, XML documents, text
-# building, permission expansion); the others only feed aggregates that
-# shuffle right away.
-SPREAD_KEYS = {
-    "lineitem": "l_orderkey",
-    "orders": "o_orderkey",
-    "part": "p_partkey",
-    "customer": "c_custkey",
-}
-
-
-# Split count and schema per file: deciding the split count needs a planned
-# scan and inferring the schema runs a small job; the files are read-only, so
-# both are worked out once per path.
-_SPLITS: dict[tuple[str, int], int] = {}
-_SCHEMAS: dict[str, StructType] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    A table stored as fewer splits than the session has cores (one small file
-    with one row group) would run every per-row step before the first shuffle
-    in that many tasks. Such a table is hash-partitioned on its key once, so
-    decoding, XML parsing and string building use all cores. Hash partitioning
-    on a unique key is deterministic (safe on task retry) and even. With many
-    splits, as at scale, nothing is added.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    if path in _SCHEMAS:
-        df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    if spread is None:
-        spread = os.environ.get("OPSLOG_SPREAD_SMALL_INPUTS", "1") != "0"
-    key = SPREAD_KEYS.get(name)
-    if spread and key is not None:
-        try:  # planning only, no data is read; not available on every client
-            cores = spark.sparkContext.defaultParallelism
-            k = (path, cores)
-            if k not in _SPLITS:
-                _SPLITS[k] = df.rdd.getNumPartitions()
-            splits = _SPLITS[k]
-        except Exception:
-            return df
-        if splits < cores:
-            df = df.repartition(cores, key)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Plain lazy scan; Catalyst prunes columns and pushes filters into it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

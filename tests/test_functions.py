@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions import (
     bytes_to_kb, coded_datetime, coded_duration_text, elapsed_clock_text, html_escape, int_avg, int_div,
-    package_file_name, parent_folder, right_pad_zero, second_boundaries, seconds_as_time_text, strip_domain,
+    package_file_name, parent_folder, second_boundaries, seconds_as_time_text, strip_domain,
     trimmed_length,
 )
 
@@ -45,10 +45,6 @@ def test_coded_datetime(spark):
     assert out == [dt.datetime(2024, 1, 5, 0, 3, 5), None, None, dt.datetime(1999, 12, 31, 23, 59, 59)]
 
 
-def test_right_pad_keeps_right_end(spark):
-    assert one(spark, right_pad_zero("x", 6), [(5,), (1234567,)], "x int") == ["000005", "234567"]
-
-
 def test_parent_folder(spark):
     data = [("/A/B/r1",), ("/r2",), ("nop",), ("",), (None,), ("/A/B/r1 ",)]
     out = one(spark, parent_folder("p"), data, "p string")
@@ -122,3 +118,8 @@ def test_case_insensitive_mode(spark):
         package_file_name("c").alias("g"),
     ).first()
     assert (r.a, r.b, r.c, r.d, r.e, r.f, r.g) == ("Alice", "DOM\\Alice", True, True, True, "Pkg.dtsx", None)
+
+
+def test_integer_division_is_exact_beyond_doubles(spark):
+    big = [(9007199254740993, 1), (90071992547409931, 10), (-90071992547409931, 10), (7, -2), (5, 0), (None, 3)]
+    assert one(spark, int_div("x", "y"), big, "x long, y long") == [9007199254740993, 9007199254740993, -9007199254740993, -3, None, None]

@@ -67,3 +67,11 @@ def test_last_package_error_message_cut(spark):
     em = spark.createDataFrame([(1, 1, t, "A.dtsx", "OnError", "x" * 5000)], EM)
     out = rows(last_package_error(_steps(spark), em))
     assert len(out) == 1 and len(out[0]["ErrorMessage"]) == 4000
+
+
+def test_package_names_fold_case_throughout(spark):
+    t = dt.datetime(2024, 1, 1)
+    em = spark.createDataFrame([(1, 1, t, "A.DTSX", "OnError", "old failure"), (2, 2, t, "a.dtsx", "OnInformation", "ok")], EM)
+    assert rows(last_package_error(_steps(spark), em, case_sensitive=False)) == []
+    em = spark.createDataFrame([(1, 1, t, "a.dtsx", "OnInformation", "ok"), (2, 2, t, "A.DTSX", "onerror", "failed")], EM)
+    assert [r["ErrorMessage"] for r in rows(last_package_error(_steps(spark), em, case_sensitive=False))] == ["failed"]

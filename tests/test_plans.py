@@ -4,7 +4,7 @@ import os
 import tempfile
 
 from opslog.operators import large_renders, last_job_run, last_package_error, report_queries, report_stats
-from opslog.operators.joins import preserving_left_join
+from opslog.operators.joins import preserving_left_join, salted_join
 from opslog.plans.registry import QUERIES
 
 
@@ -16,16 +16,16 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_last_job_run_single_pass_over_history(spark):
-    hist = spark.createDataFrame([(1, "j", 1, "m")], "instance_id long, job_id string, step_id int, message string")
+def test_last_job_run_aggregates_narrow_rows(spark):
+    hist = spark.createDataFrame([(1, "j", 1, "old"), (2, "j", 1, "new")], "instance_id long, job_id string, step_id int, message string")
     steps = spark.createDataFrame([("j", 1, "s", "T", "", 1, 0, 0, 0)],
                                   "job_id string, step_id int, step_name string, subsystem string, command string, "
                                   "last_run_outcome int, last_run_date int, last_run_time int, last_run_duration int")
     jobs = spark.createDataFrame([("j", "n", 1)], "job_id string, name string, enabled int")
-    p = optimized(last_job_run(hist, steps, jobs))
-    assert "max_by" in p
-    # the history is aggregated once and never joined back to itself
-    assert p.count("instance_id#") >= 1 and p.count("Aggregate") == 1
+    df = last_job_run(hist, steps, jobs)
+    # no text in an aggregation buffer: a hash aggregate of the newest instance, no sort of the history for it
+    assert "SortAggregate" not in plan(df) and "max_by" not in optimized(df) and "max(instance_id" in optimized(df)
+    assert [(r.instance_id, r.message) for r in df.collect()] == [(2, "new")]
 
 
 def test_last_package_error_uses_group_limit(spark):
@@ -54,11 +54,58 @@ def test_report_stats_aggregates_before_join(spark):
 
 def test_preserving_left_join_has_no_outer_join(spark):
     dim = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    fact = spark.createDataFrame([(1, "x")] * 5, "fk long, w string")
-    j = preserving_left_join(dim, fact, "k", "fk")
+    fact = spark.createDataFrame([(1, "x")] * 5 + [(None, "n")], "fk long, w string")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    j = preserving_left_join(dim, fact, "k", "fk", ids)
     p = optimized(j)
     assert "LeftOuter" not in p and "LeftAnti" in p
-    assert sorted((r.k, r.w) for r in j.collect()) == [(1, "x")] * 5 + [(2, None)]
+    assert sorted((r.k, r.fk, r.w) for r in j.collect()) == [(1, 1, "x")] * 5 + [(2, None, None)]
+
+
+def test_salted_join_keeps_rows_and_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    many = spark.range(400).select(F.when(F.col("id") < 300, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    few = spark.createDataFrame([(1, "a"), (1, "b"), (350, "c"), (9999, "d")], "fk long, w string")
+    j = salted_join(many, few, "k", "fk", rows_per_salt=50)
+    want = sorted((r.k, r.v, w) for r in many.collect() for fk, w in ((1, "a"), (1, "b"), (350, "c")) if r.k == fk)
+    assert sorted((r.k, r.v, r.w) for r in j.collect()) == want and j.columns == ["k", "v", "fk", "w"]
+
+
+def test_global_sorts_sample_no_document_or_message(spark):
+    """Range exchanges hold the asked keys and one hash; wide columns stay out of the sampled key."""
+    import re
+
+    asked = {"q1_reports_with_sources": ["ReportName"], "q3_subscription_jobs": ["ReportName", "LastRunDateTime"],
+             "q6_shared_data_sources": ["DataSourcePath", "SharedDataSourceName"], "q7_data_source_dependents": ["DataSourcePath", "SharedDataSourceName"],
+             "q8_report_runs": ["TimeStart"], "q9_runs_since": ["TimeStart"], "q11_large_renders": ["ByteCount"],
+             "q17_subscriptions_matching": ["ReportPath", "ReportName"], "new_failures": ["JobName", "StepName", "LastRunDateTime"]}
+    for name, keys in asked.items():
+        p = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        ranges = re.findall(r"Exchange rangepartitioning\((.*?), \d+\), ENSURE", p)
+        assert ranges, name
+        for r in ranges:
+            assert len(re.findall("(?:ASC|DESC) NULLS", r)) == len(keys) + 1, (name, r)
+            bare = re.sub(r"xxhash64\([^()]*\)", "", r)  # the sample holds the hash, not what goes into it
+            assert set(re.findall(r"(\w+)#\d+", bare)) <= {*keys, "_key"}, (name, r)
+
+
+def test_asked_order_holds(spark):
+    order = {"q8_report_runs": [("TimeStart", True)], "q9_runs_since": [("TimeStart", True)], "q10_running_requests": [("StartDate", False)],
+             "q11_large_renders": [("ByteCount", True)], "q12_runs_in_range": [("TimeStart", False)], "q1_reports_with_sources": [("ReportName", False)],
+             "q2_catalog_types": [("Name", False)], "q6_shared_data_sources": [("DataSourcePath", False)], "q13_report_stats": [("AvgProcTimeMS", True)],
+             "q7_data_source_dependents": [("DataSourcePath", False)], "q17_subscriptions_matching": [("ReportPath", False)], "q3_subscription_jobs": [("ReportName", False)]}
+    for name, keys in order.items():
+        for col, desc in keys:
+            got = [r[0] for r in QUERIES[name](spark, "/root/testdata/sf0.001").select(col).collect() if r[0] is not None]
+            assert got and got == sorted(got, reverse=desc), name
+
+
+def test_values_are_extracted_once(spark):
+    for name, most in (("q17_subscriptions_matching", 1), ("q3_subscription_jobs", 1), ("q7_data_source_dependents", 0)):
+        p = optimized(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert p.count("XPathStringEvaluator") == most, name
+    assert optimized(QUERIES["q7_data_source_dependents"](spark, "/root/testdata/sf0.001")).count("from_xml") <= 3
 
 
 def test_large_renders_range_reaches_parquet(spark):
@@ -71,8 +118,7 @@ def test_large_renders_range_reaches_parquet(spark):
 
 
 def test_no_python_udf_anywhere(spark):
-    for name in ["execution_history", "report_queries", "q6_shared_data_sources", "q17_subscriptions_matching",
-                 "merge_state", "failure_report"]:
+    for name in QUERIES:
         p = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
 

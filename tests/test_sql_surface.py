@@ -15,7 +15,7 @@ def test_views_and_table_function(spark):
     assert names == ["last_job_run_info", "report_execution_history", "report_queries", "reports_currently_running"]
     for n in names:
         assert spark.sql(f"SELECT count(*) AS n FROM {n}").first()["n"] > 0
-    one = spark.sql("SELECT job_id, step_id FROM package_errors LIMIT 1").first()
+    one = spark.sql("SELECT job_id, step_id FROM last_package_error_message_rows LIMIT 1").first()
     got = spark.sql(f"SELECT * FROM last_package_error_message('{one.job_id}', {one.step_id})").collect()
     assert len(got) >= 1 and got[0]["RankNum"] == 1
     lat = spark.sql("""

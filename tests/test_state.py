@@ -142,3 +142,66 @@ def test_run_notification_entry_point(spark):
     assert (first["state_version"], first["final_version"]) == (1, 2)
     assert first["report_path"] is not None and second["report_path"] is None  # nothing new the second time
     assert second["final_version"] == 4
+
+
+def test_merge_updates_both_rows_of_a_key_the_state_holds_twice(spark):
+    prev = state_of(spark, [(1, "a", "j1", "s", 1, "m", 1, T1, "d1", "TSQL"), (2, "a", "j1", "s", 1, "m", 1, T1, "d2", "TSQL")])
+    src = last(spark, [(3, "a", "j1", "s", 1, "new", 1, T2, "d", "TSQL")])
+    out = rows(merge_state(prev, src))
+    assert sorted((r["InstanceID"], r["StepMessage"], r["LastRunDuration"]) for r in out) == [(3, "new", "d1"), (3, "new", "d2")]
+
+
+def test_merge_duplicate_is_seen_by_a_reader_of_one_column(spark):
+    prev = state_of(spark, [(1, "a", "j1", "s", 1, "m", 1, T1, "d", "TSQL")])
+    src = last(spark, [(2, "a", "j1", "s", 1, "m", 1, T1, "d", "TSQL"), (3, "a", "j1", "s", 1, "m", 1, T1, "d", "TSQL")])
+    with pytest.raises(Exception, match="several source rows"):
+        merge_state(prev, src).select("JobName").collect()
+
+
+def test_report_keeps_equal_failures_and_escapes_returns(spark):
+    st = to_state_rows(last(spark, [(7, "n", "j1", "s", 1, "a\r\nb", 0, T2, "d", "TSQL"), (7, "n", "j2", "s", 2, "a\r\nb", 0, T2, "d", "TSQL")]))
+    lines = rows(failure_report(st, "S"))
+    assert sorted(l["part"] for l in lines) == [0, 1, 1, 2]
+    assert all("a&#x0D;\nb" in l["html"] for l in lines if l["part"] == 1)
+
+
+def test_declared_schema_is_enforced_on_write(spark):
+    from pyspark.sql import functions as F
+
+    from opslog.schemas import IGNORE_JOBS, IGNORE_JOBS_KEY
+
+    root = tempfile.mkdtemp(prefix="opslog-schema-")
+    store = SnapshotStore(spark, os.path.join(root, "state"), JOB_FAILURES, retain=2)
+    st = state_of(spark, [(1, "a", "j1", "s", 1, "m", 1, T1, "d", "TSQL")])
+    store.write(st.withColumn("UpdateFlag", F.lit(None).cast("int")))
+    assert [r["UpdateFlag"] for r in rows(store.read())] == [0]
+    with pytest.raises(Exception, match="NOT NULL"):
+        store.write(st.withColumn("InstanceID", F.lit(None).cast("long")))
+    for _ in range(3):
+        store.write(st)
+    assert len(store.versions()) == 2 and store.read().count() == 1
+    ignore = SnapshotStore(spark, os.path.join(root, "ignore"), IGNORE_JOBS, key=IGNORE_JOBS_KEY)
+    ignore.write(spark.createDataFrame([("n", "j1"), ("n", "j2")], "JobName string, JobID string"))
+    with pytest.raises(Exception, match="occurs twice"):
+        ignore.write(spark.createDataFrame([("n", "j1"), ("m", "j1")], "JobName string, JobID string"))
+
+
+def test_entry_point_requires_its_folders():
+    from opslog.plans.run_notification import main
+
+    with pytest.raises(SystemExit):
+        main(["--history", "h", "--steps", "s", "--jobs", "j", "--event-messages", "e", "--ignore", "i", "--server", "S"])
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from opslog.session import checkpoint_dir
+
+    made = []
+    ctx = SimpleNamespace(master="spark://host:7077", applicationId="a", getCheckpointDir=lambda: None, setCheckpointDir=made.append)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=ctx, conf={}))
+    ctx.master = "local[2]"
+    one = checkpoint_dir(SimpleNamespace(sparkContext=ctx, conf={}))
+    assert made == [one] and checkpoint_dir(SimpleNamespace(sparkContext=ctx, conf={})) == one

@@ -115,7 +115,7 @@ def test_data_source_dependents_keeps_unused_source(spark):
     cat, users, ds, sec = _ds_tables(spark, "urn:ds")
     cat = cat.union(spark.createDataFrame([(5, "ds3", "/Data Sources/ds3", 5, '<DataSourceDefinition xmlns="urn:ds"/>', 7, 1, 2, None, None)], CAT))
     ds = ds.union(spark.createDataFrame([(5, "ds3", None, "SQL", 4)], ds.schema))
-    out = sorted((r["SharedDataSourceName"], r["ObjectName"] or "") for r in rows(data_source_dependents(cat, users, ds, sec, namespace="urn:ds")))
+    out = sorted((r["SharedDataSourceName"], r["ObjectName"] or "") for r in rows(data_source_dependents(cat, users, ds, sec, None, "urn:ds")))
     assert out == [("ds1", "rep"), ("ds1", "rep"), ("ds1", "rep2"), ("ds3", "")]
     only = rows(data_source_dependents(cat, users, ds, sec, path="/Data Sources/ds3", namespace="urn:ds"))
     assert [(r["SharedDataSourceName"], r["DSLink"]) for r in only] == [("ds3", None)]
@@ -160,3 +160,28 @@ def test_subscriptions_prefilter_keeps_encoded_and_split_values(spark):
     ], "SubscriptionID long, Report_OID long, ExtensionSettings string")
     out = sorted((r["SubscriptionID"], r["ExtSettingsXML"]) for r in rows(subscriptions_matching(cat, subs, "alice")))
     assert out == [(1, "alice@x"), (2, "alice@x"), (3, "alice@x")]
+
+
+def test_value_split_by_elements_and_instructions_is_found(spark):
+    cat = catalog(spark, [None])
+    subs = spark.createDataFrame([
+        (1, 0, "<P><ParameterValue><Value>justina@x</Value></ParameterValue></P>"),
+        (2, 0, "<P><ParameterValue><Value>jus<b>tin</b>a@x</Value></ParameterValue></P>"),
+        (3, 0, "<P><ParameterValue><Value>jus<?p?>tina@x</Value></ParameterValue></P>"),
+    ], "SubscriptionID long, Report_OID long, ExtensionSettings string")
+    assert sorted(r["SubscriptionID"] for r in rows(subscriptions_matching(cat, subs, "justina"))) == [1, 2, 3]
+
+
+def test_any_prolog_before_the_root(spark):
+    body = "<Report><DataSets><DataSet Name='A'><Query><CommandText>q</CommandText></Query></DataSet></DataSets></Report>"
+    heads = ['<?xml version="1.0"?><?xml-stylesheet href="a>b"?>', "<!-- <Other> --><?a?><!-- b -->", "\n<?xml-stylesheet a?>\n<!--x-->\n",
+             "<!DOCTYPE Report>"]
+    assert len(shred(spark, [h + body for h in heads])) == len(heads)
+    assert shred(spark, ["<!-- " + body + " --><Other/>", "<?x <Report ?><Other/>"]) == []
+
+
+def test_namespace_of_the_root_tag_only(spark):
+    docs = ['<!-- <X xmlns="urn:no"/> --><X a="1 > 0" xmlns="urn:yes"/>', '<X note=" xmlns=\'urn:no\'" xmlns="urn:yes"/>',
+            '<p:X xmlns="urn:no" xmlns:p="urn:yes"/>', "<X b='>' xmlns='urn:yes'><Y xmlns='urn:no'/></X>"]
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert [r[0] for r in df.select(xml_root_namespace("d", "X")).collect()] == ["urn:yes"] * 4
