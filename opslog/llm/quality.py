@@ -142,7 +142,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     span = 1 << 30
     keep = {y: min(span, span * (train_rows // 2) // n) for y, n in counts.items()}
     draw = F.pmod(F.xxhash64("id"), F.lit(span))
-    picked = own.where(draw < F.when(F.col("y") == 1, keep.get(1, 0)).otherwise(keep.get(0, 0)))
+    # the hash keeps train_rows labels on average; twice that is the bound of what is broadcast
+    picked = F.broadcast(own.where(draw < F.when(F.col("y") == 1, keep.get(1, 0)).otherwise(keep.get(0, 0)))
+                         .limit(2 * train_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
