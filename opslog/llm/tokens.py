@@ -16,8 +16,8 @@ import numpy as np
 
 TOKENIZER = "word_bpe_49k.json"
 # Entries kept in a worker's tables of words and of the pieces they are made of: about 200 bytes each.
-WORDS_KEPT = 500_000
-PIECES_KEPT = 700_000
+WORDS_KEPT = 300_000
+PIECES_KEPT = 500_000
 
 # Characters whose case folding, normal form and class need no Unicode tables.
 _LETTERS = "a-zß-öø-ÿ"
