@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.operators.ordering import tie_breaker
+from opslog.functions.ties import tie_breaker
 
 # partition column per granularity, and the truncation unit it stands for
 PERIOD_COLUMNS = {"day": ("log_day", None), "month": ("log_month", "MM")}
