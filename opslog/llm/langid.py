@@ -43,8 +43,14 @@ HALF_MARGIN = 0.01
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+_PLAIN_LETTER = re.compile("[a-z]")
+
+
 def letters(text: str) -> str:
-    return _OTHER.sub(" ", text.lower()).strip()
+    """Lower-case runs of letters, one blank between them; empty if there is no letter."""
+    out = _OTHER.sub(" ", text.lower()).strip()
+    # what is left may still be numerals without a decimal value, such as fractions
+    return out if _PLAIN_LETTER.search(out) or any(map(str.isalpha, out)) else ""
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -37,6 +37,10 @@ def test_language_learns_nothing_from_held_out_rows_or_source(spark):
     assert a == b and {x for x, _ in a} == {"en", "de"}
 
 
+def test_letters():
+    assert langid.letters("Ab-3 ÇD_é\n½²") == "ab çd é ½²" and langid.letters("½ ² Ⅷ. 12 _") == "" and langid.letters("日本 1") == "日本"
+
+
 def test_language_defined_cases(spark):
     docs = docs_df(spark)
     model = langid.train(docs)
