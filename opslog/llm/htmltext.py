@@ -351,8 +351,11 @@ def fit(htmls: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> Extractor
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Extractor:
     """Fit on at most ``sample_pages`` pages, those with the smallest hash of their id."""
-    rows = (pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("t"))
-            .where(F.col("t").isNotNull()).orderBy("h", F.xxhash64("t")).limit(sample_pages).collect())
+    src = pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("t")).where(F.col("t").isNotNull())
+    # a hash threshold first, at about twice the sample, so that tasks do not each send a sample of their own
+    span, n = 1 << 30, max(1, src.count())
+    rows = (src.where(F.pmod("h", F.lit(span)) < min(span, 2 * span * sample_pages // n))
+            .orderBy(F.pmod("h", F.lit(span)), "h", F.xxhash64("t")).limit(sample_pages).collect())
     return fit([r["t"] for r in rows])
 
 
