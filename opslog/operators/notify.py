@@ -8,7 +8,7 @@ written part files in name order is the document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opslog.functions.temporal import sql_datetime_text
@@ -75,3 +75,19 @@ def failure_report(state: DataFrame, server: str, empty_null_cells: bool = False
 def write_report(lines: DataFrame, path: str) -> None:
     """Write the report lines in document order as text part files."""
     lines.orderBy(*LINE_ORDER).select("html").write.mode("errorifexists").text(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, html): the written lines, numbered in document order.
+
+    Lines are numbered within their part file and shifted by the lines of the
+    files before it, so no task holds the document.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("html"), F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    files = lines.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = files.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_at"))
+    return (lines.withColumn("_nth", nth).join(before, "_file")
+            .select((F.col("_before") + F.col("_nth")).alias("line_no"), "html"))

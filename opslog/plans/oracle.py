@@ -214,6 +214,9 @@ WHERE req.StartDate + INTERVAL 1 MINUTE < {now}""")
     q["enrich_failures"] = _state_query(f"SELECT {STATE_COLS} FROM with_errors")
     q["new_failures"] = _state_query(f"SELECT {STATE_COLS} FROM to_report ORDER BY JobName, StepName, LastRunDateTime")
     q["failure_report"] = _state_query(REPORT_LINES)
+    q["written_report"] = _state_query(f"""
+SELECT row_number() OVER (ORDER BY part, JobName NULLS FIRST, StepName NULLS FIRST, LastRunDateTime NULLS FIRST,
+  InstanceID NULLS FIRST) AS line_no, html FROM ({REPORT_LINES})""")
     q["acknowledge"] = _state_query(f"SELECT * REPLACE (0 AS UpdateFlag) FROM with_errors")
     q["failure_notification"] = q["acknowledge"]
     q["lateral_table_function"] = q["enrich_failures"]
