@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from opslog.llm.common import connected_components, stored
 from opslog.llm.vectors import matrix, packed
 
-TREES = 6
+TREES = 4
 SPILL = 2.5
 SAMPLE = 20_000
 LEAF = 2_000
@@ -127,8 +127,11 @@ def fit_forest(classes: DataFrame, threshold: float, trees: int, sample: int, le
     return d, float(band), [grow(x, band, smallest, rng) for _ in range(trees)]
 
 
-def _routed(classes: DataFrame, d: int, band: float, forest: list[Tree]) -> DataFrame:
-    """Adds codes: every (tree, leaf) of the vector as one rising number each; other lengths get one code."""
+def _routed(classes: DataFrame, d: int, band: float, forest: list[Tree], kind: str) -> DataFrame:
+    """Adds codes: every (tree, leaf) of the vector as one rising number each; other lengths get one code.
+
+    ``vec`` leaves as ``kind``: single precision where the source column is, since every leaf gets a copy.
+    """
     shared = classes.sparkSession.sparkContext.broadcast(forest)
     names = classes.columns
 
@@ -145,16 +148,18 @@ def _routed(classes: DataFrame, d: int, band: float, forest: list[Tree]) -> Data
                     for leaf, rows in sorted(tree.route(x, band), key=lambda r: r[0]):
                         for i in own[rows]:
                             codes[i].append((t << 24) + leaf)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.list_(pa.int32()))], [*names, "codes"])
+            slim = pa.array([np.frombuffer(v, "<f8").astype(kind).tobytes() for v in raw], pa.binary())
+            columns = [slim if name == "vec" else b.column(i) for i, name in enumerate(names)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(codes, pa.list_(pa.int32()))], [*names, "codes"])
 
     return classes.mapInArrow(run, "label string, vec binary, rep long, n long, codes array<int>")
 
 
-def compare(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
+def compare(group: pd.DataFrame, threshold: float, kind: str) -> pd.DataFrame:
     """Link counts and local roots of one leaf, or of one pair of its blocks."""
     code, low, high = int(group.code.iat[0]), int(group.low.iat[0]), int(group.high.iat[0])
     group = group.sort_values("rep", ignore_index=True)
-    x = unit(matrix(group.vec, len(group.vec.iat[0]) // 8))
+    x = unit(np.frombuffer(b"".join(group.vec), kind).reshape(len(group), -1).astype(np.float64))
     link = x @ x.T >= threshold
     np.fill_diagonal(link, False)
     block = group.block.to_numpy()
@@ -197,7 +202,8 @@ def vector_groups(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_i
     classes = (part.distinct().groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
     classes = stored(classes, "vector-classes")
     d, band, forest = fit_forest(classes, threshold, trees, sample, leaf)
-    routed = stored(_routed(classes, d, band, forest), "vector-leaves")
+    kind = "<f4" if rows.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    routed = stored(_routed(classes, d, band, forest, kind), "vector-leaves")
     met = routed.select("label", F.explode("codes").alias("code"))
     sizes = (met.groupBy("label", "code").agg(F.count("*").alias("m")).where("m > 1")
              .select(F.col("label").alias("l"), F.col("code").alias("c"), F.ceil(F.col("m") / block).alias("blocks")))
@@ -208,7 +214,7 @@ def vector_groups(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_i
                .select("label", "rep", "n", "vec", "codes", "code", "block", F.least("block", "other").alias("low"),
                        F.greatest("block", "other").alias("high")))
     found = stored(rows_in.groupBy("label", "code", "low", "high").applyInPandas(
-        lambda g: compare(g, threshold), "rep long, links long, root long"), "vector-links")
+        lambda g: compare(g, threshold, kind), "rep long, links long, root long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("rep <> root").select(F.col("rep").alias("u"), F.col("root").alias("v")))
     done = (classes.join(links, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left")
