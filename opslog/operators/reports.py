@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from opslog.functions.numeric import bytes_to_kb, int_div
@@ -161,6 +161,16 @@ def runs_in_range(log: DataFrame, catalog: DataFrame, start, end, ordered: bool
     return sort_balanced(out, F.col("TimeStart").asc(), ordered=ordered)
 
 
+def _by_name(df: DataFrame, name: str, case_sensitive: bool) -> GroupedData:
+    """Groups by a name, or by its lower-case form."""
+    return df.groupBy(name) if case_sensitive else df.groupBy(F.lower(name).alias("_key"))
+
+
+def _shown(name: str, case_sensitive: bool) -> list[Column]:
+    """The spelling shown for a group: the name itself (no aggregate, so the plan hashes), or the smallest one."""
+    return [] if case_sensitive else [F.min(name).alias(name)]
+
+
 def report_stats(log: DataFrame, catalog: DataFrame, since, case_sensitive: bool = True,
                  ordered: bool = True) -> DataFrame:
     """Per report name: run count, integer mean processing time, last run.
@@ -183,9 +193,8 @@ def report_stats(log: DataFrame, catalog: DataFrame, since, case_sensitive: bool
         )
     )
     j = _with_report(per_report, catalog, "Name")
-    key = F.col("Name") if case_sensitive else F.lower("Name")
-    out = j.groupBy(key.alias("_key")).agg(
-        F.min("Name").alias("Name"),
+    out = _by_name(j, "Name", case_sensitive).agg(
+        *_shown("Name", case_sensitive),
         F.sum("_runs").alias("TimesRun"),
         int_div(F.sum("_sum"), F.sum("_n")).alias("AvgProcTimeMS"),
         F.max("_last").alias("LastRunDate"),
@@ -202,11 +211,9 @@ def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
 def runs_per_user(log: DataFrame, start, end, case_sensitive: bool = True, ordered: bool = True) -> DataFrame:
     """Number of runs per user within [start, end], by user name (without case:
     one row per spelling-insensitive name, shown by the smallest spelling)."""
-    key = F.col("UserName") if case_sensitive else F.lower("UserName")
     out = (
-        _within(log, start, end)
-        .groupBy(key.alias("_key"))
-        .agg(F.min("UserName").alias("UserName"), F.count(F.lit(1)).alias("NumReports"))
+        _by_name(_within(log, start, end), "UserName", case_sensitive)
+        .agg(*_shown("UserName", case_sensitive), F.count(F.lit(1)).alias("NumReports"))
         .drop("_key")
     )
     return sort_balanced(out, "UserName", ordered=ordered, case_sensitive=case_sensitive)

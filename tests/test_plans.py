@@ -193,3 +193,17 @@ def test_bucketed_log_and_catalog_join_without_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_grouping_by_name_hashes_and_folds_case(spark):
+    import datetime as dt
+
+    from opslog.operators import runs_per_user
+
+    log = spark.createDataFrame([("DOM\\Ann", dt.datetime(2024, 1, 1)), ("dom\\ann", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 1))],
+                                "UserName string, TimeStart timestamp_ntz")
+    args = (log, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    assert "SortAggregate" not in plan(runs_per_user(*args))
+    assert sorted(map(tuple, runs_per_user(*args).collect())) == [("DOM\\Ann", 1), ("b", 1), ("dom\\ann", 1)]
+    assert [tuple(r) for r in runs_per_user(*args, case_sensitive=False).collect()] == [("b", 1), ("DOM\\Ann", 2)]
+    assert "SortAggregate" not in plan(QUERIES["q13_report_stats"](spark, "/root/testdata/sf0.001"))
