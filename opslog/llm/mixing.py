@@ -152,6 +152,9 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """(rows, draws) of a mix.
 
+    The draws of a mix (words taken / ``block_words``) must stay below 10^9, the bound of the
+    hypergeometric sampler: 6.5 * 10^13 words at the default.
+
     rows: doc_id, hash, source, size, source_size, target and the row's key (part, at).
     draws: part, at, copy, shard, one row for each time the mix takes that row.
     """
