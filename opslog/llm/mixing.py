@@ -134,6 +134,7 @@ def _placed(sized: DataFrame, seed: int) -> DataFrame:
                 [*b.schema.names, "part", "words", "at"])
             words, at = words + int(size.sum()), at + len(size)
 
+    sized = stored(sized, "mix-sizes")  # range sampling reads its input once more: not the texts
     key = F.xxhash64("doc_id", "hash", F.lit(seed))
     by = [F.asc_nulls_last("source"), F.col("key")]
     return stored(sized.withColumn("key", key).repartitionByRange(partitions(sized.sparkSession), *by)
