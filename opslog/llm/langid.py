@@ -5,7 +5,8 @@ training texts. A whole text, in blocks, is compressed with every dictionary;
 the language of the smallest output wins. The relative margin to the second
 smallest is the confidence, and texts with a narrow margin are rejected.
 
-Text is lower-cased and everything but letters becomes one blank, so markup
+Equal sizes, as of very short texts, are told apart by the bytes that the text
+adds to a carrier of the dictionary's language. Text is lower-cased and everything but letters becomes one blank, so markup
 and punctuation do not count. Blocks keep a long text from serving as its own
 dictionary, and the whole text is always read.
 
@@ -13,8 +14,8 @@ Sample bound: at most ``SAMPLE_DOCS`` texts a language, chosen by a hash of
 the id over all training rows, and ``DICTIONARY_BYTES`` of their letters.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0 and
-are rejected; with no training rows at all every text gets ``und``; ties go to
-the language with more training rows, then by name; null ids count as training
+are rejected; with no training rows at all every text gets ``und``; what still
+ties goes to the language with more training rows, then by name; null ids count as training
 rows; repeated rows come out as often as they came in.
 """
 
@@ -31,11 +32,15 @@ from pyspark.sql import functions as F
 from opslog.llm.common import held_out
 
 UND = "und"
-SAMPLE_DOCS = 300
-DICTIONARY_BYTES = 64 * 1024
+SAMPLE_DOCS = 600
+DICTIONARY_BYTES = 96 * 1024
 BLOCK_CHARS = 4096
 # The lazy matcher of this level finds the short matches that tell short texts apart.
 LEVEL = 6
+# Texts too short for any output to shrink tie; they are compressed again behind a carrier from
+# the dictionary, whose own size is subtracted.
+CARRIER_BYTES = 2048
+TIE_LEVEL = 12
 # Relative size margin below which a text is rejected, and the margin that scores one half.
 MIN_MARGIN = 0.002
 HALF_MARGIN = 0.01
@@ -68,30 +73,39 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ids = (part.select("l", "h").groupBy("l").agg(F.sort_array(F.collect_set("h")).alias("hs"))
            .select("l", F.col("hs")[F.least(F.lit(sample_docs), F.size("hs")) - 1].alias("top")))
     top = F.create_map(*[F.lit(x) for r in ids.collect() for x in (r["l"], r["top"])])
-    each = max(1, dictionary_bytes * 4 // sample_docs)
+    # many short pieces rather than a few whole texts: one mislabelled text must not fill a dictionary
+    each = {lang: max(1, dictionary_bytes * 5 // 4 // min(n, sample_docs)) for lang, n in counts.items()}
+    most = F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, 4 * n)])
     texts = (part.where(F.col("h") <= top[F.col("l")]).groupBy("l", "h")
-             .agg(F.max(F.substring("t", 1, each * 4)).alias("t")).collect())
+             .agg(F.max(F.substr(F.col("t"), F.lit(1), most[F.col("l")])).alias("t")).collect())
     out = []
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
-        own = [letters(r["t"])[:each] for r in sorted((r for r in texts if r["l"] == lang), key=lambda r: r["h"])]
+        own = [letters(r["t"])[:each[lang]] for r in sorted((r for r in texts if r["l"] == lang), key=lambda r: r["h"])]
         raw = " ".join(x for x in dict.fromkeys(own) if x).encode()
         out.append((lang, raw[-dictionary_bytes:]))
     return out
 
 
 class Model:
-    """One compressor per language."""
+    """One compressor per language, and one with a carrier for ties."""
 
     def __init__(self, dictionaries: tuple[tuple[str, bytes], ...]):
         import zstandard as z
 
         self.langs = [lang for lang, _ in dictionaries]
-        self.compress = []
-        for _, raw in dictionaries:
+
+        def compressor(raw: bytes, level: int):
             d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.compress.append(z.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False,
-                                                  write_checksum=False, write_dict_id=False).compress)
+            d.precompute_compress(level=level)
+            return z.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False,
+                                    write_dict_id=False).compress
+
+        self.compress = [compressor(raw, LEVEL) for _, raw in dictionaries]
+        self.ties = []
+        for _, raw in dictionaries:
+            k = min(CARRIER_BYTES, len(raw) // 8)
+            c, carrier = compressor(raw[k:], TIE_LEVEL), raw[:k] + b" "
+            self.ties.append((c, carrier, len(c(carrier))))
 
     def sizes(self, text: str) -> list[int]:
         """Compressed bytes of the whole text under each language."""
@@ -106,9 +120,15 @@ class Model:
         if len(self.langs) == 1:
             return self.langs[0], 1.0, 1.0
         sizes = self.sizes(text)
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        second = min(s for i, s in enumerate(sizes) if i != best)
-        margin = (second - sizes[best]) / second
+        first, second = sorted(sizes)[:2]
+        if first == second:
+            raw, total = text.encode(), first
+            sizes = [s - first + len(c(carrier + raw)) - n for s, (c, carrier, n) in zip(sizes, self.ties)]
+            first, second = sorted(sizes)[:2]
+            margin = min(1.0, (second - first) / total)
+        else:
+            margin = (second - first) / second
+        best = sizes.index(first)
         return self.langs[best], margin / (margin + HALF_MARGIN), margin
 
 
