@@ -43,6 +43,8 @@ SEARCH_BEAM = 80
 ALPHA = 1.2
 ENTRIES = 8
 QUERY_BLOCK = 4_096
+# Partitions a shard: few heavy groups, kept apart from each other instead of merged by their bytes.
+SPREAD = 4
 # Searches that advance together; bounds the seen table to LANES x nodes bytes.
 LANES = 512
 SEED = 5
@@ -216,6 +218,7 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
                  .select("vec_id", "vec", (F.length("vec") / 8).cast("int").alias("dims")).distinct(), "ann-vectors")
     n = max(shards, -(-own.count() // shard_rows))
     dealt = own.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
+    dealt = dealt.repartition(SPREAD * n, "dims", "shard")
     return own, stored(dealt.groupBy("dims", "shard").applyInPandas(_build, INDEX), "ann-index")
 
 
@@ -229,6 +232,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH
              .select("query_id", "vec", "dims", F.col("s").alias("shard"), "block"))
     copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     key = ["dims", "shard", "block"]
+    wide = SPREAD * blocks * max(1, shards.count())
+    copies, asked = copies.repartition(wide, *key), asked.repartition(wide, *key)
     near = copies.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(
         lambda i, q: _search(i, q, k, beam), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
