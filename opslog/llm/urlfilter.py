@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from opslog.llm.common import stored
+
 AUTHORITY = r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 AFTER = r"^\s*[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^#]*)"
 
@@ -80,7 +82,8 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     asked = (own.distinct().withColumn("host", host_of(F.col("url"))).where("host <> '' and at is not null")
              .select("id", "url", "at", F.explode(candidates(F.col("host"), path_of(F.col("url")))).alias("c"))
              .select("id", "url", "at", "c.rank", F.col("c.kind").alias("k"), F.col("c.pattern").alias("p")))
-    listed = intervals(entries)
+    # stored, so that the join reads plain shuffles on both sides and a hot pattern can be split
+    listed = stored(intervals(entries), "url-intervals")
     met = asked.join(listed, (F.col("k") == F.col("kind")) & (F.col("p") == F.col("pattern")) & (F.col("at") >= F.col("valid_from"))
                      & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))))
     won = met.groupBy("id", "url", "at").agg(F.max(F.struct("rank", "blocked", "kind", "pattern", "valid_from")).alias("w"))
