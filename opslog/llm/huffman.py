@@ -213,7 +213,8 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
         coded, ln, first = shared.value
         table = decode_table(coded, ln)
         for b in batches:
-            for r in b.to_pylist():
+            for i in range(b.num_rows):  # one block in Python at a time
+                r = b.slice(i, 1).to_pylist()[0]
                 x = decode(r["payload"], r["checkpoints"], r["n_ids"], table).astype("<u4")
                 ends = np.cumsum(r["doc_lengths"], dtype=np.int64)
                 starts = ends - np.array(r["doc_lengths"], np.int64)
