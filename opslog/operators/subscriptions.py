@@ -23,15 +23,19 @@ def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: Da
                     F.col("date_created").alias("Date_Created"), F.col("date_modified").alias("Date_Modified"))
     sjs = job_steps.select(F.col("job_id").alias("_sjs_jid"),
                            coded_datetime("last_run_date", "last_run_time").alias("LastRunDateTime"))
-    # one extraction per subscription, before the job steps multiply them
-    s = subscriptions.select(F.col("SubscriptionID").alias("_sub"), "Report_OID", F.explode(F.array(
-        xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"))
+    s = subscriptions.select(F.col("SubscriptionID").alias("_sub"), "Report_OID", "ExtensionSettings")
     c = catalog.select(F.col("ItemID").alias("_item"), F.col("Name").alias("ReportName"),
                        F.col("Path").alias("ReportPath"))
-    out = (
+    # the extraction comes after the joins that cut the subscriptions to scheduled ones with a job, and
+    # before the job steps multiply them: one per subscription and job
+    scheduled = (
         r.join(j, F.col("_sched") == F.col("_jname"), "inner")
-        .join(sjs, F.col("_jid") == F.col("_sjs_jid"), "inner")
         .join(s, F.col("_r_sub") == F.col("_sub"), "inner")
+        .select("JobName", "Date_Created", "Date_Modified", "_jid", "Report_OID", F.explode(F.array(
+            xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"))
+    )
+    out = (
+        scheduled.join(sjs, F.col("_jid") == F.col("_sjs_jid"), "inner")
         .join(c, F.col("Report_OID") == F.col("_item"), "inner")
     )
     out = out.select(
