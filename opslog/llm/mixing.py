@@ -4,8 +4,11 @@ Targets: sources in code-point order (null last) share the corpus by repeating
 weights; no source exceeds ``max_repeat`` times its size and the excess is
 shared again by weight. Every source's documents are put in a seeded random
 order and cut into blocks of about ``block_words`` words. The mix takes whole
-epochs of all blocks and then a partial epoch, up to the target, which is
-filled up with the documents whose sizes come closest to what is missing. That gives
+epochs of all blocks and then a partial epoch: the leading documents up to the
+target, then passes over the documents left, each taking in seeded order those
+no larger than what is missing until the next would cross it. Passes end where
+the gap is within tolerance or below the smallest document left; then one
+overshooting document is taken if that lands closer. That gives
 every source an exact quota of block draws. A binary tree deals the quota
 vector out to the output shards: each split draws the left half's share from
 the multivariate hypergeometric distribution, so all leaves add up to the
@@ -32,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,9 +48,10 @@ SHARD_BLOCKS = 64
 SEED = 20240
 # Tables with a row per source or partition are broadcast up to this many rows (about 10 MB), else joined.
 BROADCAST_ROWS = 100_000
-# What is missing to a target is filled up in rounds, until it is below this share of the target.
-FILL_ROUNDS = 8
+# What is missing to a target is filled up in passes, until it is below this share of the target.
 TOLERANCE = 0.0002
+# Sums that the driver reads to narrow down where passes end, over all sources together.
+FILL_SUMS = 1 << 18
 # Nodes of the splitting tree that the driver expands; the rest is expanded in tasks.
 DRIVER_NODES = 1024
 
@@ -148,6 +152,105 @@ def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
+CUTS = "cuts array<struct<gap: long, part: int, at: long>>"
+
+
+class Fill:
+    """How one source's partial epoch is filled up.
+
+    ``cuts`` has the passes as (gap, part, at): a pass takes all open documents of at most
+    ``gap`` words up to that row. ``top`` is an overshooting document (part, at); with it the
+    passes after the state it was found in are undone, and the prefix too if ``dropped``.
+    """
+
+    def __init__(self, rest: int, prefix: int, over):
+        self.cuts: list[tuple[int, int, int]] = []
+        self.top, self.dropped, self.top_words = None, False, 0
+        # missing words before the prefix, after it and after each pass; the smallest document above each
+        self.gaps, self.overs = [int(rest), int(rest - prefix)], [over]
+
+    def took(self, cut: tuple[int, int, int], words: int) -> None:
+        self.cuts.append(cut)
+        self.gaps.append(self.gaps[-1] - words)
+
+    def close(self) -> None:
+        """No open document fits any more: overshoot if that lands closer than staying short."""
+        off, _, k = min([(o["size"] - self.gaps[i], -i, i) for i, o in enumerate(self.overs) if o] or [(math.inf, 0, 0)])
+        if off < self.gaps[-1]:
+            self.top, self.dropped, self.top_words = (self.overs[k]["part"], self.overs[k]["at"]), k == 0, self.overs[k]["size"]
+            self.cuts, self.gaps = self.cuts[:max(0, k - 1)], self.gaps[:max(2, k + 1)]
+
+    def words(self) -> int:
+        return self.top_words + (0 if self.dropped else self.gaps[1] - self.gaps[-1])
+
+
+def _cut() -> Column:
+    """True for rows that one of the passes in ``cuts`` takes."""
+    return ~F.col("prefix") & (F.col("size") > 0) & F.exists("cuts", lambda c: (F.col("size") <= c["gap"]) & (
+        (F.col("part") < c["part"]) | ((F.col("part") == c["part"]) & (F.col("at") <= c["at"]))))
+
+
+def _fill(rows: DataFrame, fills: dict[int, Fill], tolerance: dict[int, float]) -> None:
+    """Passes over the documents left, for all sources at once, until no gap is open.
+
+    A pass over a source ends in one partition of the seeded order; sums of ever smaller runs of
+    rows find the row there. Every pass takes a document at least, the first of those that fit.
+    """
+    spark = rows.sparkSession
+    open_ = [i for i, f in fills.items() if f.gaps[-1] > tolerance[i]]
+    while open_:
+        state = _small(spark, [(i, fills[i].gaps[-1], fills[i].cuts) for i in open_], f"s int, gap long, {CUTS}")
+        left = rows.where("not prefix and size > 0").join(state, "s").where(~_cut())
+        fits = F.col("size") <= F.col("gap")
+        sums: dict[int, list] = {i: [] for i in open_}
+        for r in left.groupBy("s", "part").agg(
+                F.sum(F.when(fits, F.col("size"))).alias("words"), (F.max("at") + 1).alias("end"),
+                F.min(F.when(~fits, F.struct("size", "part", "at"))).alias("over")).collect():
+            sums[r["s"]].append(r)
+        narrow: dict[int, tuple[int, int, int, int]] = {}  # source: part, first row, end, words before
+        for i in open_:
+            f, words = fills[i], 0
+            f.overs.append(min((r["over"] for r in sums[i] if r["over"]), default=None))
+            own = sorted((r for r in sums[i] if r["words"]), key=lambda r: r["part"])
+            for r in own:
+                if words + r["words"] > f.gaps[-1]:
+                    narrow[i] = (r["part"], 0, r["end"], words)
+                    break
+                words += r["words"]
+            else:
+                if own:
+                    f.took((f.gaps[-1], own[-1]["part"], own[-1]["end"] - 1), words)
+        crossing = {}
+        while narrow:
+            fan = max(2, min(1024, FILL_SUMS // len(narrow)))
+            step = {i: -(-(end - lo) // fan) for i, (_, lo, end, _) in narrow.items()}
+            at = _small(spark, [(i, p, lo, end, step[i]) for i, (p, lo, end, _) in narrow.items()],
+                        "s int, part int, lo long, end long, step long")
+            runs: dict[int, list] = {i: [] for i in narrow}
+            for r in (left.where(fits).join(at, ["s", "part"]).where("at >= lo and at < end")
+                      .groupBy("s", F.floor((F.col("at") - F.col("lo")) / F.col("step")).alias("run"))
+                      .agg(F.sum("size").alias("words")).collect()):
+                runs[r["s"]].append((r["run"], r["words"]))
+            for i, (p, lo, end, words) in list(narrow.items()):
+                for run, w in sorted(runs[i]):
+                    if words + w > fills[i].gaps[-1]:
+                        break
+                    words += w
+                first = lo + run * step[i]
+                if step[i] > 1:
+                    narrow[i] = (p, first, min(end, first + step[i]), words)
+                else:
+                    crossing[i] = (p, first - 1, words)
+                    del narrow[i]
+        for i, (p, row, words) in crossing.items():
+            fills[i].took((fills[i].gaps[-1], p, row), words)
+        for i in open_:
+            # nothing was taken, or all that fits was: what is left is larger than the gap
+            if fills[i].gaps[-1] > tolerance[i] and not any(r["words"] for r in sums[i]):
+                fills[i].close()
+        open_ = [i for i in open_ if fills[i].gaps[-1] > tolerance[i] and any(r["words"] for r in sums[i])]
+
+
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
          block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED,
          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -184,43 +287,36 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
             .withColumn("prefix", (F.col("rest") > 0) & (F.col("p") + F.col("size") <= F.col("rest")))
             .drop("src", "part_words", "part_rows", "words", "s_words", "s_rows", "n"))
 
-    # per source: words and blocks of the partial epoch, and the documents that fill it up best
+    # per source: words and blocks of the partial epoch, and the documents that fill it up
     ends = {r["s"]: r for r in rows.groupBy("s").agg(
         (F.max("block") + 1).alias("blocks"), F.max(F.when(F.col("prefix"), F.col("block"))).alias("last"),
-        F.coalesce(F.sum(F.when(F.col("prefix"), F.col("size"))), F.lit(0)).alias("words")).collect()}
-    missing = {i: int(rest[i] - r["words"]) for i, r in ends.items()}
-    top: list[tuple[int, int, int]] = []  # (source, part, at) of the documents that fill up, few per source
-    for _ in range(FILL_ROUNDS):
-        wanted = [(i, m) for i, m in missing.items() if m > TOLERANCE * goal[i]]
-        if not wanted:
-            break
-        gap = _small(spark, wanted, "s int, missing long")
-        used = _small(spark, [(p, a) for _, p, a in top], "part int, at long")
-        open_ = (rows.where("not prefix and size > 0").join(gap, "s").where("abs(missing - size) < missing")
-                 .join(used, ["part", "at"], "left_anti"))
-        # the largest that still fits; only where none does, one that overshoots by less than is missing
-        over, off = (F.col("size") > F.col("missing")).alias("over"), F.abs(F.col("missing") - F.col("size")).alias("off")
-        found = open_.groupBy("s").agg(F.min(F.struct(over, off, "p", "part", "at", "size")).alias("t")).collect()
-        if not found:
-            break
-        for r in found:
-            top.append((r["s"], r["t"]["part"], r["t"]["at"]))
-            missing[r["s"]] -= r["t"]["size"]
-    extra = _small(spark, [(p, a, True) for _, p, a in top], "part int, at long, topped boolean")
-    filled = {i for i, _, _ in top}
+        F.coalesce(F.sum(F.when(F.col("prefix"), F.col("size"))), F.lit(0)).alias("words"),
+        F.min(F.when((F.col("rest") > 0) & (F.col("size") > F.col("rest")), F.struct("size", "part", "at"))).alias("over")).collect()}
+    done = {i: Fill(rest[i], r["words"], r["over"]) for i, r in ends.items()}
+    _fill(rows, done, {i: TOLERANCE * goal[i] for i in done})
 
     blocks = {i: int(r["blocks"]) for i, r in ends.items()}
-    tail = {i: (0 if r["last"] is None else int(r["last"]) + 1) or int(i in filled) for i, r in ends.items()}
+    spans, tail = [], {}
+    for i, f in done.items():
+        start_ = 0 if f.dropped or ends[i]["last"] is None else int(ends[i]["last"])
+        # what fills up joins the last block of the prefix, or is dealt over as many more as it has words for
+        span = 1 + min(f.words() // block_words, blocks[i] - 1 - start_)
+        tail[i] = start_ + span if f.cuts or f.top or (not f.dropped and ends[i]["last"] is not None) else 0
+        spans.append((i, f.dropped, start_, span, f.cuts, *(f.top or (None, None))))
     quota = np.array([full[i] * blocks.get(i, 0) + tail.get(i, 0) for i in range(len(sums))], np.int64)
     units = _units(spark, quota, [blocks.get(i, 0) for i in range(len(sums))], shard_blocks, seed)
 
-    last = _small(spark, [(i, max(t - 1, 0)) for i, t in tail.items()], "s int, tail long")
-    copies = (rows.join(extra, ["part", "at"], "left").join(last, "s")
+    last = _small(spark, spans, f"s int, dropped boolean, start long, span long, {CUTS}, top_part int, top_at long")
+    prefix = F.col("prefix") & ~F.col("dropped")
+    topped = _cut() | F.coalesce((F.col("part") == F.col("top_part")) & (F.col("at") == F.col("top_at")), F.lit(False))
+    own = F.when(prefix | (F.col("block") < F.col("start")), F.col("block")).otherwise(
+        F.col("start") + F.pmod(F.xxhash64("part", "at"), F.col("span")))
+    copies = (rows.join(last, "s")
               .select("part", "at", "s", F.explode(F.concat(
                   F.when(F.col("epochs") > 0, F.transform(F.sequence(F.lit(0), F.col("epochs") - 1), lambda e: F.struct(
                       e.alias("copy"), F.col("block").alias("block")))).otherwise(F.array()),
-                  F.when(F.col("prefix") | F.coalesce("topped", F.lit(False)), F.array(F.struct(
-                      F.col("epochs").alias("copy"), F.least("block", "tail").alias("block")))).otherwise(F.array())))
+                  F.when(prefix | topped, F.array(F.struct(
+                      F.col("epochs").alias("copy"), own.alias("block")))).otherwise(F.array())))
                   .alias("d")).select("part", "at", "s", "d.copy", "d.block"))
     draws = copies.join(units, ["s", "copy", "block"]).select("part", "at", "copy", "shard")
     return rows.select("part", "at", "doc_id", "hash", "source", "size", "source_size", "target"), draws

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from opslog.llm import mixing, queries
-from tests.llm.fixtures import docs_df, empty
+from tests.llm.fixtures import doc, docs_df, empty
 
 SF = "/root/testdata/sf0.01"
 
@@ -103,3 +103,60 @@ def test_mixing_defined_cases(spark):
     assert Counter(r.doc_id for r in rows if r.doc_id == 106)[106] == sum(r.taken // r.size for r in got if r.doc_id == 106)
     assert sorted(map(str, out.collect())) == sorted(map(str, rows))
     assert mixing.mix_sizes(empty(docs)).count() == 0 and mixing.mixed(empty(docs)).count() == 0
+
+
+def fill_case(spark, sizes):
+    """(target, words taken) of source a, whose documents have these sizes; b takes two sevenths of all."""
+    half = sum(sizes)
+    rows = [doc(i, "w " * n, "en", "a") for i, n in enumerate(sizes)] + [doc(10_000, "w " * half, "en", "b")]
+    got = mixing.mix_sizes(docs_df(spark, rows)).where("source = 'a'").collect()
+    assert sorted(r.size for r in got) == sorted(sizes) and all(0 <= r.taken <= 3 * r.size for r in got)
+    return got[0].target, sum(r.taken for r in got)
+
+
+@pytest.mark.parametrize("seed_words", range(2))
+def test_very_long_document_on_the_boundary_leaves_no_gap(spark, seed_words):
+    # the long document does not fit the rest; hundreds of small ones fill it, more than eight
+    small = [60 + (i * 7 + seed_words) % 5 for i in range(400)]
+    target, taken = fill_case(spark, [20_000 + seed_words, *small])
+    assert abs(taken - target) <= max(35, 0.0002 * target)
+
+
+def test_overshooting_document_is_taken_where_it_lands_closer():
+    f = mixing.Fill(1000, 0, {"size": 1001, "part": 0, "at": 5})
+    f.overs.append({"size": 1001, "part": 0, "at": 5})
+    f.took((1000, 3, 7), 10)
+    f.overs.append({"size": 1001, "part": 0, "at": 5})
+    f.close()
+    assert f.top == (0, 5) and f.cuts == [] and f.words() == 1001 and not f.dropped
+    f = mixing.Fill(1000, 900, None)
+    f.overs.append({"size": 300, "part": 0, "at": 1})
+    f.close()
+    assert f.top is None and f.words() == 0
+
+
+def test_fill_passes_match_plain_passes(spark):
+    rng = np.random.default_rng(3)
+    sizes = [(rng.pareto(0.7, 300) * 5 + 1).astype(int).tolist() for _ in range(3)]
+    rows = [(s, k // 50, k % 50, n, False) for s in range(3) for k, n in enumerate(sizes[s])]
+    df = spark.createDataFrame(rows, "s int, part int, at long, size long, prefix boolean")
+    gaps = [sum(x) // 3 for x in sizes]
+    fills = {s: mixing.Fill(gaps[s], 0, None) for s in range(3)}
+    mixing._fill(df, fills, dict.fromkeys(range(3), 0.0))
+    for s in range(3):
+        gap, left, states = gaps[s], sizes[s], []
+        while True:
+            states.append((gap, min((n for n in left if n > gap), default=None)))
+            fit = [n for n in left if n <= gap]
+            if gap == 0 or not fit:
+                break
+            room, stop, rest = gap, False, []
+            for n in left:
+                stop = stop or (n <= gap and n > room)
+                if n <= gap and not stop:
+                    room -= n
+                else:
+                    rest.append(n)
+            gap, left = room, rest
+        best = min([gap, *[n - g for g, n in states if n]]) if gap else 0
+        assert abs(gaps[s] - fills[s].words()) == best
