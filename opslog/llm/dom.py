@@ -3,13 +3,17 @@
 Inline tags only end nothing: their text joins the running leaf. A leaf is the
 text between two block boundaries, with character references decoded and white
 space turned into single blanks. Text of scripts, styles, templates, form
-controls and the like never becomes a leaf. Tag soup is accepted: missing end
-tags, stray ends, unclosed comments and quotes.
+controls and the like never becomes a leaf; that of formulas does. Tag soup is
+accepted: missing end tags, stray ends, unclosed comments and quotes. Only
+elements that HTML reads as raw text take the rest of the page without an end
+tag; other dropped elements without one within their enclosing block end at the
+next block boundary.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 # Element names of the HTML standard.
@@ -17,7 +21,9 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul".split())
-RAW = frozenset("script style template noscript textarea title iframe object svg math canvas audio video select button xmp".split())
+RAW = frozenset("script style textarea title iframe xmp".split())  # no markup inside
+DROPPED = frozenset("template noscript object svg canvas audio video select button annotation annotation-xml".split())
+FOREIGN = frozenset("svg math".split())  # "/>" closes them and what is in them
 CLOSES_P = BLOCKS - frozenset("body html caption tbody td tfoot th thead tr legend".split())
 CLOSES_SAME = {"li": ("li", ("ul", "ol", "menu", "dir")), "dd": ("dd dt", ("dl",)), "dt": ("dd dt", ("dl",)),
                "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table"))}
@@ -31,6 +37,61 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for t in RAW}
 MAX_DEPTH = 400
 
 
+def _tokens(html: str) -> list[tuple[str, str, int, int, str]]:
+    """(kind, tag, first, end, attributes) of every tag and comment; a raw element with its text is one token."""
+    out, at, foreign = [], 0, Counter()
+    while m := _TOKEN.search(html, at):
+        at = m.end()
+        if name := m[1] or m[3]:
+            tag, attrs = name.lower(), m[2] or m[4] or ""
+            closed = attrs.endswith("/")
+            if tag in RAW:
+                if not (closed and any(foreign.values())):
+                    close = _RAW_END[tag].search(html, at)
+                    at = close.end() if close else len(html)
+                out.append(("raw", tag, m.start(), at, ""))
+            else:
+                if tag in FOREIGN and not closed:
+                    foreign[tag] += 1
+                out.append(("start", tag, m.start(), at, attrs))
+        elif m[5]:
+            tag = m[5].lower()
+            if foreign[tag]:
+                foreign[tag] -= 1
+            out.append(("end", tag, m.start(), at, ""))
+        else:
+            out.append(("other", "", m.start(), at, ""))
+    return out
+
+
+def _dropped(tokens: list) -> dict[int, int]:
+    """{start token: end token} of the dropped elements that end within their enclosing block."""
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    held: Counter = Counter()  # open elements by name, so that a stray end tag needs no search
+    for k, (kind, tag, _, _, attrs) in enumerate(tokens):
+        if tag not in DROPPED and tag not in BLOCKS:
+            continue
+        if kind == "start":
+            if attrs.endswith("/") and (tag in FOREIGN or tag in DROPPED and held["svg"]):
+                out[k] = k
+                continue
+            if stack and stack[-1][0] == "p" and tag in CLOSES_P:
+                held[stack.pop()[0]] -= 1
+            if tag != "hr":
+                stack.append((tag, k))
+                held[tag] += 1
+        elif kind == "end" and held[tag]:
+            while True:
+                name, at = stack.pop()
+                held[name] -= 1
+                if name == tag:
+                    break
+            if tag in DROPPED:
+                out[at] = k
+    return out
+
+
 class Page:
     """Nodes in page order: parent, tag ("#" for a text leaf), attributes, text, link characters."""
 
@@ -70,40 +131,44 @@ class Page:
                 run.clear()
                 linked.clear()
 
-        while at < end:
-            m = _TOKEN.search(html, at)
-            if m is None:
-                text(html[at:])
-                break
-            text(html[at:m.start()])
-            at = m.end()
-            name = m[1] or m[3]
-            if name:
-                tag = name.lower()
-                if tag in RAW:
-                    close = _RAW_END[tag].search(html, at)
-                    at = close.end() if close else end
-                    if tag not in ("script", "style", "title", "template"):
-                        run.append(" ")
-                elif tag in BLOCKS:
-                    flush()
-                    in_link = False
-                    self._open(stack, tag, m[2] or m[4] or "")
-                elif tag == "a":
-                    in_link = True
-                elif tag in ("br", "wbr", "img", "input", "label"):
+        tokens = _tokens(html)
+        skip = _dropped(tokens)
+        mute = False  # in a dropped element without an end tag
+        k = 0
+        while k < len(tokens):
+            kind, tag, first, at_, attrs = tokens[k]
+            if not mute:
+                text(html[at:first])
+            at = at_
+            if kind == "raw":
+                if tag not in ("script", "style", "title"):
                     run.append(" ")
-            elif m[5]:
-                tag = m[5].lower()
-                if tag in BLOCKS:
-                    flush()
-                    in_link = False
-                    for k in range(len(stack) - 1, 0, -1):
-                        if self.tag[stack[k]] == tag:
-                            del stack[k:]
+            elif tag in BLOCKS:
+                mute = False
+                flush()
+                in_link = False
+                if kind == "start":
+                    self._open(stack, tag, attrs)
+                else:
+                    for j in range(len(stack) - 1, 0, -1):
+                        if self.tag[stack[j]] == tag:
+                            del stack[j:]
                             break
-                elif tag == "a":
-                    in_link = False
+            elif tag == "a":
+                in_link = kind == "start"
+            elif kind == "start" and tag in DROPPED:
+                if tag != "template":
+                    run.append(" ")
+                if k not in skip:
+                    mute = True
+                elif skip[k] > k:
+                    k = skip[k]
+                    at = tokens[k][3]
+            elif kind == "start" and tag in ("br", "wbr", "img", "input", "label"):
+                run.append(" ")
+            k += 1
+        if not mute:
+            text(html[at:end])
         flush()
 
     def _open(self, stack: list[int], tag: str, attrs: str) -> None:

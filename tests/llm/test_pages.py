@@ -72,6 +72,32 @@ def test_parser_cases():
     Page("<" * 20_000 + "<a b='" * 5_000)
 
 
+ARTICLE = "<article><h1>T</h1><p>a b<svg><path d='x'/></svg> c</p><button>B</button><p>d</p></article>"
+
+
+@pytest.mark.parametrize("before", [
+    "<svg class=icon/>", "<svg class='icon'/>", "<svg><path/>", "<svg><title/><style/></svg>", "<math/>", "<video src=x/>", "<video src=x>",
+    "<audio>", "<object/>", "<object data=x>", "<canvas>", "<button>Menu", "<noscript>", "<noscript><img src=x>", "<select><option>one",
+    "<template>", "<button>Menu</button>", "<noscript><p>No script</noscript>", "<div><button>Menu</div>", "<object><p>old</p></object>",
+    "<svg><foreignObject><div>z</div></foreignObject></svg>", "<iframe>z</iframe>", "<noscript><div>z</div></noscript>", "<p>" + "<button>" * 3])
+def test_dropped_elements_before_an_article(before):
+    p = Page(f"<body>{before}{ARTICLE}<p>end</p></body>")
+    got = [p.text[i] for i in range(len(p.tag)) if p.tag[i] == "#"]
+    assert got == ["T", "a b c", "d", "end"] and p.tag.count("article") == 1
+
+
+def test_formulas_and_raw_elements():
+    def leaves(h):
+        p = Page(h)
+        return [p.text[i] for i in range(len(p.tag)) if p.tag[i] == "#"]
+
+    assert leaves("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding=t>x=1</annotation></math> holds</p>") == ["so x=1 holds"]
+    for t in ("script", "style", "textarea", "title", "xmp", "iframe"):
+        assert leaves(f"<p>a</p><{t}>never closed <p>x") == ["a"]
+    assert leaves("<p>a</p><svg>icon<p>b</p>" * 3000) == ["a", "b"] * 3000
+    assert len(leaves("<button>" * 20_000 + "<p>x</p>" + "</svg>" * 20_000)) == 1
+
+
 def test_boosting_learns_interactions():
     import numpy as np
 
