@@ -211,3 +211,9 @@ def attribute_words(attrs: str) -> list[str]:
                 if len(words) > 1:
                     out.append("".join(words))
     return out
+
+
+def name_parts(attrs: str) -> list[list[str]]:
+    """Lower-case words of every single class, id or role."""
+    names = (v for m in _ATTR.finditer(attrs) if m[1].lower() in _NAMES for v in (m[2] or m[3] or m[4] or "").split())
+    return [[w.lower() for w in words] for v in names if (words := _WORD.findall(v))]

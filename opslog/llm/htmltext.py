@@ -9,9 +9,13 @@ choice of highest likelihood is decoded: a node can only be main text if its
 parent is, so a kept leaf never hangs under a dropped ancestor, and a dropped
 subtree stays dropped as a whole. Kept leaves are joined in page order.
 
-Training needs no outside data. On a bounded sample of the pages
-(``SAMPLE_PAGES``, by a hash of the id) the text under ``article`` or ``main``
-elements is main text and the rest is not; each of them is also rebuilt in
+Training needs no outside data. On a bounded sample of the pages that have an
+``article`` or ``main`` element (``SAMPLE_PAGES``, by a hash of the id) the text
+under these elements is main text and the rest is not, nor is what class names
+inside them call comments, adverts and the like (``OTHER_WORDS``). Where no page
+has text under such an element, the sample is of all pages and every ``p`` text
+of it, wherever it stands, serves as main text of made layouts only: a
+weaker rule, as notices and comments in ``p`` count too. Each of the pages is also rebuilt in
 random layouts, with other elements and attribute words around the same text
 and with menus, sidebars, notices, adverts, forms, footers and reader comments
 added, so that the trees learn structure beyond one template.
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.llm import boosting
-from opslog.llm.dom import Page, attribute_words
+from opslog.llm.dom import Page, attribute_words, name_parts
 
 SAMPLE_PAGES = 300
 LAYOUTS = 3
@@ -297,16 +301,32 @@ class Layouts:
         return f"<html><head><title>x</title></head><body>{body}</body></html>"
 
 
+# Words of an element inside an article that name it as something else; those for headers may be the article's own.
+_NAMED = {w for kind, ws in OTHER_WORDS.items() if kind != "header" for w in ws.split()} - set(MAIN_WORDS)
+
+
+def names_other(attrs: str) -> bool:
+    """Whether a class, id or role begins or ends with a word for other text ("has-sidebar" is a remark, no name)."""
+    for part in name_parts(attrs):
+        if not {"has", "with", "no", "without"} & set(part) and {part[0], part[-1], "".join(part)} & _NAMED:
+            return True
+    return False
+
+
 def _labels(page: Page, semantic: bool) -> np.ndarray:
     """1 for nodes whose subtree holds main text; by data-y marks, or by article and main elements."""
     y = np.zeros(len(page.tag), np.int8)
     bare = not semantic and not any("data-y" in a for a in page.attrs)
     state = [int(bare)] * len(page.tag)
+    named = [False] * len(page.tag)
     for i in range(1, len(page.tag)):
         state[i] = state[page.parent[i]]
         attrs = page.attrs[i]
         if semantic:
-            if page.tag[i] in ("article", "main"):
+            named[i] = named[page.parent[i]] or bool(state[i] and attrs and names_other(attrs))
+            if named[i]:
+                state[i] = 0
+            elif page.tag[i] in ("article", "main"):
                 state[i] = 1
             elif page.tag[i] in ("nav", "aside", "footer", "form"):
                 state[i] = 0
@@ -349,14 +369,22 @@ def fit(htmls: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> Extractor
     return Extractor(boosting.fit(x, y.astype(np.float64), weight), words)
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Extractor:
-    """Fit on at most ``sample_pages`` pages, those with the smallest hash of their id."""
-    src = pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("t")).where(F.col("t").isNotNull())
+def _draw(src: DataFrame, sample_pages: int) -> list[str]:
+    """At most ``sample_pages`` texts, those with the smallest hash."""
     # a hash threshold first, at about twice the sample, so that tasks do not each send a sample of their own
     span, n = 1 << 30, max(1, src.count())
     rows = (src.where(F.pmod("h", F.lit(span)) < min(span, 2 * span * sample_pages // n))
             .orderBy(F.pmod("h", F.lit(span)), "h", F.xxhash64("t")).limit(sample_pages).collect())
-    return fit([r["t"] for r in rows])
+    return [r["t"] for r in rows]
+
+
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Extractor:
+    """Fit on at most ``sample_pages`` pages with an ``article`` or ``main``; on any pages where none has text in one."""
+    src = pages.select(F.xxhash64(id_col).alias("h"), F.col(html_col).cast("string").alias("t")).where(F.col("t").isNotNull())
+    htmls = _draw(src.where(F.col("t").rlike(r"(?i)<(?:article|main)[\s/>]")), sample_pages)
+    if not any(_labels(Page(t), True).any() for t in htmls):
+        htmls = _draw(src, sample_pages)
+    return fit(htmls)
 
 
 def extract(pages: DataFrame, model: Extractor, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -98,6 +98,30 @@ def test_formulas_and_raw_elements():
     assert len(leaves("<button>" * 20_000 + "<p>x</p>" + "</svg>" * 20_000)) == 1
 
 
+def test_labels_leave_out_comments_and_adverts_inside_an_article():
+    p = Page("<article class='post has-sidebar'><header class=entry-header><h1>T</h1></header><p>a</p><div class='box ad-slot'>ad</div>"
+             "<section id=article-comments><article class=comment><p>c</p></article></section><div class=post-content>b</div></article><p>o</p>")
+    y = htmltext._labels(p, True)
+    assert [p.text[i] for i in range(len(y)) if y[i] and p.tag[i] == "#"] == ["T", "a", "b"]
+
+
+def test_training_pages_are_drawn_from_those_with_an_article(spark, monkeypatch):
+    rows = [(i, f"<body><p>cookie {i}</p></body>") for i in range(400)] + [(1000 + i, f"<body><MAIN><p>text {i}</p></MAIN></body>") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    seen = []
+    monkeypatch.setattr(htmltext, "fit", seen.append)
+    htmltext.train(df, sample_pages=20)
+    assert sorted(seen[0]) == sorted(h for i, h in rows if i >= 1000)
+    htmltext.train(df.where("page_id < 1000"), sample_pages=20)  # the fallback: any pages
+    assert len(seen[1]) == 20 and all("cookie" in h for h in seen[1])
+
+
+def test_fallback_without_article_or_main():
+    body = "<div class=text>" + "<p>Some words, and more of them. They go on.</p>" * 3 + "</div>"
+    m = htmltext.fit([f"<body><nav><a>x</a></nav>{body}</body>"] * 20)
+    assert m.trees is not None and m.texts([Page(f"<body>{body}</body>")])[0].count("Some words") == 3
+
+
 def test_boosting_learns_interactions():
     import numpy as np
 
