@@ -187,25 +187,18 @@ def q_run_detail(spark, sf_dir):
     return op.run_detail(t.execution_log, t.catalog, P.SINCE)
 
 
-# Logs stored by period, by application and input folder: a store is built once and then read.
-_PERIOD_STORES: dict[tuple[str, str], str] = {}
-
-
 def q_runs_in_range_by_period(spark, sf_dir):
-    """Q12 over the log stored by period: the range reads only its folders."""
+    """Q12 over the log stored by period: the range reads only its folders. Every call stores the log anew."""
     import uuid
 
     from opslog.session import scratch_path
     from opslog.sources.logstore import write_by_period
 
     t = Tables(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PERIOD_STORES:
-        path = scratch_path(spark, "log-by-month", uuid.uuid4().hex)
-        # the stand-in log spans years with few rows a day: monthly folders
-        write_by_period(t.execution_log, path, "TimeStart", granularity="month")
-        _PERIOD_STORES[key] = path
-    return op.runs_in_range(spark.read.parquet(_PERIOD_STORES[key]), t.catalog, P.RANGE_START, P.RANGE_END)
+    path = scratch_path(spark, "log-by-month", uuid.uuid4().hex)
+    # the stand-in log spans years with few rows a day: monthly folders
+    write_by_period(t.execution_log, path, "TimeStart", granularity="month")
+    return op.runs_in_range(spark.read.parquet(path), t.catalog, P.RANGE_START, P.RANGE_END)
 
 
 def q_runs_per_user(spark, sf_dir):

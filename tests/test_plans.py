@@ -207,3 +207,19 @@ def test_grouping_by_name_hashes_and_folds_case(spark):
     assert sorted(map(tuple, runs_per_user(*args).collect())) == [("DOM\\Ann", 1), ("b", 1), ("dom\\ann", 1)]
     assert [tuple(r) for r in runs_per_user(*args, case_sensitive=False).collect()] == [("b", 1), ("DOM\\Ann", 2)]
     assert "SortAggregate" not in plan(QUERIES["q13_report_stats"](spark, "/root/testdata/sf0.001"))
+
+
+def test_period_store_follows_rewritten_tables(spark, tmp_path):
+    import shutil
+
+    from opslog.plans.registry import QUERIES
+
+    sf = tmp_path / "sf"
+    seen = []
+    for size in ("sf0.001", "sf0.01"):
+        shutil.copytree(f"/root/testdata/{size}", sf, dirs_exist_ok=True)
+        spark.catalog.clearCache()
+        got, want = (sorted(map(str, QUERIES[q](spark, str(sf)).collect())) for q in ("runs_in_range_by_period", "q12_runs_in_range"))
+        assert got == want
+        seen.append(got)
+    assert seen[0] != seen[1]
