@@ -1,18 +1,21 @@
 """Best-fit packing of token pieces into sequences of bounded length.
 
-Bulk-synchronous best fit. Pieces are range-sorted by falling length and get
-their global rank from per-partition counts. Lengths are integers up to the
-capacity, so pieces and gaps fall into at most ``capacity`` size classes, and
-one round places a whole class of pieces: a sweep over the gap classes from
-the smallest that fits upward (the successor) fills each gap with as many of
-the pieces as it holds, conflicts are resolved by rank (the k-th piece of the
-class takes the k-th place), the gaps move to the class of what remains, and
-the next class follows. Pieces that fit no gap open new sequences. This is
-exactly best-fit decreasing. A round's result is a list of flows (ranks from
-.. to go to sequences from .. at offset ..), whose number depends on the
-capacity and not on the data; every piece then finds its flow by successor
-search on its rank, in all tasks at once. Nothing of the documents but the
-class counts reaches the driver.
+Best-fit decreasing over length counts. Pieces are range-sorted by falling
+length and get their global rank from per-partition counts. Lengths are
+integers up to the capacity, so pieces and gaps fall into at most ``capacity``
+size classes, and only the number of pieces and gaps in a class matters. One
+loop on the driver over these counts places a whole class of pieces a step: the
+gap classes from the smallest that fits upward (the successor) are filled with
+as many of the pieces as they hold, the k-th piece of the class takes the k-th
+place, the gaps move to the class of what remains, and the next class follows.
+Pieces that fit no gap open new sequences. This is exactly best-fit decreasing.
+The result is a list of flows (ranks from .. to go to sequences from .. at
+offset ..), whose number depends on the capacity and not on the data; every
+piece then finds its flow by successor search on its rank, in all tasks at
+once. Gaps are never rows of a table: distributed sweeps would need a round of
+jobs for each of up to ``capacity`` classes, one after the other, for numbers
+that fit in one list. Nothing of the documents but the class counts reaches the
+driver.
 
 Defined cases: a null text is empty; a document always has at least the end
 token and so one piece; null and repeated ids are packed as documents of
