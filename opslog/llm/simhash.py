@@ -58,15 +58,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) with fp the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """(id, fp) with fp the fingerprint's 64 bits as a signed long; if ``hashed`` also th, a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps, pa.int64())], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps, pa.int64()), *b.columns[2:]],
+                                             ["id", "fp", "th"][:b.num_columns])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), *[F.xxhash64(text).alias("th")] * hashed)
+    return src.mapInArrow(run, "id long, fp long" + ", th long" * hashed)
 
 
 def ball(radius: int) -> list[int]:
@@ -95,7 +97,13 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     ``component_id`` is the smallest id reachable over links of at most
     ``max_bits`` differing bits; ``kept`` marks that document.
     """
-    rows = stored(fingerprints(docs, shingle, id_col, text_col), "simhash")
+    out = _grouped(stored(fingerprints(docs, shingle, id_col, text_col), "simhash"), max_bits)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id", "kept")
+
+
+def _grouped(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (id, fp and others) with component_id and kept."""
     classes = rows.where("id is not null").groupBy("fp").agg(F.min("id").alias("low_id"))
     labels = connected_components(ball_links(classes.select("fp"), max_bits))
     classes = (classes.join(labels, classes.fp == labels.node, "left")
@@ -104,21 +112,28 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     of_class = stored(classes.join(lowest, "component").select("fp", "component_id"), "simhash-classes")
     out = rows.join(of_class, "fp", "left")
     cid = F.when(F.col("id").isNotNull(), F.col("component_id"))
-    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                      cid.alias("component_id"), (F.col("id") == cid).alias("kept"))
+    return out.select(*[f"`{c}`" for c in rows.columns], cid.alias("component_id"), (F.col("id") == cid).alias("kept"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of every group (the smallest id), one row each.
 
+    Kept rows are told by id and fingerprint, so that of an id with several texts each is kept or
+    dropped with its own group. Of several rows of one id and fingerprint the one with the smallest
+    text hash stays, and of rows equal in both the first by their columns.
     Rows without an id belong to no group and stay.
     """
-    groups = simhash_groups(docs, shingle, max_bits, id_col, text_col)
-    ids = groups.where("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    left = docs.join(ids, F.col(id_col).cast("long") == F.col("__id"), "inner").drop("__id")
-    once = left.where("__n = 1").drop("__n")
-    out = once.unionByName(docs.where(F.col(id_col).isNull()))
-    if ids.where("__n > 1").isEmpty():
+    rows = stored(fingerprints(docs, shingle, id_col, text_col, hashed=True), "simhash")
+    # not by the plain fingerprint: its rows would stay dealt by it, and copies under many ids in one task
+    keys = (_grouped(rows, max_bits).where("kept")
+            .groupBy(F.col("id").alias("__id"), F.col("fp").bitwiseXOR(F.col("id")).alias("__fp"))
+            .agg(F.min("th").alias("__th"), F.count("*").alias("__n")).drop("__fp"))
+    left = docs.join(keys, (F.col(id_col).cast("long") == F.col("__id"))
+                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__th")), "inner")
+    own = [f"`{c}`" for c in docs.columns]
+    out = left.where("__n = 1").select(*own).unionByName(docs.where(F.col(id_col).isNull()))
+    if keys.where("__n > 1").isEmpty():
         return out
-    return out.unionByName(left.where("__n > 1").drop("__n").dropDuplicates([id_col]))
+    first = left.where("__n > 1").groupBy("__id", "__th").agg(F.min(F.struct(*own)).alias("__row"))
+    return out.unionByName(first.select("__row.*"))

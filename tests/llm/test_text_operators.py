@@ -175,6 +175,14 @@ def test_simhash_defined_cases(spark):
     assert simhash.simhash_groups(empty(docs)).count() == 0 and simhash.keep_one(empty(docs)).count() == 0
 
 
+def test_keep_one_of_an_id_with_two_texts(spark):
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white")
+    rows = [doc(1, c), doc(5, a), doc(5, b), doc(5, c), doc(7, b), doc(7, b), doc(9, EN, source="y"), doc(9, EN, source="x")]
+    for df in (docs_df(spark, rows), docs_df(spark, rows[::-1]).repartition(3)):
+        got = sorted((r.doc_id, r.text, r.source) for r in simhash.keep_one(df).collect())
+        assert got == sorted([(1, c, "a"), (5, a, "a"), (5, b, "a"), (9, EN, "x")])
+
+
 def test_components_long_chain_and_star(spark):
     edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + i) for i in range(300)] + [(5, 5)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
