@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslog.llm import ann, htmltext, huffman, langid, mixing, packing, quality, simhash, urlfilter, vecdedup
+from opslog.llm import ann, htmltext, huffman, langid, mixing, packing, prefixtrie, quality, runs, simhash, urlfilter, vecdedup
 from opslog.llm.common import read
 
 
@@ -91,6 +91,14 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages, htmltext.train(pages))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(read(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -102,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_main_text": op10_html_main_text,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Host, path and entries of a URL as in urlfilter and url_entries, written for the oracle's engine.
