@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslog.llm import ann, htmltext, huffman, langid, mixing, packing, prefixtrie, quality, runs, simhash, urlfilter, vecdedup
+from opslog.llm import ann, htmltext, huffman, langid, mixing, packing, prefixtrie, quality, runs, simhash, toxicity
+from opslog.llm import urlfilter, vecdedup
 from opslog.llm.common import read
 
 
@@ -91,6 +92,11 @@ def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(pages, htmltext.train(pages))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.conversation_trie(read(spark, sf_dir, "conversations"))
 
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_main_text": op10_html_main_text,
+    "op11_toxicity": op11_toxicity,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
