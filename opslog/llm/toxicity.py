@@ -155,24 +155,27 @@ def fit(rows: list[tuple[int, float, list[str]]]) -> Scorer:
     total = sum(r[1] for r in rows)
     share = (sum(r[1] for r in rows if r[0]) + 1) / (total + 2)
     number: dict[str, int] = {}
-    bags = [[number.setdefault(w, len(number)) for w in text.split()] for r in rows for text in r[2]]
+    bags = [np.array([number.setdefault(w, len(number)) for w in text.split()], np.int32) for r in rows for text in r[2]]
     if len({r[0] for r in rows}) < 2 or not number:
         return Scorer(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     sizes = np.array([len(b) for b in bags], np.int64)  # a text without words has one empty window
-    words = np.array([w for own in bags for w in own], np.int64)
+    words = np.concatenate(bags)
+    del bags
     first = np.cumsum(sizes) - sizes
     of_doc = np.array([len(r[2]) for r in rows])
     doc_first = np.cumsum(of_doc) - of_doc
     in_doc = np.add.reduceat(sizes, doc_first)
     part, n_parts = subwords(list(number))
+    part = part.astype(np.int32)
     part_first = np.cumsum(n_parts) - n_parts
     y = np.array([r[0] for r in rows])
     weight = np.array([r[1] for r in rows]) * len(rows) / total
 
-    held = np.unique(np.repeat(np.arange(len(rows)), in_doc) * len(number) + words)  # (text, word) pairs
-    pair = held % len(number)
-    seen = np.unique(np.repeat(held // len(number), n_parts[pair]) * BUCKETS + part[spread(part_first[pair], n_parts[pair])])
-    known = np.bincount(seen % BUCKETS, minlength=BUCKETS) >= MIN_TEXTS
+    texts_of = np.zeros(BUCKETS, np.int64)
+    for at, n in zip(first[doc_first].tolist(), in_doc.tolist()):
+        own = np.unique(words[at:at + n])
+        texts_of[np.unique(part[spread(part_first[own], n_parts[own])])] += 1
+    known = texts_of >= MIN_TEXTS
 
     rng = np.random.default_rng(SEED)
     emb = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM * known[:, None]
