@@ -35,4 +35,4 @@ from opslog.operators.state import (  # noqa: F401
 )
 from opslog.operators.notify import failure_report, write_report  # noqa: F401
 from opslog.operators.latest import latest_per_key  # noqa: F401
-from opslog.operators.ordering import sort_balanced  # noqa: F401
+from opslog.operators.ordering import numbered, sort_balanced  # noqa: F401

@@ -27,12 +27,16 @@ def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: Da
     c = catalog.select(F.col("ItemID").alias("_item"), F.col("Name").alias("ReportName"),
                        F.col("Path").alias("ReportPath"))
     # the extraction comes after the joins that cut the subscriptions to scheduled ones with a job, and
-    # before the job steps multiply them: one per subscription and job
+    # before the job steps multiply them: one per subscription and job. It has a stage of its own: the
+    # documents are dealt to all tasks before it, and the exchange after it keeps the sort's sampling off it
+    spread = int(subscriptions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scheduled = (
         r.join(j, F.col("_sched") == F.col("_jname"), "inner")
         .join(s, F.col("_r_sub") == F.col("_sub"), "inner")
+        .repartition(spread, "_sub")
         .select("JobName", "Date_Created", "Date_Modified", "_jid", "Report_OID", F.explode(F.array(
             xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"))
+        .repartition("_jid")
     )
     out = (
         scheduled.join(sjs, F.col("_jid") == F.col("_sjs_jid"), "inner")

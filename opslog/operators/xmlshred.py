@@ -88,13 +88,18 @@ def subscriptions_matching(catalog: DataFrame, subscriptions: DataFrame, text: s
 
     The value is extracted once per subscription, before the join, through a
     one-row generator: the filter on it then works on the extracted column
-    instead of repeating the extraction.
+    instead of repeating the extraction. The extraction has a stage of its own:
+    documents are dealt to all tasks before it, however few files hold them, and
+    what passes the filter is exchanged by the join key, so that neither the join
+    nor the sampling of the sort reads the documents again.
     """
-    s = subscriptions.select(
-        "SubscriptionID", "Report_OID", F.col("ExtensionSettings").alias("ActualXML"),
-        F.explode(F.array(xml_first_text(F.col("ExtensionSettings"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"),
+    spread = int(subscriptions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = subscriptions.select("SubscriptionID", "Report_OID", F.col("ExtensionSettings").alias("ActualXML"))
+    s = s.repartition(spread, "SubscriptionID").select(
+        "SubscriptionID", "Report_OID", "ActualXML",
+        F.explode(F.array(xml_first_text(F.col("ActualXML"), FIRST_SETTING_PATH))).alias("ExtSettingsXML"),
     )
-    s = s.filter(text_contains(F.col("ExtSettingsXML"), text, case_sensitive))
+    s = s.filter(text_contains(F.col("ExtSettingsXML"), text, case_sensitive)).repartition("Report_OID")
     c = catalog.select("ItemID", "Path", "Name")
     j = c.join(s, c["ItemID"] == s["Report_OID"], "inner")
     out = j.select(

@@ -327,6 +327,19 @@ SELECT * FROM (
     {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
   FROM subscriptions sub JOIN catalog item ON item.ItemID = sub.Report_OID)
 WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportName""")
+    def numbered(query: str, order: str) -> str:
+        return f"SELECT *, row_number() OVER (ORDER BY {order}) AS line_no FROM ({query})"
+
+    q["numbered_report_runs"] = numbered(
+        q["q8_report_runs"], "TimeStart DESC, Parameters, ReportPath, UserName, TimeEnd, Status, TimeDataRetrieval, "
+                             "TimeProcessing, TimeRendering")
+    q["numbered_large_renders"] = numbered(
+        q["q11_large_renders"], "ByteCount DESC, ReportID, Parameters, TimeStart, TimeRendering, UserName, TimeEnd, Status, "
+                                "Format, TimeDataRetrieval")
+    q["numbered_report_stats"] = numbered(q["q13_report_stats"], "AvgProcTimeMS DESC NULLS LAST, Name NULLS FIRST")
+    q["numbered_new_failures"] = _state_query(
+        f"SELECT {STATE_COLS}, row_number() OVER (ORDER BY JobName NULLS FIRST, StepName NULLS FIRST, LastRunDateTime, "
+        "InstanceID) AS line_no FROM to_report")
     q["report_queries_binary"] = q["report_queries"]
     q["view_last_job_run"] = q["last_job_run"]
     q["view_execution_history"] = q["execution_history"]

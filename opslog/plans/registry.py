@@ -291,6 +291,36 @@ def q_second_boundaries(spark, sf_dir):
     return l.select("ReportID", "Parameters", d.alias("Seconds"), seconds_as_time_text(d).alias("Clock"))
 
 
+# Total orders: the order a source query asks for, then columns that tell its rows apart.
+REPORT_RUN_ORDER = ["Parameters", "ReportPath", "UserName", "TimeEnd", "Status", "TimeDataRetrieval", "TimeProcessing", "TimeRendering"]
+LOG_ORDER = ["ReportID", "Parameters", "TimeStart", "TimeRendering", "UserName", "TimeEnd", "Status", "Format", "TimeDataRetrieval"]
+
+
+def q_numbered_report_runs(spark, sf_dir):
+    """Q8 with each run's place, newest first."""
+    t = Tables(spark, sf_dir)
+    runs = op.report_runs(t.execution_log, t.catalog, P.SINCE, P.REPORT_NAME, ordered=False)
+    return op.numbered(runs, F.desc("TimeStart"), *REPORT_RUN_ORDER)
+
+
+def q_numbered_large_renders(spark, sf_dir):
+    """Q11 with each run's place, largest first."""
+    runs = op.large_renders(Tables(spark, sf_dir).execution_log, P.MIN_KB, ordered=False)
+    return op.numbered(runs, F.desc("ByteCount"), *LOG_ORDER)
+
+
+def q_numbered_report_stats(spark, sf_dir):
+    """Q13 with each report's place, slowest first."""
+    t = Tables(spark, sf_dir)
+    return op.numbered(op.report_stats(t.execution_log, t.catalog, P.SINCE, ordered=False), F.desc("AvgProcTimeMS"), "Name")
+
+
+def q_numbered_new_failures(spark, sf_dir):
+    """N9 with each failure's place in the report's order."""
+    return op.numbered(op.new_failures(_enriched(spark, sf_dir), ordered=False),
+                       "JobName", "StepName", "LastRunDateTime", "InstanceID")
+
+
 LATEST_ORDER = ["TimeStart", "Parameters", "UserName", "RowCount", "TimeRendering", "ByteCount", "Status"]
 
 
@@ -348,6 +378,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": q_latest_per_key,
     "runs_in_range_by_period": q_runs_in_range_by_period,
     "written_report": q_written_report,
+    # the order of sorted results, as a column
+    "numbered_report_runs": q_numbered_report_runs,
+    "numbered_large_renders": q_numbered_large_renders,
+    "numbered_report_stats": q_numbered_report_stats,
+    "numbered_new_failures": q_numbered_new_failures,
     # binary documents, one data source by its path, the views
     "report_queries_binary": q_report_queries_binary,
     "q7_one_data_source": q_one_data_source,
