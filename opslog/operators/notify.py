@@ -72,9 +72,9 @@ def failure_report(state: DataFrame, server: str, empty_null_cells: bool = False
     return body.unionByName(frame)
 
 
-def write_report(lines: DataFrame, path: str) -> None:
+def write_report(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write the report lines in document order as text part files."""
-    lines.orderBy(*LINE_ORDER).select("html").write.mode("errorifexists").text(path)
+    lines.orderBy(*LINE_ORDER).select("html").write.mode(mode).text(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -217,6 +217,8 @@ WHERE req.StartDate + INTERVAL 1 MINUTE < {now}""")
     q["written_report"] = _state_query(f"""
 SELECT row_number() OVER (ORDER BY part, JobName NULLS FIRST, StepName NULLS FIRST, LastRunDateTime NULLS FIRST,
   InstanceID NULLS FIRST) AS line_no, html FROM ({REPORT_LINES})""")
+    q["merge_state_by_bucket"] = q["merge_state"]
+    q["last_job_run_incremental"] = q["last_job_run"]
     q["acknowledge"] = _state_query(f"SELECT * REPLACE (0 AS UpdateFlag) FROM with_errors")
     q["failure_notification"] = q["acknowledge"]
     q["lateral_table_function"] = q["enrich_failures"]

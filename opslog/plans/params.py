@@ -19,6 +19,8 @@ MIN_KB = 100
 DATA_SOURCE_NS = "urn:ds"
 DATA_SOURCE_PATH = "/Data Sources/ds 8"
 SNAPSHOT_CUTOFF = "2024-01-15 00:00:00"
+# Days at which the second and third load of the job history begin.
+HISTORY_LOADS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 # Rows of the previous failure state that the current run no longer has:
 # two vanished jobs and one row with a NULL key.

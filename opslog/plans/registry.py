@@ -291,6 +291,44 @@ def q_second_boundaries(spark, sf_dir):
     return l.select("ReportID", "Parameters", d.alias("Seconds"), seconds_as_time_text(d).alias("Clock"))
 
 
+def _bucket_state(spark, sf_dir, name):
+    """A state store by key bucket that holds the previous state's rows with a key."""
+    import uuid
+
+    from opslog.schemas import JOB_FAILURES
+    from opslog.session import scratch_path
+    from opslog.sources.buckets import BucketStore
+
+    store = BucketStore(spark, scratch_path(spark, name, uuid.uuid4().hex), JOB_FAILURES, ["JobID", "StepID"], buckets=16)
+    return store, store.commit(previous_state(spark, sf_dir), None)
+
+
+def q_merge_state_by_bucket(spark, sf_dir):
+    """N6 into the copy-on-write store, read back: only buckets with changed keys are written."""
+    store, base = _bucket_state(spark, sf_dir, "bucket-state")
+    return store.read(store.commit(_merged(spark, sf_dir), base))
+
+
+def q_last_job_run_incremental(spark, sf_dir):
+    """N1 from the stored newest runs, refreshed after each of three loads of the history."""
+    import uuid
+
+    from opslog.operators.newest import newest_store, refresh_newest
+    from opslog.session import scratch_path
+    from opslog.sources.logstore import write_by_period
+
+    t = Tables(spark, sf_dir)
+    root = scratch_path(spark, "newest-runs", uuid.uuid4().hex)
+    store = newest_store(spark, f"{root}/state", buckets=16)
+    events = read_table(spark, sf_dir, "events")
+    history = standin(spark, sf_dir, "job_history").join(events.select(F.col("event_id").alias("instance_id"), "ts"), "instance_id")
+    for lo, hi in zip((None, *P.HISTORY_LOADS), (*P.HISTORY_LOADS, None)):
+        load = history.filter((F.col("ts") >= ts_lit(lo) if lo else F.lit(True)) & (F.col("ts") < ts_lit(hi) if hi else F.lit(True)))
+        write_by_period(load, f"{root}/history", "ts", mode="append")
+        refresh_newest(store, spark.read.parquet(f"{root}/history"))
+    return op.last_job_run(store.read(), t.job_steps, t.jobs)
+
+
 # Total orders: the order a source query asks for, then columns that tell its rows apart.
 REPORT_RUN_ORDER = ["Parameters", "ReportPath", "UserName", "TimeEnd", "Status", "TimeDataRetrieval", "TimeProcessing", "TimeRendering"]
 LOG_ORDER = ["ReportID", "Parameters", "TimeStart", "TimeRendering", "UserName", "TimeEnd", "Status", "Format", "TimeDataRetrieval"]
@@ -378,6 +416,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": q_latest_per_key,
     "runs_in_range_by_period": q_runs_in_range_by_period,
     "written_report": q_written_report,
+    # state by key bucket, newest runs from new folders only
+    "merge_state_by_bucket": q_merge_state_by_bucket,
+    "last_job_run_incremental": q_last_job_run_incremental,
     # the order of sorted results, as a column
     "numbered_report_runs": q_numbered_report_runs,
     "numbered_large_renders": q_numbered_large_renders,

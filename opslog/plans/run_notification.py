@@ -6,6 +6,8 @@
         --state-root <dir> --report-root <dir>
 
 Both folders must be durable and shared: the state carries over from run to run.
+The ignore list must keep its declared layout and key: a job listed twice, or a
+row without a job, fails the run.
 Prints one JSON line with the written versions and the report folder.
 """
 
@@ -17,7 +19,7 @@ import json
 from pyspark.sql import SparkSession
 
 from opslog.plans.notification import run_failure_notification
-from opslog.schemas import JOB_FAILURES
+from opslog.schemas import IGNORE_JOBS, IGNORE_JOBS_KEY, JOB_FAILURES, conform
 from opslog.sources.snapshots import SnapshotStore
 
 
@@ -35,7 +37,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     read = spark.read.parquet
     out = run_failure_notification(
         spark, store, history=read(a.history), steps=read(a.steps), jobs=read(a.jobs),
-        event_messages=read(a.event_messages), ignore=read(a.ignore),
+        event_messages=read(a.event_messages), ignore=conform(read(a.ignore), IGNORE_JOBS, IGNORE_JOBS_KEY),
         report_root=a.report_root, server=a.server,
         refresh_duration=a.refresh_duration,
     )
