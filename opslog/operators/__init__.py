@@ -6,11 +6,13 @@ from opslog.operators.reports import (  # noqa: F401
     large_renders,
     report_runs,
     report_stats,
+    report_stats_from_rollup,
     run_detail,
     running_now,
     running_requests,
     runs_in_range,
     runs_per_user,
+    runs_per_user_from_rollup,
     runs_since,
 )
 from opslog.operators.catalog import (  # noqa: F401

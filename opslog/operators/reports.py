@@ -19,6 +19,7 @@ from opslog.functions.temporal import elapsed_clock_text, second_boundaries, sec
 from opslog.functions.text import parent_folder, strip_domain, text_equals
 from opslog.operators.ordering import sort_balanced
 from opslog.sources.logstore import period_bounds
+from opslog.sources.rollup import merged_states, states_in_range
 
 
 def ts_lit(value) -> Column:
@@ -30,6 +31,13 @@ def ts_lit(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _moment(value) -> _dt.datetime:
+    """A datetime from a datetime, date or ISO text."""
+    if isinstance(value, str):
+        return _dt.datetime.fromisoformat(value)
+    return value if isinstance(value, _dt.datetime) else _dt.datetime.combine(value, _dt.time())
+
+
 def _after(log: DataFrame, since, inclusive: bool) -> DataFrame:
     """Runs started after ``since`` (or at it, when inclusive)."""
     t = ts_lit(since)
@@ -202,6 +210,26 @@ def report_stats(log: DataFrame, catalog: DataFrame, since, case_sensitive: bool
     return sort_balanced(out, F.col("AvgProcTimeMS").desc(), ordered=ordered)
 
 
+def report_stats_from_rollup(rollup: DataFrame, log: DataFrame, catalog: DataFrame, since,
+                             ordered: bool = True) -> DataFrame:
+    """``report_stats`` from stored states per period and ReportID (see ``opslog.sources.rollup``): whole
+    periods are merged, and raw rows are read only of the period that ``since`` cuts."""
+    states = merged_states(states_in_range(rollup, log, _moment(since), None, ["ReportID"], "TimeProcessing"), "ReportID")
+    j = _with_report(states, catalog, "Name")
+    out = merged_states(j, "Name").select(
+        "Name", F.col("runs").alias("TimesRun"), int_div(F.col("total"), F.col("measured")).alias("AvgProcTimeMS"),
+        F.col("latest").alias("LastRunDate"))
+    return sort_balanced(out, F.col("AvgProcTimeMS").desc(), ordered=ordered)
+
+
+def runs_per_user_from_rollup(rollup: DataFrame, log: DataFrame, start, end, ordered: bool = True) -> DataFrame:
+    """``runs_per_user`` from stored states per period and user; raw rows are read of the two periods
+    at the edges at most."""
+    states = states_in_range(rollup, log, _moment(start), _moment(end), ["UserName"], "TimeProcessing")
+    out = states.groupBy("UserName").agg(F.sum("runs").alias("NumReports"))
+    return sort_balanced(out, "UserName", ordered=ordered)
+
+
 def run_detail(log: DataFrame, catalog: DataFrame, since) -> DataFrame:
     """Run detail from ``since`` on (unordered, as the source query)."""
     j = _with_report(_after(log, since, inclusive=True), catalog, "Name")

@@ -329,6 +329,10 @@ SELECT * FROM (
     {first_setting('sub.ExtensionSettings')} AS ExtSettingsXML, sub.ExtensionSettings AS ActualXML
   FROM subscriptions sub JOIN catalog item ON item.ItemID = sub.Report_OID)
 WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportName""")
+    q["q13_report_stats_from_rollup"] = q["q13_report_stats"].replace(since, _ts(P.SINCE_MIDDAY))
+    q["q15_runs_per_user_from_rollup"] = q["q15_runs_per_user"].replace(
+        f"BETWEEN {lo} AND {hi}", f"BETWEEN {_ts(P.SINCE_MIDDAY)} AND {_ts(P.UNTIL_MIDDAY)}")
+
     def numbered(query: str, order: str) -> str:
         return f"SELECT *, row_number() OVER (ORDER BY {order}) AS line_no FROM ({query})"
 

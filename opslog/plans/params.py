@@ -8,6 +8,8 @@ operators themselves take them as ordinary arguments.
 SINCE = "1998-01-01 00:00:00"
 RANGE_START = "1998-01-01 00:00:00"
 RANGE_END = "1998-03-31 00:00:00"
+SINCE_MIDDAY = "1998-01-05 01:30:00"
+UNTIL_MIDDAY = "1998-08-17 02:15:00"
 NOW = "2001-01-01 00:00:00"
 DOMAIN = "DOM\\"
 REPORT_NAME = "red widget"
