@@ -132,17 +132,31 @@ def decode(payload: bytes, checkpoints: bytes, n: int, table: tuple[np.ndarray,
 
 def token_ids(docs: DataFrame, end: int = END, tokenizer: str | None = None,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): ids of the whole text and the end id, as little-endian 16-bit numbers."""
+    """(doc_id, ids, counts): ids of the whole text and the end id, as little-endian 16-bit numbers.
+
+    ``counts`` is null but in the last row of each batch, where it has how often each id occurs in the
+    batch: a column to be read alone, so that counting does not read the ids again.
+    """
     tail = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([enc.ids(t.as_py()) + tail for t in b.column(1)], pa.binary())], ["doc_id", "ids"])
+            at = 0
+            for ids, offsets in enc.batches(b.column(1)):
+                n = len(offsets) - 1
+                total = np.bincount(ids, minlength=end + 1)
+                total[end] += n
+                used = np.flatnonzero(total)
+                counts = used.astype("<u2").tobytes() + total[used].astype("<i8").tobytes()
+                cuts = offsets.tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, n), pa.array([ids[x:y].tobytes() + tail for x, y in zip(cuts, cuts[1:])], pa.binary()),
+                     pa.array([None] * (n - 1) + [counts], pa.binary())], ["doc_id", "ids", "counts"])
+                at += n
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "doc_id long, ids binary")
+    return src.mapInArrow(run, "doc_id long, ids binary, counts binary")
 
 
 def count_ids(ids: DataFrame) -> dict[int, int]:
@@ -150,16 +164,19 @@ def count_ids(ids: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for b in batches:
-            total += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=1 << 16)
+            for raw in b.column(0).to_pylist():
+                n = len(raw) // 10
+                total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<i8", n, 2 * n)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    sums = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    sums = (ids.select("counts").where("counts IS NOT NULL").mapInArrow(run, "id long, n long")
+            .groupBy("id").agg(F.sum("n").alias("n")))
     return {r["id"]: r["n"] for r in sums.collect()}
 
 
 def write_files(ids: DataFrame, path: str) -> None:
-    """Write (doc_id, ids) rows in ascending id order as Huffman-coded blocks under ``path``."""
+    """Write the rows of ``token_ids`` in ascending document order as Huffman-coded blocks under ``path``."""
     spark = ids.sparkSession
     coded, ln, codes = canonical(code_lengths(count_ids(ids)))
     packed_of = np.zeros(1 << 16, np.int64)
@@ -194,7 +211,9 @@ def write_files(ids: DataFrame, path: str) -> None:
         if docs:
             yield out()
 
-    (ids.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
+    # the hash of the ids lets a document id that many rows hold spread over files
+    tie = F.xxhash64("ids")
+    (ids.select("doc_id", "ids").repartitionByRange(partitions(spark), "doc_id", tie).sortWithinPartitions("doc_id", tie)
      .mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks"))
 
 

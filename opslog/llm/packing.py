@@ -62,14 +62,17 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, end: int = END, tokenizer: st
             return b
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(np.frombuffer(enc.ids(text.as_py()), "<u2"), end).astype("<u4")
-                for k, s in enumerate(range(0, len(ids), capacity)):
-                    part = ids[s:s + capacity]
-                    for c, v in zip(rows, (doc, k, s, len(part), zlib.crc32(part.tobytes()))):
-                        c.append(v)
-                if len(rows[0]) >= BATCH:
-                    yield out()
+            names = iter(batch.column(0).to_pylist())
+            for found, offsets in enc.batches(batch.column(1)):
+                cuts = offsets.tolist()
+                for a, z, doc in zip(cuts, cuts[1:], names):
+                    ids = np.append(found[a:z], end).astype("<u4")
+                    for k, s in enumerate(range(0, len(ids), capacity)):
+                        part = ids[s:s + capacity]
+                        for c, v in zip(rows, (doc, k, s, len(part), zlib.crc32(part.tobytes()))):
+                            c.append(v)
+                    if len(rows[0]) >= BATCH:
+                        yield out()
         yield out()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
