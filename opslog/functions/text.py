@@ -46,27 +46,36 @@ def strip_domain(user, domain: str, case_sensitive: bool = True) -> Column:
     return text_replace(_c(user), domain, "", case_sensitive)
 
 
-# Text tests with an optional case-insensitive mode (the source compares under
-# a case-insensitive collation; the default here is exact comparison).
+# Text tests with an optional collated mode. The source compares under a collation that ignores
+# case and, in equality, join and group keys, trailing blanks; its LIKE ignores case but counts
+# blanks. The default here is exact comparison.
+KEY_COLLATION = "UTF8_LCASE_RTRIM"
+PATTERN_COLLATION = "UTF8_LCASE"
+
+
+def text_key(c, case_sensitive: bool = True) -> Column:
+    """A text as a key of an equality, a join, a group or a sort."""
+    return _c(c) if case_sensitive else F.collate(_c(c), KEY_COLLATION)
+
+
+def _pattern_text(c, case_sensitive: bool) -> Column:
+    return _c(c) if case_sensitive else F.collate(_c(c), PATTERN_COLLATION)
+
 
 def text_equals(c, value: str, case_sensitive: bool = True) -> Column:
-    c = _c(c)
-    return c == value if case_sensitive else F.lower(c) == value.lower()
+    return text_key(c, case_sensitive) == value
 
 
 def text_startswith(c, prefix: str, case_sensitive: bool = True) -> Column:
-    c = _c(c)
-    return c.startswith(prefix) if case_sensitive else F.lower(c).startswith(prefix.lower())
+    return _pattern_text(c, case_sensitive).startswith(prefix)
 
 
 def text_like(c, pattern: str, case_sensitive: bool = True) -> Column:
-    c = _c(c)
-    return c.like(pattern) if case_sensitive else F.lower(c).like(pattern.lower())
+    return _pattern_text(c, case_sensitive).like(pattern)
 
 
 def text_contains(c, text: str, case_sensitive: bool = True) -> Column:
-    c = _c(c)
-    return c.contains(text) if case_sensitive else F.lower(c).contains(text.lower())
+    return _pattern_text(c, case_sensitive).contains(text)
 
 
 def text_replace(c, search: str, replacement: str, case_sensitive: bool = True) -> Column:

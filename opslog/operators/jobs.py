@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.functions.temporal import coded_datetime, coded_duration_text
-from opslog.functions.text import package_file_name, text_equals, text_like
+from opslog.functions.text import package_file_name, text_equals, text_key, text_like
 
 # LIKE mask of a GUID-shaped job name (13 any, -, 4, -, 4, -, 12 any);
 # package steps (subsystem, command pattern, file extension, path separator);
@@ -87,7 +87,7 @@ def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
         .filter(F.col("PackageName").isNotNull())
     )
     # one name for all spellings that the comparison takes as equal
-    folded = event_messages.withColumn("_package", F.col("package_name") if cs else F.lower("package_name"))
+    folded = event_messages.withColumn("_package", text_key("package_name", cs))
     newest = folded.groupBy("_package").agg(F.max("operation_id").alias("operation_id"))
     errors = folded.filter(text_equals("event_name", error_event, cs)).join(
         newest, ["operation_id", "_package"], "inner"
@@ -101,7 +101,7 @@ def last_package_error(steps: DataFrame, event_messages: DataFrame, *,
         )
         .filter(F.col("RankNum") == 1)
     )
-    name = F.col("PackageName") if cs else F.lower("PackageName")
+    name = text_key("PackageName", cs)
     return sp.join(first_errors, name == F.col("_package"), "inner").select(
         "job_id", "step_id", "PackageName", "ErrorMessage", "RankNum"
     )

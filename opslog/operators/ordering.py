@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from opslog.functions.text import text_key
 from opslog.functions.ties import tie_breaker
 from opslog.session import scratch_path
 
@@ -22,13 +23,13 @@ def sort_balanced(df: DataFrame, *keys: Column | str, ordered: bool = True, case
     collects for the bounds holds the asked keys and one long a row, never a
     document or message column. The order asked for is unchanged (ties had no
     order). ``ordered=False`` leaves the sort out, for callers that write to an
-    unordered store. ``case_sensitive=False`` sorts text keys without case.
+    unordered store. ``case_sensitive=False`` sorts text keys under the collation.
     """
     if not ordered:
         return df
     named = {k for k in keys if isinstance(k, str)}
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    cols = [k if isinstance(k, Column) else F.lower(k) if k in text and not case_sensitive else F.col(k) for k in keys]
+    cols = [k if isinstance(k, Column) else text_key(k, case_sensitive) if k in text else F.col(k) for k in keys]
     return df.orderBy(*cols, tie_breaker(df, *named))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.numeric import bytes_to_kb, int_div
 from opslog.functions.temporal import elapsed_clock_text, second_boundaries, seconds_as_time_text
-from opslog.functions.text import parent_folder, strip_domain, text_equals
+from opslog.functions.text import parent_folder, strip_domain, text_equals, text_key
 from opslog.operators.ordering import sort_balanced
 from opslog.sources.logstore import period_bounds
 from opslog.sources.rollup import merged_states, states_in_range
@@ -170,8 +170,8 @@ def runs_in_range(log: DataFrame, catalog: DataFrame, start, end, ordered: bool
 
 
 def _by_name(df: DataFrame, name: str, case_sensitive: bool) -> GroupedData:
-    """Groups by a name, or by its lower-case form."""
-    return df.groupBy(name) if case_sensitive else df.groupBy(F.lower(name).alias("_key"))
+    """Groups by a name, or by it as a collated key."""
+    return df.groupBy(name) if case_sensitive else df.groupBy(text_key(name, False).alias("_key"))
 
 
 def _shown(name: str, case_sensitive: bool) -> list[Column]:
@@ -187,8 +187,8 @@ def report_stats(log: DataFrame, catalog: DataFrame, since, case_sensitive: bool
     report is combined map-side) before the join, so the join moves one row per
     report instead of one per run; the second aggregate folds reports sharing a
     name. Sum and count are carried separately so the integer mean is exact.
-    Without case, names that differ in case only are one report, shown by the
-    smallest of them.
+    Without case, names that differ in case and trailing blanks only are one report,
+    shown by the smallest of them.
     """
     per_report = (
         _after(log, since, inclusive=True)

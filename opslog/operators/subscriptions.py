@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.functions.temporal import coded_datetime
+from opslog.functions.text import text_key
 from opslog.functions.xmlvalue import xml_first_text
 from opslog.operators.ordering import sort_balanced
 from opslog.operators.xmlshred import FIRST_SETTING_PATH
@@ -14,11 +15,12 @@ from opslog.operators.xmlshred import FIRST_SETTING_PATH
 def subscription_jobs(report_schedule: DataFrame, jobs: DataFrame, job_steps: DataFrame,
                       subscriptions: DataFrame, catalog: DataFrame, ordered: bool = True) -> DataFrame:
     """Each report subscription with the agent job that runs its schedule (the
-    job is named after the schedule id, compared as text without case), the
+    job is named after the schedule id, compared as the source's collation does:
+    without case and trailing blanks), the
     job's steps' last run time and the first setting value."""
-    r = report_schedule.select(F.lower(F.col("ScheduleID").cast("string")).alias("_sched"),
+    r = report_schedule.select(text_key(F.col("ScheduleID").cast("string"), False).alias("_sched"),
                                F.col("SubscriptionID").alias("_r_sub"))
-    j = jobs.select(F.col("job_id").alias("_jid"), F.lower("name").alias("_jname"),
+    j = jobs.select(F.col("job_id").alias("_jid"), text_key("name", False).alias("_jname"),
                     F.col("name").alias("JobName"),
                     F.col("date_created").alias("Date_Created"), F.col("date_modified").alias("Date_Modified"))
     sjs = job_steps.select(F.col("job_id").alias("_sjs_jid"),

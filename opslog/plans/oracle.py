@@ -333,6 +333,57 @@ WHERE contains(ExtSettingsXML, '{P.SETTING_TEXT}') ORDER BY ReportPath, ReportNa
     q["q15_runs_per_user_from_rollup"] = q["q15_runs_per_user"].replace(
         f"BETWEEN {lo} AND {hi}", f"BETWEEN {_ts(P.SINCE_MIDDAY)} AND {_ts(P.UNTIL_MIDDAY)}")
 
+    def mixed(name: str, *columns: tuple[str, str]) -> tuple[str, str]:
+        """A CTE over stand-in ``name``: texts in upper case with blanks, in lower case, or as they are, by a number."""
+        sql = standin_sql_for_duckdb(name)
+        for c, n in columns:
+            sql = (f"SELECT * REPLACE (CASE {n} % 3 WHEN 0 THEN upper({c}) || '  ' WHEN 1 THEN lower({c}) ELSE {c} END AS {c}) "
+                   f"FROM ({sql})")
+        return name, sql
+
+    def collated(query: str, tables: list[str], change: tuple[str, str], *replaced: tuple[str, str]) -> str:
+        """The query over a changed stand-in, with its comparisons written out without case and trailing blanks."""
+        body = query[len(_with(tables, "").rstrip("\n")):]
+        body = "WITH " + body[2:] if body.startswith(",") else body  # the body's own CTEs
+        for a, b in replaced:
+            assert a in body, (a, body)
+            body = body.replace(a, b)
+        return _with([t for t in tables if t != change[0]], body, [change])
+
+    def key(x: str) -> str:
+        return f"rtrim(lower({x}), ' ')"
+
+    q["collated_q3_subscription_jobs"] = collated(
+        q["q3_subscription_jobs"], ["report_schedule", "jobs", "job_steps", "subscriptions", "catalog"],
+        ("jobs", f"SELECT * REPLACE (lower(name) || ' ' AS name) FROM ({standin_sql_for_duckdb('jobs')})"),
+        ("upper(job.name) = upper(sched.ScheduleID::VARCHAR)", f"{key('job.name')} = {key('sched.ScheduleID::VARCHAR')}"))
+    q["collated_q4_user_permissions"] = collated(
+        q["q4_user_permissions"], perm_tables, mixed("users", ("UserName", "UserID")),
+        (f"g.UserName = '{P.PRINCIPAL}'", f"{key('g.UserName')} = {key(repr(P.PRINCIPAL))}"))
+    q["collated_q5_path_permissions"] = collated(
+        q["q5_path_permissions"], perm_tables, mixed("catalog", ("Path", "ItemID")),
+        (f"starts_with(item.Path, '{P.PATH_PREFIX}')", f"starts_with(lower(item.Path), lower('{P.PATH_PREFIX}'))"))
+    q["collated_q7_one_data_source"] = collated(
+        q["q7_one_data_source"], ds_tables, mixed("catalog", ("Path", "ItemID")),
+        (f"d.Path = '{P.DATA_SOURCE_PATH}'", f"{key('d.Path')} = {key(repr(P.DATA_SOURCE_PATH))}"))
+    q["collated_q8_report_runs"] = collated(
+        q["q8_report_runs"], log_cat, mixed("catalog", ("Name", "ItemID")),
+        (f"item.Name = '{P.REPORT_NAME}'", f"{key('item.Name')} = {key(repr(P.REPORT_NAME))}"))
+    q["collated_q13_report_stats"] = collated(
+        q["q13_report_stats"], log_cat, mixed("catalog", ("Name", "ItemID")),
+        ("SELECT item.Name,", "SELECT min(item.Name) AS Name,"), ("GROUP BY item.Name", f"GROUP BY {key('item.Name')}"))
+    q["collated_q15_runs_per_user"] = collated(
+        q["q15_runs_per_user"], ["execution_log"], mixed("execution_log", ("UserName", "ReportID")),
+        ("SELECT UserName,", "SELECT min(UserName) AS UserName,"), ("GROUP BY ALL", f"GROUP BY {key('UserName')}"))
+    q["collated_q17_subscriptions_matching"] = q["q17_subscriptions_matching"].replace(
+        f"contains(ExtSettingsXML, '{P.SETTING_TEXT}')", f"contains(lower(ExtSettingsXML), lower('{P.SETTING_TEXT}'))")
+    q["collated_last_package_error"] = collated(
+        q["last_package_error"], ["job_steps", "event_messages"],
+        mixed("event_messages", ("package_name", "event_message_id"), ("event_name", "event_message_id")),
+        ("msg.event_name = 'OnError'", f"{key('msg.event_name')} = 'onerror'"),
+        ("o.package_name = msg.package_name", f"{key('o.package_name')} = {key('msg.package_name')}"),
+        ("first_err.package_name = pkg.PackageName", f"{key('first_err.package_name')} = {key('pkg.PackageName')}"))
+
     def numbered(query: str, order: str) -> str:
         return f"SELECT *, row_number() OVER (ORDER BY {order}) AS line_no FROM ({query})"
 

@@ -359,6 +359,63 @@ def q_runs_per_user_from_rollup(spark, sf_dir):
     return op.runs_per_user_from_rollup(spark.read.parquet(f"{root}/rollup"), log, P.SINCE_MIDDAY, P.UNTIL_MIDDAY)
 
 
+def _mixed(df: DataFrame, column: str, number: str) -> DataFrame:
+    """``column`` in upper case with trailing blanks, in lower case, or as it is, by ``number``."""
+    c, n = F.col(column), F.col(number) % 3
+    return df.withColumn(column, F.when(n == 0, F.concat(F.upper(c), F.lit("  "))).when(n == 1, F.lower(c)).otherwise(c))
+
+
+def q_collated_subscription_jobs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    jobs = t.jobs.withColumn("name", F.concat(F.lower("name"), F.lit(" ")))
+    return op.subscription_jobs(t.report_schedule, jobs, t.job_steps, t.subscriptions, t.catalog)
+
+
+def q_collated_user_permissions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.user_permissions(_mixed(t.users, "UserName", "UserID"), t.policy_user_role, t.policies, t.roles, t.catalog,
+                               P.PRINCIPAL.upper() + " ", case_sensitive=False)
+
+
+def q_collated_path_permissions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.path_permissions(_mixed(t.catalog, "Path", "ItemID"), t.policies, t.policy_user_role, t.users, t.roles,
+                               P.PATH_PREFIX.lower(), case_sensitive=False)
+
+
+def q_collated_one_data_source(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.data_source_dependents(_mixed(t.catalog, "Path", "ItemID"), t.users, t.data_source, t.sec_data,
+                                     P.DATA_SOURCE_PATH.upper() + "  ", P.DATA_SOURCE_NS, case_sensitive=False)
+
+
+def q_collated_report_runs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.report_runs(t.execution_log, _mixed(t.catalog, "Name", "ItemID"), P.SINCE, P.REPORT_NAME.upper() + " ",
+                          case_sensitive=False)
+
+
+def q_collated_report_stats(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.report_stats(t.execution_log, _mixed(t.catalog, "Name", "ItemID"), P.SINCE, case_sensitive=False)
+
+
+def q_collated_runs_per_user(spark, sf_dir):
+    log = _mixed(Tables(spark, sf_dir).execution_log, "UserName", "ReportID")
+    return op.runs_per_user(log, P.RANGE_START, P.RANGE_END, case_sensitive=False)
+
+
+def q_collated_subscriptions_matching(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return op.subscriptions_matching(t.catalog, t.subscriptions, P.SETTING_TEXT.upper(), case_sensitive=False)
+
+
+def q_collated_last_package_error(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    events = _mixed(_mixed(t.event_messages, "package_name", "event_message_id"), "event_name", "event_message_id")
+    return op.last_package_error(t.job_steps, events, case_sensitive=False)
+
+
 # Total orders: the order a source query asks for, then columns that tell its rows apart.
 REPORT_RUN_ORDER = ["Parameters", "ReportPath", "UserName", "TimeEnd", "Status", "TimeDataRetrieval", "TimeProcessing", "TimeRendering"]
 LOG_ORDER = ["ReportID", "Parameters", "TimeStart", "TimeRendering", "UserName", "TimeEnd", "Status", "Format", "TimeDataRetrieval"]
@@ -449,6 +506,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # state by key bucket, newest runs from new folders only
     "merge_state_by_bucket": q_merge_state_by_bucket,
     "last_job_run_incremental": q_last_job_run_incremental,
+    # comparison under the source's collation: without case and trailing blanks
+    "collated_q3_subscription_jobs": q_collated_subscription_jobs,
+    "collated_q4_user_permissions": q_collated_user_permissions,
+    "collated_q5_path_permissions": q_collated_path_permissions,
+    "collated_q7_one_data_source": q_collated_one_data_source,
+    "collated_q8_report_runs": q_collated_report_runs,
+    "collated_q13_report_stats": q_collated_report_stats,
+    "collated_q15_runs_per_user": q_collated_runs_per_user,
+    "collated_q17_subscriptions_matching": q_collated_subscriptions_matching,
+    "collated_last_package_error": q_collated_last_package_error,
     # statistics from stored partial states
     "q13_report_stats_from_rollup": q_report_stats_from_rollup,
     "q15_runs_per_user_from_rollup": q_runs_per_user_from_rollup,
