@@ -5,6 +5,14 @@ training texts. A whole text, in blocks, is compressed with every dictionary;
 the language of the smallest output wins. The relative margin to the second
 smallest is the confidence, and texts with a narrow margin are rejected.
 
+The margin of a whole text cannot tell a text in two languages, or in none of
+them, so two more margins are judged: the share of a text's small blocks
+(``JUDGE_CHARS``) that the runner-up compresses better than the winner, and the
+gain of the winner's dictionary over none at all (for texts of ``GAIN_LETTERS`` or
+more; less text gains next to nothing in any language). Their bounds are fitted
+on training rows outside the dictionaries: at most ``HELD_BACK`` of those rows
+fall on the wrong side of each.
+
 Equal sizes, as of very short texts, are told apart by the bytes that the text
 adds to a carrier of the dictionary's language. Text is lower-cased and everything but letters becomes one blank, so markup
 and punctuation do not count. Blocks keep a long text from serving as its own
@@ -24,9 +32,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslog.llm.common import held_out
@@ -45,6 +54,15 @@ TIE_LEVEL = 12
 MIN_MARGIN = 0.002
 HALF_MARGIN = 0.01
 
+# Characters of the blocks whose languages must agree; the last one counts if it is half as long.
+JUDGE_CHARS = 320
+GAIN_LETTERS = 100
+# Share of the training rows outside the dictionaries that each fitted bound may reject.
+HELD_BACK = 0.002
+# Bounds without enough such rows to fit them, and the strictest that a fit may come to.
+MIN_GAIN, MAX_SHARE = 0.03, 0.25
+FEWEST_ROWS = 500
+
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -58,13 +76,14 @@ def letters(text: str) -> str:
     return out if _PLAIN_LETTER.search(out) or any(map(str.isalpha, out)) else ""
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
-    """(language, dictionary) for every language of the training rows, the most frequent first."""
+def _drawn(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
+           sample_docs: int) -> tuple[DataFrame, dict[str, int], Column | None]:
+    """Training rows (l, h, t) of about three samples a language, the languages' row counts, and the condition
+    that tells the rows of the dictionaries from the others."""
     rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return []
+        return rows, counts, None
     # one pass: a hash threshold per language leaves about three samples, cut to one afterwards
     span = 1 << 30
     keep = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(span, 3 * span * sample_docs // n))])
@@ -73,10 +92,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ids = (part.select("l", "h").groupBy("l").agg(F.sort_array(F.collect_set("h")).alias("hs"))
            .select("l", F.col("hs")[F.least(F.lit(sample_docs), F.size("hs")) - 1].alias("top")))
     top = F.create_map(*[F.lit(x) for r in ids.collect() for x in (r["l"], r["top"])])
+    return part, counts, F.col("h") <= top[F.col("l")]
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
+    """(language, dictionary) for every language of the training rows, the most frequent first."""
+    part, counts, chosen = _drawn(docs, id_col, text_col, lang_col, sample_docs)
+    if not counts:
+        return []
     # many short pieces rather than a few whole texts: one mislabelled text must not fill a dictionary
     each = {lang: max(1, dictionary_bytes * 5 // 4 // min(n, sample_docs)) for lang, n in counts.items()}
     most = F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, 4 * n)])
-    texts = (part.where(F.col("h") <= top[F.col("l")]).groupBy("l", "h")
+    texts = (part.where(chosen).groupBy("l", "h")
              .agg(F.max(F.substr(F.col("t"), F.lit(1), most[F.col("l")])).alias("t")).collect())
     out = []
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
@@ -86,6 +114,51 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return out
 
 
+class Bounds(NamedTuple):
+    """What an accepted text must have: margin, gain (if it is long enough) and share of blocks for another language."""
+
+    margin: float = MIN_MARGIN
+    gain: float = MIN_GAIN
+    share: float = MAX_SHARE
+
+    def accept(self, found: "Found") -> bool:
+        return (found.lang != UND and found.margin >= self.margin and found.share <= self.share
+                and (found.letters < GAIN_LETTERS or found.gain >= self.gain))
+
+
+class Found(NamedTuple):
+    """A prediction and what it is judged by."""
+
+    lang: str
+    score: float
+    margin: float
+    gain: float = 0.0
+    share: float = 0.0
+    letters: int = 0
+
+
+def fit_bounds(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
+               lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Bounds:
+    """Bounds of gain and share from training rows outside the dictionaries, at most about two samples a language."""
+    part, counts, chosen = _drawn(docs, id_col, text_col, lang_col, sample_docs)
+    if not counts:
+        return Bounds()
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(shared.value)
+        for b in batches:
+            got = [model.predict(t.as_py()) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([float(f[k]) for f in got]) for k in (3, 4, 5)], ["gain", "share", "letters"])
+
+    rows = part.where(~chosen).select("t").mapInArrow(run, "gain double, share double, letters double").collect()
+    gains = sorted(r["gain"] for r in rows if r["letters"] >= GAIN_LETTERS)
+    shares = sorted((r["share"] for r in rows), reverse=True)
+    if len(gains) < FEWEST_ROWS:
+        return Bounds()
+    return Bounds(MIN_MARGIN, min(MIN_GAIN, gains[int(HELD_BACK * len(gains))]), max(MAX_SHARE, shares[int(HELD_BACK * len(shares))]))
+
+
 class Model:
     """One compressor per language, and one with a carrier for ties."""
 
@@ -101,6 +174,7 @@ class Model:
                                     write_dict_id=False).compress
 
         self.compress = [compressor(raw, LEVEL) for _, raw in dictionaries]
+        self.plain = z.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False).compress
         self.ties = []
         for _, raw in dictionaries:
             k = min(CARRIER_BYTES, len(raw) // 8)
@@ -112,14 +186,14 @@ class Model:
         blocks = [text[i:i + BLOCK_CHARS].encode() for i in range(0, len(text), BLOCK_CHARS)]
         return [sum(len(c(b)) for b in blocks) for c in self.compress]
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """(language, score, relative margin)."""
+    def predict(self, text: str | None) -> Found:
         text = letters(text or "")
         if not text or not self.langs:
-            return UND, 0.0, 0.0
-        if len(self.langs) == 1:
-            return self.langs[0], 1.0, 1.0
+            return Found(UND, 0.0, 0.0)
         sizes = self.sizes(text)
+        gain = 1 - min(sizes) / sum(len(self.plain(text[i:i + BLOCK_CHARS].encode())) for i in range(0, len(text), BLOCK_CHARS))
+        if len(self.langs) == 1:
+            return Found(self.langs[0], 1.0, 1.0, gain, 0.0, len(text))
         first, second = sorted(sizes)[:2]
         if first == second:
             raw, total = text.encode(), first
@@ -129,7 +203,16 @@ class Model:
         else:
             margin = (second - first) / second
         best = sizes.index(first)
-        return self.langs[best], margin / (margin + HALF_MARGIN), margin
+        other = min((k for k in range(len(sizes)) if k != best), key=lambda k: (sizes[k], k))
+        return Found(self.langs[best], margin / (margin + HALF_MARGIN), margin, gain, self.share(text, best, other), len(text))
+
+    def share(self, text: str, best: int, other: int) -> float:
+        """Share of the text's small blocks that language ``other`` compresses better than ``best``."""
+        if len(text) < 3 * JUDGE_CHARS // 2:
+            return 0.0
+        blocks = [text[i:i + JUDGE_CHARS].encode() for i in range(0, len(text) - JUDGE_CHARS // 2, JUDGE_CHARS)]
+        a, b = self.compress[best], self.compress[other]
+        return sum(len(b(x)) < len(a(x)) for x in blocks) / len(blocks)
 
 
 @lru_cache(maxsize=2)
@@ -138,27 +221,27 @@ def _model(dictionaries: tuple[tuple[str, bytes], ...]) -> Model:
 
 
 def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
-             min_margin: float = MIN_MARGIN) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, margin, accepted), one row per row of ``docs``."""
+             bounds: Bounds = Bounds()) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, margin, gain, share, accepted), one row per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
         for b in batches:
             got = [model.predict(t.as_py()) for t in b.column(1)]
-            lang, score, margin = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())],
-                ["doc_id", "lang_pred", "score", "margin"])
+                [b.column(0), pa.array([f.lang for f in got], pa.string()),
+                 *(pa.array([f[k] for f in got], pa.float64()) for k in (1, 2, 3, 4)),
+                 pa.array([bounds.accept(f) for f in got], pa.bool_())],
+                ["doc_id", "lang_pred", "score", "margin", "gain", "share", "accepted"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    out = src.mapInArrow(run, "doc_id long, lang_pred string, score double, margin double")
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin",
-                      ((F.col("lang_pred") != UND) & (F.col("margin") >= min_margin)).alias("accepted"))
+    out = src.mapInArrow(run, "doc_id long, lang_pred string, score double, margin double, gain double, share double, accepted boolean")
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "gain", "share", "accepted")
 
 
 def accepted_rows(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text_col: str = "text",
-                  min_margin: float = MIN_MARGIN) -> DataFrame:
+                  bounds: Bounds = Bounds()) -> DataFrame:
     """The rows of ``docs`` that are not rejected, unchanged, in one narrow pass."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries))
     at = docs.columns.index(text_col)
@@ -166,7 +249,6 @@ def accepted_rows(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
         for b in batches:
-            got = (model.predict(t.as_py()) for t in b.column(at))
-            yield b.filter(pa.array([lang != UND and margin >= min_margin for lang, _, margin in got], pa.bool_()))
+            yield b.filter(pa.array([bounds.accept(model.predict(t.as_py())) for t in b.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

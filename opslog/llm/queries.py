@@ -18,7 +18,8 @@ from opslog.llm.common import read
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return langid.classify(docs, langid.train(docs))
+    dictionaries = langid.train(docs)
+    return langid.classify(docs, dictionaries, bounds=langid.fit_bounds(docs, dictionaries))
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

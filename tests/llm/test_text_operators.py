@@ -60,6 +60,65 @@ def test_language_defined_cases(spark):
     assert {r.lang_pred for r in langid.classify(docs, []).collect()} == {"und"}
 
 
+def plain_prediction(dictionaries, text):
+    """The dictionary under which zstd makes the whole text smallest, None where two tie."""
+    import zstandard as z
+
+    total = []
+    for _, raw in dictionaries:
+        d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
+        c = z.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        t = langid.letters(text)
+        total.append(sum(len(c.compress(t[i:i + 4096].encode())) for i in range(0, len(t), 4096)))
+    low = min(total)
+    return dictionaries[total.index(low)][0] if total.count(low) == 1 else None
+
+
+def test_predictions_equal_plain_compressed_sizes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    dictionaries = langid.train(docs)
+    got = {r.doc_id: r.lang_pred for r in langid.classify(docs, dictionaries).collect()}
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text and langid.letters(r.text)][:300]
+    plain = {d: plain_prediction(dictionaries, t) for d, t in texts}
+    assert sum(v is not None for v in plain.values()) > 250
+    assert all(got[d] == v for d, v in plain.items() if v is not None)
+
+
+def test_two_languages_and_no_known_language_are_rejected(spark):
+    """Planted: halves in two languages, invented words and random letters; clean texts stay."""
+    import random
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    dictionaries = langid.train(docs)
+    bounds = langid.fit_bounds(docs, dictionaries)
+    model = langid.Model(tuple(dictionaries))
+    rng = random.Random(3)
+    own = {}
+    for r in docs.where("lang IS NOT NULL AND length(text) BETWEEN 1500 AND 9000").select("doc_id", "text", "lang").collect():
+        words = r.text.split()  # a word repeated over and over is no language
+        if outside(r.doc_id) and model.predict(r.text).lang == r.lang and len(set(words)) > len(words) / 3:
+            own.setdefault(r.lang, []).append(langid.letters(r.text))
+
+    def halves():
+        a, b = rng.sample(sorted(own), 2)
+        return rng.choice(own[a])[:700] + " " + rng.choice(own[b])[:700]
+
+    def invented():
+        syllables = [rng.choice("bcdfghjklmnpqrstvwz") + rng.choice("aeiou") + rng.choice(["", "n", "k", "z"]) for _ in range(40)]
+        return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(150))
+
+    def letters_only():
+        return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(150))
+
+    for make, least in ((halves, 0.95), (invented, 0.98), (letters_only, 0.98)):
+        rejected = [not bounds.accept(model.predict(make())) for _ in range(200)]
+        assert sum(rejected) / 200 >= least, make.__name__
+    clean = [t for texts in own.values() for t in texts]
+    assert sum(bounds.accept(model.predict(t)) for t in clean) / len(clean) >= 0.99
+    held = langid.classify(docs, dictionaries, bounds=bounds).where("held_out AND lang_pred <> 'und'").collect()
+    assert sum(r.accepted for r in held) / len(held) >= 0.985
+
+
 # ---------------------------------------------------------------- quality
 def test_quality_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
