@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import MapType
 
 from opslog.llm.common import WORD, partitions, stored
 
@@ -82,16 +82,22 @@ def split(lo: int, hi: int, quota: np.ndarray, seed: int) -> tuple[int, np.ndarr
     return mid, rng.multivariate_hypergeometric(quota, n, method="marginals")
 
 
-def leaves(lo: int, hi: int, quota: np.ndarray, first: np.ndarray, seed: int, nodes: int = 0) -> list:
-    """Expand a node to its shards, or to about ``nodes`` subtrees: (lo, hi, quota, first rank)."""
-    done, todo = [], [(lo, hi, quota, first)]
+Node = tuple[int, int, np.ndarray, np.ndarray, np.ndarray]  # shards from .. to, sources, their quota, their first rank
+
+
+def leaves(lo: int, hi: int, of: np.ndarray, quota: np.ndarray, first: np.ndarray, seed: int, nodes: int = 0) -> list[Node]:
+    """Expand a node to its shards, or to about ``nodes`` subtrees. Nodes hold the sources they have draws of only,
+    so that all of them together hold no more numbers than there are draws, however many sources."""
+    done, todo = [], [(lo, hi, of, quota, first)]
     while todo and (not nodes or len(done) + len(todo) < nodes):
-        lo, hi, q, f = todo.pop(0)
+        lo, hi, s, q, f = todo.pop(0)
         if hi - lo == 1:
-            done.append((lo, hi, q, f))
+            done.append((lo, hi, s, q, f))
             continue
         mid, left = split(lo, hi, q, seed)
-        todo += [(lo, mid, left, f), (mid, hi, q - left, f + left)]
+        for a, b, own, start in ((lo, mid, left, f), (mid, hi, q - left, f + left)):
+            some = own > 0
+            todo.append((a, b, s[some], own[some], start[some]))
     return done + todo
 
 
@@ -116,12 +122,13 @@ def permuted(ranks: np.ndarray, n: int, seed: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, row_hash: Column | None) -> DataFrame:
     """Narrow rows: id, a content hash and a number that tell equal ids apart, source, size."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text, source_col).alias("hash"),
                        F.col(source_col).cast("string").alias("source"),
-                       F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+                       F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                       (F.lit(0).cast("long") if row_hash is None else row_hash).alias("row"))
     return rows
 
 
@@ -142,8 +149,8 @@ def _placed(sized: DataFrame, seed: int) -> DataFrame:
     key = F.xxhash64("doc_id", "hash", F.lit(seed))
     by = [F.asc_nulls_last("source"), F.col("key")]
     return stored(sized.withColumn("key", key).repartitionByRange(partitions(sized.sparkSession), *by)
-                  .sortWithinPartitions(*by, "doc_id", "hash", "size").drop("key")
-                  .mapInArrow(run, "doc_id long, hash long, source string, size long, part int, words long, at long"),
+                  .sortWithinPartitions(*by, "doc_id", "hash", "size", "row").drop("key")
+                  .mapInArrow(run, "doc_id long, hash long, source string, size long, row long, part int, words long, at long"),
                   "mix")
 
 
@@ -253,17 +260,18 @@ def _fill(rows: DataFrame, fills: dict[int, Fill], tolerance: dict[int, float])
 
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
          block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED,
-         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(rows, draws) of a mix.
+         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         row_hash: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, draws) of a mix. Rows equal in id, text and source are ordered by ``row_hash``, if given.
 
     The draws of a mix (words taken / ``block_words``) must stay below 10^9, the bound of the
     hypergeometric sampler: 6.5 * 10^13 words at the default.
 
-    rows: doc_id, hash, source, size, source_size, target and the row's key (part, at).
+    rows: doc_id, hash, row (``row_hash``), source, size, source_size, target and the row's key (part, at).
     draws: part, at, copy, shard, one row for each time the mix takes that row.
     """
     spark = docs.sparkSession
-    placed = _placed(_sized(docs, id_col, text_col, source_col), seed)
+    placed = _placed(_sized(docs, id_col, text_col, source_col, row_hash), seed)
     parts = sorted(placed.groupBy("part").agg(F.sum("size"), F.count("*")).collect())
     at = np.array([[0, 0], *[[w, n] for _, w, n in parts]], np.int64).cumsum(axis=0)
     sums = placed.groupBy("source").agg(F.sum("size"), F.count("*")).collect()  # a row per source
@@ -319,24 +327,29 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
                       F.col("epochs").alias("copy"), own.alias("block")))).otherwise(F.array())))
                   .alias("d")).select("part", "at", "s", "d.copy", "d.block"))
     draws = copies.join(units, ["s", "copy", "block"]).select("part", "at", "copy", "shard")
-    return rows.select("part", "at", "doc_id", "hash", "source", "size", "source_size", "target"), draws
+    return rows.select("part", "at", "doc_id", "hash", "row", "source", "size", "source_size", "target"), draws
 
 
 def _units(spark: SparkSession, quota: np.ndarray, blocks: list[int], shard_blocks: int, seed: int) -> DataFrame:
     """(s, copy, block, shard): every block draw and the shard that the splitting tree deals it to."""
     shards = max(1, -(-int(quota.sum()) // shard_blocks))
-    tree = leaves(0, shards, quota, np.zeros_like(quota), seed, DRIVER_NODES)
-    nodes = spark.createDataFrame([(lo, hi, q.tolist(), f.tolist()) for lo, hi, q, f in tree],
-                                  "lo long, hi long, quota array<long>, first array<long>")
+    some = np.flatnonzero(quota)
+    tree = leaves(0, shards, some, quota[some], np.zeros_like(some), seed, DRIVER_NODES)
+    nodes = spark.createDataFrame([(lo, hi, s.tolist(), q.tolist(), f.tolist()) for lo, hi, s, q, f in tree],
+                                  "lo long, hi long, sources array<long>, quota array<long>, first array<long>")
+    total = spark.sparkContext.broadcast((quota, np.array(blocks, np.int64)))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        all_quota, all_blocks = total.value
         for frame in frames:
-            for lo, hi, q, f in frame.itertuples(index=False):
-                for shard, _, own, start in leaves(lo, hi, np.asarray(q, np.int64), np.asarray(f, np.int64), seed):
-                    for s in np.flatnonzero(own):
-                        unit = permuted(np.arange(start[s], start[s] + own[s]), int(quota[s]), seed + int(s))
-                        yield pd.DataFrame({"s": int(s), "copy": unit // blocks[s], "block": unit % blocks[s],
-                                            "shard": shard})
+            for lo, hi, *node in frame.itertuples(index=False):
+                for shard, _, sources, own, start in leaves(lo, hi, *(np.asarray(x, np.int64) for x in node), seed):
+                    if not len(sources):  # a mix without words
+                        continue
+                    unit = np.concatenate([permuted(np.arange(f, f + n), int(all_quota[s]), seed + s)
+                                           for s, n, f in zip(sources.tolist(), own.tolist(), start.tolist())])
+                    s = np.repeat(sources, own)
+                    yield pd.DataFrame({"s": s, "copy": unit // all_blocks[s], "block": unit % all_blocks[s], "shard": shard})
 
     return nodes.mapInPandas(deal, "s int, copy int, block long, shard long")
 
@@ -353,17 +366,29 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           seed: int = SEED, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` with their columns, each as often as it is taken,
-    gathered by output shard and shuffled within it."""
-    rows, draws = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **options)
-    nth = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy("part", "at"))
-    taken = (draws.join(rows.select("part", "at", "doc_id", "hash", nth.alias("nth")), ["part", "at"])
-             .select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), F.col("nth").alias("__nth"),
-                     F.col("copy").alias("__copy"), F.col("shard").alias("__shard")))
-    key = [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"), source_col)]
-    own = docs.withColumn("__k", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]))
-    own = own.withColumn("__n", F.row_number().over(Window.partitionBy("__k.k0", "__k.k1").orderBy(F.lit(0))))
-    out = own.join(taken, F.col("__k.k0").eqNullSafe(F.col("__id")) & (F.col("__k.k1") == F.col("__hash"))
-                   & (F.col("__n") == F.col("__nth")))
-    return (out.repartition("__shard")
-            .sortWithinPartitions("__shard", F.xxhash64("__id", "__hash", "__nth", "__copy", F.lit(seed)))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    gathered by output shard and shuffled within it.
+
+    A row is known by its id and a hash of all its columns. Texts move twice: to their draws, and to
+    their shards. Rows equal in all columns are one row for this: their draws are added up, and one
+    of them, found by a partial aggregate, is sent to all.
+    """
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)])
+    rows, draws = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, row_hash=whole, **options)
+    taken = (draws.join(rows.select("part", "at", "doc_id", "row"), ["part", "at"])
+             .select(F.col("doc_id").alias("__id"), F.col("row").alias("__hash"),
+                     F.xxhash64("part", "at", "copy", F.lit(seed)).alias("__draw"), F.col("shard").alias("__shard")))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.select(*cols, F.col(id_col).cast("long").alias("__own"), whole.alias("__h"))
+    same = F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))
+    several = (rows.groupBy(F.col("doc_id").alias("__i"), F.col("row").alias("__k")).agg(F.count("*").alias("n"))
+               .where("n > 1").select("__i", "__k"))
+    if several.isEmpty():
+        out = own.join(taken, same)
+    else:
+        held = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__k"))
+        mine = F.col("__own").eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__k"))
+        one = (own.join(several, mine, "left_semi").groupBy("__own", "__h").agg(F.first(F.struct(*cols)).alias("__row"))
+               .select("__row.*", "__own", "__h"))
+        out = (own.join(taken.join(several, held, "left_anti"), same)
+               .unionByName(one.join(taken.join(several, held, "left_semi"), same)))
+    return out.repartition("__shard").sortWithinPartitions("__shard", "__draw", "__id", "__hash").select(*cols)

@@ -56,16 +56,21 @@ def test_query_sizes_targets_and_taken(spark):
 
 def test_splitting_tree_keeps_quotas():
     quota = np.array([1000, 3, 0, 250, 77])
-    got = mixing.leaves(0, 13, quota, np.zeros_like(quota), 1)
-    assert sorted(lo for lo, _, _, _ in got) == list(range(13)) and all(hi - lo == 1 for lo, hi, _, _ in got)
-    assert (sum(q for _, _, q, _ in got) == quota).all()
-    totals = [int(q.sum()) for _, _, q, _ in got]
+    some = np.flatnonzero(quota)
+    got = mixing.leaves(0, 13, some, quota[some], np.zeros_like(some), 1)
+    assert sorted(lo for lo, *_ in got) == list(range(13)) and all(hi - lo == 1 for lo, hi, *_ in got)
+    dealt = np.zeros_like(quota)
+    for _, _, s, q, _ in got:
+        assert (q > 0).all()
+        dealt[s] += q
+    assert (dealt == quota).all()
+    totals = [int(q.sum()) for _, _, _, q, _ in got]
     assert max(totals) - min(totals) <= 4
-    spans = sorted((int(f[0]), int(f[0] + q[0])) for _, _, q, f in got)
+    spans = sorted((int(f[0]), int(f[0] + q[0])) for _, _, s, q, f in got if s[0] == 0)
     assert spans[0][0] == 0 and spans[-1][1] == 1000 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
-    upper = mixing.leaves(0, 13, quota, np.zeros_like(quota), 1, nodes=4)
-    lower = [x for lo, hi, q, f in upper for x in mixing.leaves(lo, hi, q, f, 1)]
-    key = lambda rows: sorted((lo, q.tolist(), f.tolist()) for lo, _, q, f in rows)
+    upper = mixing.leaves(0, 13, some, quota[some], np.zeros_like(some), 1, nodes=4)
+    lower = [x for lo, hi, s, q, f in upper for x in mixing.leaves(lo, hi, s, q, f, 1)]
+    key = lambda rows: sorted((lo, s.tolist(), q.tolist(), f.tolist()) for lo, _, s, q, f in rows)
     assert key(lower) == key(got)
 
 
@@ -160,3 +165,34 @@ def test_fill_passes_match_plain_passes(spark):
             gap, left = room, rest
         best = min([gap, *[n - g for g, n in states if n]]) if gap else 0
         assert abs(gaps[s] - fills[s].words()) == best
+
+
+def test_a_third_of_identical_rows_and_rows_that_differ_in_another_column(spark):
+    same = doc(7, "a b c d " * 5, "en", "hot")
+    rows = [same] * 100 + [doc(i, f"w{i} x y " * (1 + i % 9), "en", f"s{i % 4}") for i in range(100, 300)]
+    rows += [(*doc(8, "p q r " * 4, "en", "s1")[:4], n, *doc(8, "")[5:]) for n in (1, 2, 3)]  # equal in id, text and source
+    docs = docs_df(spark, rows)
+    taken = Counter()
+    for r in mixing.mix_sizes(docs).collect():
+        taken[r.doc_id] += r.taken // r.size
+    out = [mixing.mixed(docs).collect() for _ in range(2)]
+    assert Counter(r.doc_id for r in out[0])[7] == taken[7]
+    assert sum(len(r.text.split()) for r in out[0]) == sum(r.taken for r in mixing.mix_sizes(docs).collect())
+    assert sorted(map(str, out[0])) == sorted(map(str, out[1]))
+    assert all(n <= 3 for n in Counter(map(str, (r for r in out[0] if r.doc_id != 7))).values())
+
+
+def test_many_sources_keep_the_tree_sparse(spark):
+    import tracemalloc
+
+    n = 100_000
+    quota = np.full(n, 3, np.int64)
+    tracemalloc.start()
+    some = np.arange(n)
+    tree = mixing.leaves(0, 1500, some, quota, np.zeros_like(some), 5, mixing.DRIVER_NODES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 and sum(int(q.sum()) for _, _, _, q, _ in tree) == 3 * n
+    few = 5000
+    units = mixing._units(spark, quota[:few], [2] * few, 200, 5)
+    assert (units.count(), units.select("s", "copy", "block").distinct().count()) == (3 * few, 3 * few)
