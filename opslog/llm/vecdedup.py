@@ -111,48 +111,61 @@ def unit(x: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def fit_forest(classes: DataFrame, threshold: float, trees: int, sample: int, leaf: int) -> tuple[int, float, list[Tree]]:
-    """(dimensions, band, trees) from a bounded sample of the most common vector length."""
-    dims = classes.groupBy((F.length("vec") / 8).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()
-    if not dims:
-        return 0, 0.0, []
-    d, n = max(((r["d"], r["n"]) for r in dims), key=lambda r: (r[1], r[0]))
-    span = 1 << 30
-    part = classes.where((F.length("vec") == 8 * d) & (F.pmod(F.xxhash64("rep"), F.lit(span)) < min(span, span * sample // n)))
-    x = unit(matrix([bytes(r["vec"]) for r in part.select("rep", "vec").orderBy("rep").collect()] or [bytes(8 * d)], d)) \
-        if n else np.zeros((0, d))
-    band = SPILL * np.sqrt(max(0.0, 2 - 2 * threshold)) / np.sqrt(d) / 2
-    smallest = max(MIN_NODE_SAMPLE, int(leaf * len(x) / n) // 2)
-    rng = np.random.default_rng(SEED)
-    return d, float(band), [grow(x, band, smallest, rng) for _ in range(trees)]
-
-
-def _routed(classes: DataFrame, d: int, band: float, forest: list[Tree], kind: str) -> DataFrame:
-    """Adds codes: every (tree, leaf) of the vector as one rising number each; other lengths get one code.
+Forest = tuple[int, float, list[Tree]]  # vector length, band, trees
+
+
+def fit_forests(classes: DataFrame, threshold: float, trees: int, sample: int, leaf: int, block: int) -> list[Forest]:
+    """A forest for every vector length that more than ``block`` vectors have (fewer make one leaf of one block).
+
+    All samples together hold about ``sample`` vectors, each length's by its share but at least
+    ``MIN_NODE_SAMPLE``, and at most ``sample // MIN_NODE_SAMPLE`` lengths get one: the most common.
+    """
+    dims = classes.groupBy((F.length("vec") / 8).cast("int").alias("d")).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    rows = sorted(((r["n"], r["d"]) for r in dims.orderBy(F.desc("n"), "d").limit(max(1, sample // MIN_NODE_SAMPLE)).collect()),
+                  reverse=True)
+    total, span = sum(n for n, _ in rows), 1 << 30
+    out = []
+    for n, d in rows:
+        own = max(MIN_NODE_SAMPLE, sample * n // total)
+        part = classes.where((F.length("vec") == 8 * d) & (F.pmod(F.xxhash64("rep"), F.lit(span)) < min(span, span * own // n)))
+        x = unit(matrix([bytes(r["vec"]) for r in part.select("rep", "vec").orderBy("rep").collect()] or [np.ones(d).tobytes()], d))
+        band = float(SPILL * np.sqrt(max(0.0, 2 - 2 * threshold)) / np.sqrt(d) / 2)
+        smallest = max(MIN_NODE_SAMPLE, int(leaf * len(x) / n) // 2)
+        rng = np.random.default_rng(SEED)
+        out.append((d, band, [grow(x, band, smallest, rng) for _ in range(trees)]))
+    return out
+
+
+def _routed(classes: DataFrame, forests: list[Forest], kind: str) -> DataFrame:
+    """Adds codes: every (tree, leaf) of the vector as one rising number each, trees numbered over all
+    lengths; the vectors of a length without a forest get one code.
 
     ``vec`` leaves as ``kind``: single precision where the source column is, since every leaf gets a copy.
     """
-    shared = classes.sparkSession.sparkContext.broadcast(forest)
+    shared = classes.sparkSession.sparkContext.broadcast(forests)
     names = classes.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column(names.index("vec")).to_pylist()
             codes: list[list[int]] = [[-len(v)] for v in raw]
-            own = np.array([i for i, v in enumerate(raw) if len(v) == 8 * d], np.int64)
-            if len(own):
-                x = unit(matrix([raw[i] for i in own], d))
-                for i in own:
-                    codes[i] = []
-                for t, tree in enumerate(shared.value):
-                    for leaf, rows in sorted(tree.route(x, band), key=lambda r: r[0]):
-                        for i in own[rows]:
-                            codes[i].append((t << 24) + leaf)
+            before = 0
+            for d, band, trees in shared.value:
+                own = np.array([i for i, v in enumerate(raw) if len(v) == 8 * d], np.int64)
+                if len(own):
+                    x = unit(matrix([raw[i] for i in own], d))
+                    for i in own:
+                        codes[i] = []
+                    for t, tree in enumerate(trees, before):
+                        for leaf, rows in sorted(tree.route(x, band), key=lambda r: r[0]):
+                            for i in own[rows]:
+                                codes[i].append((t << 24) + leaf)
+                before += len(trees)
             slim = pa.array([np.frombuffer(v, "<f8").astype(kind).tobytes() for v in raw], pa.binary())
             columns = [slim if name == "vec" else b.column(i) for i, name in enumerate(names)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(codes, pa.list_(pa.int32()))], [*names, "codes"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(codes, pa.list_(pa.int64()))], [*names, "codes"])
 
-    return classes.mapInArrow(run, "label string, vec binary, rep long, n long, codes array<int>")
+    return classes.mapInArrow(run, "label string, vec binary, rep long, n long, codes array<long>")
 
 
 def compare(group: pd.DataFrame, threshold: float, kind: str) -> pd.DataFrame:
@@ -201,9 +214,9 @@ def vector_groups(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_i
     part = own.where("vec is not null and label is not null and vec_id is not null")
     classes = (part.distinct().groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
     classes = stored(classes, "vector-classes")
-    d, band, forest = fit_forest(classes, threshold, trees, sample, leaf)
+    forests = fit_forests(classes, threshold, trees, sample, leaf, block)
     kind = "<f4" if rows.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
-    routed = stored(_routed(classes, d, band, forest, kind), "vector-leaves")
+    routed = stored(_routed(classes, forests, kind), "vector-leaves")
     met = routed.select("label", F.explode("codes").alias("code"))
     sizes = (met.groupBy("label", "code").agg(F.count("*").alias("m")).where("m > 1")
              .select(F.col("label").alias("l"), F.col("code").alias("c"), F.ceil(F.col("m") / block).alias("blocks")))
