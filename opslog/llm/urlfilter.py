@@ -59,31 +59,39 @@ def intervals(entries: DataFrame) -> DataFrame:
             .select("kind", "pattern", (F.col("o") == 2).alias("blocked"), "valid_from", "valid_to"))
 
 
-def candidates(host: Column, path: Column) -> Column:
-    """Array of (rank, kind, pattern) that could list a URL; higher ranks are more specific."""
+def candidates(host: Column, path: Column, folders: int, labels_kept: int) -> Column:
+    """Array of (rank, kind, pattern) that could list a URL; higher ranks are more specific.
+
+    Prefixes go down to ``folders`` folders and domains up to ``labels_kept`` labels, the most that
+    any listed pattern has: a deeper one cannot be listed, and a very long URL stays linear.
+    """
     def item(rank: Column, kind: str, pattern: Column) -> Column:
         return F.struct(rank.cast("int").alias("rank"), F.lit(kind).alias("kind"), pattern.alias("pattern"))
 
+    none = F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")
     labels = F.split(host, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: item(
+    lowest = F.greatest(F.lit(1), F.size(labels) - labels_kept + 1)
+    domains = none if labels_kept < 1 else F.transform(F.sequence(lowest, F.size(labels)), lambda i: item(
         F.size(labels) - i, "domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     folder = F.split(F.regexp_extract(path, r"^/([^?]*)", 1), "/")
-    depth = F.size(folder) - 1  # the last part is a file, not a folder
+    depth = F.least(F.size(folder) - 1, F.lit(folders))  # the last part is a file, not a folder
     prefixes = F.when(depth > 0, F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda i: item(
         F.lit(2_000_000) + i, "prefix", F.concat(host, F.lit("/"), F.array_join(F.slice(folder, 1, i), "/"), F.lit("/")))))
     return F.concat(F.array(item(F.lit(1 << 30), "url", F.concat(host, path)), item(F.lit(1_000_000), "host", host)),
-                    domains, F.coalesce(prefixes, F.array().cast("array<struct<rank:int,kind:string,pattern:string>>")))
+                    domains, F.coalesce(prefixes, none))
 
 
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url",
              time_col: str = "fetched_at") -> DataFrame:
     """One row per capture: its id, url and time, blocked, and the kind, pattern and start of the entry that decided."""
     own = captures.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(time_col).alias("at"))
-    asked = (own.distinct().withColumn("host", host_of(F.col("url"))).where("host <> '' and at is not null")
-             .select("id", "url", "at", F.explode(candidates(F.col("host"), path_of(F.col("url")))).alias("c"))
-             .select("id", "url", "at", "c.rank", F.col("c.kind").alias("k"), F.col("c.pattern").alias("p")))
     # stored, so that the join reads plain shuffles on both sides and a hot pattern can be split
     listed = stored(intervals(entries), "url-intervals")
+    most = listed.agg(F.max(F.when(F.col("kind") == "prefix", F.size(F.split("pattern", "/")) - 2)),
+                      F.max(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\."))))).first()
+    asked = (own.distinct().withColumn("host", host_of(F.col("url"))).where("host <> '' and at is not null")
+             .select("id", "url", "at", F.explode(candidates(F.col("host"), path_of(F.col("url")), most[0] or 0, most[1] or 0)).alias("c"))
+             .select("id", "url", "at", "c.rank", F.col("c.kind").alias("k"), F.col("c.pattern").alias("p")))
     met = asked.join(listed, (F.col("k") == F.col("kind")) & (F.col("p") == F.col("pattern")) & (F.col("at") >= F.col("valid_from"))
                      & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))))
     won = met.groupBy("id", "url", "at").agg(F.max(F.struct("rank", "blocked", "kind", "pattern", "valid_from")).alias("w"))
