@@ -13,8 +13,9 @@ of a shard to the same length; scores are inner products of the original
 vectors in double precision. Equal vectors are one graph node with several ids.
 
 Scale: shards are bounded (``SHARD_ROWS``), so build and search have bounded
-memory. Queries go to every shard in blocks of ``QUERY_BLOCK``; a shard's graph
-is built once, stored in the shared folder, and read by each block of queries.
+memory. A shard's graph is built once and stored in the shared folder. To be
+searched it moves once, to the task of its shard; the queries stream past it in
+blocks of ``QUERY_BLOCK``.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and null ids, take no part; vectors meet only vectors of their own
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -181,34 +183,36 @@ def _length(v: np.ndarray) -> np.ndarray:
     return (np.linalg.norm(v / big, axis=1, keepdims=True) * big)[:, 0]
 
 
-def _search(index: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> pd.DataFrame:
-    """The ``k`` best of one shard for a block of queries."""
-    none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-    if not len(index) or not len(queries):
-        return none
-    row, d = index.iloc[0], int(index.dims.iat[0])
-    ids, node = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.node, "<i4")
-    v = np.frombuffer(row.vectors, "<f8").reshape(-1, d)
-    graph = np.frombuffer(row.graph, "<i4").reshape(len(v), -1)
-    q, qid = matrix(queries.vec, d), queries.query_id.to_numpy()
-    x = lifted(v, float(_length(v).max()))
-    # a query's own length does not change its order of inner products
-    lift = np.concatenate((q / _length(q)[:, None], np.zeros((len(q), 1))), axis=1).astype(np.float32)
-    found, _ = beam_search(x, graph, np.frombuffer(row.entries, "<i4"), lift, max(beam, k + 1))
-    # ids of each node, rising: only its k + 1 smallest can matter
-    order = np.argsort(node, kind="stable")
-    first = np.searchsorted(node[order], np.arange(len(v) + 1))
-    out = []
-    for i in range(len(q)):
-        hit = found[i][found[i] >= 0]
-        score = (v[hit] * q[i]).sum(axis=1)
-        own = [ids[order[first[h]:min(first[h + 1], first[h] + k + 1)]] for h in hit]
-        near, s = np.concatenate(own), np.repeat(score, [len(o) for o in own])
-        other = near != qid[i]
-        near, s = near[other], s[other]
-        top = np.lexsort((near, -s))[:k]
-        out.append(pd.DataFrame({"query_id": qid[i], "vec_id": near[top], "score": s[top]}))
-    return pd.concat(out, ignore_index=True) if out else none
+class Shard:
+    """One shard's vectors and graph, ready to be asked."""
+
+    def __init__(self, dims: int, ids: bytes, node: bytes, vectors: bytes, graph: bytes, entries: bytes):
+        self.ids, node = np.frombuffer(ids, "<i8"), np.frombuffer(node, "<i4")
+        self.dims, self.v = dims, np.frombuffer(vectors, "<f8").reshape(-1, dims)
+        self.graph = np.frombuffer(graph, "<i4").reshape(len(self.v), -1)
+        self.entries = np.frombuffer(entries, "<i4")
+        self.x = lifted(self.v, float(_length(self.v).max()))
+        # ids of each node, rising: only its k + 1 smallest can matter
+        self.order = np.argsort(node, kind="stable")
+        self.first = np.searchsorted(node[self.order], np.arange(len(self.v) + 1))
+
+    def ask(self, qid: list[int], vectors: list[bytes], k: int, beam: int) -> pa.RecordBatch:
+        """(query_id, vec_id, score): the ``k`` best of this shard for each query."""
+        q = matrix(vectors, self.dims)
+        # a query's own length does not change its order of inner products
+        lift = np.concatenate((q / _length(q)[:, None], np.zeros((len(q), 1))), axis=1).astype(np.float32)
+        found, _ = beam_search(self.x, self.graph, self.entries, lift, max(beam, k + 1))
+        out = []
+        for i in range(len(q)):
+            hit = found[i][found[i] >= 0]
+            score = (self.v[hit] * q[i]).sum(axis=1)
+            own = [self.ids[self.order[self.first[h]:min(self.first[h + 1], self.first[h] + k + 1)]] for h in hit]
+            near, s = np.concatenate(own), np.repeat(score, [len(o) for o in own])
+            other = near != qid[i]
+            near, s = near[other], s[other]
+            top = np.lexsort((near, -s))[:k]
+            out.append((np.full(len(top), qid[i], np.int64), near[top], s[top]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
 
 def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", shards: int = SHARDS,
@@ -225,17 +229,34 @@ def build_index(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM,
            query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for (query_id, vec, dims) rows the ``k`` best other vectors found."""
-    blocks = max(1, -(-queries.count() // query_block))
-    shards = index.select(F.col("dims").alias("d"), F.col("shard").alias("s")).distinct()
-    asked = (queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-             .join(shards, F.col("dims") == F.col("d"))
-             .select("query_id", "vec", "dims", F.col("s").alias("shard"), "block"))
-    copies = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    key = ["dims", "shard", "block"]
-    wide = SPREAD * blocks * max(1, shards.count())
-    copies, asked = copies.repartition(wide, *key), asked.repartition(wide, *key)
-    near = copies.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(
-        lambda i, q: _search(i, q, k, beam), "query_id long, vec_id long, score double")
+    parts = [c.split()[0] for c in INDEX.split(", ")[2:]]
+    shards = stored(index.select(F.col("dims").alias("d"), F.col("shard").alias("s")), "ann-shards")  # not the graphs
+    asked = (queries.join(shards, F.col("dims") == F.col("d"))
+             .select("dims", F.col("s").alias("shard"), F.lit(1).alias("turn"), "query_id", "vec",
+                     *(F.lit(None).cast("binary").alias(c) for c in parts)))
+    graphs = index.select("dims", "shard", F.lit(0).alias("turn"), F.lit(None).cast("long").alias("query_id"),
+                          F.lit(None).cast("binary").alias("vec"), *parts)
+    wide = SPREAD * max(1, shards.count())
+    rows = graphs.unionByName(asked).repartition(wide, "dims", "shard").sortWithinPartitions("dims", "shard", "turn", "query_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, qid, vecs = None, [], []
+        for b in batches:
+            turn, query, vec = (b.column(k).to_pylist() for k in (2, 3, 4))
+            for i in range(b.num_rows):
+                if turn[i] and len(qid) < query_block:
+                    qid.append(query[i])
+                    vecs.append(vec[i])
+                    continue
+                if qid:
+                    yield shard.ask(qid, vecs, k, beam)
+                qid, vecs = ([query[i]], [vec[i]]) if turn[i] else ([], [])
+                if not turn[i]:  # the next shard's graph, before its queries
+                    shard = Shard(b.column(0)[i].as_py(), *(b.column(c)[i].as_py() for c in parts))
+        if qid:
+            yield shard.ask(qid, vecs, k, beam)
+
+    near = rows.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
