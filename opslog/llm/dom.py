@@ -95,10 +95,13 @@ def _dropped(tokens: list) -> dict[int, int]:
 class Page:
     """Nodes in page order: parent, tag ("#" for a text leaf), attributes, text, link characters."""
 
-    __slots__ = ("parent", "tag", "attrs", "text", "links", "depth")
+    __slots__ = ("parent", "tag", "attrs", "text", "links", "depth", "below", "held")
 
     def __init__(self, html: str | None):
         self.parent, self.tag, self.attrs, self.text, self.links, self.depth = [-1], ["#root"], [""], [""], [0], [0]
+        # open elements below the depth that gets nodes, and how many of each name
+        self.below: list[str] = []
+        self.held: Counter = Counter()
         self._parse(html or "")
 
     def _node(self, parent: int, tag: str, attrs: str, text: str = "", links: int = 0) -> int:
@@ -149,10 +152,14 @@ class Page:
                 in_link = False
                 if kind == "start":
                     self._open(stack, tag, attrs)
+                elif self.held[tag]:  # ends an element without a node
+                    self._rise(tag)
                 else:
                     for j in range(len(stack) - 1, 0, -1):
                         if self.tag[stack[j]] == tag:
                             del stack[j:]
+                            self.below.clear()
+                            self.held.clear()
                             break
             elif tag == "a":
                 in_link = kind == "start"
@@ -171,7 +178,22 @@ class Page:
             text(html[at:end])
         flush()
 
+    def _rise(self, tag: str) -> None:
+        """Close the nearest open element ``tag`` of those without a node, and what is open in it."""
+        while True:
+            name = self.below.pop()
+            self.held[name] -= 1
+            if name == tag:
+                return
+
     def _open(self, stack: list[int], tag: str, attrs: str) -> None:
+        if self.below:
+            if tag in CLOSES_P and self.below[-1] == "p":
+                self._rise("p")
+            if tag != "hr":
+                self.below.append(tag)
+                self.held[tag] += 1
+            return
         if tag in CLOSES_P:
             self._close(stack, ("p",), ("td", "th", "div", "li", "article", "section", "body", "blockquote"))
         if tag in CLOSES_SAME:
@@ -181,6 +203,9 @@ class Page:
             node = self._node(stack[-1], tag, attrs)
             if tag != "hr":
                 stack.append(node)
+        elif tag != "hr":
+            self.below.append(tag)
+            self.held[tag] += 1
 
     def _close(self, stack: list[int], tags, limits) -> None:
         """Close the nearest open element of ``tags`` unless one of ``limits`` is nearer."""

@@ -43,6 +43,8 @@ from opslog.llm import boosting
 from opslog.llm.dom import Page, attribute_words, name_parts
 
 SAMPLE_PAGES = 300
+# Longer pages do not train: bounds what the driver collects to some 150 MB.
+SAMPLE_PAGE_BYTES = 1 << 19
 LAYOUTS = 3
 SEED = 3
 
@@ -370,7 +372,8 @@ def fit(htmls: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> Extractor
 
 
 def _draw(src: DataFrame, sample_pages: int) -> list[str]:
-    """At most ``sample_pages`` texts, those with the smallest hash."""
+    """At most ``sample_pages`` texts of at most ``SAMPLE_PAGE_BYTES``, those with the smallest hash."""
+    src = src.where(F.octet_length("t") <= SAMPLE_PAGE_BYTES)
     # a hash threshold first, at about twice the sample, so that tasks do not each send a sample of their own
     span, n = 1 << 30, max(1, src.count())
     rows = (src.where(F.pmod("h", F.lit(span)) < min(span, 2 * span * sample_pages // n))

@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from opslog.llm import htmltext, queries, urlfilter
 from opslog.llm.boosting import fit
@@ -187,3 +188,37 @@ def test_url_defined_cases(spark):
 def test_url_query_is_native(spark):
     plan = queries.op3_url_filters(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_ends_of_elements_below_the_deepest_node_close_those_only():
+    from opslog.llm import dom
+
+    p = dom.Page("<div>" * 500 + "</div>" * 300 + "<article>x</article>")
+    assert p.depth[p.tag.index("article")] == 201
+    p = dom.Page("<div>" * 500 + "<p>a<p>b" + "</div>" * 500 + "<section>y")
+    assert p.depth[p.tag.index("section")] == 1
+    assert [t for t in p.text if t] == ["a", "b", "y"] or [t for t in p.text if t] == ["ab", "y"]
+
+
+def test_very_long_pages_do_not_train(spark):
+    from opslog.llm import htmltext
+
+    small = ["<html><body><nav>menu here</nav><article><p>" + f"word {i} some text here " * 6 + "</p></article></body></html>" for i in range(30)]
+    rows = [(i, t) for i, t in enumerate(small)] + [(100, "<article><p>" + "long " * 200_000 + "</p></article>")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    src = pages.select(F.xxhash64("page_id").alias("h"), F.col("html").alias("t"))
+    assert sorted(htmltext._draw(src, 100)) == sorted(small)
+
+
+def test_very_long_urls_stay_linear(spark):
+    import time
+
+    url = "http://" + "a." * 2000 + "example.com/" + "/".join(["seg"] * 60_000) + "/x"
+    captures = spark.createDataFrame([(1, url, "2024-02-01 00:00:00"), (2, "http://www.example.com/seg/seg/y", "2024-02-01 00:00:00")],
+                                     "page_id long, url string, at string").withColumn("fetched_at", F.col("at").cast("timestamp_ntz"))
+    entries = spark.createDataFrame([("prefix", "www.example.com/seg/", "block"), ("domain", "example.com", "allow")],
+                                    "kind string, pattern string, action string").withColumn(
+        "effective", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    t0 = time.time()
+    got = {r.page_id: (r.blocked, r.matched_kind) for r in urlfilter.evaluate(captures, entries).collect()}
+    assert got == {1: (False, "domain"), 2: (True, "prefix")} and time.time() - t0 < 60

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opslog.llm import ann, vecdedup
 from tests.llm.fixtures import CLASH
@@ -149,3 +150,40 @@ def test_query_blocks_and_shards_agree(spark):
     a = ann.search(index, asked, 5).collect()
     b = ann.search(index, asked, 5, query_block=10).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 600
+
+
+def test_two_common_lengths_get_a_forest_each(spark):
+    rng = np.random.default_rng(8)
+    rows, plain = [], {}
+    for d, n, at in ((6, 900, 0), (9, 700, 10_000), (4, 20, 20_000)):
+        base = rng.normal(size=(n // 2, d))
+        x = np.concatenate((base, base[: n - n // 2] + rng.normal(0, 0.02, (n - n // 2, d))))
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        link = unit @ unit.T >= 0.98
+        np.fill_diagonal(link, False)
+        for i in range(n):
+            rows.append((at + i, x[i].tolist(), "a"))
+            plain[at + i] = int(link[i].sum())
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = vecdedup.vector_groups(df, trees=6, leaf=64, block=128, sample=4000)
+    assert {r.vec_id: r.n_links for r in got.collect()} == plain
+    classes = vecdedup.packed(df, "vec_id", "embedding", "label").select(
+        "label", "vec", F.col("vec_id").alias("rep"), F.lit(1).cast("long").alias("n"))
+    forests = vecdedup.fit_forests(classes, 0.98, 3, 4000, 64, 128)
+    assert [d for d, _, _ in forests] == [6, 9]
+    codes = {}
+    for r in vecdedup._routed(classes, forests, "<f8").collect():
+        for c in r.codes:
+            codes.setdefault(c, set()).add(len(r.vec))
+    assert all(len(v) == 1 for v in codes.values()) and len(codes) > 12
+
+
+def test_a_graph_moves_once_however_many_blocks(spark):
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, rng.normal(size=5).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    own, index = ann.build_index(df, shards=3)
+    asked = own.where("vec_id % 2 = 0").select(F.col("vec_id").alias("query_id"), "vec", "dims")
+    plan = ann.search(index, asked, 5, query_block=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no copies of the index
+    one, many = (sorted(map(tuple, ann.search(index, asked, 5, query_block=n).collect())) for n in (1000, 7))
+    assert one == many and len(one) == 750
