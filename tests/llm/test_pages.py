@@ -222,3 +222,27 @@ def test_very_long_urls_stay_linear(spark):
     t0 = time.time()
     got = {r.page_id: (r.blocked, r.matched_kind) for r in urlfilter.evaluate(captures, entries).collect()}
     assert got == {1: (False, "domain"), 2: (True, "prefix")} and time.time() - t0 < 60
+
+
+HAND_PAGES = [  # layouts that the training generator does not draw
+    ("""<body><table><tr><td class="navcol"><a href=/a>Home</a> <a href=/b>News</a></td><td class="content-main">
+<h1>A quiet harbour town</h1><p>The ferry left at dawn and the town was still asleep when it came into the bay.</p>
+<p>Nobody had expected so many visitors, and the only hotel on the square was full by noon.</p></td></tr></table>
+<div id="footer">Copyright 2020 <a href=/imprint>Imprint</a></div></body>""",
+     ["The ferry left at dawn and the town was still asleep when it came into the bay.",
+      "Nobody had expected so many visitors, and the only hotel on the square was full by noon."], ["Imprint", "Home"]),
+    ("""<body><header><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></header><main><article><p>First paragraph of the story, long
+enough to be read as prose by any reader.<p>Second paragraph, which goes on about the same matter for a while longer.</article>
+<section class="comments"><p>nice post!!</p></section></main><script>var x = "<p>no</p>"</script></body>""",
+     ["Second paragraph, which goes on about the same matter for a while longer."], ["nice post", "var x", "One"]),
+]
+
+
+def test_hand_written_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = htmltext.train(pages)
+    rows = [(i, "u", page) for i, (page, _, _) in enumerate(HAND_PAGES)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()}
+    for i, (_, inside, outside) in enumerate(HAND_PAGES):
+        assert all(x in got[i] for x in inside), got[i]
+        assert not any(x in got[i] for x in outside), got[i]

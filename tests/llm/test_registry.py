@@ -1,6 +1,7 @@
 """The registered queries, their oracle, and the pipeline."""
 
 import re
+from collections import Counter
 
 import duckdb
 
@@ -51,3 +52,20 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_on_awkward_rows(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows and clashing names, through all stages."""
+    from tests.llm.fixtures import awkward, docs_df
+
+    docs = docs_df(spark, [r for r in awkward() if r[0] != 104] + [(*awkward()[0][:1], "the and of " * 9000, *awkward()[0][2:])])
+    tables = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        tables.append(stage(spark, tables[-1], SF).cache())
+    assert all(t.columns == docs.columns for t in tables[:-1])
+    given = [Counter(map(str, t.collect())) for t in tables[:4]]
+    for a, b in zip(given, given[1:]):
+        assert set(b) <= set(a) and all(b[k] <= a[k] for k in b)  # filters keep rows as they are
+    kept, mixed = given[3], Counter(map(str, tables[4].collect()))
+    assert set(mixed) <= set(kept) and all(n <= 3 * kept[k] for k, n in mixed.items())
+    assert tables[5].count() >= sum(mixed.values())

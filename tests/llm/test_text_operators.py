@@ -247,3 +247,19 @@ def test_components_long_chain_and_star(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert set(got.values()) == {0, 1000} and len(got) == 501
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_quality_scores_equal_the_explicit_pair_sum(spark):
+    """Whole texts scored by the sum over all pairs of features, without the identity."""
+    import numpy as np
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.train(docs, labels, train_rows=400)
+    texts = {r.doc_id: r.text for r in docs.where("length(text) < 3000").limit(40).collect()}
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for d, text in texts.items():
+        idx, val = model.row(*quality.features(text))
+        x = model.vectors[idx] * val[:, None]
+        pairs = np.triu(x @ x.T, 1).sum()
+        z = model.bias + sum(model.weight[i] * v for i, v in zip(idx, val)) + pairs
+        assert got[d] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-9)
