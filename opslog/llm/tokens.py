@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
 # Entries kept in a worker's table of the pieces that words are made of: about 200 bytes each.
-PIECES_KEPT = 600_000
+PIECES_KEPT = 500_000
 # Bytes of text whose words are numbered together; a longer text is a batch of its own.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
 
 # Characters whose case folding, normal form and class need no Unicode tables.
 _LETTERS = "a-zß-öø-ÿ"
