@@ -37,6 +37,8 @@ from opslog.session import checkpoint_dir
 END = 2
 MAX_LENGTH = 18
 BLOCK_IDS = 1 << 17
+# Text whose words are numbered together: more finds more words equal, and takes some 100 MB more a task.
+TEXT_BYTES = 12 << 20
 CHECKPOINT = 32
 BLOCKS = ("part int, block int, before long, n_ids long, doc_ids array<long>, doc_lengths array<long>, "
           "checkpoints binary, payload binary")
@@ -143,7 +145,7 @@ def token_ids(docs: DataFrame, end: int = END, tokenizer: str | None = None,
         enc = encoder(tokenizer)
         for b in batches:
             at = 0
-            for ids, offsets in enc.batches(b.column(1)):
+            for ids, offsets in enc.batches(b.column(1), TEXT_BYTES):
                 n = len(offsets) - 1
                 total = np.bincount(ids, minlength=end + 1)
                 total[end] += n

@@ -82,13 +82,13 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def batches(self, texts: pa.Array, batch_bytes: int = BATCH_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, offsets) of consecutive slices of ``texts``: text k of a slice has ids[offsets[k]:offsets[k + 1]]."""
         size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         before = np.cumsum(size) - size
         first = 0
         while first < len(texts):
-            last = max(first + 1, int(np.searchsorted(before + size, before[first] + BATCH_BYTES, "right")))
+            last = max(first + 1, int(np.searchsorted(before + size, before[first] + batch_bytes, "right")))
             yield self._batch(pc.fill_null(texts.slice(first, last - first), ""))
             first = last
 
