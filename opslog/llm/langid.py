@@ -10,16 +10,17 @@ them, so two more margins are judged: the share of a text's small blocks
 (``JUDGE_CHARS``) that the runner-up compresses better than the winner, and the
 gain of the winner's dictionary over none at all (for texts of ``GAIN_LETTERS`` or
 more; less text gains next to nothing in any language). Their bounds are fitted
-on training rows outside the dictionaries: at most ``HELD_BACK`` of those rows
-fall on the wrong side of each.
+on all training rows outside the dictionaries, each judged by its whole text: at
+most ``HELD_BACK`` of those rows fall on the wrong side of each.
 
 Equal sizes, as of very short texts, are told apart by the bytes that the text
 adds to a carrier of the dictionary's language. Text is lower-cased and everything but letters becomes one blank, so markup
 and punctuation do not count. Blocks keep a long text from serving as its own
 dictionary, and the whole text is always read.
 
-Sample bound: at most ``SAMPLE_DOCS`` texts a language, chosen by a hash of
-the id over all training rows, and ``DICTIONARY_BYTES`` of their letters.
+Sample bound, of the dictionaries alone: at most ``SAMPLE_DOCS`` texts a language,
+chosen by a hash of the id over all training rows, and ``DICTIONARY_BYTES`` of
+their letters.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0 and
 are rejected; with no training rows at all every text gets ``und``; what still
@@ -37,8 +38,9 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from opslog.llm.common import held_out
+from opslog.llm.common import held_out, stored
 
 UND = "und"
 SAMPLE_DOCS = 600
@@ -62,6 +64,11 @@ HELD_BACK = 0.002
 # Bounds without enough such rows to fit them, and the strictest that a fit may come to.
 MIN_GAIN, MAX_SHARE = 0.03, 0.25
 FEWEST_ROWS = 500
+# Bins of one round of the exact search for a bound.
+BINS = 1024
+# Hashes of ids fall below this.
+SPAN = 1 << 30
+FIGURES = "lang_pred string, score double, margin double, gain double, share double, letters long"
 
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -76,35 +83,36 @@ def letters(text: str) -> str:
     return out if _PLAIN_LETTER.search(out) or any(map(str.isalpha, out)) else ""
 
 
-def _drawn(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
-           sample_docs: int) -> tuple[DataFrame, dict[str, int], Column | None]:
-    """Training rows (l, h, t) of about three samples a language, the languages' row counts, and the condition
-    that tells the rows of the dictionaries from the others."""
-    rows = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).collect()}
+def _drawn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_docs: int) -> tuple[dict[str, int], Column, Column]:
+    """The languages' training row counts, and conditions on ``docs``: training rows of the dictionaries, and all others."""
+    training = ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
+    rows = docs.where(training).select(F.col(lang_col).alias("l"), _hash(id_col).alias("h"))
+    counts = {r[0]: r[1] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return rows, counts, None
-    # one pass: a hash threshold per language leaves about three samples, cut to one afterwards
-    span = 1 << 30
-    keep = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(span, 3 * span * sample_docs // n))])
-    draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(span))
-    part = rows.select(F.col(lang_col).alias("l"), draw.alias("h"), F.col(text_col).alias("t")).where(F.col("h") < keep[F.col("l")])
-    ids = (part.select("l", "h").groupBy("l").agg(F.sort_array(F.collect_set("h")).alias("hs"))
+        return counts, F.lit(False), F.lit(False)
+    # a hash threshold per language leaves about three samples' hashes, cut to one sample's afterwards
+    keep = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(SPAN, 3 * SPAN * sample_docs // n))])
+    ids = (rows.where(F.col("h") < keep[F.col("l")]).groupBy("l").agg(F.sort_array(F.collect_set("h")).alias("hs"))
            .select("l", F.col("hs")[F.least(F.lit(sample_docs), F.size("hs")) - 1].alias("top")))
     top = F.create_map(*[F.lit(x) for r in ids.collect() for x in (r["l"], r["top"])])
-    return part, counts, F.col("h") <= top[F.col("l")]
+    chosen = F.coalesce(_hash(id_col) <= top[F.col(lang_col)], F.lit(False))
+    return counts, training & chosen, training & ~chosen
+
+
+def _hash(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(SPAN))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_docs: int = SAMPLE_DOCS, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary) for every language of the training rows, the most frequent first."""
-    part, counts, chosen = _drawn(docs, id_col, text_col, lang_col, sample_docs)
+    counts, chosen, _ = _drawn(docs, id_col, text_col, lang_col, sample_docs)
     if not counts:
         return []
     # many short pieces rather than a few whole texts: one mislabelled text must not fill a dictionary
     each = {lang: max(1, dictionary_bytes * 5 // 4 // min(n, sample_docs)) for lang, n in counts.items()}
     most = F.create_map(*[F.lit(x) for lang, n in each.items() for x in (lang, 4 * n)])
-    texts = (part.where(chosen).groupBy("l", "h")
+    texts = (docs.where(chosen).select(F.col(lang_col).alias("l"), _hash(id_col).alias("h"), F.col(text_col).alias("t")).groupBy("l", "h")
              .agg(F.max(F.substr(F.col("t"), F.lit(1), most[F.col("l")])).alias("t")).collect())
     out = []
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
@@ -125,6 +133,11 @@ class Bounds(NamedTuple):
         return (found.lang != UND and found.margin >= self.margin and found.share <= self.share
                 and (found.letters < GAIN_LETTERS or found.gain >= self.gain))
 
+    def accepted(self) -> Column:
+        """The same on rows of figures."""
+        return ((F.col("lang_pred") != UND) & (F.col("margin") >= self.margin) & (F.col("share") <= self.share)
+                & ((F.col("letters") < GAIN_LETTERS) | (F.col("gain") >= self.gain)))
+
 
 class Found(NamedTuple):
     """A prediction and what it is judged by."""
@@ -137,26 +150,40 @@ class Found(NamedTuple):
     letters: int = 0
 
 
-def fit_bounds(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Bounds:
-    """Bounds of gain and share from training rows outside the dictionaries, at most about two samples a language."""
-    part, counts, chosen = _drawn(docs, id_col, text_col, lang_col, sample_docs)
-    if not counts:
+def _ranked(values: DataFrame, column: str, rank: int) -> float:
+    """The value at ``rank`` (from 0, ascending) of all rows, exactly: rounds of counts in ever narrower bins."""
+    low, high = values.agg(F.min(column), F.max(column)).first()
+    while low < high:
+        place = (F.col(column) - low) / (high - low) * BINS
+        bins = (values.where(F.col(column).between(low, high)).groupBy(F.floor(place).alias("bin"))
+                .agg(F.count("*").alias("n"), F.min(column).alias("low"), F.max(column).alias("high")).collect())
+        for b in sorted(bins):
+            if rank < b["n"]:
+                low, high = b["low"], b["high"]
+                break
+            rank -= b["n"]
+    return low
+
+
+def _bounds(figures: DataFrame) -> Bounds:
+    """Bounds of gain and share from all rows of a stored table, counted and searched, never gathered."""
+    long, poor, mixed = F.col("letters") >= GAIN_LETTERS, F.col("gain") < MIN_GAIN, F.col("share") > MAX_SHARE
+    n, n_long, n_poor, n_mixed = figures.agg(F.count("*"), F.count_if(long), F.count_if(long & poor), F.count_if(mixed)).first()
+    if n_long < FEWEST_ROWS:
         return Bounds()
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries))
+    # the bounds only give way where more rows than may be held back lie beyond them
+    may_gain, may_share = int(HELD_BACK * n_long), int(HELD_BACK * n)
+    gain = _ranked(figures.where(long & poor), "gain", may_gain) if n_poor > may_gain else MIN_GAIN
+    share = _ranked(figures.where(mixed), "share", n_mixed - 1 - may_share) if n_mixed > may_share else MAX_SHARE
+    return Bounds(MIN_MARGIN, gain, share)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(shared.value)
-        for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([float(f[k]) for f in got]) for k in (3, 4, 5)], ["gain", "share", "letters"])
 
-    rows = part.where(~chosen).select("t").mapInArrow(run, "gain double, share double, letters double").collect()
-    gains = sorted(r["gain"] for r in rows if r["letters"] >= GAIN_LETTERS)
-    shares = sorted((r["share"] for r in rows), reverse=True)
-    if len(gains) < FEWEST_ROWS:
-        return Bounds()
-    return Bounds(MIN_MARGIN, min(MIN_GAIN, gains[int(HELD_BACK * len(gains))]), max(MAX_SHARE, shares[int(HELD_BACK * len(shares))]))
+def fit_bounds(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
+               lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Bounds:
+    """Bounds from all training rows outside the dictionaries (those of ``train`` with the same ``sample_docs``)."""
+    _, _, others = _drawn(docs, id_col, text_col, lang_col, sample_docs)
+    rows = _figures(docs.where(others).select(F.col(text_col).alias("t")), dictionaries)
+    return _bounds(stored(rows.select("gain", "share", "letters"), "language-bounds"))
 
 
 class Model:
@@ -220,24 +247,42 @@ def _model(dictionaries: tuple[tuple[str, bytes], ...]) -> Model:
     return Model(dictionaries)
 
 
-def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
-             bounds: Bounds = Bounds()) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, margin, gain, share, accepted), one row per row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries))
+def _figures(rows: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFrame:
+    """``rows`` with the figures of their last column, the text, in its place; one narrow pass."""
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(dictionaries))
+    schema = T.StructType([*rows.schema.fields[:-1], *T.StructType.fromDDL(FIGURES).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
         for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column(1)]
+            got = [model.predict(t.as_py()) for t in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f.lang for f in got], pa.string()),
+                [*b.columns[:-1], pa.array([f.lang for f in got], pa.string()),
                  *(pa.array([f[k] for f in got], pa.float64()) for k in (1, 2, 3, 4)),
-                 pa.array([bounds.accept(f) for f in got], pa.bool_())],
-                ["doc_id", "lang_pred", "score", "margin", "gain", "share", "accepted"])
+                 pa.array([f.letters for f in got], pa.int64())], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _verdicts(figures: DataFrame, bounds: Bounds) -> DataFrame:
+    return figures.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "gain", "share",
+                          bounds.accepted().alias("accepted"))
+
+
+def classify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
+             bounds: Bounds = Bounds()) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, margin, gain, share, accepted), one row per row of ``docs``."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    return _verdicts(_figures(rows, dictionaries), bounds)
+
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    out = src.mapInArrow(run, "doc_id long, lang_pred string, score double, margin double, gain double, share double, accepted boolean")
-    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", "gain", "share", "accepted")
+def classify_fitted(docs: DataFrame, dictionaries: list[tuple[str, bytes]], id_col: str = "doc_id", text_col: str = "text",
+                    lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows of ``classify`` with the bounds of ``fit_bounds``; every text is compressed once, its figures are stored."""
+    _, _, others = _drawn(docs, id_col, text_col, lang_col, sample_docs)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), others.alias("fits"), F.col(text_col).cast("string").alias("t"))
+    figures = stored(_figures(rows, dictionaries), "language-figures")
+    return _verdicts(figures, _bounds(figures.where("fits")))
 
 
 def accepted_rows(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text_col: str = "text",

@@ -18,8 +18,7 @@ from opslog.llm.common import read
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    dictionaries = langid.train(docs)
-    return langid.classify(docs, dictionaries, bounds=langid.fit_bounds(docs, dictionaries))
+    return langid.classify_fitted(docs, langid.train(docs))
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
