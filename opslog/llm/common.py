@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opslog.session import checkpoint_dir
 
 # A word: a run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
+# Bytes of rows that go to a Python worker at once, in sessions that do not set it themselves.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +43,35 @@ def stored(df: DataFrame, name: str, compression: str = "lz4") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, after whose every batch and end Arrow's pool gives back what it holds unused.
+
+    Workers are reused by the tasks of all later jobs, and the pool of each keeps what its largest
+    batches took for as long as the worker lives.
+    """
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        for out in run(batches):
+            yield out
+            del out
+            pool.release_unused()
+        pool.release_unused()
+
+    return task
+
+
+def map_texts(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts, in memory that grows neither with the length of the
+    texts (but a single one's) nor from job to job: batches of bounded bytes, not of 10,000 rows, and
+    nothing kept that is unused. The bound is a setting of the session, left alone where it is set."""
+    spark = rows.sparkSession
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return rows.mapInArrow(released(run), schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

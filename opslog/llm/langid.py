@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opslog.llm.common import held_out, stored
+from opslog.llm.common import held_out, map_texts, stored
 
 UND = "und"
 SAMPLE_DOCS = 600
@@ -261,7 +261,7 @@ def _figures(rows: DataFrame, dictionaries: list[tuple[str, bytes]]) -> DataFram
                  *(pa.array([f[k] for f in got], pa.float64()) for k in (1, 2, 3, 4)),
                  pa.array([f.letters for f in got], pa.int64())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return map_texts(rows, run, schema)
 
 
 def _verdicts(figures: DataFrame, bounds: Bounds) -> DataFrame:
@@ -296,4 +296,4 @@ def accepted_rows(docs: DataFrame, dictionaries: list[tuple[str, bytes]], text_c
         for b in batches:
             yield b.filter(pa.array([bounds.accept(model.predict(t.as_py())) for t in b.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import partitions, stored
+from opslog.llm.common import map_texts, partitions, stored
 from opslog.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -76,7 +76,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, end: int = END, tokenizer: st
         yield out()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length int, ids_crc32 long")
+    return map_texts(src, run, "doc_id long, piece int, start long, length int, ids_crc32 long")
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:

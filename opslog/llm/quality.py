@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import held_out
+from opslog.llm.common import held_out, map_texts
 
 TRAIN_ROWS = 6000
 BUCKETS = 1 << 15
@@ -154,8 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                 for k, t in enumerate(("<i4", "<f4", "<f8")))], ["y", "idx", "val", "stats"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    sample = (texts.join(picked, "id").select("y", "t").mapInArrow(run, "y int, idx binary, val binary, stats binary")
-              .collect())
+    sample = map_texts(texts.join(picked, "id").select("y", "t"), run, "y int, idx binary, val binary, stats binary").collect()
     sample = sorted(tuple(r) for r in sample)  # the same order in every run
     seen = Counter(r[0] for r in sample)
     return fit([(y, counts[y] / seen[y], np.frombuffer(i, "<i4").astype(np.int64),
@@ -176,7 +175,7 @@ def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(shared.value, b.column(1)))], ["doc_id", "score"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return (src.mapInArrow(run, "doc_id long, score double")
+    return (map_texts(src, run, "doc_id long, score double")
             .select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
 
 
@@ -189,4 +188,4 @@ def good_rows(docs: DataFrame, model: Machine, text_col: str = "text", threshold
         for b in batches:
             yield b.filter(pa.array(_scores(shared.value, b.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_texts(docs, run, docs.schema)

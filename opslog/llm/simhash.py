@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opslog.llm.common import connected_components, partitions, stored
+from opslog.llm.common import connected_components, map_texts, partitions, stored
 
 BITS = 64
 SEED = 42
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
 
     text = F.col(text_col).cast("string")
     src = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), *[F.xxhash64(text).alias("th")] * hashed)
-    return src.mapInArrow(run, "id long, fp long" + ", th long" * hashed)
+    return map_texts(src, run, "id long, fp long" + ", th long" * hashed)
 
 
 def ball(radius: int) -> list[int]:

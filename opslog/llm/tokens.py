@@ -89,7 +89,10 @@ class Encoder:
         first = 0
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(before + size, before[first] + batch_bytes, "right")))
-            yield self._batch(pc.fill_null(texts.slice(first, last - first), ""))
+            found = self._batch(pc.fill_null(texts.slice(first, last - first), ""))
+            # lists and words are done with; Arrow's pool would keep their memory for the worker's lifetime
+            pa.default_memory_pool().release_unused()
+            yield found
             first = last
 
     def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
