@@ -154,12 +154,19 @@ def _placed(sized: DataFrame, seed: int) -> DataFrame:
                   "mix")
 
 
-def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
+INT, LONG = pa.int32(), pa.int64()
+CUTS = ("cuts", pa.list_(pa.struct([("gap", LONG), ("part", INT), ("at", LONG)])))
+
 
+def _local(spark: SparkSession, rows: list[tuple], *fields: tuple[str, pa.DataType]) -> DataFrame:
+    """A table from rows of the driver. By way of Arrow: a list of rows would take Python workers on the executors to read it."""
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(fields)], schema=pa.schema(fields)))
 
-CUTS = "cuts array<struct<gap: long, part: int, at: long>>"
+
+def _small(spark: SparkSession, rows: list[tuple], *fields: tuple[str, pa.DataType]) -> DataFrame:
+    table = _local(spark, rows, *fields)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
 class Fill:
@@ -206,7 +213,7 @@ def _fill(rows: DataFrame, fills: dict[int, Fill], tolerance: dict[int, float])
     spark = rows.sparkSession
     open_ = [i for i, f in fills.items() if f.gaps[-1] > tolerance[i]]
     while open_:
-        state = _small(spark, [(i, fills[i].gaps[-1], fills[i].cuts) for i in open_], f"s int, gap long, {CUTS}")
+        state = _small(spark, [(i, fills[i].gaps[-1], fills[i].cuts) for i in open_], ("s", INT), ("gap", LONG), CUTS)
         left = rows.where("not prefix and size > 0").join(state, "s").where(~_cut())
         fits = F.col("size") <= F.col("gap")
         sums: dict[int, list] = {i: [] for i in open_}
@@ -232,7 +239,7 @@ def _fill(rows: DataFrame, fills: dict[int, Fill], tolerance: dict[int, float])
             fan = max(2, min(1024, FILL_SUMS // len(narrow)))
             step = {i: -(-(end - lo) // fan) for i, (_, lo, end, _) in narrow.items()}
             at = _small(spark, [(i, p, lo, end, step[i]) for i, (p, lo, end, _) in narrow.items()],
-                        "s int, part int, lo long, end long, step long")
+                        ("s", INT), ("part", INT), ("lo", LONG), ("end", LONG), ("step", LONG))
             runs: dict[int, list] = {i: [] for i in narrow}
             for r in (left.where(fits).join(at, ["s", "part"]).where("at >= lo and at < end")
                       .groupBy("s", F.floor((F.col("at") - F.col("lo")) / F.col("step")).alias("run"))
@@ -283,11 +290,12 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
     start = np.array([[0, 0], *[[r[1], r[2]] for r in sums]], np.int64).cumsum(axis=0)
 
     by_part = _small(spark, [(p, int(a), int(b)) for (p, _, _), (a, b) in zip(parts, at)],
-                     "part int, part_words long, part_rows long")
+                     ("part", INT), ("part_words", LONG), ("part_rows", LONG))
     by_source = _small(
         spark, [(i, r[0], sizes[i], float(goal[i]), full[i], rest[i], int(start[i][0]), int(start[i][1]))
          for i, r in enumerate(sums)],
-        "s int, src string, source_size long, target double, epochs int, rest long, s_words long, s_rows long")
+        ("s", INT), ("src", pa.string()), ("source_size", LONG), ("target", pa.float64()), ("epochs", INT), ("rest", LONG),
+        ("s_words", LONG), ("s_rows", LONG))
     rows = (placed.join(by_part, "part").join(by_source, F.col("source").eqNullSafe(F.col("src")))
             .withColumn("p", F.col("part_words") + F.col("words") - F.col("s_words"))
             .withColumn("n", F.col("part_rows") + F.col("at") - F.col("s_rows"))
@@ -314,7 +322,8 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int =
     quota = np.array([full[i] * blocks.get(i, 0) + tail.get(i, 0) for i in range(len(sums))], np.int64)
     units = _units(spark, quota, [blocks.get(i, 0) for i in range(len(sums))], shard_blocks, seed)
 
-    last = _small(spark, spans, f"s int, dropped boolean, start long, span long, {CUTS}, top_part int, top_at long")
+    last = _small(spark, spans, ("s", INT), ("dropped", pa.bool_()), ("start", LONG), ("span", LONG), CUTS,
+                  ("top_part", INT), ("top_at", LONG))
     prefix = F.col("prefix") & ~F.col("dropped")
     topped = _cut() | F.coalesce((F.col("part") == F.col("top_part")) & (F.col("at") == F.col("top_at")), F.lit(False))
     own = F.when(prefix | (F.col("block") < F.col("start")), F.col("block")).otherwise(
@@ -335,8 +344,8 @@ def _units(spark: SparkSession, quota: np.ndarray, blocks: list[int], shard_bloc
     shards = max(1, -(-int(quota.sum()) // shard_blocks))
     some = np.flatnonzero(quota)
     tree = leaves(0, shards, some, quota[some], np.zeros_like(some), seed, DRIVER_NODES)
-    nodes = spark.createDataFrame([(lo, hi, s.tolist(), q.tolist(), f.tolist()) for lo, hi, s, q, f in tree],
-                                  "lo long, hi long, sources array<long>, quota array<long>, first array<long>")
+    many = pa.list_(LONG)
+    nodes = _local(spark, tree, ("lo", LONG), ("hi", LONG), ("sources", many), ("quota", many), ("first", many))
     total = spark.sparkContext.broadcast((quota, np.array(blocks, np.int64)))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

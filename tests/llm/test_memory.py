@@ -3,7 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from opslog.llm import common, packing, tokens
+from opslog.llm import common, mixing, packing, tokens
 from tests.llm.fixtures import docs_df
 
 
@@ -55,3 +55,11 @@ def test_workers_give_back_what_the_pool_holds_unused(monkeypatch):
     batch = pa.RecordBatch.from_arrays([texts], ["t"])
     assert list(common.released(lambda batches: (b for b in batches))(iter([batch, batch]))) == [batch, batch]
     assert pool.released == 3
+
+
+def test_tables_of_the_driver_take_no_workers(spark, capsys):
+    table = mixing._small(spark, [(0, 7, [(5, 1, 2)]), (1, 8, [])], ("s", mixing.INT), ("gap", mixing.LONG), mixing.CUTS)
+    table.explain()
+    assert "LocalTableScan" in capsys.readouterr().out  # not a scan of an RDD that Python workers fill
+    assert table.dtypes == [("s", "int"), ("gap", "bigint"), ("cuts", "array<struct<gap:bigint,part:int,at:bigint>>")]
+    assert [(r["s"], r["gap"], [tuple(c) for c in r["cuts"]]) for r in table.collect()] == [(0, 7, [(5, 1, 2)]), (1, 8, [])]
